@@ -6,7 +6,7 @@ import importlib
 
 from .base import compose
 
-MODULES = ["events"]
+MODULES = ["events", "storage", "joins", "derived", "quality"]
 
 
 def statements() -> dict[str, str]:

@@ -185,13 +185,14 @@ SELECT b.*, l_orderkey * 10 + l_linenumber AS SalesLineKey, l_orderkey AS SalesO
        CASE WHEN CancelledQuantity = 0 AND date_diff('day', OrderDate, DeliveryDate) <= 30 THEN 1 ELSE 0 END AS OnTimeInFullFlag
 FROM sales_base b LEFT JOIN dim_product USING (ProductKey)"""
 CTES["sales_days"] = """
-SELECT min(OrderDate) AS first_day, max(OrderDate) AS last_day, date_diff('day', min(OrderDate), max(OrderDate)) + 1 AS days FROM sales_base"""
+SELECT min(o_orderdate)::DATE AS first_day, max(o_orderdate)::DATE AS last_day,
+       date_diff('day', min(o_orderdate)::DATE, max(o_orderdate)::DATE) + 1 AS days FROM orders"""
 CTES["po_base"] = """
 SELECT l_orderkey * 10 + l_linenumber AS POLineKey, l_orderkey AS PurchaseOrderID, l_suppkey AS SupplierKey, ProductKey,
        WarehouseKey AS ReceivingWarehouseKey, OrderDate AS POCreationDate, OrderedQuantity,
        CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Open In-Transit' ELSE 'Overdue' END AS POStatus,
        CASE WHEN l_suppkey % 10 = 0 THEN 7 WHEN l_suppkey % 10 <= 3 THEN 21 ELSE 45 END AS PromisedLeadTimeDays,
-       CASE WHEN o_orderstatus = 'F' THEN (l_orderkey * 7 + l_linenumber * 3) % 13 - 4 END AS LeadTimeVarianceDays,
+       CASE WHEN o_orderstatus = 'F' THEN (l_orderkey * 7 + l_linenumber * 3) % 13 - CASE WHEN l_suppkey % 10 = 0 THEN 6 WHEN l_suppkey % 10 <= 3 THEN 4 ELSE 1 END END AS LeadTimeVarianceDays,
        CASE WHEN o_orderstatus = 'F' THEN OrderedQuantity - CASE WHEN l_discount >= 0.08::DOUBLE THEN 1 ELSE 0 END ELSE 0 END AS ReceivedQuantity,
        CASE WHEN o_orderstatus = 'F' AND l_tax >= 0.07::DOUBLE THEN 1 ELSE 0 END AS RejectedQuantity,
        (GrossSalesAmount * 0.6::DECIMAL(2,1))::DECIMAL(14,2) AS ExtendedPOAmount
@@ -256,7 +257,7 @@ CTES["picks"] = "SELECT ProductKey, WarehouseKey, day, -sum(quantity_change)::BI
 CTES["stockout"] = """
 SELECT e.*, e.lost AS EstimatedLostDemandUnits, (e.lost * UnitListPrice)::DECIMAL(16,2) AS EstimatedLostRevenueAmount, CategoryName, ProductSKU,
        PrimarySupplierKey, CASE (e.ProductKey + e.WarehouseKey) % 3 WHEN 0 THEN 'Supplier Delayed Inbound' WHEN 1 THEN 'Demand Spike' ELSE 'Record Inaccuracy' END AS StockoutAttributedReason,
-       (year(StartDate) * 10000 + month(StartDate) * 100 + day(StartDate))::BIGINT * 1000000000 + e.ProductKey * 100 + e.WarehouseKey AS StockoutEventKey
+       date_diff('day', DATE '1970-01-01', StartDate) * 100000000000000 + e.ProductKey * 100 + e.WarehouseKey AS StockoutEventKey
 FROM (SELECT ep.*, (2 * coalesce((SELECT sum(units) FROM picks p WHERE p.ProductKey = ep.ProductKey AND p.WarehouseKey = ep.WarehouseKey
              AND p.day BETWEEN ep.StartDate - 30 AND ep.StartDate - 1), 0)::BIGINT * StockoutDurationDays + 30) // 60 AS lost FROM episodes ep) e
 LEFT JOIN dim_product USING (ProductKey)"""

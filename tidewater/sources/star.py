@@ -81,6 +81,11 @@ def _money(c: Column, precision: int = 12) -> Column:
     return c.cast(f"decimal({precision},2)")
 
 
+def _dated_key(day: str) -> Column:
+    """Integer key of (day, product, warehouse); room for 10^12 products."""
+    return F.unix_date(day).cast("long") * 100_000_000_000_000 + F.col("ProductKey") * 100 + F.col("WarehouseKey")
+
+
 class StarTables:
     """Star tables stored as Parquet, one directory per table name."""
 
@@ -271,9 +276,10 @@ class DerivedStar:
     def _fact_sales(self, want) -> DataFrame:
         everything = not want
         df = self._lines(want, self._SALES_ORDER_COLUMNS, everything)
-        if everything or want & {"UnitStandardCost", "CostOfGoodsSold"}:
-            cost = self._dim_product(want).select(F.col("ProductKey").alias("l_partkey"), "UnitStandardCost")
-            df = df.join(cost, "l_partkey", "left")
+        of_product = {"UnitStandardCost", "CostOfGoodsSold", "CategoryName"}
+        if everything or want & of_product:
+            product = self._dim_product(want).select(F.col("ProductKey").alias("l_partkey"), "UnitStandardCost", "CategoryName")
+            df = df.join(product, "l_partkey", "left")
         qty = F.col("l_quantity").cast("long")
         cancelled = F.when(F.col("l_returnflag") == "A", qty).otherwise(F.lit(0).cast("long"))
         gross = _money(F.col("l_extendedprice"))
@@ -298,6 +304,7 @@ class DerivedStar:
             "CancelledQuantity": lambda: cancelled,
             "ShippedQuantity": lambda: shipped,
             "UnitStandardCost": lambda: F.col("UnitStandardCost"),
+            "CategoryName": lambda: F.col("CategoryName"),
             "GrossSalesAmount": lambda: gross,
             "DiscountAmount": lambda: discount,
             "NetSalesAmount": lambda: _money(gross - discount),
@@ -319,7 +326,9 @@ class DerivedStar:
         qty = F.col("l_quantity").cast("long")
         done = F.col("o_orderstatus") == "F"
         promised = contract_days("l_suppkey").cast("long")
-        variance = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 13 - 4).cast("long")
+        # Better tiers deliver earlier against their promise.
+        early = F.when(F.col("l_suppkey") % 10 == 0, 6).when(F.col("l_suppkey") % 10 <= 3, 4).otherwise(1)
+        variance = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 13 - early).cast("long")
         received = F.when(done, qty - F.when(F.col("l_discount") >= 0.08, 1).otherwise(0)).otherwise(F.lit(0).cast("long"))
         on_time = F.when(done & (variance <= 0), 1).otherwise(0)
         in_full = F.when(done & (received >= qty), 1).otherwise(0)
@@ -416,6 +425,14 @@ class DerivedStar:
             F.col("event_type").alias("MovementType"), F.col("quantity_change").alias("MovementQuantity"),
         )
 
+    def order_days(self) -> Column:
+        """Calendar days between the first and the last order, as a scalar subquery."""
+        d = F.to_date("o_orderdate")
+        return self.raw("orders").agg(F.datediff(F.max(d), F.min(d)) + 1).scalar()
+
+    def last_order_day(self) -> Column:
+        return self.raw("orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
+
     def last_event_day(self) -> Column:
         """Last calendar day of the event table, as a scalar subquery."""
         return self.lake.events.agg(F.max(F.to_date("ts"))).scalar()
@@ -427,7 +444,7 @@ class DerivedStar:
         reserved = F.least(on_hand, (F.col("ProductKey") + F.col("WarehouseKey")) % 5)
         df = df.select(
             "*",
-            (date_key("SnapshotDate") * 1000000000 + F.col("ProductKey") * 100 + F.col("WarehouseKey")).alias("SnapshotKey"),
+            _dated_key("SnapshotDate").alias("SnapshotKey"),
             date_key("SnapshotDate").alias("SnapshotDateKey"),
             reserved.alias("ReservedQuantity"),
             (on_hand - reserved).alias("AvailableQuantity"),
@@ -478,7 +495,7 @@ class DerivedStar:
         cause = (F.col("ProductKey") + F.col("WarehouseKey")) % 3
         return df.withColumns(
             {
-                "StockoutEventKey": date_key("StartDate") * 1000000000 + F.col("ProductKey") * 100 + F.col("WarehouseKey"),
+                "StockoutEventKey": _dated_key("StartDate"),
                 "StockoutAttributedReason": F.when(cause == 0, "Supplier Delayed Inbound")
                 .when(cause == 1, "Demand Spike")
                 .otherwise("Record Inaccuracy"),
