@@ -6,7 +6,7 @@ import importlib
 
 from .base import compose
 
-MODULES = ["events", "storage", "joins", "derived", "quality"]
+MODULES = ["events", "storage", "joins", "derived", "quality", "measures"]
 
 
 def statements() -> dict[str, str]:

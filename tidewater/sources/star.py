@@ -314,6 +314,20 @@ class DerivedStar:
         }
         return df.select(*[columns[c]().alias(c) for c in columns if everything or c in want])
 
+    def cogs(self, *keys: str) -> DataFrame:
+        """Cost of goods sold by any of ProductKey, WarehouseKey, CategoryName.
+
+        Units are summed per product before the cost is looked up, so the join
+        sees one row per product (and warehouse) instead of every line.
+        """
+        fact_keys = ["ProductKey", *[k for k in keys if k == "WarehouseKey"]]
+        units = self.table("FactSales", *fact_keys, "ShippedQuantity").groupBy(*fact_keys).agg(F.sum("ShippedQuantity").alias("units"))
+        product = self.table("DimProduct", "ProductKey", "UnitStandardCost", "CategoryName")
+        priced = units.join(product, "ProductKey", "left")
+        return priced.groupBy(*keys).agg(
+            F.sum(F.col("units").cast("decimal(18,0)") * F.col("UnitStandardCost")).alias("total_cogs")
+        )
+
     _PO_ORDER_COLUMNS = {
         "POStatus", "POCreationDate", "POCreationDateKey", "PromisedDeliveryDate", "ActualDockReceiptDate",
         "ActualDockReceiptDateKey", "ReceivedQuantity", "RejectedQuantity", "ActualLeadTimeDays",
@@ -451,9 +465,11 @@ class DerivedStar:
             F.when(on_hand - reserved <= 0, 1).otherwise(0).alias("IsStockoutFlag"),
             F.when(F.col("DaysSinceLastMovement") >= 180, 1).otherwise(0).alias("IsDeadStockFlag"),
         )
-        if everything or want & {"UnitLandedCost", "InventoryValuation"}:
-            cost = self._dim_product(want).select("ProductKey", F.col("UnitStandardCost").alias("UnitLandedCost"))
-            df = df.join(cost, "ProductKey", "left").withColumn(
+        if everything or want & {"UnitLandedCost", "InventoryValuation", "CategoryName"}:
+            product = self._dim_product(want).select(
+                "ProductKey", F.col("UnitStandardCost").alias("UnitLandedCost"), "CategoryName"
+            )
+            df = df.join(product, "ProductKey", "left").withColumn(
                 "InventoryValuation", _money(on_hand.cast("decimal(12,0)") * F.col("UnitLandedCost"), 14)
             )
         if everything or "InTransitInboundQuantity" in want:
