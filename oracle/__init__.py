@@ -6,7 +6,7 @@ import importlib
 
 from .base import compose
 
-MODULES = ["events", "storage", "joins", "derived", "quality", "measures"]
+MODULES = ["events", "storage", "joins", "derived", "quality", "measures", "planning"]
 
 
 def statements() -> dict[str, str]:
