@@ -6,7 +6,7 @@ import importlib
 
 from .base import compose
 
-MODULES = ["events", "storage", "joins", "derived", "quality", "measures", "planning"]
+MODULES = ["events", "storage", "joins", "derived", "quality", "measures", "planning", "streams"]
 
 
 def statements() -> dict[str, str]:
