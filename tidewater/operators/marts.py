@@ -15,7 +15,7 @@ def sales_daily_summary(silver: DataFrame) -> DataFrame:
     """Date x product; the order value is a mean of per-event ratios."""
     ratio = F.try_divide(F.col("revenue"), F.col("units_sold").cast("double"))
     return (
-        latest_event(silver)
+        latest_event(silver.select("event_id", "timestamp", "product_id", "revenue", "units_sold"))
         .groupBy(F.to_date("timestamp").alias("event_date"), "product_id")
         .agg(
             stable_round(F.sum("revenue"), 2).alias("total_revenue"),
@@ -30,7 +30,7 @@ def inventory_health_daily(silver: DataFrame) -> DataFrame:
     """Date x warehouse x product; ``current_on_hand`` is that day's net movement."""
     change, kind = F.col("quantity_change"), F.col("event_type")
     grouped = (
-        latest_event(silver)
+        latest_event(silver.drop("ingested_at"))
         .groupBy(F.to_date("timestamp").alias("snapshot_date"), "warehouse_id", "product_id")
         .agg(
             F.coalesce(F.sum(change), F.lit(0)).alias("current_on_hand"),

@@ -23,16 +23,22 @@ def bronze_envelope(messages: DataFrame, ingested_at: Column | None = None) -> D
     )
 
 
+def _once(parsed: Column) -> Column:
+    """Parse in one place: as a generated row the result is computed once, while
+    a plain projection is repeated for every field a later filter mentions."""
+    return F.explode(F.array(parsed))
+
+
 def parse_permissive(bronze: DataFrame, topic: str) -> DataFrame:
     """Envelope plus ``data``; unreadable text lands in ``data._corrupt_record``."""
     schema = EVENT_SCHEMAS[topic] + ", _corrupt_record string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return bronze.select(*ENVELOPE, F.from_json("raw_payload", schema, options).alias("data"))
+    return bronze.select(*ENVELOPE, _once(F.from_json("raw_payload", schema, options)).alias("data"))
 
 
 def parse_flat(bronze: DataFrame, topic: str) -> DataFrame:
     """Event fields only, for jobs that read bronze directly."""
-    return bronze.select(F.from_json("raw_payload", EVENT_SCHEMAS[topic]).alias("d")).select("d.*")
+    return bronze.select(_once(F.from_json("raw_payload", EVENT_SCHEMAS[topic])).alias("d")).select("d.*")
 
 
 def error_reason(topic: str) -> Column:

@@ -52,6 +52,7 @@ def running_totals(
 
 def ranked(df: DataFrame, groups: list[str], order: str, name: str, slices: int | None = None) -> DataFrame:
     """``df`` with its rank (ties equal, gaps after ties) by ``order``, highest first."""
+    df = cut_lineage(df)
     totals = running_totals(df, groups, order, [], slices)
     ranks = totals.select(*groups, order, (F.col("run_n") - F.col("n") + 1).alias(name))
     return df.join(ranks, [*groups, order])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import safe_divide, sample_std, tier
+from ..session import cut_lineage
 from .running import running_totals
 
 # Cumulative revenue share of class A, of A and B; variation bounds of X, of Y.
@@ -16,8 +17,10 @@ X_CV, Y_CV = 0.25, 0.75
 def abc_class(revenue: DataFrame, groups: list[str], slices: int | None = None) -> DataFrame:
     """Rows with ``revenue`` per SKU (and group) -> cumulative share and class.
 
-    SKUs of equal revenue share one class.
+    SKUs of equal revenue share one class. The revenue per SKU is used twice, so
+    it is checkpointed: small next to the lines it was summed from.
     """
+    revenue = cut_lineage(revenue)
     totals = running_totals(revenue, groups, "revenue", ["amount"], slices)
     share = safe_divide("run_amount", "all_amount")
     labels = totals.select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import month_label, safe_divide
 from ..operators import security
 from ..sources.star import TIER_3, DerivedStar, scenario_structs
+from .measures import forecast_and_actual
 from .registry import query
 
 
@@ -106,18 +107,10 @@ def scalar_lookup(star: DerivedStar) -> DataFrame:
 @query
 def cross_fact_align(star: DerivedStar) -> DataFrame:
     """Forecast against actuals at month x product x warehouse, both sides kept."""
-    keys = ["month", "ProductKey", "WarehouseKey"]
-    forecast = star.table("FactDemandForecast", "TargetMonth", "ProductKey", "WarehouseKey", "ForecastedQuantity").groupBy(
-        F.col("TargetMonth").alias("month"), "ProductKey", "WarehouseKey"
-    ).agg(F.sum("ForecastedQuantity").alias("forecast"))
-    actual = star.table("FactSales", "OrderDate", "ProductKey", "WarehouseKey", "OrderedQuantity").groupBy(
-        F.trunc("OrderDate", "month").alias("month"), "ProductKey", "WarehouseKey"
-    ).agg(F.sum("OrderedQuantity").alias("actual"))
-    both = forecast.join(actual, keys, "full_outer")
-    f, a = F.coalesce("forecast", F.lit(0)), F.coalesce("actual", F.lit(0))
-    return both.groupBy(month_label("month").alias("month")).agg(
+    f, a = F.col("forecast"), F.col("actual")
+    return forecast_and_actual(star).groupBy(month_label("month").alias("month")).agg(
         F.sum(f).alias("forecast_units"), F.sum(a).alias("actual_units"), F.sum(F.abs(a - f)).alias("absolute_error"),
-        F.count_if(F.col("actual").isNull()).alias("forecast_only"), F.count_if(F.col("forecast").isNull()).alias("actual_only"),
+        F.count_if(~F.col("in_actual")).alias("forecast_only"), F.count_if(~F.col("in_forecast")).alias("actual_only"),
     )
 
 

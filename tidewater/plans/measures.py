@@ -425,22 +425,34 @@ def sla_watchlist(star: DerivedStar) -> DataFrame:
 MONTH_SITE = ["month", *SITE]
 
 
-def aligned_forecast(star: DerivedStar) -> DataFrame:
-    """Forecast rows with the actual of the same month, product and warehouse
-    (0 if none). Both facts are summed to that grain before they meet."""
-    f = star.table("FactDemandForecast", "TargetMonth", *SITE, "ForecastedQuantity", "BaselineStatisticalQuantity", "PlannerAdjustmentQuantity").groupBy(
-        F.col("TargetMonth").alias("month"), *SITE
-    ).agg(
-        F.sum("ForecastedQuantity").alias("forecast"), F.sum("BaselineStatisticalQuantity").alias("baseline"),
-        F.sum("PlannerAdjustmentQuantity").alias("adjustment"),
+def forecast_and_actual(star: DerivedStar) -> DataFrame:
+    """Both facts at month x product x warehouse in one aggregation.
+
+    The rows of the two facts are stacked and grouped once: one shuffle, reduced
+    on the map side, where joining the two would shuffle and sort each of them.
+    ``in_forecast`` and ``in_actual`` tell which side a group came from.
+    """
+    zero, no, yes = F.lit(0).cast("long"), F.lit(False), F.lit(True)
+    forecast = star.table(
+        "FactDemandForecast", "TargetMonth", *SITE, "ForecastedQuantity", "BaselineStatisticalQuantity", "PlannerAdjustmentQuantity"
+    ).select(
+        F.col("TargetMonth").alias("month"), *SITE, F.col("ForecastedQuantity").alias("forecast"),
+        F.col("BaselineStatisticalQuantity").alias("baseline"), F.col("PlannerAdjustmentQuantity").alias("adjustment"),
+        zero.alias("actual"), yes.alias("f"), no.alias("a"),
+    )
+    actual = star.table("FactSales", "OrderDate", *SITE, "OrderedQuantity").select(
+        F.trunc("OrderDate", "month").alias("month"), *SITE, zero.alias("forecast"), zero.alias("baseline"), zero.alias("adjustment"),
+        F.col("OrderedQuantity").alias("actual"), no.alias("f"), yes.alias("a"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("forecast", "baseline", "adjustment", "actual")]
+    return forecast.unionByName(actual).groupBy(*MONTH_SITE).agg(
+        *sums, F.max("f").alias("in_forecast"), F.max("a").alias("in_actual")
     )
-    return f.join(actual_demand(star), MONTH_SITE, "left").withColumn("actual", F.coalesce("actual", F.lit(0)))
 
 
-def actual_demand(star: DerivedStar) -> DataFrame:
-    return star.table("FactSales", "OrderDate", *SITE, "OrderedQuantity").groupBy(
-        F.trunc("OrderDate", "month").alias("month"), *SITE
-    ).agg(F.sum("OrderedQuantity").alias("actual"))
+def aligned_forecast(star: DerivedStar) -> DataFrame:
+    """Forecast groups with the actual of the same group, 0 if there is none."""
+    return forecast_and_actual(star).where("in_forecast")
 
 
 def _errors(star: DerivedStar, *keys: str) -> DataFrame:

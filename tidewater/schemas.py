@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _struct(spec: str) -> T.StructType:
-    return T._parse_datatype_string(spec)
-
-
 SALES = "sales"
 INVENTORY = "inventory"
 
@@ -32,4 +25,19 @@ BRONZE = (
     "kafka_timestamp timestamp, ingested_at timestamp"
 )
 
+# The given tables; declared so that a read starts no footer job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 MART_CODEC = {"compression": "zstd", "parquet.compression.codec.zstd.level": "7"}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import parsing
 from ..schemas import INVENTORY, SALES
 from ..session import configure
+from .tables import read_table, spread_small
 
 HOUR_US = 3_600_000_000
 
@@ -31,7 +32,7 @@ def _payload(topic: str) -> Column:
     amount = F.col("value").cast("decimal(12,2)")
     common = [
         F.when(defect != 1, _quoted("event_id", F.concat(F.lit("EVT-"), eid.cast("string")))),
-        _plain("timestamp", (F.col("epoch_us").cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(20,6)").cast("string")),
+        _plain("timestamp", F.concat(F.expr("cast(epoch_us div 1000000 as string)"), F.lit("."), F.lpad((F.col("epoch_us") % 1000000).cast("string"), 6, "0"))),
         F.when(defect != 2, _quoted("product_id", F.concat(F.lit("SKU-"), F.col("user_id").cast("string")))),
     ]
     if topic == SALES:
@@ -91,10 +92,10 @@ class EventLake:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
-        self.events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        self.events = read_table(spark, sf_dir, "events")
 
     def messages(self, topic: str) -> DataFrame:
-        return messages(self.events, topic)
+        return messages(spread_small(self.events), topic)
 
     def bronze(self, topic: str) -> DataFrame:
         return parsing.bronze_envelope(self.messages(topic), F.col("ingested_at"))

@@ -19,6 +19,7 @@ from ..operators import derived
 from ..operators.dedup import latest_event
 from ..session import configure
 from .events import EventLake
+from .tables import read_table
 
 FAR_FUTURE = "9999-12-31"
 
@@ -127,7 +128,7 @@ class DerivedStar:
         }
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, self.sf_dir, name)
 
     def table(self, name: str, *columns: str) -> DataFrame:
         df = self._builders[name](set(columns))
@@ -421,7 +422,7 @@ class DerivedStar:
 
     def movements(self) -> DataFrame:
         """Deduplicated inventory events with integer keys."""
-        e = latest_event(self.lake.silver_inventory())
+        e = latest_event(self.lake.silver_inventory().drop("ingested_at"))
         return e.select(
             "event_id",
             F.to_date("timestamp").alias("day"),
