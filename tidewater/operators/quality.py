@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,3 +64,17 @@ def summary(checks: DataFrame) -> DataFrame:
         "*", (F.col("passed").cast("double") / F.col("checks").cast("double")).alias("pass_rate"),
         (F.lit(100.0) * F.col("passed").cast("double") / F.col("checks").cast("double")).alias("dq_index"),
     )
+
+
+def first_failed_gate(gates: list[tuple[str, Callable[[], DataFrame]]]) -> str | None:
+    """Run check groups in order and stop at the first with a failure."""
+    for name, checks in gates:
+        if not checks().where("status = 'FAILED'").isEmpty():
+            return name
+    return None
+
+
+def schema_gaps(df: DataFrame, expected: dict[str, str]) -> list[str]:
+    """Columns missing or of another type; the first gate, before any rows are read."""
+    have = dict(df.dtypes)
+    return [f"{c}: expected {t}, found {have.get(c, 'nothing')}" for c, t in expected.items() if have.get(c) != t]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import date_key
 from ..operators import derived
 from ..operators.dedup import latest_event
+from ..schemas import MART_CODEC
 from ..session import configure
 from .events import EventLake
 from .tables import read_table
@@ -87,7 +88,63 @@ def _dated_key(day: str) -> Column:
     return F.unix_date(day).cast("long") * 100_000_000_000_000 + F.col("ProductKey") * 100 + F.col("WarehouseKey")
 
 
-class StarTables:
+class Star:
+    """What the plans need of a star schema, over ``table`` alone."""
+
+    spark: SparkSession
+
+    def table(self, name: str, *columns: str) -> DataFrame:
+        raise NotImplementedError
+
+    def cogs(self, *keys: str) -> DataFrame:
+        """Cost of goods sold by any of ProductKey, WarehouseKey, CategoryName."""
+        return self.table("FactSales", *keys, "CostOfGoodsSold").groupBy(*keys).agg(F.sum("CostOfGoodsSold").alias("total_cogs"))
+
+    def order_days(self) -> Column:
+        """Calendar days between the first and the last order, as a scalar subquery."""
+        d = F.col("OrderDate")
+        return self.table("FactSales", "OrderDate").agg(F.datediff(F.max(d), F.min(d)) + 1).scalar()
+
+    def last_order_day(self) -> Column:
+        return self.table("FactSales", "OrderDate").agg(F.max("OrderDate")).scalar()
+
+    def last_event_day(self) -> Column:
+        return self.table("FactInventorySnapshot", "SnapshotDate").agg(F.max("SnapshotDate")).scalar()
+
+    def movements(self) -> DataFrame:
+        """Inventory movements with ``day``, ``quantity_change`` and ``event_type``."""
+        m = self.table("FactInventoryMovement", "MovementDate", "ProductKey", "OriginWarehouseKey", "MovementType", "MovementQuantity")
+        return m.select(
+            F.col("MovementDate").alias("day"), "ProductKey", F.col("OriginWarehouseKey").alias("WarehouseKey"),
+            F.col("MovementQuantity").alias("quantity_change"), F.col("MovementType").alias("event_type"),
+        )
+
+    def open_inbound(self) -> DataFrame:
+        """Units and spend on purchase-order lines still under way."""
+        po = self.table(
+            "FactPurchaseOrder", "ProductKey", "ReceivingWarehouseKey", "POStatus", "OrderedQuantity", "ExtendedPOAmount"
+        )
+        return (
+            po.where("POStatus = 'Open In-Transit'")
+            .groupBy("ProductKey", F.col("ReceivingWarehouseKey").alias("WarehouseKey"))
+            .agg(F.sum("OrderedQuantity").alias("InTransitInboundQuantity"), F.sum("ExtendedPOAmount").alias("OpenPOAmount"))
+        )
+
+
+# Date column each stored fact is partitioned by (by month), and its clustering columns.
+STORED_FACTS = {
+    "FactSales": ("OrderDate", ["ProductKey", "WarehouseKey"]),
+    "FactPurchaseOrder": ("POCreationDate", ["SupplierKey", "ProductKey"]),
+    "FactCustomerReturns": ("ReturnDate", ["ProductKey"]),
+    "FactDemandForecast": ("TargetMonth", ["ProductKey", "WarehouseKey"]),
+    "FactInventoryMovement": ("MovementDate", ["ProductKey", "OriginWarehouseKey"]),
+    "FactInventorySnapshot": ("SnapshotDate", ["ProductKey", "WarehouseKey"]),
+    "FactStockout": ("StartDate", ["ProductKey", "WarehouseKey"]),
+    "FactSupplierMonthlyPerformance": ("YearMonthDate", ["SupplierKey"]),
+}
+
+
+class StarTables(Star):
     """Star tables stored as Parquet, one directory per table name."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -95,10 +152,42 @@ class StarTables:
 
     def table(self, name: str, *columns: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.path}/{name}")
-        return df.select(*columns) if columns else df
-
-
-class DerivedStar:
+        if name in STORED_FACTS:
+            df = df.drop(MONTH)
+        if not columns:
+            return df
+        # A product attribute asked of a fact comes from the product dimension.
+        lookup = [c for c in columns if c not in df.columns]
+        if lookup:
+            own = [c for c in columns if c not in lookup]
+            keyed = df.select(*dict.fromkeys([*own, "ProductKey"]))
+            df = keyed.join(self.table("DimProduct", "ProductKey", *lookup), "ProductKey", "left")
+        return df.select(*columns)
+
+
+MONTH = "_month"
+
+
+def materialize(star: Star, path: str, tables: list[str]) -> StarTables:
+    """Store star tables once so that queries read them instead of deriving them.
+
+    Facts are partitioned by month and sorted by their clustering columns inside
+    each file, which gives partition pruning by date and row-group skipping by
+    key. The rebalance splits heavy months and merges light ones.
+    """
+    for name in tables:
+        df = star.table(name)
+        if name in STORED_FACTS:
+            day, cluster = STORED_FACTS[name]
+            df = df.withColumn(MONTH, F.date_format(day, "yyyy-MM")).hint("rebalance", MONTH)
+            writer = df.sortWithinPartitions(MONTH, *cluster).write.partitionBy(MONTH)
+        else:
+            writer = df.write
+        writer.mode("overwrite").options(**MART_CODEC).parquet(f"{path}/{name}")
+    return StarTables(star.spark, path)
+
+
+class DerivedStar(Star):
     """Star tables expressed over region, nation, customer, supplier, part,
     orders, lineitem and events."""
 
@@ -480,17 +569,6 @@ class DerivedStar:
             )
         return df
 
-    def open_inbound(self) -> DataFrame:
-        """Units and spend on purchase-order lines still under way."""
-        po = self.table(
-            "FactPurchaseOrder", "ProductKey", "ReceivingWarehouseKey", "POStatus", "OrderedQuantity", "ExtendedPOAmount"
-        )
-        return (
-            po.where("POStatus = 'Open In-Transit'")
-            .groupBy("ProductKey", F.col("ReceivingWarehouseKey").alias("WarehouseKey"))
-            .agg(F.sum("OrderedQuantity").alias("InTransitInboundQuantity"), F.sum("ExtendedPOAmount").alias("OpenPOAmount"))
-        )
-
     def _fact_stockout(self, want) -> DataFrame:
         everything = not want
         snap = self.table("FactInventorySnapshot", "SnapshotDate", "ProductKey", "WarehouseKey", "AvailableQuantity")
