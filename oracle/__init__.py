@@ -6,7 +6,7 @@ import importlib
 
 from .base import compose
 
-MODULES = ["events", "storage", "joins", "derived", "quality", "measures", "planning", "streams"]
+MODULES = ["events", "storage", "joins", "derived", "quality", "measures", "planning", "streams", "semantic"]
 
 
 def statements() -> dict[str, str]:

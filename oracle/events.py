@@ -27,6 +27,8 @@ SQL = {
     "landing_audit": "SELECT 'lineitem.parquet' AS _source_file_name, 'batch-1' AS _batch_id, count(*) AS rows, count(*) AS stamped_rows FROM lineitem",
     "source_fallback": sales_mart("""(SELECT event_id, product_id, revenue, units_sold, make_timestamp(floor("timestamp")::BIGINT * 1000000) AS "timestamp"
         FROM parsed_sales QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY floor("timestamp") DESC NULLS LAST, product_id DESC NULLS LAST) = 1)"""),
+    "source_fallback_inventory": inventory_mart("""(SELECT event_id, product_id, warehouse_id, quantity_change, event_type, make_timestamp(floor("timestamp")::BIGINT * 1000000) AS "timestamp"
+        FROM parsed_inv QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY floor("timestamp") DESC NULLS LAST, product_id DESC NULLS LAST) = 1)"""),
     "dedup_latest_event": "SELECT * FROM dedup_sales",
     "dedup_latest_natural_key": """SELECT * FROM silver_sales
         QUALIFY row_number() OVER (PARTITION BY customer_id, product_id ORDER BY ingested_at DESC, "timestamp" DESC, event_id DESC) = 1""",

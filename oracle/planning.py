@@ -50,6 +50,18 @@ SQL = {
     "whatif_valuation_proxy": f"""WITH v AS (SELECT {div('sum(v)', 'count(*)')} AS av FROM (SELECT SnapshotDate, sum(InventoryValuation) AS v FROM snapshot GROUP BY 1)),
         u AS (SELECT {div('(SELECT av FROM v)', div('(SELECT sum(ShippedQuantity) FROM fact_sales)', '(SELECT days FROM sales_days)'))} AS unit_value)
         SELECT ScenarioCode, ss_units, unit_value, floor(ss_units::DOUBLE * unit_value + 0.5::DOUBLE)::BIGINT AS ss_value_proxy FROM sims CROSS JOIN u""",
+    "whatif_sliders": f"""WITH c AS ({king("(SELECT r.*, s.*, UnitStandardCost FROM repl r LEFT JOIN dim_product USING (ProductKey) CROSS JOIN scenarios s)", Z.format("level"), "1.1::DOUBLE", "shock::DOUBLE")})
+        SELECT ScenarioCode, sum(ss)::BIGINT AS ss_units, sum(rop)::BIGINT AS rop_units, sum(ss * UnitStandardCost)::DOUBLE AS ss_value,
+            sum(ss * UnitStandardCost)::DOUBLE * (24.0::DOUBLE / 100.0::DOUBLE) AS carrying_cost FROM c GROUP BY 1""",
+    "stockout_top_skus": """WITH t AS (SELECT ProductKey, sum(NetSalesAmount) AS revenue FROM fact_sales GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100)
+        SELECT ProductKey, revenue::DOUBLE AS revenue, date_trunc('quarter', StartDate)::DATE AS quarter, count(*) AS incidents, sum(StockoutDurationDays)::BIGINT AS days
+        FROM t JOIN stockout USING (ProductKey) GROUP BY 1, 2, 3""",
+    "xyz_share_by_category": f"""SELECT CategoryName, count(*) AS skus, count(*) FILTER (xyz_class = 'Z') AS z_skus, {rnd('avg(cv)', 6)} AS mean_cv,
+        {div("count(*) FILTER (xyz_class = 'Z')", 'count(*)')} AS z_share FROM xyz_labels JOIN dim_product USING (ProductKey) GROUP BY 1""",
+    "override_by_segment": f"""WITH p AS (SELECT ProductKey, count(*) FILTER (PlannerAdjustmentQuantity <> 0) AS o, sum(abs(actual - ForecastedQuantity)) AS e, sum(abs(actual - BaselineStatisticalQuantity)) AS b,
+            sum(actual) AS a FROM aligned GROUP BY 1),
+        g AS (SELECT abc_class || xyz_class AS segment, count(*) AS skus, sum(o)::BIGINT AS overrides, sum(e) AS e, sum(b) AS b, sum(a) AS a FROM p JOIN abc_labels USING (ProductKey) JOIN xyz_labels USING (ProductKey) GROUP BY 1)
+        SELECT segment, skus, overrides, 1.0::DOUBLE - {div('e', 'a')} AS accuracy, {div('b', 'a')} - {div('e', 'a')} AS value_add FROM g""",
     "service_policy_by_abc": f"""WITH l AS (SELECT r.*, abc_class, UnitStandardCost, CASE abc_class WHEN 'A' THEN 99.0::DOUBLE WHEN 'B' THEN 95.0::DOUBLE ELSE 90.0::DOUBLE END AS level FROM repl r JOIN abc_labels USING (ProductKey) LEFT JOIN dim_product USING (ProductKey)),
         k AS ({king('l', Z.format('level'))})
         SELECT abc_class, level AS service_level, count(*) AS positions, sum(k.ss)::BIGINT AS ss_units, sum(k.ss * {COST})::DOUBLE AS investment, sum(p.ss)::BIGINT AS flat_ss_units,

@@ -106,15 +106,23 @@ def landing_audit(star: DerivedStar) -> DataFrame:
     )
 
 
+def _from_bronze(star: DerivedStar, topic: str, mart) -> DataFrame:
+    """Silver is empty here, so the mart is computed from bronze payloads."""
+    silver = star.lake.silver(topic).where("false")
+    name, df = landing.first_usable([("silver", silver), ("bronze", star.lake.bronze(topic))])
+    if name == "bronze":
+        df = parsing.parse_flat(df, topic).withColumn("timestamp", F.from_unixtime(F.col("timestamp").cast("long")).cast("timestamp"))
+    return mart(df)
+
+
 @query
 def source_fallback(star: DerivedStar) -> DataFrame:
-    """Silver is empty here, so the sales mart is computed from bronze payloads."""
-    bronze = star.lake.bronze(SALES)
-    silver = star.lake.silver_sales().where("false")
-    name, df = landing.first_usable([("silver", silver), ("bronze", bronze)])
-    if name == "bronze":
-        df = parsing.parse_flat(df, SALES).withColumn("timestamp", F.from_unixtime(F.col("timestamp").cast("long")).cast("timestamp"))
-    return marts.sales_daily_summary(df)
+    return _from_bronze(star, SALES, marts.sales_daily_summary)
+
+
+@query
+def source_fallback_inventory(star: DerivedStar) -> DataFrame:
+    return _from_bronze(star, INVENTORY, marts.inventory_health_daily)
 
 
 @query

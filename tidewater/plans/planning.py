@@ -92,21 +92,24 @@ def capital_exposure(star: DerivedStar) -> DataFrame:
 # -- what-if ----------------------------------------------------------------
 
 
-def scenario_case(shift: Column | None = None) -> dict[str, Column]:
-    """King columns under the exploded preset ``s``; a parameter given beside the
-    preset wins over it, and the preset over the neutral value."""
-    level = F.col("s.ServiceLevelTargetPct")
-    demand = F.coalesce(*( [shift] if shift is not None else []), F.col("s.DemandMultiplier").cast("double"), F.lit(1.0))
-    return king(z_score(level), demand, F.coalesce(F.col("s.LeadTimeShockDays"), F.lit(0)))
+def resolve(parameter: float | None, preset: str, default: float) -> Column:
+    """Value in force: a parameter set by hand, else the preset's, else the default."""
+    by_hand = F.lit(None if parameter is None else float(parameter)).cast("double")
+    return F.coalesce(by_hand, F.col(preset).cast("double"), F.lit(float(default)))
 
 
-def _simulated(star: DerivedStar, keep: list[str]) -> DataFrame:
+def _simulated(
+    star: DerivedStar, keep: list[str], demand_shift_pct: float | None = None, shock_days: float | None = None, rate_pct: float | None = None
+) -> DataFrame:
     """Every SKU and warehouse under every preset, summed to ``keep`` and preset."""
     rows = replenishment_inputs(star).join(product_cost(star), "ProductKey", "left")
-    cases = rows.select("*", F.explode(scenario_structs()).alias("s"))
-    cases = cases.withColumns({n: c for n, c in scenario_case().items() if n in ("safety_stock", "reorder_point")})
+    multiplier = None if demand_shift_pct is None else 1.0 + demand_shift_pct / 100.0
+    case = king(
+        z_score("s.ServiceLevelTargetPct"), resolve(multiplier, "s.DemandMultiplier", 1.0), resolve(shock_days, "s.LeadTimeShockDays", 0.0)
+    )
+    cases = rows.select("*", F.explode(scenario_structs()).alias("s")).withColumns({n: case[n] for n in ("safety_stock", "reorder_point")})
     preset = [F.col("s.ScenarioKey").alias("ScenarioKey"), F.col("s.ScenarioCode").alias("ScenarioCode"),
-              F.col("s.AnnualCarryingCostRatePct").alias("rate_pct")]
+              resolve(rate_pct, "s.AnnualCarryingCostRatePct", 22.0).alias("rate_pct")]
     return cases.groupBy(*keep, *preset).agg(
         F.sum("safety_stock").alias("ss_units"), F.sum("reorder_point").alias("rop_units"), F.sum(amount("safety_stock")).alias("ss_value")
     )
@@ -140,6 +143,15 @@ def whatif_category_sensitivity(star: DerivedStar) -> DataFrame:
     )
 
 
+@query
+def whatif_sliders(star: DerivedStar) -> DataFrame:
+    """Demand +10 % and a 24 % rate set by hand; lead time and service level stay with the preset."""
+    rows = _simulated(star, [], demand_shift_pct=10, rate_pct=24)
+    return rows.select(
+        "ScenarioCode", "ss_units", "rop_units", "ss_value", (F.col("ss_value").cast("double") * (F.col("rate_pct") / 100.0)).alias("carrying_cost")
+    )
+
+
 # Fixed values of the decomposition: demand variation, lead-time deviation, fallback lead time.
 MODEL_CV, MODEL_LT_STD, MODEL_LT = 0.45, 2.5, 25.8
 
@@ -193,6 +205,48 @@ def service_policy_by_abc(star: DerivedStar) -> DataFrame:
     )
 
 
+@query
+def stockout_top_skus(star: DerivedStar) -> DataFrame:
+    """Outages per quarter of the hundred SKUs with the highest revenue."""
+    top = star.table("FactSales", "ProductKey", "NetSalesAmount").groupBy("ProductKey").agg(F.sum("NetSalesAmount").alias("revenue")).orderBy(
+        F.desc("revenue"), "ProductKey"
+    ).limit(100)
+    events = star.table("FactStockout", "ProductKey", "StartDate", "StockoutDurationDays").groupBy(
+        "ProductKey", F.trunc("StartDate", "quarter").alias("quarter")
+    ).agg(F.count("*").alias("incidents"), F.sum("StockoutDurationDays").alias("days"))
+    return top.join(events, "ProductKey")
+
+
+@query
+def xyz_share_by_category(star: DerivedStar) -> DataFrame:
+    """Share of erratic SKUs and mean variation per category."""
+    sales = star.table("FactSales", "ProductKey", "OrderDate", "OrderedQuantity")
+    xyz = segments.xyz_class(sales, ["ProductKey"], star.order_days())
+    return xyz.join(product_cost(star), "ProductKey").groupBy("CategoryName").agg(
+        F.count("*").alias("skus"), F.count_if(F.col("xyz_class") == "Z").alias("z_skus"), stable_round(F.avg("cv"), 6).alias("mean_cv"),
+    ).withColumn("z_share", safe_divide("z_skus", "skus"))
+
+
+@query
+def override_by_segment(star: DerivedStar) -> DataFrame:
+    """Planner overrides and what they add, by ABC-XYZ segment."""
+    revenue = segments.revenue_by(star.table("FactSales", "ProductKey", "NetSalesAmount"), ["ProductKey"])
+    abc = segments.abc_class(revenue, []).select("ProductKey", "abc_class")
+    xyz = segments.xyz_class(star.table("FactSales", "ProductKey", "OrderDate", "OrderedQuantity"), ["ProductKey"], star.order_days())
+    a = F.col("actual")
+    per = aligned_forecast(star).groupBy("ProductKey").agg(
+        F.count_if(F.col("adjustment") != 0).alias("overrides"), F.sum(F.abs(a - F.col("forecast"))).alias("e"),
+        F.sum(F.abs(a - F.col("baseline"))).alias("b"), F.sum("actual").alias("a"),
+    )
+    g = per.join(abc, "ProductKey").join(xyz.select("ProductKey", "xyz_class"), "ProductKey").groupBy(
+        F.concat("abc_class", "xyz_class").alias("segment")
+    ).agg(F.count("*").alias("skus"), *[F.sum(c).alias(c) for c in ("overrides", "e", "b", "a")])
+    consensus, base = safe_divide("e", "a"), safe_divide("b", "a")
+    return g.select(
+        "segment", "skus", "overrides", (F.lit(1.0) - consensus).alias("accuracy"), (base - consensus).alias("value_add")
+    )
+
+
 @query
 def lt_variance_cut(star: DerivedStar) -> DataFrame:
     """What halving the lead-time deviation would release, by category."""

@@ -25,6 +25,6 @@ def query(plan: Callable[[DerivedStar], DataFrame]) -> Callable[[DerivedStar], D
 
 
 def all_queries() -> dict[str, Query]:
-    from . import derived, events, joins, measures, planning, quality, storage, streams  # noqa: F401
+    from . import derived, events, joins, measures, planning, quality, semantic, storage, streams  # noqa: F401
 
     return dict(REGISTRY)
