@@ -4,7 +4,7 @@ import pytest
 from compare import canonical
 from pyspark.sql import functions as F
 
-from tidewater.operators import quality
+from tidewater.operators import quality, storage
 from tidewater.plans import measures, pipeline, planning
 from tidewater.schemas import INVENTORY, SALES
 from tidewater.session import finish, scratch_path
@@ -13,15 +13,32 @@ from tidewater.sources.star import DerivedStar, materialize
 from tidewater.streaming import jobs
 
 
+COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
+
+
 @pytest.fixture(scope="module")
 def lake(spark, small):
     root = scratch_path(spark, "lake")
     source = EventLake(spark, small)
     for topic in (SALES, INVENTORY):
-        source.bronze(topic).repartition(6).write.parquet(f"{root}/{topic}/raw_events")
+        source.messages(topic).select(*COLUMNS).repartition(6).write.parquet(f"{root}/in/{topic}")
+        ingest(spark, root, topic)
     return root, source
 
 
+def ingest(spark, root, topic):
+    messages = jobs.file_source(spark, f"{root}/in/{topic}", max_files=2)
+    jobs.bronze_ingest(messages, f"{root}/{topic}/raw_events", f"{root}/chk/in_{topic}", f"in_{topic}", once=True).awaitTermination()
+
+
+def validate(spark, root, topic):
+    q = jobs.silver_validate(
+        jobs.bronze_source(spark, f"{root}/{topic}/raw_events", max_files=4), topic, f"{root}/{topic}/structured_events",
+        f"{root}/{topic}/dlq_events", f"{root}/chk/{topic}", f"silver_{topic}", once=True,
+    )
+    q.awaitTermination()
+
+
 def same(a, b):
     assert sorted(a.columns) == sorted(b.columns)
     assert canonical([tuple(r) for r in a.collect()], a.columns) == canonical([tuple(r) for r in b.collect()], b.columns)
@@ -34,11 +51,7 @@ def test_marts_from_bronze_then_silver_then_lookback(spark, lake):
     assert all(r.total_rows > 0 for r in first)
 
     for topic in (SALES, INVENTORY):
-        q = jobs.silver_validate(
-            jobs.bronze_source(spark, f"{root}/{topic}/raw_events"), topic, f"{root}/{topic}/structured_events",
-            f"{root}/{topic}/dlq_events", f"{root}/chk/{topic}", f"silver_{topic}", once=True,
-        )
-        q.awaitTermination()
+        validate(spark, root, topic)
     pipeline.refresh_marts(spark, root)
     from tidewater.operators import marts
 
@@ -52,8 +65,27 @@ def test_marts_from_bronze_then_silver_then_lookback(spark, lake):
     assert spark.read.parquet(f"{root}/{pipeline.SALES_MART}").count() == before
     same(spark.read.parquet(f"{root}/{pipeline.SALES_MART}").join(want.select("event_date", "product_id"), ["event_date", "product_id"], "left_semi").select(*want.columns), want)
 
+    tables = [f"{root}/{t}/{n}" for t in (SALES, INVENTORY) for n in ("raw_events", "structured_events", "dlq_events")]
+    rows = [storage.read_fed(spark, t).count() for t in tables]
     report = pipeline.maintain_lake(spark, root)
     assert len(report) == 8 and all(v.startswith("ok") for v in report.values()), report
+    assert [storage.read_fed(spark, t).count() for t in tables] == rows
+    assert spark.read.parquet(tables[0]).select("batch_id").distinct().count() == 1
+    # The streams go on after packing and see nothing twice.
+    for topic in (SALES, INVENTORY):
+        ingest(spark, root, topic)
+        validate(spark, root, topic)
+    assert [storage.read_fed(spark, t).count() for t in tables] == rows
+
+
+def test_packing_finishes_after_a_crash(spark):
+    path = scratch_path(spark, "fed")
+    for i in range(4):
+        storage.write_batch(spark.range(i * 10, i * 10 + 10), path, i)
+    storage.pack_batches(spark, path)
+    storage.write_batch(spark.range(10), path, 0)  # as if the removal had stopped half way
+    storage.pack_batches(spark, path)
+    assert sorted(r.id for r in storage.read_fed(spark, path).collect()) == list(range(40))
 
 
 def test_no_source_is_skipped(spark):

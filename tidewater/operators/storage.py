@@ -26,12 +26,21 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     _writer(df.hint("rebalance", *keys), "append", keys).parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition: str) -> None:
     """Insert or replace rows by key; only partitions the source touches are rewritten.
 
@@ -42,16 +51,28 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     staged = scratch_path(spark, "upsert")
     _writer(source, "overwrite", []).parquet(staged)
     source = spark.read.parquet(staged)
-    if not exists(spark, path):
+    if exists(spark, path):
+        touched = source.select(partition).distinct()
+        target = spark.read.schema(source.schema).parquet(path)
+        kept = target.join(touched, partition, "left_semi").join(source.select(*keys), keys, "left_anti")
+        merged = kept.select(*source.columns).unionByName(source)
+        _writer(merged.hint("rebalance", partition), "overwrite", [partition]).option(
+            "partitionOverwriteMode", "dynamic"
+        ).parquet(path)
+    else:
         create_mart(source, path, [partition])
-        return
-    touched = source.select(partition).distinct()
-    target = spark.read.schema(source.schema).parquet(path)
-    kept = target.join(touched, partition, "left_semi").join(source.select(*keys), keys, "left_anti")
-    merged = kept.select(*source.columns).unionByName(source)
-    _writer(merged.hint("rebalance", partition), "overwrite", [partition]).option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+    _drop(spark, staged)
+
+
+def _rewrite(df: DataFrame, path: str, partition_by: list[str], target_bytes: int) -> None:
+    """Write files of about ``target_bytes``: AQE merges and splits to that size."""
+    spark, key = df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(target_bytes))
+    try:
+        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).parquet(path)
+    finally:
+        spark.conf.set(key, saved)
 
 
 def compact(spark: SparkSession, path: str, partition_by: list[str], target_bytes: int = 256 << 20) -> dict[str, int]:
@@ -63,13 +84,7 @@ def compact(spark: SparkSession, path: str, partition_by: list[str], target_byte
     staged = f"{path.rstrip('/')}_compacting"
     before = spark.read.parquet(path)
     old_files = before.select(F.col("_metadata.file_path")).distinct().count()
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    saved = spark.conf.get(key)
-    spark.conf.set(key, str(target_bytes))
-    try:
-        _writer(before.hint("rebalance", *partition_by), "overwrite", partition_by).parquet(staged)
-    finally:
-        spark.conf.set(key, saved)
+    _rewrite(before, staged, partition_by, target_bytes)
     after = spark.read.parquet(staged)
     rows, copied = before.count(), after.count()
     if rows != copied:
@@ -80,22 +95,76 @@ def compact(spark: SparkSession, path: str, partition_by: list[str], target_byte
 
 
 def _swap(spark: SparkSession, path: str, staged: str) -> None:
-    jvm = spark._jvm
-    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged))
-    backup = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_before")
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, old = _fs(spark, path)
+    new, backup = _fs(spark, staged)[1], _fs(spark, f"{path.rstrip('/')}_before")[1]
     if not (fs.rename(old, backup) and fs.rename(new, old)):
         raise OSError(f"could not swap {staged} into {path}; the old table is at {backup}")
     fs.delete(backup, True)
 
 
-def maintain(spark: SparkSession, tables: dict[str, list[str]], target_bytes: int = 256 << 20) -> dict[str, str]:
-    """Compact several tables (path -> partition columns); one failure does not stop the rest."""
+# -- tables fed by a stream: one directory per micro-batch --------------------
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """A micro-batch owns its directory, so running it again replaces it."""
+    _writer(rows, "overwrite", []).parquet(f"{path}/batch_id={batch_id}")
+
+
+def packed_path(path: str) -> str:
+    return f"{path.rstrip('/')}_packed"
+
+
+def read_fed(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """All rows of a stream-fed table, packed and recent; None if it does not exist."""
+    parts = []
+    for p, technical in ((path, "batch_id"), (packed_path(path), "pack")):
+        if exists(spark, p):
+            reader = spark.read.schema(schema) if schema else spark.read
+            parts.append(reader.parquet(p).drop(technical))
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def pack_batches(spark: SparkSession, path: str, keep_last: int = 1, target_bytes: int = 256 << 20) -> dict[str, int]:
+    """Move finished micro-batches into large files beside the live directory.
+
+    The stream that tails the live directory never sees the packed files, so
+    nothing is read twice. The newest batches stay, as a restart may write them
+    again. A pack is complete once its success marker exists; after a crash a
+    second run only removes what is already packed.
+    """
+    live = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    newest = live.agg(F.max("batch_id")).first()[0]
+    before = int(newest) - keep_last + 1
+    pack = f"{packed_path(path)}/pack={before}"
+    old = live.where(F.col("batch_id") < before).drop("batch_id")
+    if not exists(spark, f"{pack}/_SUCCESS"):
+        if old.isEmpty():
+            return {"rows": 0, "batches": 0}
+        _rewrite(old, pack, [], target_bytes)
+    rows = spark.read.parquet(pack).count()
+    fs, root = _fs(spark, path)
+    done = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+    done = [p for p in done if int(p.getName().split("=")[1]) < before]
+    for p in done:
+        fs.delete(p, True)
+    return {"rows": rows, "batches": len(done)}
+
+
+def maintain(
+    spark: SparkSession, tables: dict[str, list[str] | None], target_bytes: int = 256 << 20
+) -> dict[str, str]:
+    """Maintain several tables: path -> partition columns, None for a stream-fed
+    table. One failure does not stop the rest."""
     report = {}
     for path, partition_by in tables.items():
         try:
-            done = compact(spark, path, partition_by, target_bytes)
-            report[path] = f"ok: {done['files_before']} -> {done['files_after']} files, {done['rows']} rows"
+            if partition_by is None:
+                done = pack_batches(spark, path, target_bytes=target_bytes)
+            else:
+                done = compact(spark, path, partition_by, target_bytes)
+            report[path] = "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
         except Exception as e:
             report[path] = f"failed: {e}"
     return report

@@ -21,26 +21,19 @@ MARTS = {
 }
 
 
-def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    if not storage.exists(spark, path):
-        return None
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
-
-
 def choose_source(spark: SparkSession, root: str, topic: str) -> DataFrame | None:
     """Silver if it has rows, else bronze payloads parsed on the fly, else None."""
     found = landing.first_usable(
         [
-            ("silver", _read(spark, f"{root}/{topic}/structured_events")),
-            ("bronze", _read(spark, f"{root}/{topic}/raw_events", BRONZE)),
+            ("silver", storage.read_fed(spark, f"{root}/{topic}/structured_events")),
+            ("bronze", storage.read_fed(spark, f"{root}/{topic}/raw_events", BRONZE)),
         ]
     )
     if found is None:
         return None
     name, df = found
     if name == "silver":
-        return df.drop("transformed_at", "batch_id")
+        return df.drop("transformed_at")
     parsed = parsing.parse_flat(df, topic)
     return parsed.withColumn("timestamp", F.from_unixtime(F.col("timestamp").cast("long")).cast("timestamp"))
 
@@ -58,9 +51,8 @@ def refresh_marts(spark: SparkSession, root: str, lookback_days: int | None = No
         if source is None:
             report[topic] = "skipped: no source table"
             continue
-        target = _read(spark, f"{root}/{path}")
-        if lookback_days is not None and target is not None:
-            newest = target.agg(F.max(day)).scalar()
+        if lookback_days is not None and storage.exists(spark, f"{root}/{path}"):
+            newest = spark.read.parquet(f"{root}/{path}").agg(F.max(day)).scalar()
             source = landing.since_lookback(source, F.to_date("timestamp"), newest, lookback_days)
         storage.upsert(spark, f"{root}/{path}", build(source), keys, day)
         report[topic] = "ok"
@@ -68,11 +60,9 @@ def refresh_marts(spark: SparkSession, root: str, lookback_days: int | None = No
 
 
 def maintain_lake(spark: SparkSession, root: str, target_bytes: int = 256 << 20) -> dict[str, str]:
-    """Compact every table of the lake; a missing or failing table does not stop the rest."""
-    tables: dict[str, list[str]] = {}
-    for topic in (SALES, INVENTORY):
-        tables |= {f"{root}/{topic}/{t}": [] for t in ("raw_events",)}
-        tables |= {f"{root}/{topic}/{t}": ["batch_id"] for t in ("structured_events", "dlq_events")}
+    """Compact the eight tables of the lake; a missing or failing one does not stop the rest."""
+    fed = ("raw_events", "structured_events", "dlq_events")
+    tables: dict[str, list[str] | None] = {f"{root}/{topic}/{t}": None for topic in (SALES, INVENTORY) for t in fed}
     tables |= {f"{root}/{path}": [day] for path, _, _, day in MARTS.values()}
     return storage.maintain(spark, tables, target_bytes)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import storage
 from ..schemas import INVENTORY, SALES
 from ..session import scratch_path
 from ..sources.star import DerivedStar
@@ -51,14 +52,14 @@ def _flow(star: DerivedStar, topics, silver: bool) -> str:
 @query
 def stream_bronze(star: DerivedStar) -> DataFrame:
     base = _flow(star, TOPICS, silver=False)
-    bronze = [star.spark.read.parquet(f"{base}/bronze_{t}") for t in TOPICS]
+    bronze = [storage.read_fed(star.spark, f"{base}/bronze_{t}") for t in TOPICS]
     return bronze[0].unionByName(bronze[1]).drop("ingested_at")
 
 
 @query
 def stream_silver(star: DerivedStar) -> DataFrame:
     base = _flow(star, [SALES], silver=True)
-    return star.spark.read.parquet(f"{base}/silver_{SALES}").drop("ingested_at", "transformed_at", "batch_id")
+    return storage.read_fed(star.spark, f"{base}/silver_{SALES}").drop("ingested_at", "transformed_at")
 
 
 @query

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from ..operators import parsing
-from ..schemas import BRONZE, MART_CODEC, MESSAGE
+from ..operators import parsing, storage
+from ..schemas import BRONZE, MESSAGE
 
 # Rows per micro-batch and trigger intervals.
 MAX_ROWS_PER_BATCH = 50_000
@@ -53,15 +53,11 @@ def _start(writer: DataStreamWriter, interval: str, once: bool) -> StreamingQuer
 
 def bronze_ingest(messages: DataFrame, path: str, checkpoint: str, name: str, once: bool = False) -> StreamingQuery:
     """Append every message with its coordinates and the ingest time."""
-    writer = (
-        parsing.bronze_envelope(messages)
-        .writeStream.queryName(name)
-        .format("parquet")
-        .outputMode("append")
-        .options(**MART_CODEC)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        storage.write_batch(parsing.bronze_envelope(batch), path, batch_id)
+
+    writer = messages.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(append)
     return _start(writer, BRONZE_TRIGGER, once)
 
 
@@ -78,7 +74,7 @@ def route_batch(batch: DataFrame, batch_id: int, topic: str, silver_path: str, d
         ]
         for rows, path in sides:
             if not rows.isEmpty():
-                rows.hint("rebalance").write.mode("overwrite").options(**MART_CODEC).parquet(f"{path}/batch_id={batch_id}")
+                storage.write_batch(rows.hint("rebalance"), path, batch_id)
     finally:
         classified.unpersist()
 
