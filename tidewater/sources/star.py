@@ -194,6 +194,7 @@ class DerivedStar(Star):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
         self.lake = EventLake(spark, sf_dir)
+        self._plans: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[..., DataFrame]] = {
             "DimDate": self._dim_date,
             "DimProduct": self._dim_product,
@@ -217,7 +218,13 @@ class DerivedStar(Star):
         }
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        return self._shared(name, lambda: read_table(self.spark, self.sf_dir, name))
+
+    def _shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Plans several tables start from are built once per instance."""
+        if name not in self._plans:
+            self._plans[name] = build()
+        return self._plans[name]
 
     def table(self, name: str, *columns: str) -> DataFrame:
         df = self._builders[name](set(columns))
@@ -232,6 +239,9 @@ class DerivedStar(Star):
         return derived.calendar(days)
 
     def _dim_product(self, want) -> DataFrame:
+        return self._shared("products", self._products)
+
+    def _products(self) -> DataFrame:
         supplier_count = self.raw("supplier").agg(F.count("*")).scalar()
         price = _money(F.col("p_retailprice"), 10)
         return self.raw("part").select(
@@ -511,6 +521,9 @@ class DerivedStar(Star):
 
     def movements(self) -> DataFrame:
         """Deduplicated inventory events with integer keys."""
+        return self._shared("movements", self._movements)
+
+    def _movements(self) -> DataFrame:
         e = latest_event(self.lake.silver_inventory().drop("ingested_at"))
         return e.select(
             "event_id",
@@ -543,18 +556,8 @@ class DerivedStar(Star):
 
     def _fact_snapshot(self, want) -> DataFrame:
         everything = not want
-        df = derived.daily_snapshot(self.movements(), ["ProductKey", "WarehouseKey"], self.last_event_day())
         on_hand = F.col("OnHandQuantity")
-        reserved = F.least(on_hand, (F.col("ProductKey") + F.col("WarehouseKey")) % 5)
-        df = df.select(
-            "*",
-            _dated_key("SnapshotDate").alias("SnapshotKey"),
-            date_key("SnapshotDate").alias("SnapshotDateKey"),
-            reserved.alias("ReservedQuantity"),
-            (on_hand - reserved).alias("AvailableQuantity"),
-            F.when(on_hand - reserved <= 0, 1).otherwise(0).alias("IsStockoutFlag"),
-            F.when(F.col("DaysSinceLastMovement") >= 180, 1).otherwise(0).alias("IsDeadStockFlag"),
-        )
+        df = self._shared("snapshot", self._daily_stock)
         if everything or want & {"UnitLandedCost", "InventoryValuation", "CategoryName"}:
             product = self._dim_product(want).select(
                 "ProductKey", F.col("UnitStandardCost").alias("UnitLandedCost"), "CategoryName"
@@ -569,6 +572,20 @@ class DerivedStar(Star):
             )
         return df
 
+    def _daily_stock(self) -> DataFrame:
+        df = derived.daily_snapshot(self.movements(), ["ProductKey", "WarehouseKey"], self.last_event_day())
+        on_hand = F.col("OnHandQuantity")
+        reserved = F.least(on_hand, (F.col("ProductKey") + F.col("WarehouseKey")) % 5)
+        return df.select(
+            "*",
+            _dated_key("SnapshotDate").alias("SnapshotKey"),
+            date_key("SnapshotDate").alias("SnapshotDateKey"),
+            reserved.alias("ReservedQuantity"),
+            (on_hand - reserved).alias("AvailableQuantity"),
+            F.when(on_hand - reserved <= 0, 1).otherwise(0).alias("IsStockoutFlag"),
+            F.when(F.col("DaysSinceLastMovement") >= 180, 1).otherwise(0).alias("IsDeadStockFlag"),
+        )
+
     def _fact_stockout(self, want) -> DataFrame:
         everything = not want
         snap = self.table("FactInventorySnapshot", "SnapshotDate", "ProductKey", "WarehouseKey", "AvailableQuantity")
