@@ -20,7 +20,7 @@ from ..operators.dedup import latest_event
 from ..schemas import MART_CODEC
 from ..session import configure
 from .events import EventLake
-from .tables import read_table
+from .tables import read_table, spread_small
 
 FAR_FUTURE = "9999-12-31"
 
@@ -360,7 +360,7 @@ class DerivedStar(Star):
     # -- facts from order lines ---------------------------------------------
 
     def _lines(self, want: set[str], order_columns: set[str], fact_needs_all: bool) -> DataFrame:
-        li = self.raw("lineitem")
+        li = spread_small(self.raw("lineitem"))
         if fact_needs_all or want & order_columns:
             o = self.raw("orders").select(
                 F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("o_date")
