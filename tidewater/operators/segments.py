@@ -37,7 +37,8 @@ def revenue_by(sales: DataFrame, keys: list[str]) -> DataFrame:
 def daily_moments(sales: DataFrame, keys: list[str], quantity: str) -> DataFrame:
     """Sum and sum of squares of daily demand; days without demand add nothing."""
     daily = sales.groupBy(*keys, "OrderDate").agg(F.sum(quantity).alias("q"))
-    return daily.groupBy(*keys).agg(F.sum("q").alias("demand"), F.sum(F.col("q") * F.col("q")).alias("demand_sq"))
+    q = F.col("q").cast("double")  # squares of a very hot key leave the range of a long
+    return daily.groupBy(*keys).agg(F.sum("q").alias("demand"), F.sum(q * q).alias("demand_sq"))
 
 
 def xyz_class(sales: DataFrame, keys: list[str], days: Column) -> DataFrame:

@@ -250,7 +250,7 @@ def rank_in_warehouse(star: DerivedStar) -> DataFrame:
     )
     cost = star.table("DimProduct", "ProductSKU", "UnitStandardCost")
     valued = stock.join(cost, stock["product_id"] == cost["ProductSKU"], "left").select(
-        "warehouse_id", "product_id", "quantity", (F.col("quantity").cast("decimal(12,0)") * F.col("UnitStandardCost")).alias("stock_value")
+        "warehouse_id", "product_id", "quantity", (F.col("quantity").cast("decimal(18,0)") * F.col("UnitStandardCost")).alias("stock_value")
     )
     return ranked(valued, ["warehouse_id"], "quantity", "rank_in_warehouse")
 

@@ -54,7 +54,7 @@ def scd2_range_join(star: DerivedStar) -> DataFrame:
     )
     return daily.join(versions, valid).groupBy("CategoryName", "IsCurrent").agg(
         F.sum("units").alias("units"),
-        F.sum(F.col("units").cast("decimal(14,0)") * F.col("UnitStandardCost")).alias("cost_at_order_date"),
+        F.sum(F.col("units").cast("decimal(18,0)") * F.col("UnitStandardCost")).alias("cost_at_order_date"),
     )
 
 

@@ -509,7 +509,7 @@ class DerivedStar(Star):
         if not want or "ForecastValue" in want:
             price = self._dim_product(want).select("ProductKey", "UnitListPrice")
             df = df.join(price, "ProductKey", "left").withColumn(
-                "ForecastValue", _money(F.col("ForecastedQuantity").cast("decimal(14,0)") * F.col("UnitListPrice"), 20)
+                "ForecastValue", _money(F.col("ForecastedQuantity").cast("decimal(18,0)") * F.col("UnitListPrice"), 24)
             ).drop("UnitListPrice")
         return df
 
@@ -563,7 +563,7 @@ class DerivedStar(Star):
                 "ProductKey", F.col("UnitStandardCost").alias("UnitLandedCost"), "CategoryName"
             )
             df = df.join(product, "ProductKey", "left").withColumn(
-                "InventoryValuation", _money(on_hand.cast("decimal(12,0)") * F.col("UnitLandedCost"), 14)
+                "InventoryValuation", _money(on_hand.cast("decimal(18,0)") * F.col("UnitLandedCost"), 24)
             )
         if everything or "InTransitInboundQuantity" in want:
             inbound = self.open_inbound()
@@ -602,7 +602,7 @@ class DerivedStar(Star):
             price = self._dim_product(want).select("ProductKey", "UnitListPrice")
             df = df.join(price, "ProductKey", "left").withColumn(
                 "EstimatedLostRevenueAmount",
-                _money(F.col("EstimatedLostDemandUnits").cast("decimal(12,0)") * F.col("UnitListPrice"), 16),
+                _money(F.col("EstimatedLostDemandUnits").cast("decimal(18,0)") * F.col("UnitListPrice"), 24),
             ).drop("UnitListPrice")
         cause = (F.col("ProductKey") + F.col("WarehouseKey")) % 3
         return df.withColumns(
