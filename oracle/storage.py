@@ -26,6 +26,10 @@ SQL = {
         FROM (SELECT topic, "partition", min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS received,
                      max("offset") - min("offset") + 1 AS expected
               FROM (SELECT topic, "partition", "offset" FROM bronze_sales UNION ALL SELECT topic, "partition", "offset" FROM bronze_inv) GROUP BY 1, 2)""",
+    "offset_rate": """WITH b AS (SELECT topic, "partition", "offset", ingested_at FROM bronze_sales UNION ALL SELECT topic, "partition", "offset", ingested_at FROM bronze_inv),
+        p AS (SELECT topic, "partition", max("offset") FILTER (ingested_at <= TIMESTAMP '2024-01-15 12:00:00') + 1 AS a, max("offset") + 1 AS z FROM b
+              WHERE ingested_at <= TIMESTAMP '2024-01-15 13:00:00' GROUP BY 1, 2)
+        SELECT topic, count(*) AS partitions, sum(z)::BIGINT AS total_offsets, greatest(0.0::DOUBLE, (sum(z) - coalesce(sum(a), 0))::DOUBLE / 3600.0::DOUBLE) AS rows_per_second FROM p GROUP BY 1""",
     "ingest_history": """SELECT ingested_at, added AS added_records, (sum(added) OVER (ORDER BY ingested_at))::BIGINT AS total_records
         FROM (SELECT ingested_at, count(*) AS added FROM bronze_sales GROUP BY 1)""",
 }

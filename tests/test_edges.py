@@ -200,3 +200,27 @@ def test_duplicate_keys_count_extra_copies(spark):
 def test_checks_pass_on_no_rows(spark):
     r = one(quality.rules("g", "t", spark.createDataFrame([], "x int"), {"bad": F.col("x") < 0}))
     assert (r.failures, r.total, r.status) == (0, 0, "PASSED")
+
+
+def test_schema_gate_names_the_gaps(spark):
+    df = spark.createDataFrame([(1, "x")], "a bigint, b string")
+    assert quality.schema_gaps(df, {"a": "bigint", "b": "date", "c": "int"}) == ["b: expected date, found string", "c: expected int, found nothing"]
+
+
+def test_hot_key_reaches_the_shuffle_reduced(spark):
+    """A third of the rows on one SKU: every task still sends one row per SKU and day."""
+    from tidewater.operators.segments import daily_moments
+
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int"))
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500)
+    sales = spark.range(30000).select(key.alias("ProductKey"), day.alias("OrderDate"), F.lit(2).cast("long").alias("q"))
+    got = {r.ProductKey: (r.demand, r.demand_sq) for r in daily_moments(sales, ["ProductKey"], "q").collect()}
+    rows = [(0 if i % 3 == 0 else i % 500, i % 10) for i in range(30000)]
+    per_day = {}
+    for k, d in rows:
+        per_day[k, d] = per_day.get((k, d), 0) + 2
+    for k, (demand, squares) in got.items():
+        days = [v for (kk, _), v in per_day.items() if kk == k]
+        assert (demand, squares) == (sum(days), sum(v * v for v in days))
+    plan = daily_moments(sales, ["ProductKey"], "q")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_sum") >= 2

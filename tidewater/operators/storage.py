@@ -134,7 +134,7 @@ def pack_batches(spark: SparkSession, path: str, keep_last: int = 1, target_byte
     again. A pack is complete once its success marker exists; after a crash a
     second run only removes what is already packed.
     """
-    live = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    live = spark.read.parquet(path)
     newest = live.agg(F.max("batch_id")).first()[0]
     before = int(newest) - keep_last + 1
     pack = f"{packed_path(path)}/pack={before}"
@@ -211,3 +211,18 @@ def offset_audit(bronze: DataFrame) -> DataFrame:
         "*", expected.alias("expected"), (expected - F.col("received")).alias("missing"),
         ((expected - F.col("received")).cast("double") / expected.cast("double")).alias("loss_rate"),
     )
+
+
+def offset_rate(earlier: DataFrame, later: DataFrame, seconds: int) -> DataFrame:
+    """Messages per second by topic between two readings of a bronze table."""
+
+    def total(df: DataFrame, name: str) -> DataFrame:
+        ends = df.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end"))
+        return ends.groupBy("topic").agg(F.sum("end").alias(name), F.count("*").alias(f"{name}_partitions"))
+
+    both = total(later, "later").join(total(earlier, "earlier"), "topic", "left")
+    grown = F.col("later") - F.coalesce("earlier", F.lit(0))
+    return both.select(
+        "topic", F.col("later_partitions").alias("partitions"), F.col("later").alias("total_offsets"),
+        F.greatest(F.lit(0.0), grown.cast("double") / F.lit(float(seconds))).alias("rows_per_second"),
+    )

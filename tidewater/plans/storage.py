@@ -73,6 +73,14 @@ def offset_audit(star: DerivedStar) -> DataFrame:
     return storage.offset_audit(star.lake.bronze(SALES).unionByName(star.lake.bronze(INVENTORY)))
 
 
+@query
+def offset_rate(star: DerivedStar) -> DataFrame:
+    """Two readings of both topics one hour apart."""
+    bronze = star.lake.bronze(SALES).unionByName(star.lake.bronze(INVENTORY))
+    earlier, later = (landing.as_of(bronze, "ingested_at", f"2024-01-15 {h}:00:00") for h in (12, 13))
+    return storage.offset_rate(earlier, later, 3600)
+
+
 @query
 def ingest_history(star: DerivedStar) -> DataFrame:
     """Commits newest first: rows added and the running total of rows."""
