@@ -5,7 +5,7 @@ from compare import canonical
 from pyspark.sql import functions as F
 
 from tidewater.operators import quality, storage
-from tidewater.plans import measures, pipeline, planning
+from tidewater.plans import joins, measures, pipeline, planning
 from tidewater.schemas import INVENTORY, SALES
 from tidewater.session import finish, scratch_path
 from tidewater.sources.events import EventLake
@@ -106,7 +106,7 @@ def stars(spark, small):
 
 
 @pytest.mark.parametrize(
-    "plan", [measures.procurement_kpis, measures.inventory_aging, measures.forecast_accuracy, measures.sales_kpis, planning.safety_stock, measures.service_levels],
+    "plan", [joins.star_join, measures.procurement_kpis, measures.inventory_aging, measures.forecast_accuracy, measures.sales_kpis, planning.safety_stock, measures.service_levels],
 )
 def test_stored_star_gives_the_derived_answers(stars, plan):
     derived, stored = stars

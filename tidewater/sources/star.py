@@ -156,12 +156,15 @@ class StarTables(Star):
             df = df.drop(MONTH)
         if not columns:
             return df
-        # A product attribute asked of a fact comes from the product dimension.
-        lookup = [c for c in columns if c not in df.columns]
-        if lookup:
-            own = [c for c in columns if c not in lookup]
-            keyed = df.select(*dict.fromkeys([*own, "ProductKey"]))
-            df = keyed.join(self.table("DimProduct", "ProductKey", *lookup), "ProductKey", "left")
+        # An attribute asked of a fact comes from the dimension its key points to.
+        missing = [c for c in columns if c not in df.columns]
+        channel = [c for c in missing if c == "ChannelName"]
+        for dim, key, lookup in (
+            ("DimProduct", "ProductKey", [c for c in missing if c not in channel]),
+            ("DimCustomerChannel", "CustomerChannelKey", channel),
+        ):
+            if lookup:
+                df = df.join(self.table(dim, key, *lookup), key, "left")
         return df.select(*columns)
 
 
@@ -365,13 +368,17 @@ class DerivedStar(Star):
             o = self.raw("orders").select(
                 F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("o_date")
             )
+            if "ChannelName" in want:
+                # The account is looked up per order, before there is a row per line.
+                c = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("ChannelName"))
+                o = o.join(c, "o_custkey", "left")
             li = li.join(o, "l_orderkey")
         if fact_needs_all or want & {"WarehouseKey", "ReceivingWarehouseKey"}:
             s = self.raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
             li = li.join(s, "l_suppkey", "left")
         return li
 
-    _SALES_ORDER_COLUMNS = {"OrderDate", "OrderDateKey", "CustomerChannelKey", "OrderLineCycleTimeDays", "OnTimeInFullFlag"}
+    _SALES_ORDER_COLUMNS = {"OrderDate", "OrderDateKey", "CustomerChannelKey", "ChannelName", "OrderLineCycleTimeDays", "OnTimeInFullFlag"}
 
     def _fact_sales(self, want) -> DataFrame:
         everything = not want
@@ -412,6 +419,8 @@ class DerivedStar(Star):
             "OrderLineCycleTimeDays": lambda: F.datediff(delivery, "o_date").cast("long"),
             "OnTimeInFullFlag": lambda: F.when((cancelled == 0) & (F.datediff(delivery, "o_date") <= 30), 1).otherwise(0),
         }
+        if "ChannelName" in want:
+            columns["ChannelName"] = lambda: F.col("ChannelName")
         return df.select(*[columns[c]().alias(c) for c in columns if everything or c in want])
 
     def cogs(self, *keys: str) -> DataFrame:
