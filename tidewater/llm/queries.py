@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, packing, quality, search, unigram
+from . import bpe, jaccard, licenses, packing, quality, search, substrings, unigram
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -52,3 +52,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.grouped(table(spark, sf_dir, "documents"))

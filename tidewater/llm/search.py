@@ -57,7 +57,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
 
 
 def _search(k: int):
-    def work(key, candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def work(key, candidates, queries):
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(candidates) and len(queries):
             candidates = candidates.sort_values("vec_id")
