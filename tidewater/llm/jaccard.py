@@ -308,3 +308,10 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
     return rows.select(
         known(F.col("node")).alias(id_col), F.col("n").alias("n_shingles"), known(F.coalesce("label", "node")).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those of a component that have a larger id than another; rows without
+    an id stay."""
+    late = grouped(docs, n, percent, id_col, text_col).where(F.col("component_id") < F.col(id_col)).select(id_col)
+    return docs.join(late, id_col, "left_anti").select(*docs.columns)

@@ -31,7 +31,7 @@ from .textbytes import words_of
 
 SAMPLE, SAMPLE_CHARS = 256, 200_000
 PATH_DIMS, WORD_DIMS, SIZES = 96, 64, 5
-HIDDEN, EPOCHS, RATE, SEED = 16, 12, 0.01, 7
+HIDDEN, EPOCHS, RATE, SEED = 16, 5, 0.02, 7
 BATCH_CELLS = 1 << 14  # blocks labelled together, padding included
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)

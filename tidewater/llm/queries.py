@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, packing, quality, search, substrings, unigram
+from . import bpe, chat, jaccard, licenses, packing, pages, quality, search, substrings, unigram
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,6 +28,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -39,6 +44,11 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+@query
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.linked(chat.derived(table(spark, sf_dir, "conversations")), chat.TOOLS)
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))

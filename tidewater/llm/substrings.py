@@ -185,7 +185,7 @@ def _owners(key, blobs):
     return _table(_OWNERS, **out)
 
 
-def _cleaned(window: int):
+def _cleaned(window: int, layout: bool):
     def work(key, docs, owners):
         group = _Group(docs["id"].combine_chunks(), docs["text"])
         gone = np.zeros(len(group.hashes), dtype=bool)
@@ -215,7 +215,7 @@ def _cleaned(window: int):
             else:
                 spans.append([])
             removed.append(n)
-            kept.append(b" ".join(words).decode("utf-8"))
+            kept.append((raw[offsets[k] : offsets[k + 1]] if layout and not n else b" ".join(words)).decode("utf-8"))
         kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         return pa.table(
             [docs["row"], pa.array(group.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.string())],
@@ -225,9 +225,10 @@ def _cleaned(window: int):
     return work
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, layout: bool = False) -> DataFrame:
     """(row, n_words, n_removed, removed, kept): the input row, its counts of words, the
-    removed passages as first and last word, and the words kept, joined by one space.
+    removed passages as first and last word, and the words kept, joined by one space. With
+    ``layout`` a text that loses nothing stays as it is (null becomes empty).
 
     The texts are shuffled once; the three steps over them read the same shuffle files.
     """
@@ -242,4 +243,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     passage = T.StructType().add("first", "long").add("last", "long")
     out = T.StructType().add(dealt.schema["row"]).add("n_words", "long").add("n_removed", "long")
     out = out.add("removed", T.ArrayType(passage)).add("kept", "string")
-    return dealt.groupBy("grp").cogroup(owners.groupBy("grp")).applyInArrow(_cleaned(window), out)
+    return dealt.groupBy("grp").cogroup(owners.groupBy("grp")).applyInArrow(_cleaned(window, layout), out)
