@@ -10,10 +10,11 @@ the overlap of its part of the two sets on its own, and the counts are summed pe
 
 No group of copies is turned into all its pairs. Documents with equal sets are one
 class. The classes that have an n-gram in their prefix meet a pivot, the one with the
-fewest n-grams of its own (in a family of near copies: the original); those that link
-to it are in its component, and only classes of different components are compared
-further, with more pivots in each round, until every list lies in one component or all
-its classes have been pivots. So no link between components is lost.
+fewest n-grams of its own (in a family of near copies: the original). In the first
+rounds each class meets only the best of the pivots of its lists, which joins families
+at one pair a class. Then the pivots meet all classes of their lists that lie in other
+components, with more pivots in each round, until every list lies in one component or
+all its classes have been such pivots. So no link between components is lost.
 
 An n-gram is known by its fragment bucket and 40 bits of a 64-bit hash. Documents of
 fewer than n words have their whole word sequence as one n-gram. Documents without words
@@ -37,6 +38,8 @@ from .textbytes import LOWER, chunks, mix, window_hashes, words_of
 
 N, PERCENT = 5, 75
 FRAGMENTS = 16
+LIGHT = 2  # rounds in which each class meets one pivot
+PIVOTS = 16  # times as many pivots of a list in each later round
 FLUSH = 2_000_000  # n-grams sent together
 _NO_ID = 1 << 62  # nodes of rows without an id begin here
 _U = np.uint64
@@ -234,9 +237,9 @@ def _enough(a: Column, b: Column, overlap: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-def links(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): classes (own, n, node, rep, rep_node) of equal sets, and links (x, y)
-    between nodes whose components are those of all links there are."""
+def linked_classes(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(classes, named): classes (own, rep_node) of equal sets, and (node, component) of the
+    linked ones. The links found here have the components of all links there are."""
     local = found.where("n > 0").groupBy("own").agg(*[F.first(c).alias(c) for c in ("n", "high", "low")], F.min("node").alias("node"))
     local = written(local, "jaccard-local")
     same = ["n", "high", "low"]
@@ -253,55 +256,57 @@ def links(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFram
     ).select("token", "uid", "label", "n", "alone", (F.col("at") + F.col("before")).alias("at"))
     entries = written(entries, "jaccard-entries")
     nodes = lists.select("uid", F.col("rep_node").alias("node"))
-    every, tried, turn = None, None, 0
+    none = found.sparkSession.createDataFrame([], "node long, component long")
+    every, tried, named, turn = None, None, none, 0
     while True:
         # lists that still hold classes of different components
         open_ = entries.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("token")
         entries = written(entries.join(written(open_, "jaccard-open"), "token"), "jaccard-entries")
         if entries.isEmpty():
             break
-        salt = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(4**turn))
+        salt = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(PIVOTS ** max(0, turn - LIGHT)))
         pivots = written(
             entries.groupBy("token", salt.alias("salt")).agg(F.min(F.struct("alone", "uid", "n", "at", "label")).alias("p")).select("token", "p"),
             "jaccard-pivots",
         )
-        p = {c: F.col("p")[c] for c in ("uid", "n", "at", "label")}
+        p = {c: F.col("p")[c] for c in ("alone", "uid", "n", "at", "label")}
         few, many = F.least("n", p["n"]), F.greatest("n", p["n"])
         rest = F.least(F.col("n") - F.col("at"), p["n"] - p["at"]) + F.least(F.col("at"), p["at"])
         pairs = entries.join(pivots, "token").where((F.col("label") != p["label"]) & (100 * few >= percent * many) & _enough(F.col("n"), p["n"], rest, percent))
         later = F.col("uid") > p["uid"]
         pairs = pairs.select(
+            "uid", F.struct(p["alone"], p["uid"]).alias("rank"),
             F.when(later, F.col("uid")).otherwise(p["uid"]).alias("x"), F.when(later, p["uid"]).otherwise(F.col("uid")).alias("y"),
             F.when(later, F.col("n")).otherwise(p["n"]).alias("x_n"), F.when(later, p["n"]).otherwise(F.col("n")).alias("y_n"),
-        ).distinct()
+        )
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = written(pairs, "jaccard-pairs")
+        ends = ["x", "y", "x_n", "y_n"]
+        if turn < LIGHT:
+            pairs = pairs.groupBy("uid").agg(F.min_by(F.struct(*ends), "rank").alias("best")).select("best.*")
+        pairs = written(pairs.select(*ends).distinct(), "jaccard-pairs")
         shared = _overlaps(pairs.select("x", "y"), lists).join(pairs, ["x", "y"])
         good = written(shared.where(_enough(F.col("x_n"), F.col("y_n"), F.col("overlap"), percent)).select("x", "y"), "jaccard-links")
         tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
-        named = good.join(nodes.select(F.col("uid").alias("x"), F.col("node").alias("x_node")), "x").join(
-            nodes.select(F.col("uid").alias("y"), F.col("node").alias("y_node")), "y"
-        ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
-        every = named if every is None else every.unionByName(named)
-        every = written(every, "jaccard-all")
-        labels = written(nodes.join(components(every), "node").select("uid", F.col("component").alias("now")), "jaccard-labels")
-        spent = pivots.select("token", p["uid"].alias("uid"))
-        entries = (
-            entries.join(spent, ["token", "uid"], "left_anti").join(labels, "uid", "left")
-            .select("token", "uid", F.coalesce("now", "label").alias("label"), "n", "alone", "at")
-        )
+        if turn >= LIGHT:  # these have met their whole list
+            spent = pivots.select("token", p["uid"].alias("uid"))
+            entries = entries.join(spent, ["token", "uid"], "left_anti")
+        if not good.isEmpty():
+            linked = good.join(nodes.select(F.col("uid").alias("x"), F.col("node").alias("x_node")), "x").join(
+                nodes.select(F.col("uid").alias("y"), F.col("node").alias("y_node")), "y"
+            ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
+            every = written(linked if every is None else every.unionByName(linked), "jaccard-all")
+            named = written(components(every), "jaccard-components")
+            labels = nodes.join(named, "node").select("uid", F.col("component").alias("now"))
+            entries = entries.join(labels, "uid", "left").select("token", "uid", F.coalesce("now", "label").alias("label"), "n", "alone", "at")
         turn += 1
-    if every is None:
-        every = found.sparkSession.createDataFrame([], "x long, y long")
-    return classes, every
+    return classes, named
 
 
 def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     found = sets(docs, n, percent, FRAGMENTS, id_col, text_col)
-    classes, every = links(found, percent)
-    labels = components(every)
+    classes, labels = linked_classes(found, percent)
     named = classes.join(labels.withColumnRenamed("node", "rep_node"), "rep_node", "left").select("own", F.coalesce("component", "rep_node").alias("label"))
     rows = found.select("node", "own", "n").join(written(named, "jaccard-named"), "own", "left")
     known = lambda c: F.when(c < _NO_ID, c)
