@@ -30,7 +30,7 @@ TOP = 4000
 REACH = 3
 ENOUGH = 50
 RATIOS = ["symbol", "line", "repeat"]
-FLOOR = {"symbol": 50, "line": 200, "repeat": 200}
+FLOOR = {"symbol": 50, "line": 400, "repeat": 400}
 BROADCAST_GROUPS, SALTS = 20_000, 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 

@@ -7,8 +7,9 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _COUNTS = rf"""
 d AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT row, regexp_extract_all(text, '{_WORD}') AS words FROM d),
-p AS (SELECT row, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2),
-g AS (SELECT row, i, count(*) OVER (PARTITION BY row, words[i], words[i + 1], words[i + 2]) AS n FROM p),
+p AS (SELECT row, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM w),
+x AS (SELECT row, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM p WINDOW o AS (PARTITION BY row ORDER BY i)),
+g AS (SELECT row, i, count(*) OVER (PARTITION BY row, a, b, c) AS n FROM x WHERE c IS NOT NULL),
 r AS (
   SELECT row, sum(least(3, coalesce(nxt - i, 3))) AS n_repeat_words
   FROM (SELECT row, i, lead(i) OVER (PARTITION BY row ORDER BY i) AS nxt FROM g WHERE n > 1) GROUP BY row),
@@ -42,7 +43,7 @@ f AS (
   FROM o JOIN a ON o.lang IS NOT DISTINCT FROM a.lang AND o.ratio = a.ratio JOIN e ON o.ratio = e.ratio),
 t AS (
   SELECT lang, source, greatest(50, max(fence) FILTER (ratio = 'symbol')) AS max_symbol,
-    greatest(200, max(fence) FILTER (ratio = 'line')) AS max_line, greatest(200, max(fence) FILTER (ratio = 'repeat')) AS max_repeat
+    greatest(400, max(fence) FILTER (ratio = 'line')) AS max_line, greatest(400, max(fence) FILTER (ratio = 'repeat')) AS max_repeat
   FROM f GROUP BY lang, source)"""
 
 QUALITY = f"""
