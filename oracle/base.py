@@ -187,6 +187,9 @@ FROM sales_base b LEFT JOIN dim_product USING (ProductKey)"""
 CTES["sales_days"] = """
 SELECT min(o_orderdate)::DATE AS first_day, max(o_orderdate)::DATE AS last_day,
        date_diff('day', min(o_orderdate)::DATE, max(o_orderdate)::DATE) + 1 AS days FROM orders"""
+CTES["calendar_days"] = """
+SELECT least((SELECT first_day FROM sales_days), (SELECT min(l_shipdate)::DATE FROM lineitem), (SELECT min(ts)::DATE FROM events)) AS first_day,
+       greatest((SELECT last_day FROM sales_days) + 57, (SELECT max(l_shipdate)::DATE + 10 FROM lineitem), (SELECT max(ts)::DATE + 1 FROM events)) AS last_day"""
 CTES["po_base"] = """
 SELECT l_orderkey * 10 + l_linenumber AS POLineKey, l_orderkey AS PurchaseOrderID, l_suppkey AS SupplierKey, ProductKey,
        WarehouseKey AS ReceivingWarehouseKey, OrderDate AS POCreationDate, OrderedQuantity,
@@ -232,7 +235,7 @@ CTES["spine"] = """
 SELECT k.ProductKey, k.WarehouseKey, d.SnapshotDate, b.day IS NOT NULL AS moved, b.balance, b.day
 FROM (SELECT ProductKey, WarehouseKey, min(day) AS first_day, max(day) AS last_move FROM flow GROUP BY 1, 2) k
 JOIN (SELECT unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events) + 2, INTERVAL 1 DAY))::DATE AS SnapshotDate) d
-  ON d.SnapshotDate >= k.first_day AND d.SnapshotDate <= greatest(k.last_move, (SELECT max(ts)::DATE FROM events))
+  ON d.SnapshotDate >= k.first_day AND d.SnapshotDate <= greatest(k.last_move, (SELECT max(day) FROM flow))
 LEFT JOIN balance b ON b.ProductKey = k.ProductKey AND b.WarehouseKey = k.WarehouseKey AND b.day = d.SnapshotDate"""
 CTES["snapshot_base"] = """
 SELECT ProductKey, WarehouseKey, SnapshotDate,

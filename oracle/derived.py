@@ -53,7 +53,7 @@ SQL = {
         'FQ' || ((month(d) + 5) % 12 // 3 + 1) AS FiscalQuarter, (year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END)::BIGINT AS FiscalYear,
         dayofweek(d) BETWEEN 1 AND 5 AS IsWeekday, strftime(d, '%m-%d') IN ('01-01', '07-04', '12-25') AS IsHoliday,
         CASE WHEN month(d) >= 11 THEN 'Peak Holiday' WHEN month(d) IN (8, 9) THEN 'Back-to-School' WHEN month(d) IN (6, 7) THEN 'Summer Low' ELSE 'Normal' END AS SeasonalityPeriod
-        FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS d FROM sales_days)""",
+        FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS d FROM calendar_days)""",
     "monthly_trend": f"""WITH d AS (SELECT OrderDate, sum(NetSalesAmount) AS net FROM fact_sales GROUP BY 1),
         t AS (SELECT *, (sum(net) OVER (ORDER BY OrderDate RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW))::DOUBLE / 30.0::DOUBLE AS t30 FROM d),
         m AS (SELECT date_trunc('month', OrderDate)::DATE AS m, sum(net)::DOUBLE AS net_sales, max_by(t30, OrderDate) AS t30 FROM t GROUP BY 1),
@@ -69,9 +69,9 @@ SQL = {
         (SELECT SupplierKey, count(*) AS lines, count(*) FILTER (POStatus = 'Completed') AS completed, sum(IsDeliveredOnTimeFlag)::BIGINT AS on_time,
                 sum(IsDeliveredInFullFlag)::BIGINT AS in_full, sum(IsSupplierOTIFFlag)::BIGINT AS otif, sum(ExtendedPOAmount)::DOUBLE AS spend
          FROM fact_po WHERE POCreationDate > (SELECT last_day FROM sales_days) - 90 GROUP BY 1)""",
-    "projected_stockout": f"""WITH b AS (SELECT ProductKey, WarehouseKey, sum(units)::DOUBLE / 30.0::DOUBLE AS burn FROM picks GROUP BY 1, 2),
+    "projected_stockout": f"""WITH b AS (SELECT ProductKey, WarehouseKey, sum(units)::DOUBLE / 30.0::DOUBLE AS burn FROM picks WHERE day > (SELECT max(day) FROM flow) - 30 GROUP BY 1, 2),
         o AS (SELECT ProductKey, ReceivingWarehouseKey AS WarehouseKey, min(PromisedDeliveryDate) AS next_dock_date FROM fact_po WHERE POStatus = 'Open In-Transit' GROUP BY 1, 2),
         j AS (SELECT ProductKey, WarehouseKey, SnapshotDate, OnHandQuantity::BIGINT AS OnHandQuantity, burn, {div('OnHandQuantity', 'burn', None)} AS dos, next_dock_date
-              FROM snapshot JOIN b USING (ProductKey, WarehouseKey) LEFT JOIN o USING (ProductKey, WarehouseKey) WHERE SnapshotDate = (SELECT max(ts)::DATE FROM events))
+              FROM snapshot JOIN b USING (ProductKey, WarehouseKey) LEFT JOIN o USING (ProductKey, WarehouseKey) WHERE SnapshotDate = (SELECT max(day) FROM flow))
         SELECT ProductKey, WarehouseKey, OnHandQuantity, burn AS daily_burn, dos AS days_of_supply, next_dock_date, SnapshotDate + floor(dos)::INTEGER AS projected_stockout_date, dos <= 14 AS within_14_days FROM j""",
 }

@@ -9,7 +9,7 @@ ALLOWED_WH = """(SELECT DISTINCT u.UserEmail, w.WarehouseKey FROM security u JOI
 SQL = {
     "star_join": """SELECT RegionName, ChannelName, CategoryName, sum(NetSalesAmount)::DOUBLE AS net_sales, sum(OrderedQuantity)::BIGINT AS ordered_units, count(*) AS lines
         FROM fact_sales LEFT JOIN dim_channel USING (CustomerChannelKey) LEFT JOIN dim_warehouse USING (WarehouseKey) LEFT JOIN dim_region USING (RegionKey) GROUP BY 1, 2, 3""",
-    "role_date_join": """SELECT date_role, CASE WHEN d BETWEEN (SELECT first_day FROM sales_days) AND (SELECT last_day FROM sales_days) THEN strftime(d, '%Y-%m') END AS MonthYear,
+    "role_date_join": """SELECT date_role, CASE WHEN d BETWEEN (SELECT first_day FROM calendar_days) AND (SELECT last_day FROM calendar_days) THEN strftime(d, '%Y-%m') END AS MonthYear,
         sum(NetSalesAmount)::DOUBLE AS net_sales, count(*) AS lines
         FROM (SELECT 'order' AS date_role, OrderDate AS d, NetSalesAmount FROM fact_sales UNION ALL SELECT 'ship', ShipDate, NetSalesAmount FROM fact_sales
               UNION ALL SELECT 'delivery', DeliveryDate, NetSalesAmount FROM fact_sales) GROUP BY 1, 2""",

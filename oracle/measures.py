@@ -136,7 +136,9 @@ SQL = {
             UNION ALL (SELECT 'over-forecast', * FROM r WHERE error > 0 ORDER BY abs(error) DESC, ProductKey LIMIT 10))
         SELECT exception, ProductSKU, CategoryName, actual, forecast, error, {div('error', 'actual')} AS error_pct FROM e LEFT JOIN dim_product USING (ProductKey)""",
     "wape_deterioration": f"""WITH m AS (SELECT ProductKey, TargetMonth AS month, {div('sum(abs(actual - ForecastedQuantity))', 'sum(actual)')} AS wape FROM aligned GROUP BY 1, 2 HAVING sum(actual) > 0),
-        w AS (SELECT *, lag(wape, 1) OVER (PARTITION BY ProductKey ORDER BY month) AS previous_wape, lag(wape, 2) OVER (PARTITION BY ProductKey ORDER BY month) AS second_previous_wape FROM m)
+        w AS (SELECT m.*, a.wape AS previous_wape, b.wape AS second_previous_wape FROM m
+              JOIN m a ON a.ProductKey = m.ProductKey AND a.month = (m.month - INTERVAL 1 MONTH)::DATE
+              JOIN m b ON b.ProductKey = m.ProductKey AND b.month = (m.month - INTERVAL 2 MONTH)::DATE)
         SELECT w.*, revenue::DOUBLE AS revenue FROM w JOIN abc_labels USING (ProductKey) WHERE abc_class = 'A' AND wape > previous_wape AND previous_wape > second_previous_wape""",
     "working_capital": f"""SELECT CategoryName, total_cogs::DOUBLE AS total_cogs, {div('total_cogs', '(SELECT days FROM sales_days)')} AS daily_cogs, annualized_cogs,
         avg_daily_valuation * 0.22::DOUBLE AS annual_carrying_cost, current_valuation::DOUBLE * 0.22::DOUBLE AS spot_carrying_cost, current_valuation::DOUBLE AS capital_in_inventory,
@@ -154,6 +156,6 @@ SQL = {
         FROM (SELECT a.abc_class AS abc_class, x.xyz_class AS xyz_class, revenue, demand FROM abc_labels a JOIN xyz_labels x USING (ProductKey)) GROUP BY CUBE (abc_class, xyz_class)""",
     "aging_brackets": """SELECT CategoryName, CASE WHEN DaysSinceLastMovement <= 30 THEN '0-30' WHEN DaysSinceLastMovement <= 60 THEN '31-60' WHEN DaysSinceLastMovement <= 90 THEN '61-90'
         WHEN DaysSinceLastMovement <= 180 THEN '91-180' ELSE '180+' END AS bracket, count(*) AS positions, sum(OnHandQuantity)::BIGINT AS units, sum(InventoryValuation)::DOUBLE AS valuation
-        FROM snapshot WHERE SnapshotDate = (SELECT max(ts)::DATE FROM events) GROUP BY 1, 2""",
+        FROM snapshot WHERE SnapshotDate = (SELECT max(day) FROM flow) GROUP BY 1, 2""",
     "turns_doi_reconcile": "SELECT CategoryName, turns, dio, abs(turns * dio - 365) < 0.001 OR turns = 0 AS reconciles FROM turns_category",
 }

@@ -21,8 +21,8 @@ def king(source: str, z: str = "1.65::DOUBLE", mult: str = "1.0::DOUBLE", shock:
 CTES["pol"] = king("repl")
 CTES["pos"] = """
 SELECT ProductKey, WarehouseKey, OnHandQuantity::BIGINT AS oh, ReservedQuantity::BIGINT AS re, AvailableQuantity::BIGINT AS av, InTransitInboundQuantity AS ib,
-       InventoryValuation, DaysSinceLastMovement, RegionKey FROM snapshot WHERE SnapshotDate = (SELECT max(ts)::DATE FROM events)"""
-CTES["exc"] = "SELECT s.*, p.*, greatest(0, oh - (ss + cycle_stock + lead_time_demand)) AS excess_units FROM pos s JOIN pol p USING (ProductKey, WarehouseKey)"
+       InventoryValuation, DaysSinceLastMovement, RegionKey FROM snapshot WHERE SnapshotDate = (SELECT max(day) FROM flow)"""
+CTES["exc"] = "SELECT s.*, greatest(0, oh - coalesce(ss + cycle_stock + lead_time_demand, 0)) AS excess_units FROM pos s LEFT JOIN pol p USING (ProductKey, WarehouseKey)"
 CTES["cases"] = king("(SELECT r.*, s.*, CategoryName, UnitStandardCost FROM repl r LEFT JOIN dim_product USING (ProductKey) CROSS JOIN scenarios s)", Z.format("level"), "mult", "shock::DOUBLE")
 CTES["sims"] = "SELECT ScenarioCode, rate, sum(ss)::BIGINT AS ss_units, sum(rop)::BIGINT AS rop_units, sum(ss * UnitStandardCost) AS ss_value FROM cases GROUP BY 1, 2"
 COST = "UnitStandardCost"
@@ -72,20 +72,22 @@ SQL = {
     "carrying_rate_sensitivity": f"""WITH v AS (SELECT CategoryName, {div('sum(v)', 'count(*)')} AS a FROM (SELECT CategoryName, SnapshotDate, sum(InventoryValuation) AS v FROM snapshot GROUP BY 1, 2) GROUP BY 1)
         SELECT CategoryName, r AS rate_pct, a * (r::DOUBLE / 100.0::DOUBLE) AS carrying_cost, a * (r::DOUBLE / 100.0::DOUBLE) - a * 0.22::DOUBLE AS delta_to_default
         FROM v CROSS JOIN (SELECT unnest(generate_series(18, 28)) AS r)""",
-    "below_rop": """SELECT ProductKey, WarehouseKey, oh + ib - re AS net_available, rop AS reorder_point, rop - (oh + ib - re) AS deficit_units
-        FROM pos JOIN pol USING (ProductKey, WarehouseKey) WHERE oh + ib - re <= rop""",
+    "below_rop": """SELECT ProductKey, WarehouseKey, net AS net_available, rop AS reorder_point, rop - net AS deficit_units
+        FROM (SELECT ProductKey, WarehouseKey, rop, coalesce(oh, 0) + coalesce(InTransitInboundQuantity, 0) - coalesce(re, 0) AS net
+              FROM pol LEFT JOIN pos USING (ProductKey, WarehouseKey) LEFT JOIN open_inbound USING (ProductKey, WarehouseKey)) WHERE net <= rop""",
     "planner_queues": f"""WITH r AS (SELECT s.oh, p.ss, coalesce(o.InTransitInboundQuantity, 0) AS i, o.OpenPOAmount, {div('s.oh', 'p.d', '9999.0::DOUBLE')} AS cover
-            FROM pos s JOIN pol p USING (ProductKey, WarehouseKey) LEFT JOIN open_inbound o USING (ProductKey, WarehouseKey))
-        SELECT CASE WHEN oh = 0 AND i > 0 THEN 'Emergency Expedite' WHEN cover > 365 AND i > 0 THEN 'Cancel / Defer Inbound' WHEN oh < ss AND i > 0 THEN 'Inbound ROP Monitoring' ELSE 'No Action' END AS queue,
+            FROM pos s LEFT JOIN pol p USING (ProductKey, WarehouseKey) LEFT JOIN open_inbound o USING (ProductKey, WarehouseKey))
+        SELECT CASE WHEN oh = 0 AND i > 0 THEN 'Emergency Expedite' WHEN cover > 365 AND i > 0 THEN 'Cancel / Defer Inbound' WHEN oh < coalesce(ss, 0) AND i > 0 THEN 'Inbound ROP Monitoring' ELSE 'No Action' END AS queue,
             count(*) AS positions, sum(oh)::BIGINT AS on_hand, sum(i)::BIGINT AS inbound_units, coalesce(sum(OpenPOAmount), 0)::DOUBLE AS open_po_amount FROM r GROUP BY 1""",
-    "rebalance_candidates": """WITH n AS (SELECT ProductKey, RegionKey, WarehouseKey, av - rop AS x FROM pos JOIN pol USING (ProductKey, WarehouseKey)),
+    "rebalance_candidates": """WITH n AS (SELECT ProductKey, RegionKey, WarehouseKey, av - coalesce(rop, 0) AS x FROM pos LEFT JOIN pol USING (ProductKey, WarehouseKey)),
         e AS (SELECT *, x > 0 AS s, abs(x) AS u, sum(abs(x)) OVER (PARTITION BY ProductKey, RegionKey, x > 0 ORDER BY abs(x) DESC, WarehouseKey ROWS UNBOUNDED PRECEDING) AS hi FROM n WHERE x <> 0)
         SELECT a.ProductKey, a.RegionKey, a.WarehouseKey AS origin, b.WarehouseKey AS destination, (least(a.hi, b.hi) - greatest(a.hi - a.u, b.hi - b.u))::BIGINT AS transfer_units
         FROM e a JOIN e b ON a.ProductKey = b.ProductKey AND a.RegionKey = b.RegionKey AND a.s AND NOT b.s AND a.hi - a.u < b.hi AND b.hi - b.u < a.hi""",
     "overdue_po": """SELECT POLineKey, SupplierKey, ReceivingWarehouseKey, POStatus, PromisedDeliveryDate, OrderedQuantity, ExtendedPOAmount::DOUBLE AS ExtendedPOAmount,
         date_diff('day', PromisedDeliveryDate, (SELECT last_day FROM sales_days)) AS overdue_days FROM fact_po WHERE POStatus <> 'Completed' AND PromisedDeliveryDate < (SELECT last_day FROM sales_days)""",
-    "doi_vs_leadtime": f"""SELECT ProductKey, WarehouseKey, {div('oh', 'd', None)} AS days_of_inventory, lt AS lead_time_days, InventoryValuation::DOUBLE AS valuation
-        FROM pos JOIN pol USING (ProductKey, WarehouseKey) WHERE {div('oh', 'd', None)} > 120 AND lt < 30""",
+    "doi_vs_leadtime": f"""SELECT * FROM (SELECT ProductKey, WarehouseKey, CASE WHEN oh > 0 THEN {div('oh', 'd', '9999.0::DOUBLE')} ELSE 0.0::DOUBLE END AS days_of_inventory,
+            coalesce(lt, 14.0::DOUBLE) AS lead_time_days, InventoryValuation::DOUBLE AS valuation
+          FROM pos LEFT JOIN pol USING (ProductKey, WarehouseKey)) WHERE days_of_inventory > 120 AND lead_time_days < 30""",
     "lead_time_gap": f"""WITH g AS (SELECT SupplierKey, count(ActualLeadTimeDays) AS n, sum(ActualLeadTimeDays) AS s, sum(ActualLeadTimeDays * ActualLeadTimeDays) AS q,
             sum(PromisedLeadTimeDays) FILTER (ActualLeadTimeDays IS NOT NULL) AS p, sum(LeadTimeVarianceDays) AS v FROM fact_po GROUP BY 1),
         r AS (SELECT *, {std('n', 's', 'q')} AS sd FROM g)

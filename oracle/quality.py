@@ -12,7 +12,7 @@ def rules(group: str, table: str, source: str, broken: dict[str, str]) -> str:
 
 
 PK = {
-    "DimDate.DateKey": ("d", "(SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS d FROM sales_days)"),
+    "DimDate.DateKey": ("d", "(SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS d FROM calendar_days)"),
     "DimRegion.RegionKey": ("RegionKey", "dim_region"), "DimWarehouse.WarehouseKey": ("WarehouseKey", "dim_warehouse"),
     "DimSupplier.SupplierKey": ("SupplierKey", "dim_supplier"), "DimProduct.ProductKey": ("ProductKey", "dim_product"),
     "DimCustomerChannel.CustomerChannelKey": ("CustomerChannelKey", "dim_channel"), "DimEmployeePlanner.PlannerKey": ("RegionKey", "dim_region"),
@@ -22,7 +22,7 @@ PK = {
     "FactStockout.StockoutEventKey": ("StockoutEventKey", "stockout"), "FactCustomerReturns.ReturnLineKey": ("ReturnLineKey", "returns"),
     "FactSupplierMonthlyPerformance.SupplierMonthlyKey": ("SupplierMonthlyKey", "supplier_monthly"),
 }
-DATES = "(SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS k FROM sales_days)"
+DATES = "(SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS k FROM calendar_days)"
 PRODUCTS, SITES = "(SELECT ProductKey AS k FROM dim_product)", "(SELECT WarehouseKey AS k FROM dim_warehouse)"
 FK = [
     ("FactSales.OrderDateKey", "OrderDate", "fact_sales", DATES), ("FactSales.ProductKey", "ProductKey", "fact_sales", PRODUCTS),

@@ -70,22 +70,42 @@ def test_marts_from_bronze_then_silver_then_lookback(spark, lake):
     report = pipeline.maintain_lake(spark, root)
     assert len(report) == 8 and all(v.startswith("ok") for v in report.values()), report
     assert [storage.read_fed(spark, t).count() for t in tables] == rows
-    assert spark.read.parquet(tables[0]).select("batch_id").distinct().count() == 1
-    # The streams go on after packing and see nothing twice.
+    # The streams go on after maintenance and see nothing twice.
     for topic in (SALES, INVENTORY):
         ingest(spark, root, topic)
         validate(spark, root, topic)
     assert [storage.read_fed(spark, t).count() for t in tables] == rows
 
 
-def test_packing_finishes_after_a_crash(spark):
-    path = scratch_path(spark, "fed")
+def test_maintenance_leaves_a_lagging_stream_its_rows(spark):
+    path, out = scratch_path(spark, "fed"), scratch_path(spark, "lag")
     for i in range(4):
         storage.write_batch(spark.range(i * 10, i * 10 + 10), path, i)
-    storage.pack_batches(spark, path)
-    storage.write_batch(spark.range(10), path, 0)  # as if the removal had stopped half way
-    storage.pack_batches(spark, path)
-    assert sorted(r.id for r in storage.read_fed(spark, path).collect()) == list(range(40))
+    storage.maintain(spark, {path: None})
+    late = jobs.file_source(spark, path, "id long, batch_id int")
+    late.writeStream.format("parquet").option("checkpointLocation", f"{out}-chk").trigger(availableNow=True).start(out).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
+
+
+def test_current_stock_is_one_number(stars):
+    """All positions stand on the last day, and enterprise = warehouses = categories."""
+    for star in stars:
+        snap = star.table("FactInventorySnapshot", "SnapshotDate", "ProductKey", "WarehouseKey", "CategoryName", "OnHandQuantity")
+        last = snap.where(F.col("SnapshotDate") == star.last_event_day())
+        assert last.count() == snap.select("ProductKey", "WarehouseKey").distinct().count()
+        total = last.agg(F.sum("OnHandQuantity")).first()[0]
+        for by in ("WarehouseKey", "CategoryName"):
+            assert measures.stock_by(star, [by], "OnHandQuantity").agg(F.sum("OnHandQuantity")).first()[0] == total
+        assert planning.position(star, "OnHandQuantity").agg(F.sum("OnHandQuantity")).first()[0] == total
+
+
+def test_planner_lists_hold_stock_without_sales_and_sales_without_stock(stars):
+    star = stars[0]
+    below = {tuple(r) for r in planning.below_rop(star).select("ProductKey", "WarehouseKey").collect()}
+    stocked = {tuple(r) for r in planning.position(star).select("ProductKey", "WarehouseKey").collect()}
+    sold = {tuple(r) for r in planning.policies(star).select("ProductKey", "WarehouseKey").collect()}
+    assert below - stocked and stocked - sold
+    assert planning.planner_queues(star).agg(F.sum("positions")).first()[0] == len(stocked)
 
 
 def test_no_source_is_skipped(spark):

@@ -120,10 +120,20 @@ def test_compaction_keeps_rows_and_reduces_files(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("p"), "id")
     df.repartition(20).write.partitionBy("p").parquet(path)
     done = storage.compact(spark, path, ["p"])
-    assert done == {"rows": 1000, "files_before": 40, "files_after": 2}
+    assert done == {"partitions": 2, "files_before": 40, "files_after": 2}
+    assert storage.compact(spark, path, ["p"]) == {"partitions": 0, "files_before": 0, "files_after": 0}
     assert spark.read.parquet(path).agg(F.sum("id")).first()[0] == sum(range(1000))
 
 
+def test_compaction_keeps_rows_added_to_open_partitions(spark):
+    path = scratch_path(spark, "t")
+    df = spark.range(1000).select((F.col("id") % 2).alias("p"), "id")
+    df.repartition(20).write.partitionBy("p").parquet(path)
+    df.where("p = 1").write.mode("append").partitionBy("p").parquet(path)
+    done = storage.compact(spark, path, ["p"], closed=F.col("p") == 0)
+    assert done["partitions"] == 1 and spark.read.parquet(path).count() == 1500
+
+
 def test_maintenance_goes_on_after_a_failure(spark):
     path = scratch_path(spark, "t")
     spark.range(10).write.parquet(path)

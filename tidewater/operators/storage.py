@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MART_CODEC
@@ -70,36 +73,46 @@ def _rewrite(df: DataFrame, path: str, partition_by: list[str], target_bytes: in
     saved = spark.conf.get(key)
     spark.conf.set(key, str(target_bytes))
     try:
-        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).parquet(path)
+        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
     finally:
         spark.conf.set(key, saved)
 
 
-def compact(spark: SparkSession, path: str, partition_by: list[str], target_bytes: int = 256 << 20) -> dict[str, int]:
-    """Rewrite a table into files of about ``target_bytes`` and swap it in.
+def compact(
+    spark: SparkSession, path: str, partition_by: list[str], target_bytes: int = 256 << 20, closed: Column | None = None
+) -> dict[str, int]:
+    """Rewrite partitions of many small files into files of about ``target_bytes``.
 
-    Small partitions are merged and large ones split by the rebalance; the copy
-    must hold as many rows as the table before the directories change places.
+    Only partitions that satisfy ``closed`` are touched, and of those only the ones with
+    at least two files below half the target. Each is replaced as a whole when the writer
+    commits (dynamic overwrite), so a run that fails leaves the table as it was and a
+    repeated run finds the same rows. No other writer may add to a partition meanwhile;
+    ``closed`` is how a caller that appends keeps its open partitions out. A table without
+    partitions is left alone.
     """
-    staged = f"{path.rstrip('/')}_compacting"
-    before = spark.read.parquet(path)
-    old_files = before.select(F.col("_metadata.file_path")).distinct().count()
-    _rewrite(before, staged, partition_by, target_bytes)
-    after = spark.read.parquet(staged)
-    rows, copied = before.count(), after.count()
-    if rows != copied:
-        raise ValueError(f"compaction of {path} would change {rows} rows to {copied}")
-    new_files = after.select(F.col("_metadata.file_path")).distinct().count()
-    _swap(spark, path, staged)
-    return {"rows": rows, "files_before": old_files, "files_after": new_files}
-
-
-def _swap(spark: SparkSession, path: str, staged: str) -> None:
-    fs, old = _fs(spark, path)
-    new, backup = _fs(spark, staged)[1], _fs(spark, f"{path.rstrip('/')}_before")[1]
-    if not (fs.rename(old, backup) and fs.rename(new, old)):
-        raise OSError(f"could not swap {staged} into {path}; the old table is at {backup}")
-    fs.delete(backup, True)
+    table = spark.read.parquet(path)
+    if not partition_by:
+        return {"partitions": 0, "files_before": 0, "files_after": 0}
+    if closed is not None:
+        table = table.where(closed)
+    m = F.col("_metadata")
+    files = table.select(*partition_by, m["file_path"].alias("file"), m["file_size"].alias("bytes")).distinct()
+    small = files.groupBy(*partition_by).agg(F.count("*").alias("files"), F.count_if(F.col("bytes") < target_bytes // 2).alias("small"))
+    todo = small.where("small > 1").select(*partition_by, "files")
+    staged = scratch_path(spark, "compacted")
+    _writer(todo, "overwrite", []).parquet(staged)
+    todo = spark.read.parquet(staged)
+    partitions, before = todo.agg(F.count("*"), F.coalesce(F.sum("files"), F.lit(0))).first()
+    after = 0
+    if partitions:
+        same = [table[c].eqNullSafe(todo[c]) for c in partition_by]
+        rows = table.join(todo, reduce(and_, same), "left_semi")
+        _rewrite(rows, path, partition_by, target_bytes)
+        now = spark.read.parquet(path)
+        same = [now[c].eqNullSafe(todo[c]) for c in partition_by]
+        after = now.join(todo, reduce(and_, same), "left_semi").select(F.col("_metadata.file_path")).distinct().count()
+    _drop(spark, staged)
+    return {"partitions": partitions, "files_before": before, "files_after": after}
 
 
 # -- tables fed by a stream: one directory per micro-batch --------------------
@@ -110,61 +123,27 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     _writer(rows, "overwrite", []).parquet(f"{path}/batch_id={batch_id}")
 
 
-def packed_path(path: str) -> str:
-    return f"{path.rstrip('/')}_packed"
-
-
 def read_fed(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """All rows of a stream-fed table, packed and recent; None if it does not exist."""
-    parts = []
-    for p, technical in ((path, "batch_id"), (packed_path(path), "pack")):
-        if exists(spark, p):
-            reader = spark.read.schema(schema) if schema else spark.read
-            parts.append(reader.parquet(p).drop(technical))
-    if not parts:
+    """All rows of a stream-fed table; None if it does not exist."""
+    if not exists(spark, path):
         return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).drop("batch_id")
 
-def pack_batches(spark: SparkSession, path: str, keep_last: int = 1, target_bytes: int = 256 << 20) -> dict[str, int]:
-    """Move finished micro-batches into large files beside the live directory.
 
-    The stream that tails the live directory never sees the packed files, so
-    nothing is read twice. The newest batches stay, as a restart may write them
-    again. A pack is complete once its success marker exists; after a crash a
-    second run only removes what is already packed.
-    """
-    live = spark.read.parquet(path)
-    newest = live.agg(F.max("batch_id")).first()[0]
-    before = int(newest) - keep_last + 1
-    pack = f"{packed_path(path)}/pack={before}"
-    old = live.where(F.col("batch_id") < before).drop("batch_id")
-    if not exists(spark, f"{pack}/_SUCCESS"):
-        if old.isEmpty():
-            return {"rows": 0, "batches": 0}
-        _rewrite(old, pack, [], target_bytes)
-    rows = spark.read.parquet(pack).count()
-    fs, root = _fs(spark, path)
-    done = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
-    done = [p for p in done if int(p.getName().split("=")[1]) < before]
-    for p in done:
-        fs.delete(p, True)
-    return {"rows": rows, "batches": len(done)}
-
-
-def maintain(
-    spark: SparkSession, tables: dict[str, list[str] | None], target_bytes: int = 256 << 20
-) -> dict[str, str]:
-    """Maintain several tables: path -> partition columns, None for a stream-fed
-    table. One failure does not stop the rest."""
+def maintain(spark: SparkSession, tables: dict[str, list[str] | None], target_bytes: int = 256 << 20) -> dict[str, str]:
+    """Compact several tables: path -> partition columns. None marks a table that a stream
+    writes or follows: its files are the stream's record of what was read, so they stay.
+    One failure does not stop the rest."""
     report = {}
     for path, partition_by in tables.items():
         try:
             if partition_by is None:
-                done = pack_batches(spark, path, target_bytes=target_bytes)
+                rows = spark.read.parquet(path).count()
+                report[path] = f"ok: {rows} rows, files left to the stream"
             else:
                 done = compact(spark, path, partition_by, target_bytes)
-            report[path] = "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
+                report[path] = "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
         except Exception as e:
             report[path] = f"failed: {e}"
     return report

@@ -166,10 +166,10 @@ def trailing90_otif(star: DerivedStar) -> DataFrame:
 
 @query
 def projected_stockout(star: DerivedStar) -> DataFrame:
-    """Days until the shelf is empty at the recent burn rate, and the next dock date."""
+    """Days until the shelf is empty at the burn rate of the last 30 days, and the next dock date."""
     last = star.last_event_day()
     position = star.table("FactInventorySnapshot", "SnapshotDate", *SITE, "OnHandQuantity").where(F.col("SnapshotDate") == last)
-    picks = star.movements().where("event_type = 'PICK'").groupBy(*SITE).agg(F.sum(-F.col("quantity_change")).alias("picked"))
+    picks = star.movements().where((F.col("event_type") == "PICK") & (F.col("day") > F.date_sub(last, 30))).groupBy(*SITE).agg(F.sum(-F.col("quantity_change")).alias("picked"))
     dock = (
         star.table("FactPurchaseOrder", "ProductKey", "ReceivingWarehouseKey", "POStatus", "PromisedDeliveryDate")
         .where("POStatus = 'Open In-Transit'")

@@ -520,8 +520,9 @@ def wape_deterioration(star: DerivedStar) -> DataFrame:
     ).where("a > 0").select("ProductKey", "month", safe_divide("e", "a").alias("wape"))
     w = Window.partitionBy("ProductKey").orderBy("month")
     worse = monthly.select(
-        "*", F.lag("wape", 1).over(w).alias("previous_wape"), F.lag("wape", 2).over(w).alias("second_previous_wape")
-    ).where("wape > previous_wape AND previous_wape > second_previous_wape")
+        "*", F.lag("wape", 1).over(w).alias("previous_wape"), F.lag("wape", 2).over(w).alias("second_previous_wape"),
+        F.lag("month", 2).over(w).alias("second_month"),
+    ).where("wape > previous_wape AND previous_wape > second_previous_wape AND second_month = add_months(month, -2)").drop("second_month")
     revenue = segments.revenue_by(star.table("FactSales", "ProductKey", "NetSalesAmount"), ["ProductKey"])
     top = segments.abc_class(revenue, []).where("abc_class = 'A'").select("ProductKey", "revenue")
     return worse.join(top, "ProductKey")

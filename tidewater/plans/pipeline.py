@@ -60,7 +60,8 @@ def refresh_marts(spark: SparkSession, root: str, lookback_days: int | None = No
 
 
 def maintain_lake(spark: SparkSession, root: str, target_bytes: int = 256 << 20) -> dict[str, str]:
-    """Compact the eight tables of the lake; a missing or failing one does not stop the rest."""
+    """Compact the marts and report on the six stream-fed tables; a missing or failing one
+    does not stop the rest."""
     fed = ("raw_events", "structured_events", "dlq_events")
     tables: dict[str, list[str] | None] = {f"{root}/{topic}/{t}": None for topic in (SALES, INVENTORY) for t in fed}
     tables |= {f"{root}/{path}": [day] for path, _, _, day in MARTS.values()}

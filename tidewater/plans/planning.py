@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import floor_round, safe_divide, sample_std, stable_round, tier, z_score
 from ..operators import segments
-from ..operators.replenish import SITE, demand_and_lead_time, king, policy, transfers
+from ..operators.replenish import DEFAULT_LEAD_TIME, SITE, demand_and_lead_time, king, policy, transfers
 from ..sources.star import DerivedStar, scenario_structs
 from .measures import aligned_forecast, valuation_by
 from .registry import query
@@ -62,7 +62,9 @@ def reorder_point(star: DerivedStar) -> DataFrame:
 def _excess(star: DerivedStar) -> DataFrame:
     stock = position(star, "OnHandQuantity", "DaysSinceLastMovement")
     ceiling = F.col("safety_stock") + F.col("cycle_stock") + F.col("lead_time_demand")
-    return stock.join(policies(star), SITE).withColumn("excess_units", F.greatest(F.lit(0), F.col("OnHandQuantity") - ceiling))
+    # stock without sales has no policy: all of it is excess
+    over = F.col("OnHandQuantity") - F.coalesce(ceiling, F.lit(0))
+    return stock.join(policies(star), SITE, "left").withColumn("excess_units", F.greatest(F.lit(0), over))
 
 
 @query
@@ -272,9 +274,12 @@ def carrying_rate_sensitivity(star: DerivedStar) -> DataFrame:
 
 @query
 def below_rop(star: DerivedStar) -> DataFrame:
-    stock = position(star, "OnHandQuantity", "ReservedQuantity", "InTransitInboundQuantity")
-    net = F.col("OnHandQuantity") + F.col("InTransitInboundQuantity") - F.col("ReservedQuantity")
-    rows = stock.join(policies(star), SITE).withColumn("net_available", net)
+    """Net available = on hand + inbound - reserved, each 0 where a site has none; every
+    site with a policy is looked at, stocked or not."""
+    stock = position(star, "OnHandQuantity", "ReservedQuantity")
+    held = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    net = held("OnHandQuantity") + held("InTransitInboundQuantity") - held("ReservedQuantity")
+    rows = policies(star).join(stock, SITE, "left").join(star.open_inbound(), SITE, "left").withColumn("net_available", net)
     return rows.where("net_available <= reorder_point").select(
         *SITE, "net_available", "reorder_point", (F.col("reorder_point") - F.col("net_available")).alias("deficit_units")
     )
@@ -283,13 +288,13 @@ def below_rop(star: DerivedStar) -> DataFrame:
 @query
 def planner_queues(star: DerivedStar) -> DataFrame:
     stock = position(star, "OnHandQuantity").join(star.open_inbound(), SITE, "left")
-    rows = stock.join(policies(star), SITE)
+    rows = stock.join(policies(star), SITE, "left")
     inbound = F.coalesce("InTransitInboundQuantity", F.lit(0))
     cover = safe_divide("OnHandQuantity", "avg_daily_demand", 9999.0)
     queue = tier(
         ((F.col("OnHandQuantity") == 0) & (inbound > 0), "Emergency Expedite"),
         ((cover > 365) & (inbound > 0), "Cancel / Defer Inbound"),
-        ((F.col("OnHandQuantity") < F.col("safety_stock")) & (inbound > 0), "Inbound ROP Monitoring"),
+        ((F.col("OnHandQuantity") < F.coalesce("safety_stock", F.lit(0))) & (inbound > 0), "Inbound ROP Monitoring"),
         otherwise="No Action",
     )
     return rows.groupBy(queue.alias("queue")).agg(
@@ -301,10 +306,11 @@ def planner_queues(star: DerivedStar) -> DataFrame:
 @query
 def rebalance_candidates(star: DerivedStar) -> DataFrame:
     """Transfers inside a region from warehouses above to warehouses below their reorder point."""
-    rows = position(star, "AvailableQuantity").join(policies(star), SITE).join(
+    rows = position(star, "AvailableQuantity").join(policies(star), SITE, "left").join(
         star.table("DimWarehouse", "WarehouseKey", "RegionKey"), "WarehouseKey"
     )
-    nodes = rows.select("ProductKey", "RegionKey", "WarehouseKey", (F.col("AvailableQuantity") - F.col("reorder_point")).alias("imbalance"))
+    need = F.coalesce("reorder_point", F.lit(0))
+    nodes = rows.select("ProductKey", "RegionKey", "WarehouseKey", (F.col("AvailableQuantity") - need).alias("imbalance"))
     return transfers(nodes, ["ProductKey", "RegionKey"], "WarehouseKey")
 
 
@@ -322,11 +328,13 @@ def overdue_po(star: DerivedStar) -> DataFrame:
 
 @query
 def doi_vs_leadtime(star: DerivedStar) -> DataFrame:
-    """More than 120 days of stock although the supplier needs fewer than 30."""
-    rows = position(star, "OnHandQuantity", "InventoryValuation").join(policies(star), SITE)
-    doi = safe_divide("OnHandQuantity", "avg_daily_demand", None)
-    return rows.where((doi > 120) & (F.col("lead_time_days") < 30)).select(
-        *SITE, doi.alias("days_of_inventory"), "lead_time_days", F.col("InventoryValuation").alias("valuation")
+    """More than 120 days of stock although the supplier needs fewer than 30. Stock without
+    demand covers 9999 days, and without a lead time of its own the default holds."""
+    rows = position(star, "OnHandQuantity", "InventoryValuation").join(policies(star), SITE, "left")
+    doi = F.when(F.col("OnHandQuantity") > 0, safe_divide("OnHandQuantity", "avg_daily_demand", 9999.0)).otherwise(0.0)
+    lead = F.coalesce("lead_time_days", F.lit(DEFAULT_LEAD_TIME))
+    return rows.where((doi > 120) & (lead < 30)).select(
+        *SITE, doi.alias("days_of_inventory"), lead.alias("lead_time_days"), F.col("InventoryValuation").alias("valuation")
     )
 
 

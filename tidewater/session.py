@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,12 +19,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach; a temporary one only where none is set."""
+    """Folder every executor can reach. A temporary one stands in where none is set and
+    driver and executors are one process; on a cluster that is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark._jsc.sc().getCheckpointDir()
     if configured is None and current.isDefined():
         configured = current.get()
     if configured is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tidewater-")
     if not current.isDefined():
         spark.sparkContext.setCheckpointDir(configured)

@@ -20,7 +20,7 @@ from ..operators.dedup import latest_event
 from ..schemas import MART_CODEC
 from ..session import configure
 from .events import EventLake
-from .tables import read_table, spread_small
+from .tables import read_table
 
 FAR_FUTURE = "9999-12-31"
 
@@ -236,10 +236,16 @@ class DerivedStar(Star):
     # -- dimensions ---------------------------------------------------------
 
     def _dim_date(self, want) -> DataFrame:
-        days = self.raw("orders").agg(
-            F.min(F.to_date("o_orderdate")).alias("first_day"), F.max(F.to_date("o_orderdate")).alias("last_day")
-        )
-        return derived.calendar(days)
+        """Every day any fact can point to: orders with the longest lead time and its
+        variance, shipments with deliveries and returns, events with redeliveries."""
+        ordered, shipped, event = F.to_date("o_orderdate"), F.to_date("l_shipdate"), F.to_date("ts")
+        spans = [
+            self.raw("orders").agg(F.min(ordered).alias("a"), F.date_add(F.max(ordered), max(CONTRACT_DAYS.values()) + 12).alias("b")),
+            self.raw("lineitem").agg(F.min(shipped).alias("a"), F.date_add(F.max(shipped), 10).alias("b")),
+            self.lake.events.agg(F.min(event).alias("a"), F.date_add(F.max(event), 1).alias("b")),
+        ]
+        every = spans[0].unionByName(spans[1]).unionByName(spans[2])
+        return derived.calendar(every.agg(F.min("a").alias("first_day"), F.max("b").alias("last_day")))
 
     def _dim_product(self, want) -> DataFrame:
         return self._shared("products", self._products)
@@ -363,7 +369,7 @@ class DerivedStar(Star):
     # -- facts from order lines ---------------------------------------------
 
     def _lines(self, want: set[str], order_columns: set[str], fact_needs_all: bool) -> DataFrame:
-        li = spread_small(self.raw("lineitem"))
+        li = self.raw("lineitem")
         if fact_needs_all or want & order_columns:
             o = self.raw("orders").select(
                 F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("o_date")
@@ -560,8 +566,8 @@ class DerivedStar(Star):
         return self.raw("orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
 
     def last_event_day(self) -> Column:
-        """Last calendar day of the event table, as a scalar subquery."""
-        return self.lake.events.agg(F.max(F.to_date("ts"))).scalar()
+        """Last day with a movement, as a scalar subquery: the snapshot's last day for every site."""
+        return self.movements().agg(F.max("day")).scalar()
 
     def _fact_snapshot(self, want) -> DataFrame:
         everything = not want

@@ -9,18 +9,3 @@ from ..schemas import TABLES
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give an input of less than one scan split to all cores.
-
-    Such an input is read by a single task, so costly per-row work would run on
-    one core. The size comes from the scan's statistics; anything larger keeps
-    the partitions of its files and is never shuffled here.
-    """
-    spark = df.sparkSession
-    one_split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= one_split:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
