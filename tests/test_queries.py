@@ -4,8 +4,10 @@ import pytest
 from compare import compare
 
 import __spark_entry__ as entry
+import oracle
+from tidewater.plans.registry import all_queries
 
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+QUERIES, STATEMENTS = all_queries(), oracle.statements()
 ROWS_ONLY = sorted(set(QUERIES) - set(STATEMENTS))
 
 
@@ -30,6 +32,10 @@ def test_returns_rows(name, spark, small):
     assert QUERIES[name](spark, small).count() > 0
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(STATEMENTS) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "event_date" and df.count() > 0
