@@ -115,6 +115,29 @@ def test_upsert_rewrites_touched_partitions_only(spark):
     assert files(1) == before[0] and files(2) != before[1]
 
 
+def test_upsert_reads_only_the_span_of_its_source(spark):
+    path = scratch_path(spark, "t")
+    storage.create_mart(mart(spark, [(d, "a", 1) for d in (1, 2, 3)]), path, ["d"])
+    part = storage.between_ends(spark.read.parquet(path), mart(spark, [(2, "a", 5)]), "d")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert ">=" in filters and "<=" in filters
+    assert part.count() == 1
+
+
+def test_lookback_reaches_the_files(spark):
+    import datetime
+
+    from tidewater.sources import landing
+
+    path = scratch_path(spark, "t")
+    spark.sql("SELECT timestamp_seconds(86400 * id) AS timestamp, id FROM range(40)").write.parquet(path)
+    new = landing.since_lookback(spark.read.parquet(path), "timestamp", datetime.date(1970, 1, 31), 3)
+    assert sorted(r.id for r in new.collect()) == list(range(27, 40))
+    assert "GreaterThanOrEqual(timestamp" in new._jdf.queryExecution().executedPlan().toString()
+    assert landing.since_lookback(spark.read.parquet(path), "timestamp", None).count() == 40
+
+
 def test_compaction_keeps_rows_and_reduces_files(spark):
     path = scratch_path(spark, "t")
     df = spark.range(1000).select((F.col("id") % 2).alias("p"), "id")

@@ -44,6 +44,13 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def between_ends(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
+    """``target`` from the first to the last partition value of ``source``, as literals, so
+    that only those directories are listed and read."""
+    low, high = source.agg(F.min(partition), F.max(partition)).first()
+    return target if low is None else target.where(F.col(partition).between(F.lit(low), F.lit(high)))
+
+
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition: str) -> None:
     """Insert or replace rows by key; only partitions the source touches are rewritten.
 
@@ -56,7 +63,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     source = spark.read.parquet(staged)
     if exists(spark, path):
         touched = source.select(partition).distinct()
-        target = spark.read.schema(source.schema).parquet(path)
+        target = between_ends(spark.read.schema(source.schema).parquet(path), source, partition)
         kept = target.join(touched, partition, "left_semi").join(source.select(*keys), keys, "left_anti")
         merged = kept.select(*source.columns).unionByName(source)
         _writer(merged.hint("rebalance", partition), "overwrite", [partition]).option(

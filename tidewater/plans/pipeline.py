@@ -52,8 +52,8 @@ def refresh_marts(spark: SparkSession, root: str, lookback_days: int | None = No
             report[topic] = "skipped: no source table"
             continue
         if lookback_days is not None and storage.exists(spark, f"{root}/{path}"):
-            newest = spark.read.parquet(f"{root}/{path}").agg(F.max(day)).scalar()
-            source = landing.since_lookback(source, F.to_date("timestamp"), newest, lookback_days)
+            newest = spark.read.parquet(f"{root}/{path}").agg(F.max(day)).first()[0]
+            source = landing.since_lookback(source, "timestamp", newest, lookback_days)
         storage.upsert(spark, f"{root}/{path}", build(source), keys, day)
         report[topic] = "ok"
     return report

@@ -45,9 +45,9 @@ def upsert_inventory_mart(star: DerivedStar) -> DataFrame:
 def incremental_lookback(star: DerivedStar) -> DataFrame:
     """New and late sales events for a mart that was loaded up to January 20."""
     silver = star.lake.silver_sales()
-    loaded = silver.where("timestamp < TIMESTAMP '2024-01-21 00:00:00'").agg(F.max(F.to_date("timestamp"))).scalar()
+    loaded = silver.where("timestamp < TIMESTAMP '2024-01-21 00:00:00'").agg(F.max(F.to_date("timestamp"))).first()[0]
     day = F.to_date("timestamp")
-    return landing.since_lookback(silver, day, loaded).groupBy(day.alias("event_date")).agg(F.count("*").alias("rows"))
+    return landing.since_lookback(silver, "timestamp", loaded).groupBy(day.alias("event_date")).agg(F.count("*").alias("rows"))
 
 
 @query

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date, datetime, time, timedelta
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,14 +31,16 @@ def table_or_none(spark, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-def since_lookback(source: DataFrame, date: Column, target_max: Column, days: int = 3) -> DataFrame:
+def since_lookback(source: DataFrame, stamp: str, newest: date | None, days: int = 3) -> DataFrame:
     """Source rows from ``days`` before the newest date already loaded.
 
-    ``target_max`` is a literal or a scalar subquery, so the filter reaches the
-    scan as a predicate. An empty target loads everything.
+    The stored timestamp is compared with a literal, so the filter reaches the files
+    and their row groups. An empty target (None) loads everything.
     """
-    first = F.date_sub(target_max, days)
-    return source.where(first.isNull() | (date >= first))
+    if newest is None:
+        return source
+    first = datetime.combine(newest - timedelta(days=days), time.min).isoformat(" ")
+    return source.where(F.col(stamp) >= F.lit(first).cast("timestamp"))
 
 
 def as_of(df: DataFrame, ingested: str, moment: str) -> DataFrame:
