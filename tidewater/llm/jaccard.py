@@ -38,8 +38,8 @@ from .textbytes import LOWER, chunks, mix, window_hashes, words_of
 
 N, PERCENT = 5, 75
 FRAGMENTS = 16
-LIGHT = 2  # rounds in which each class meets one pivot
-PIVOTS = 16  # times as many pivots of a list in each later round
+LIGHT = 1  # rounds in which each class meets one pivot
+PIVOTS = 256  # times as many pivots of a list in each later round
 FLUSH = 2_000_000  # n-grams sent together
 _NO_ID = 1 << 62  # nodes of rows without an id begin here
 _U = np.uint64
@@ -271,7 +271,9 @@ def linked_classes(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         )
         p = {c: F.col("p")[c] for c in ("alone", "uid", "n", "at", "label")}
         few, many = F.least("n", p["n"]), F.greatest("n", p["n"])
-        rest = F.least(F.col("n") - F.col("at"), p["n"] - p["at"]) + F.least(F.col("at"), p["at"])
+        # in the list of the first n-gram they share, two sets can have no more in common
+        # than what either has from there on; other lists need not find the pair
+        rest = F.least(F.col("n") - F.col("at"), p["n"] - p["at"])
         pairs = entries.join(pivots, "token").where((F.col("label") != p["label"]) & (100 * few >= percent * many) & _enough(F.col("n"), p["n"], rest, percent))
         later = F.col("uid") > p["uid"]
         pairs = pairs.select(
@@ -285,13 +287,15 @@ def linked_classes(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         if turn < LIGHT:
             pairs = pairs.groupBy("uid").agg(F.min_by(F.struct(*ends), "rank").alias("best")).select("best.*")
         pairs = written(pairs.select(*ends).distinct(), "jaccard-pairs")
-        shared = _overlaps(pairs.select("x", "y"), lists).join(pairs, ["x", "y"])
-        good = written(shared.where(_enough(F.col("x_n"), F.col("y_n"), F.col("overlap"), percent)).select("x", "y"), "jaccard-links")
+        good = None
+        if not pairs.isEmpty():
+            shared = _overlaps(pairs.select("x", "y"), lists).join(pairs, ["x", "y"])
+            good = written(shared.where(_enough(F.col("x_n"), F.col("y_n"), F.col("overlap"), percent)).select("x", "y"), "jaccard-links")
         tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
-        if turn >= LIGHT:  # these have met their whole list
+        if turn >= LIGHT:  # the pivots of this round have met their whole list
             spent = pivots.select("token", p["uid"].alias("uid"))
             entries = entries.join(spent, ["token", "uid"], "left_anti")
-        if not good.isEmpty():
+        if good is not None and not good.isEmpty():
             linked = good.join(nodes.select(F.col("uid").alias("x"), F.col("node").alias("x_node")), "x").join(
                 nodes.select(F.col("uid").alias("y"), F.col("node").alias("y_node")), "y"
             ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
