@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, jaccard, licenses, packing, pages, quality, search, substrings, unigram
+from .scratch import on_workers
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return on_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
@@ -16,3 +18,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Lets Python workers that begin elsewhere import this package from where it lies.
+    On a cluster it has to lie there on every executor, or come by ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark
