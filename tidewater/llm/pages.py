@@ -5,8 +5,8 @@ classes and ids of its path, hashed words, and a few sizes. A bidirectional LSTM
 numpy reads the sequence both ways and labels every block as article or not, so the
 label of a block depends on the whole page.
 
-The network is trained when the operator is built, on ``SAMPLE`` pages at most (those
-with the smallest hash, of at most ``SAMPLE_CHARS`` characters): their blocks are
+The network is trained when the operator is built, on about ``SAMPLE`` pages (chosen by
+hash, of at most ``SAMPLE_CHARS`` characters): their blocks are
 labelled by the markup around them (``_weak_labels``), and each page is used again in
 other dresses (``_dressed``) whose blocks have known labels: other containers for the
 article, with sidebars, reader comments, notices, forms and headers around it.
@@ -350,11 +350,21 @@ def label(model: Labeller, parsed: list[list[tuple[tuple, str, int]]]) -> list[n
     return out
 
 
+def sampled(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> list[str]:
+    """About ``SAMPLE`` pages, at most twice as many, chosen by the hash of id and url: pages
+    below a hash that their number sets, so tasks send the driver nothing but these."""
+    short = pages.where(F.length(html_col).between(1, SAMPLE_CHARS))
+    n = short.count()
+    if not n:
+        return []
+    cut = min(1.0, SAMPLE / n) * 2**63
+    chosen = short.where(F.xxhash64(id_col, url_col).bitwiseAND(2**63 - 1) <= min(int(cut), 2**63 - 1))
+    return [r[0] for r in chosen.select(html_col).limit(2 * SAMPLE).collect()]
+
+
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page; row by row, without a shuffle."""
-    short = pages.where(F.length(html_col).between(1, SAMPLE_CHARS))
-    sample = short.select(html_col, F.xxhash64(html_col).alias("h")).orderBy("h").limit(SAMPLE).collect()
-    model = fit([r[0] for r in sample])
+    model = fit(sampled(pages, id_col, url_col, html_col))
 
     def work(batches):
         for batch in batches:
