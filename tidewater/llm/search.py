@@ -20,7 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, GROUP = 16_384, 2_048  # candidates of a block, queries of a group
+from .scratch import shuffle_partitions
+
+BLOCK, SMALL, GROUP = 16_384, 256, 2_048  # most and least candidates of a block, queries of a group
 SCALE = 256
 
 
@@ -91,7 +93,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     Every block meets every group of queries once, so a vector is sent once for each
     group and a query once for each block.
     """
-    blocks = 1 + vectors.count() // BLOCK
+    n = vectors.count()
+    blocks = max(1 + n // BLOCK, min(shuffle_partitions(vectors), 1 + n // SMALL))  # enough for all tasks
     groups = 1 + queries.count() // GROUP
     part = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
