@@ -210,15 +210,16 @@ def derived(conversations: DataFrame) -> DataFrame:
     said = conversations.where("role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL").select(
         "conv_id", "turn", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")
     )
-    name = lambda k: F.concat(F.lit("c"), F.col("turn").cast("string"), F.lit("-"), k.cast("string"))
+    said = said.withColumnRenamed("turn", "said_at")
+    name = lambda k: F.concat(F.lit("c"), F.col("said_at").cast("string"), F.lit("-"), k.cast("string"))
     calls = F.transform("lines", lambda line, k: F.struct(
         name(k).alias("id"), F.when(k % 2 == 0, "count_words").otherwise("store_line").alias("name"),
         F.struct(F.when(k % 2 == 1, k).alias("line"), line.alias("text")).alias("arguments"),
         F.when(k + 1 < F.size("lines"), F.array(name(k + 1))).alias("after"),
     ))
-    asked = said.select("conv_id", (2 * F.col("turn")).alias("turn"), F.lit("assistant").alias("role"), F.to_json(F.struct(calls.alias("tool_calls"))).alias("text"))
-    answers = said.select("conv_id", "turn", F.posexplode("lines").alias("k", "line")).where("k % 2 = 0").select(
-        "conv_id", (2 * F.col("turn") + 1).alias("turn"), F.lit("tool").alias("role"),
+    asked = said.select("conv_id", (2 * F.col("said_at")).alias("turn"), F.lit("assistant").alias("role"), F.to_json(F.struct(calls.alias("tool_calls"))).alias("text"))
+    answers = said.select("conv_id", "said_at", F.posexplode("lines").alias("k", "line")).where("k % 2 = 0").select(
+        "conv_id", (2 * F.col("said_at") + 1).alias("turn"), F.lit("tool").alias("role"),
         F.to_json(F.struct(name(F.col("k")).alias("tool_call_id"), F.length("line").cast("string").alias("content"))).alias("text"),
     )
     return asked.unionByName(answers)
