@@ -18,20 +18,22 @@ def _linked(a, b, edges: DataFrame) -> DataFrame:
     return edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b")
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and on none that hangs itself."""
+    total, hanging = edges.agg(F.count("*"), F.count_distinct("a")).first()
+    tops = edges.select(F.col("b").alias("a")).distinct()
+    return total == hanging and edges.join(tops, "a", "left_semi").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of links (x, y): the smallest node it can reach.
 
     A large star hangs the larger partners of each node onto its smallest one, a small
-    star the smaller partners and the node itself. When neither changes anything, every
-    node hangs on the smallest of its component.
+    star the smaller partners and the node itself. In the end every node hangs on one
+    other, which hangs on none: the smallest of its component.
     """
     edges = written(_linked(F.col("x"), F.col("y"), links).distinct(), "components")
-    mark = None
-    while True:
-        count, sums = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if (count, sums) == mark or not count:
-            break
-        mark = count, sums
+    while not _only_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = both.join(_least(both), "a").where("b > a")
         edges = written(_linked(F.col("b"), F.col("m"), large).distinct(), "components")
