@@ -1,11 +1,13 @@
-"""Quality rules whose thresholds follow the data, with DataFrame functions only.
+"""Quality rules with thresholds from the data above fixed floors, with DataFrame functions only.
 
 Each document gets a few counts. Their ratios, in thousandths, go into one sketch per
 language, source and ratio: a count for each value, which merges by addition, is exact
 to a thousandth and never exceeds ``TOP`` + 1 entries however many documents there are.
 A threshold is the sketch's far-out fence, Q3 + ``REACH`` * (Q3 - Q1), but never below
 ``FLOOR``; a group of fewer than ``ENOUGH`` documents uses the sketch of its language,
-a language of fewer that of all documents. Documents are then joined with their
+a language of fewer that of all documents. Where most documents have ratio 0 both
+quartiles are 0, the fence is 0 and ``FLOOR`` alone decides, as a fixed cutoff; the README
+counts how often. Documents are then joined with their
 thresholds: kept are those that pass the base rules and no ratio above its threshold.
 
 Null texts have no words and fail; null languages and sources are groups of their own.
