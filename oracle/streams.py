@@ -6,6 +6,8 @@ DLQ = 'kafka_key, raw_payload, error_reason, topic, "partition", "offset", kafka
 SQL = {
     "stream_bronze": f"SELECT {COLS} FROM bronze_sales UNION ALL SELECT {COLS} FROM bronze_inv",
     "stream_silver": "SELECT * EXCLUDE (ingested_at) FROM silver_sales",
+    "stream_silver_inventory": "SELECT * EXCLUDE (ingested_at) FROM silver_inv",
     "stream_dlq": f"""SELECT {DLQ} FROM class_sales WHERE error_reason IS NOT NULL UNION ALL SELECT {DLQ} FROM class_inv WHERE error_reason IS NOT NULL""",
     "stream_restart": "SELECT count(*) AS rows, count(*) AS messages, 0::BIGINT AS repeated FROM bronze_sales",
+    "stream_restart_inventory": "SELECT count(*) AS rows, count(*) AS messages, 0::BIGINT AS repeated FROM bronze_inv",
 }

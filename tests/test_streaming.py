@@ -5,9 +5,12 @@ import datetime as dt
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from tidewater.plans import streams
+from tidewater.plans.registry import all_queries
 from tidewater.schemas import BRONZE, INVENTORY, SALES
 from tidewater.session import scratch_path
 from tidewater.sources.events import EventLake
+from tidewater.sources.star import DerivedStar
 from tidewater.streaming import jobs, progress
 
 T0 = dt.datetime(2024, 1, 5)
@@ -81,3 +84,34 @@ def test_progress_rows_add_up(spark, small):
     metrics = progress.stream_metrics(rows).first()
     assert metrics.input_rows == lake.bronze(SALES).count() and metrics.batches == 3
     assert progress.backpressure(rows, 10, 10**9).first().over_cap == 3
+
+
+def test_recorded_progress_outlives_the_bounded_list(spark, small):
+    base = scratch_path(spark, "r")
+    lake = EventLake(spark, small)
+    columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
+    lake.messages(SALES).select(*columns).repartition(5).write.parquet(f"{base}/in")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        with progress.recorded(spark) as recorder:
+            q = jobs.bronze_ingest(jobs.file_source(spark, f"{base}/in", max_files=1), f"{base}/out", f"{base}/c", "long", once=True)
+            q.awaitTermination()
+            rows = recorder.rows([q])
+        assert len(q.recentProgress) < 5
+    finally:
+        spark.conf.set(key, before)
+    metrics = progress.stream_metrics(rows).first()
+    assert metrics.batches == 5 and metrics.input_rows == lake.bronze(SALES).count()
+
+
+def test_progress_queries_cover_both_topics(spark, small):
+    lake = EventLake(spark, small)
+    totals = {t: lake.bronze(t).count() for t in (SALES, INVENTORY)}
+    metrics = {r.query_name: r.input_rows for r in all_queries()["stream_metrics"](spark, small).collect()}
+    assert metrics == {f"{kind}_{t}": n for t, n in totals.items() for kind in ("bronze", "silver")}
+    pressed = {r.query_name: r for r in all_queries()["stream_backpressure"](spark, small).collect()}
+    assert set(pressed) == {f"bronze_{t}" for t in totals} and all(r.over_cap == 0 and 0 < r.largest_batch <= totals[n[7:]] for n, r in pressed.items())
+    tight = streams.stream_backpressure(DerivedStar(spark, small), cap=1).collect()
+    assert all(r.over_cap > 0 for r in tight)

@@ -56,10 +56,20 @@ def stream_bronze(star: DerivedStar) -> DataFrame:
     return bronze[0].unionByName(bronze[1]).drop("ingested_at")
 
 
+def _silver(star: DerivedStar, topic: str) -> DataFrame:
+    base = _flow(star, [topic], silver=True)
+    return storage.read_fed(star.spark, f"{base}/silver_{topic}").drop("ingested_at", "transformed_at")
+
+
 @query
 def stream_silver(star: DerivedStar) -> DataFrame:
-    base = _flow(star, [SALES], silver=True)
-    return storage.read_fed(star.spark, f"{base}/silver_{SALES}").drop("ingested_at", "transformed_at")
+    """The sales topic; the topics' silver columns differ, so each has a query."""
+    return _silver(star, SALES)
+
+
+@query
+def stream_silver_inventory(star: DerivedStar) -> DataFrame:
+    return _silver(star, INVENTORY)
 
 
 @query
@@ -69,32 +79,48 @@ def stream_dlq(star: DerivedStar) -> DataFrame:
     return dlq[0].unionByName(dlq[1]).select("kafka_key", "raw_payload", "error_reason", "topic", "partition", "offset", "kafka_timestamp")
 
 
-@query
-def stream_restart(star: DerivedStar) -> DataFrame:
+def _restart(star: DerivedStar, topic: str) -> DataFrame:
     """Messages arrive in two halves with a stop between them; the second run
     resumes from the checkpoint."""
     base = scratch_path(star.spark, "stream")
     for half in ("partition < 8", "partition >= 8"):
-        publish(star, SALES, f"{base}/{SALES}", half)
-        ingest(star, SALES, base, max_files=3)
-    bronze = star.spark.read.parquet(f"{base}/bronze_{SALES}")
+        publish(star, topic, f"{base}/{topic}", half)
+        ingest(star, topic, base, max_files=3)
+    bronze = star.spark.read.parquet(f"{base}/bronze_{topic}")
     per_message = bronze.groupBy("topic", "partition", "offset").agg(F.count("*").alias("copies"))
     return per_message.agg(
         F.sum("copies").alias("rows"), F.count("*").alias("messages"), F.count_if(F.col("copies") > 1).alias("repeated")
     )
 
 
+@query
+def stream_restart(star: DerivedStar) -> DataFrame:
+    return _restart(star, SALES)
+
+
+@query
+def stream_restart_inventory(star: DerivedStar) -> DataFrame:
+    return _restart(star, INVENTORY)
+
+
 @query
 def stream_metrics(star: DerivedStar) -> DataFrame:
     base = scratch_path(star.spark, "stream")
-    publish(star, SALES, f"{base}/{SALES}")
-    runs = [ingest(star, SALES, base, max_files=2), validate(star, SALES, base)]
-    return progress.stream_metrics(progress.progress_rows(star.spark, runs))
+    with progress.recorded(star.spark) as recorder:
+        runs = []
+        for t in TOPICS:
+            publish(star, t, f"{base}/{t}")
+            runs += [ingest(star, t, base, max_files=2), validate(star, t, base)]
+        return progress.stream_metrics(recorder.rows(runs))
 
 
 @query
-def stream_backpressure(star: DerivedStar) -> DataFrame:
+def stream_backpressure(star: DerivedStar, cap: int = 50_000, trigger_ms: int = 5000) -> DataFrame:
+    """Batches of both topics over ``cap`` rows or slower than the trigger interval."""
     base = scratch_path(star.spark, "stream")
-    publish(star, INVENTORY, f"{base}/{INVENTORY}")
-    run = ingest(star, INVENTORY, base, max_files=1)
-    return progress.backpressure(progress.progress_rows(star.spark, [run]), jobs.MAX_ROWS_PER_BATCH, 5000)
+    with progress.recorded(star.spark) as recorder:
+        runs = []
+        for t in TOPICS:
+            publish(star, t, f"{base}/{t}")
+            runs.append(ingest(star, t, base, max_files=1))
+        return progress.backpressure(recorder.rows(runs), cap, trigger_ms)

@@ -64,9 +64,8 @@ def bronze_ingest(messages: DataFrame, path: str, checkpoint: str, name: str, on
 
 def route_batch(batch: DataFrame, batch_id: int, topic: str, silver_path: str, dlq_path: str) -> None:
     """Split one micro-batch. Each side replaces its own ``batch_id`` directory,
-    so a batch that runs again after a failure leaves no second copy."""
-    if batch.isEmpty():
-        return
+    so a batch that runs again after a failure leaves no second copy. The batch itself is
+    only read through the persisted rows: its progress report counts each row read."""
     classified = parsing.classify(parsing.parse_permissive(batch, topic), topic).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sides = [
