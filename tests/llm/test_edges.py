@@ -332,6 +332,14 @@ def test_licenses(docs, empty):
     assert rows[13].base_labels == "cc-by,gpl,reserved" and licenses.scanned(empty).count() == 0
 
 
+@pytest.mark.parametrize("before", ["ends in c", "C", "publi", "redistributionc", ""])
+def test_license_hints_do_not_depend_on_neighbours(spark, before):
+    """A hint that begins in the text before takes nothing from the next text."""
+    df = spark.createDataFrame([(1, before), (2, "CC BY"), (3, before)], "doc_id long, text string").coalesce(1)
+    r = licenses.scanned(df).where("doc_id = 2").first()
+    assert (r.n_base, r.first_word, r.last_word, r.base_labels) == (1, 0, 0, "cc-by")
+
+
 @pytest.mark.parametrize(
     "text, label",
     [
