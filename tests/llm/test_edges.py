@@ -158,6 +158,33 @@ def test_search_ties_nulls_and_repeats(spark):
     assert search.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind, limit", [("float", 3e38), ("double", 1.7e308)])
+def test_search_takes_every_finite_vector(spark, monkeypatch, kind, limit):
+    """Infinite components of either sign end nothing; scores are exact however large they are."""
+    from fractions import Fraction
+
+    rnd = random.Random(21)
+    sizes = [1.0, 1e6, 8_388_608.0, 3e9, 1e15, 1e19, limit]
+    table = [(k, [float(np.float32(x)) if kind == "float" else x for x in (rnd.choice([-1, 1]) * rnd.random() * rnd.choice(sizes) for _ in range(rnd.randint(1, 4)))]) for k in range(120)]
+    table += [(200 + k, [v, 1.0]) for k, v in enumerate([limit, -limit, 8_388_608.0, -8_388_608.0, 1.0, 1.0])]
+    bad = [(250, [-float("inf"), 1.0]), (300, [1.0, float("inf")]), (350, [float("nan")]), (400, [None])]
+    df = spark.createDataFrame(table + bad, f"vec_id long, embedding array<{kind}>").repartition(3)
+    monkeypatch.setattr(search, "BLOCK", 40)
+    exact = lambda x: (Fraction(float(np.float32(x)) if kind == "float" else x) * 256).__floor__()
+    whole = {i: [exact(x) for x in v] for i, v in table}
+
+    def plain(ids, queries):
+        for q in queries:
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in ids if i != q)
+            yield from [(q, r + 1, i, -s if -(2**63) <= -s < 2**63 else None) for r, (s, i) in enumerate(scores[:5])]
+
+    vectors = search.integer_vectors(df)
+    rows = got(search.top_k(vectors, vectors.where("vec_id % 50 = 0")))
+    assert rows == list(plain(whole, sorted(i for i in whole if i % 50 == 0))) and rows[0][3] is None
+    fitting = vectors.where("vec_id between 202 and 205")
+    assert got(search.top_k(fitting, fitting)) == list(plain(range(202, 206), range(202, 206)))
+
+
 def test_search_blocks_agree_with_one_block(spark, monkeypatch):
     rnd = random.Random(5)
     df = spark.createDataFrame([(k, [round(rnd.uniform(-1, 1), 2) for _ in range(4)]) for k in range(300)], "vec_id long, embedding array<double>")

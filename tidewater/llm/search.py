@@ -7,10 +7,14 @@ term adds query weight times posting weight into dense rows of scores, one place
 candidate. Partition selection leaves k candidates of a block for each query; a window
 merges the blocks.
 
-Vectors that are null or hold null or non-finite components, or components whose
-integer needs more than 31 bits, take no part, nor do rows without an id. Rows with
-one id are one vector, the largest by array order. Shorter vectors lack the terms
-beyond their end. Ties go to the smaller id; an empty table gives an empty result.
+Vectors that are null or hold null or non-finite components take no part, nor do rows
+without an id. Rows with one id are one vector, the largest by array order. Shorter vectors
+lack the terms beyond their end. Ties go to the smaller id; an empty table gives an empty
+result.
+
+Scores are added in 64 bits where no sum can exceed them; vectors with larger weights are
+scored with whole numbers of any length, so every rank is exact. A score that 64 bits do
+not hold is null in the result.
 """
 
 from __future__ import annotations
@@ -26,20 +30,60 @@ BLOCK, SMALL, GROUP = 16_384, 256, 2_048  # most and least candidates of a block
 SCALE = 256
 
 
+UNIT = 64  # integer_vectors gives weights as doubles in units of 2**-UNIT: none overflows
+FAR = 1 << 2240  # more than any score of doubles; makes sort keys of scores beyond 64 bits
+
+
 def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, weights): floor(scale * x) of every component, as array<long>."""
-    sound = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.floor(scale * x.cast("double"))) < 2**31))
-    weights = F.transform(F.col(vector_col), lambda x: F.floor(scale * x.cast("double")))
+    """(vec_id, weights): floor(scale * x) of every component, as array<double> in units of 2**-UNIT."""
+    number = lambda x: x.cast("double")
+    sound = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(number(x)) & (F.abs(number(x)) < float("inf")))
+    unit = F.lit(2.0**-UNIT)
+    weights = F.transform(F.col(vector_col), lambda x: F.when(  # from 2**52 on a double has no fraction
+        F.abs(scale * number(x)) < 2.0**52, F.floor(scale * number(x)).cast("double") * unit
+    ).otherwise(scale * (number(x) * unit)))
     rows = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & sound)
     return rows.select(F.col(id_col).cast("long").alias("vec_id"), weights.alias("weights")).groupBy("vec_id").agg(F.max("weights").alias("weights"))
 
 
-def _matrix(weights: pd.Series) -> np.ndarray:
+def _whole(w) -> int:
+    """A weight as a whole number: a long, or a double in units of 2**-UNIT."""
+    if isinstance(w, float):
+        n, d = w.as_integer_ratio()
+        return (n << UNIT) // d
+    return int(w)
+
+
+def _matrix(weights: pd.Series) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Weights of the rows that 64 bits hold safely, and the other rows (zero there) by place.
+    A product of two safe weights, summed over all terms, stays below 2**63."""
     width = max(map(len, weights), default=0)
-    out = np.zeros((len(weights), width), np.int64)
-    for row, w in zip(out, weights):
-        row[: len(w)] = w
-    return out
+    safe = 1 << (62 - width.bit_length()) // 2
+    out, wide = np.zeros((len(weights), width), np.int64), {}
+    for place, w in enumerate(weights):
+        w = np.asarray(w)
+        unit = 2.0**UNIT if w.dtype.kind == "f" else 1
+        if ((w < safe / unit) & (w > -safe / unit)).all():
+            out[place, : len(w)] = w * unit
+        else:
+            wide[place] = np.array([_whole(x) for x in w.tolist()], object)
+    return out, wide
+
+
+def _exact(a: np.ndarray, b: np.ndarray) -> int:
+    return sum(int(x) * int(y) for x, y in zip(a, b) if x and y)
+
+
+def _with_wide(row: np.ndarray, query: int, asked, candidates) -> np.ndarray:
+    """The scores of a query with those that involve a wide vector put in, exactly."""
+    (terms, wide_terms), (table, wide) = asked, candidates
+    own = wide_terms.get(query, terms[query])
+    places = range(len(row)) if query in wide_terms else wide
+    exact = [_exact(own, wide.get(place, table[place])) for place in places]
+    if any(abs(x) >= 1 << 63 for x in exact):
+        row = row.astype(object)
+    row[list(places)] = exact
+    return row
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
@@ -63,9 +107,9 @@ def _search(k: int):
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(candidates) and len(queries):
             candidates = candidates.sort_values("vec_id")
-            ids, table = candidates["vec_id"].to_numpy(), _matrix(candidates["weights"])
+            ids, (table, wide) = candidates["vec_id"].to_numpy(), _matrix(candidates["weights"])
             postings = [(rows, column[rows]) for column in table.T for rows in [np.flatnonzero(column)]]
-            asked, terms = queries["vec_id"].to_numpy(), _matrix(queries["weights"])
+            asked, (terms, wide_terms) = queries["query_id"].to_numpy(), _matrix(queries["terms"])
             step = max(1, (1 << 21) // len(ids))
             for at in range(0, len(asked), step):
                 some = terms[at : at + step]
@@ -76,12 +120,19 @@ def _search(k: int):
                             scores[place] += weights[place] * values
                         else:
                             scores[place, rows] += weights[place] * values
-                for query, row in zip(asked[at : at + step], scores):
+                for place, (query, row) in enumerate(zip(asked[at : at + step], scores), at):
+                    if wide or place in wide_terms:
+                        row = _with_wide(row, place, (terms, wide_terms), (table, wide))
                     best = _best(row, ids, query, k)
                     out["query_id"] += [query] * len(best)
                     out["vec_id"] += ids[best].tolist()
                     out["score"] += row[best].tolist()
-        return pd.DataFrame({name: np.array(values, np.int64) for name, values in out.items()})
+        fits = [-(1 << 63) <= x < 1 << 63 for x in out["score"]]
+        return pd.DataFrame({
+            "query_id": np.array(out["query_id"], np.int64), "vec_id": np.array(out["vec_id"], np.int64),
+            "score": pd.array([x if f else None for x, f in zip(out["score"], fits)], "Int64"),
+            "far": pd.Series([None if f else f"{x + FAR:0561x}" for x, f in zip(out["score"], fits)], dtype=object),
+        })
 
     return work
 
@@ -99,9 +150,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     part = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = vectors.select("vec_id", "weights", part(blocks).alias("block"), every(groups).alias("group"))
-    right = queries.select("vec_id", "weights", every(blocks).alias("block"), part(groups).alias("group"))
+    right = queries.select(F.col("vec_id").alias("query_id"), F.col("weights").alias("terms"), every(blocks).alias("block"), part(groups).alias("group"))
     found = left.groupBy("block", "group").cogroup(right.groupBy("block", "group")).applyInPandas(
-        _search(k), "query_id long, vec_id long, score long"
+        _search(k), "query_id long, vec_id long, score long, far string"
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    side = F.when(F.col("far").isNull(), 0).when(F.col("far").startswith("1"), 1).otherwise(-1)  # beyond 64 bits: above or below
+    order = Window.partitionBy("query_id").orderBy(side.desc(), F.col("score").desc(), F.col("far").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
