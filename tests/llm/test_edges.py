@@ -103,6 +103,18 @@ def test_blocks_of_a_page():
     assert [path[-1][0] for path, _, _ in found] == ["nav", "h1", "p", "p"] and found[0][2] == 4
 
 
+@pytest.mark.parametrize("inside", ["for(i=0;i<n;i++){f()}", "var s='<!--';", "if (a<b) x='</p>'", "x = '</scripts>' + \"'\"", "/* it's */"])
+@pytest.mark.parametrize("name", ["script", "STYLE", "textarea"])
+def test_raw_elements_end_at_their_own_closing_tag(name, inside):
+    page = f"<article><p>one</p><{name}>{inside}</{name.swapcase()} ><p>two</p><svg><{name}>{inside}</{name}><path d='M'/></svg><p>three</article><{name}>{inside}"
+    assert [t for _, t, _ in pages.blocks(page)] == ["one", "two", "three"]
+
+
+def test_formulas_and_objects_are_text():
+    page = "<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be<object data=f><p>a &lt; b</p></object><script src='f'/><p>end"
+    assert [t for _, t, _ in pages.blocks(page)] == ["let x=2 be", "a < b", "end"]
+
+
 def test_labeller_learns_on_held_out_dresses():
     rng = np.random.default_rng(3)
     made = []

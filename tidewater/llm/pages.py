@@ -37,10 +37,12 @@ BATCH_CELLS = 1 << 14  # blocks labelled together, padding included
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _HOOK = re.compile(r"(?:\s|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-# Fixed values of the markup language: elements without content, with raw content, and within lines.
+# Fixed values of the markup language: elements without content, with raw text up to their
+# own closing tag, with content that is no text of the page, and within lines.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style noscript template iframe title textarea select svg math object canvas audio video button".split())
-_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in "script style noscript iframe title textarea".split()}
+_HIDDEN = set("template select svg canvas audio video button".split())
+_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded mphantom mfenced menclose semantics annotation".split())
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 _P_ENDS = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 
@@ -63,7 +65,7 @@ def blocks(page: str) -> list[tuple[tuple, str, int]]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = links = 0
-    raw = ""
+    hidden, at = "", 0
 
     def close() -> None:
         nonlocal linked
@@ -73,52 +75,57 @@ def blocks(page: str) -> list[tuple[tuple, str, int]]:
         parts.clear()
         linked = 0
 
-    for token in _TOKEN.findall(page):
+    while at < len(page):
+        token = _TOKEN.match(page, at)[0]
+        at += len(token)
         if token[0] != "<" or token == "<":
-            if not raw:
+            if not hidden:
                 parts.append(token)
                 if links:
                     linked += len(token.strip())
             continue
         if token[1] in "!?":
-            if token.startswith("<![CDATA[") and not raw:
+            if token.startswith("<![CDATA[") and not hidden:
                 parts.append(html.escape(token[9:-3]))
             continue
         if token[1] == "/":
             name = _NAME.match(token)[1].lower()
-            if raw:
-                raw = "" if name == raw else raw
+            if hidden:
+                hidden = "" if name == hidden else hidden
                 continue
             if name == "a":
                 links = max(0, links - 1)
             if name not in _INLINE:
                 close()
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] == name:
-                    del stack[at:]
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == name:
+                    del stack[depth:]
                     break
-                if name in _INLINE and stack[at][0] not in _INLINE:
+                if name in _INLINE and stack[depth][0] not in _INLINE:
                     break
             continue
-        if raw:
-            continue
         element = _element(token)
         name = element[0]
+        if name in _RAW_END and not token.endswith("/>"):  # no markup inside: on behind its closing tag
+            end = _RAW_END[name].search(page, at)
+            at = end.end() if end else len(page)
+        if hidden:
+            continue
         if name == "br":
             parts.append(" ")
             continue
         if name not in _INLINE:
             close()
             ends = _CLOSES.get(name) or ({"p"} if name in _P_ENDS else ())
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] in ends:
-                    del stack[at:]
-                elif stack[at][0] not in _INLINE:
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in ends:
+                    del stack[depth:]
+                elif stack[depth][0] not in _INLINE:
                     break
-        if name in _RAW:
+        if name in _HIDDEN:
             if not token.endswith("/>"):
-                raw = name
-        elif name not in _VOID and not token.endswith("/>"):
+                hidden = name
+        elif name not in _VOID and name not in _RAW_END and not token.endswith("/>"):
             if name == "a":
                 links += 1
             stack.append(element)
