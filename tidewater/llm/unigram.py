@@ -12,6 +12,10 @@ the best path never crosses from a word into the space before the next: texts ar
 there, and each distinct cut piece is counted once per worker. A vocabulary that has
 such pieces is refused.
 
+The pieces given to op 3 are those of a sentencepiece BPE model, whose scores are merge
+ranks: no unigram file is given, so they serve as a unigram vocabulary, and the counts are
+not those of sentencepiece.
+
 Null texts are empty; an empty text has no tokens. Repeated rows give repeated rows, an
 empty table an empty result, and further columns are ignored.
 """
