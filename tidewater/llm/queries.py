@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, licenses, minhash, packing, pages, quality, search, substrings, unigram
+from . import bpe, chat, collocations, jaccard, licenses, minhash, packing, pages, quality, search, substrings, unigram
 from .scratch import on_workers
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,3 +79,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.grouped(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

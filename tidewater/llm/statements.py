@@ -66,4 +66,35 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
-SQL = {"op4_topk_search": SEARCH, "op8_quality_rules": QUALITY}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+COLLOCATIONS = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+s AS (SELECT row, lang, string_split_regex(text, '[.,;:!?\x0A-\x0D]') AS pieces FROM d),
+p AS (SELECT row, lang, generate_subscripts(pieces, 1) AS piece, unnest(pieces) AS text FROM s),
+e AS (SELECT row, lang, piece, regexp_extract_all(text, '[^\x20\x09]+') AS words FROM p),
+w AS (SELECT row, lang, piece, generate_subscripts(words, 1) AS i, unnest(words) AS w1 FROM e),
+t AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY row, piece ORDER BY i)),
+n AS (SELECT lang, count(*) AS n FROM t GROUP BY lang),
+f1 AS (SELECT lang, w1, count(*) AS f FROM t GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM t WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM t WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+x AS (
+  SELECT lang, w1, w2, max(f) AS longer
+  FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+c AS (
+  SELECT lang, f2.w1 || ' ' || f2.w2 AS phrase, 1 AS cut, f2.f AS a, a.f AS l, b.f AS r
+  FROM f2 JOIN f1 a USING (lang, w1) JOIN f1 b ON b.lang = f2.lang AND b.w1 = f2.w2 LEFT JOIN x ON x.lang = f2.lang AND x.w1 = f2.w1 AND x.w2 = f2.w2
+  WHERE f2.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * f2.f)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 1, f3.f, a.f, b.f
+  FROM f3 JOIN f1 a ON a.lang = f3.lang AND a.w1 = f3.w1 JOIN f2 b ON b.lang = f3.lang AND b.w1 = f3.w2 AND b.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 2, f3.f, a.f, b.f
+  FROM f3 JOIN f2 a ON a.lang = f3.lang AND a.w1 = f3.w1 AND a.w2 = f3.w2 JOIN f1 b ON b.lang = f3.lang AND b.w1 = f3.w3),
+g AS (SELECT *, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM c),
+h AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM h JOIN n USING (lang)) WHERE rank <= 2000"""
+
+SQL = {"op4_topk_search": SEARCH, "op8_quality_rules": QUALITY, "op12_collocations": COLLOCATIONS}
