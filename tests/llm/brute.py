@@ -135,3 +135,53 @@ def tool_rows(messages: list[tuple], tools: set[str]) -> list[tuple]:
         body = {"arguments": c["arguments"], "id": c["id"], "name": c["name"]} | ({} if result is None else {"result": result})
         out.append((conv, turn, c["id"], bad or ("ok" if result is not None else "no result"), json.dumps(body, sort_keys=True, separators=(",", ":"), ensure_ascii=False)))
     return out
+
+
+def alignment_rows(rows: list[tuple]) -> list[tuple]:
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) by both libraries, document by document."""
+    import sentencepiece
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    a = hf_tokenizer()
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    letters = sorted(ByteLevel.alphabet())
+    byte = {c: ord(c) for c in letters if ord(c) < 256}
+    rest = [v for v in range(256) if v not in byte.values()]
+    byte |= dict(zip(sorted(c for c in letters if ord(c) >= 256), rest))
+    docs = []
+    for doc, text in rows:
+        groups = []
+        if text:
+            left = [(i, bytes(byte[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
+            right = [(i, bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()) for i in b.encode(text)]
+            whole = (" " + text).encode()
+            if b"".join(x for _, x in left) == whole == b"".join(x for _, x in right):
+                ends, sides = [], []
+                for side in (left, right):
+                    at, places = 0, []
+                    for _, x in side:
+                        at += len(x)
+                        places.append(at)
+                    ends.append(places)
+                    sides.append([i for i, _ in side])
+                common = sorted(set(ends[0]) & set(ends[1]))
+                groups = [([], []) for _ in common]
+                for k in (0, 1):
+                    for i, e in zip(sides[k], ends[k]):
+                        groups[bisect.bisect_left(common, e)][k].append(i)
+        docs.append((doc, groups))
+    held: Counter = Counter()
+    for _, groups in docs:
+        held.update({(x, y) for g in groups for x in g[0] for y in g[1]})
+    top: dict[int, int] = {}
+    for (x, _), n in held.items():
+        top[x] = max(top.get(x, 0), n)
+    out = []
+    for doc, groups in docs:
+        links = [(x, y) for g in groups for x in g[0] for y in g[1]]
+        text = ";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in groups)
+        out.append((
+            doc, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), len(links), sum(held[p] == top[p[0]] for p in links),
+            sum(held[p] for p in links), hashlib.sha256(text.encode()).hexdigest() if groups else "",
+        ))
+    return out

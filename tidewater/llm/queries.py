@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, collocations, jaccard, licenses, minhash, packing, pages, quality, search, substrings, unigram
+from . import alignment, bpe, chat, collocations, jaccard, licenses, minhash, packing, pages, quality, search, substrings, unigram
 from .scratch import on_workers
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,3 +84,8 @@ def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
