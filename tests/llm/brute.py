@@ -72,7 +72,7 @@ def substring_dedup(rows: list[tuple[int | None, str | None]], window: int = 50)
     return out
 
 
-def jaccard_groups(rows: list[tuple[int, str | None]], n: int = 5) -> list[tuple]:
+def jaccard_groups(rows: list[tuple[int, str | None]], n: int = 5, percent: int = 75) -> list[tuple]:
     sets = []
     for _, t in rows:
         w = words(lower(t or ""))
@@ -90,7 +90,7 @@ def jaccard_groups(rows: list[tuple[int, str | None]], n: int = 5) -> list[tuple
         return k
 
     for (a, b), c in common.items():
-        if 100 * c >= 75 * (len(sets[a]) + len(sets[b]) - c):
+        if 100 * c >= percent * (len(sets[a]) + len(sets[b]) - c):
             parent[root(a)] = root(b)
     least: dict[int, int] = {}
     for k, (i, _) in enumerate(rows):

@@ -30,9 +30,9 @@ def rows(df, *order):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is None, x) for x in r))
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     names = [q.split("_")[0] for q in QUERIES if q.startswith("op")]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -119,6 +119,15 @@ def test_jaccard(spark, small, docs):
     assert any(r[0] != r[2] for r in want)
 
 
+def test_minhash(spark, small, docs):
+    want = sorted((*r, r[0] == r[2]) for r in brute.jaccard_groups(docs, 4, 80))
+    assert rows(QUERIES["op13_minhash_dedup"](spark, small)) == want
+
+
+def test_alignment(spark, small, docs):
+    assert rows(QUERIES["op11_tokenizer_alignment"](spark, small)) == sorted(brute.alignment_rows(docs))
+
+
 def test_quality_counts(spark, small, docs):
     found = QUERIES["op8_quality_rules"](spark, small).drop("kept")
     assert rows(found) == sorted((i, *brute.quality_counts(t)) for i, t in docs)

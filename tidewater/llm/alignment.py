@@ -38,7 +38,7 @@ from .blobs import pack, pack_sorted, runs, slices, unpack, unpack_sorted
 from .packing import _encoder
 from .pretoken import PieceTable, _ranges, coded_chunks, pretoken_starts
 from .scratch import written
-from .textbytes import chunks
+from .textbytes import CHUNK_BYTES, chunks
 
 RADIX = 64
 FAN_IN = 256
@@ -194,7 +194,9 @@ def _decimal(size: int) -> tuple[np.ndarray, np.ndarray]:
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def spilled(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def spilled(
+    docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", most: int = FLUSH, chunk: int = CHUNK_BYTES
+) -> DataFrame:
     """The written runs. A run has one row with its documents and records (``radix`` null),
     and one for each radix with its pairs in order and the number of documents of each."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -240,7 +242,7 @@ def spilled(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "d
             text = batch.column(1).fill_null("")
             blank = pc.or_(pc.equal(text, ""), pc.match_substring(text, _SPACE))  # the second would come back as a space
             text = pc.if_else(blank, "", pc.binary_join_element_wise(" ", text, ""))
-            each = zip(chunks(text), coded_chunks(text, a.table, a.find), coded_chunks(text, b.table, b.find))
+            each = zip(chunks(text, chunk), coded_chunks(text, a.table, a.find, chunk), coded_chunks(text, b.table, b.find, chunk))
             for (at, stop, data, offsets), (_, ids_a, at_a), (_, ids_b, at_b) in each:
                 found = Aligned(a, b, data, offsets, ids_a, at_a, ids_b, at_b)
                 doc, pair, times = found.records()
@@ -251,7 +253,7 @@ def spilled(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "d
                 records.append((doc + docs_held, pair, times))
                 docs_held += stop - at
                 waiting += len(doc)
-                if waiting >= FLUSH:
+                if waiting >= most:
                     yield from flush()
                     run += 1
                     ids, digests, counts, records, waiting, docs_held = [], [], [], [], 0, 0
@@ -336,9 +338,12 @@ def _summed(key, run, answers):
     return pa.table([*plain, *sums], names=["id", "groups_sha256", *_COUNTS, "n_best", "count_sum"])
 
 
-def aligned(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row."""
-    spill = spilled(docs, bytes_path, pieces_path, id_col, text_col)
+def aligned(
+    docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", most: int = FLUSH, chunk: int = CHUNK_BYTES
+) -> DataFrame:
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row.
+    A run is spilled at ``most`` records; texts are handled ``chunk`` bytes at a time."""
+    spill = spilled(docs, bytes_path, pieces_path, id_col, text_col, most, chunk)
     whole = spill.where(F.col("radix").isNull())
     groups = max(1, -(-whole.select("run").count() // FAN_IN))
     heads = spill.where(F.col("radix").isNotNull()).select("run", "radix", F.pmod(F.xxhash64("run"), F.lit(groups)).cast("int").alias("part"), "pairs", "held")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .blobs import lengths, pack, pack_sorted, runs, slices, unpack, unpack_sorted
 from .scratch import shuffle_partitions, written
-from .textbytes import IS_WORD_BYTE, LOWER, chunks, hash_runs, window_hashes, words_of
+from .textbytes import CHUNK_BYTES, IS_WORD_BYTE, LOWER, chunks, hash_runs, window_hashes, words_of
 
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 CONTAINED = 50  # percent of a phrase's occurrences that a longer one must have to replace it
@@ -46,7 +46,7 @@ def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())])
 
 
-def encoded(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", most: int = FLUSH, chunk: int = CHUNK_BYTES) -> DataFrame:
     """One written row per run: shard, language, number of words, the distinct words (one a line),
     the place of each word in them, and the lengths of the pieces."""
 
@@ -72,7 +72,7 @@ def encoded(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
 
         for batch in batches:
             langs = batch.column(0)
-            for at, stop, data, offsets in chunks(batch.column(1)):
+            for at, stop, data, offsets in chunks(batch.column(1), chunk):
                 data = LOWER[data]
                 found = words_of(data, offsets, _INSIDE)
                 if not len(found.starts):
@@ -91,7 +91,7 @@ def encoded(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
                         begin = np.flatnonzero(new[mine])
                         held.setdefault(lang, []).append((kept[np.repeat(mine, sizes)], sizes[mine], lengths(begin, int(mine.sum()))))
                 waiting += len(doc)
-                if waiting >= FLUSH:
+                if waiting >= most:
                     yield from flush()
                     held, waiting = {}, 0
         yield from flush()
@@ -215,10 +215,12 @@ def _counted(longest: int, radix: int):
     return work
 
 
-def frequent(docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def frequent(
+    docs: DataFrame, least: int = MIN_COUNT, longest: int = MAX_WORDS, lang_col: str = "lang", text_col: str = "text", most: int = FLUSH, chunk: int = CHUNK_BYTES
+) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): the exact count f of every word and phrase (lang, phrase, words) found
     ``least`` times or more, written, and the number of words n of each language."""
-    rows = encoded(docs, lang_col, text_col)
+    rows = encoded(docs, lang_col, text_col, most, chunk)
     radix = shuffle_partitions(docs)
     parts = written(rows.groupBy("lang", "shard").agg(F.sum("n").alias("part")), "collocations-shares")
     totals = parts.groupBy("lang").agg(F.sum("part").alias("n"))
