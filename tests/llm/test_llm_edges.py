@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, chat, components, jaccard, licenses, packing, pages, pretoken, quality, search, substrings, unigram
+from tidewater.llm import bpe, chat, components, families, jaccard, licenses, packing, pages, pretoken, quality, search, substrings, unigram
 
 JSON_BPE, RANKS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -308,8 +308,22 @@ def test_jaccard(spark, docs, empty):
     assert got(jaccard.grouped(odd)) == [(3, 0, 3), (7, 67, 7), (None, 66, 7), (None, 66, 7)]
 
 
-def test_jaccard_families(spark):
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_jaccard_ids_of_any_size_and_type(spark, kind):
+    ids = [5 * 10**18, 4_700_000_000_000_000_000, -(2**63), 2**63 - 1, -1, 0, 4_800_000_000_000_000_000]
+    texts = [SHARED] * 6 + [words(31, 60)]
+    rows = [(str(i) if kind == "string" else i, t) for i, t in zip(ids, texts)]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    least, alone = min(r[0] for r in rows[:6]), rows[6][0]
+    assert got(jaccard.grouped(df)) == sorted([(i, 66, least) for i, _ in rows[:6]] + [(alone, 56, alone)])
+    assert got(jaccard.representatives(df).select("doc_id")) == sorted([(least,), (alone,)])
+
+
+@pytest.mark.parametrize("short, pivots", [(64, 16), (2, 2)])
+def test_jaccard_families(spark, monkeypatch, short, pivots):
     """Families of near copies around the threshold, chains included, keep every link."""
+    monkeypatch.setattr(families, "SHORT", short)
+    monkeypatch.setattr(families, "PIVOTS", pivots)
     rnd, rows = random.Random(4), []
     for family in range(6):
         base = words(50 + family, 60 + 10 * family).split()

@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import written
+from .scratch import written, written_small
 
 SHORT = 64
-PIVOTS = 16  # times as many pivots of a long list in each round
+PIVOTS = 64  # times as many pivots of a long list in each round
 
 Bound = Callable[[Column, Column], Column]
 
@@ -48,37 +48,48 @@ def _joined(labels: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
     """Labels (uid, label) after new links between labels."""
     found = components(links.select(F.col("x_label").alias("x"), F.col("y_label").alias("y")))
     if labels is None:
-        return written(found.select(F.col("node").alias("uid"), F.col("component").alias("label")), f"{name}-labels")
-    found = written(found, f"{name}-merged")
+        return written_small(found.select(F.col("node").alias("uid"), F.col("component").alias("label")), f"{name}-labels")
+    found = written_small(found, f"{name}-merged")
     every = labels.unionByName(found.select(F.col("node").alias("uid"), F.col("node").alias("label"))).groupBy("uid").agg(F.min("label").alias("label"))
     moved = every.join(found.withColumnRenamed("node", "label"), "label", "left")
-    return written(moved.select("uid", F.coalesce("component", "label").alias("label")), f"{name}-labels")
+    return written_small(moved.select("uid", F.coalesce("component", "label").alias("label")), f"{name}-labels")
 
 
-def labelled(lists: DataFrame, bound: Bound, choose: Callable[[Column], Column], check: Callable[[DataFrame], DataFrame], name: str) -> DataFrame | None:
+def _open(rows: DataFrame, name: str) -> DataFrame:
+    """The rows (token, me, label) of lists that hold several labels, with the lists' sizes."""
+    lists = rows.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("size")).where("a < b")
+    return written(rows.join(lists.select("token", "size"), "token"), name)
+
+
+def labelled(
+    lists: DataFrame, bound: Bound, choose: Callable[[Column], Column], check: Callable[[DataFrame], DataFrame], name: str,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame | None:
     """(uid, label): the least uid of the component of every member that has a link; None if there is no link.
 
     ``lists``: see ``shared_lists``. ``bound`` says of two members' structs whether they can be linked at all,
     ``choose`` picks the uid of one pivot for a member of several lists, ``check`` keeps the
-    rows of (x, y, x_label, y_label) whose two ends are linked.
+    rows of (x, y, x_label, y_label) whose two ends are linked. ``refine`` may tighten the
+    structs of the rows (token, me, label) that are still open, or leave out hopeless ones.
     """
     at_pivot = lists.where((F.col("me.uid") != F.col("pivot.uid")) & bound(F.col("me"), F.col("pivot")))
     best = at_pivot.groupBy(F.col("me.uid").alias("u")).agg(choose(F.col("pivot")).alias("p"))
     first = best.select(F.greatest("u", "p").alias("x"), F.least("u", "p").alias("y")).withColumns({"x_label": F.col("x"), "y_label": F.col("y")})
-    links = written(check(first), f"{name}-links")
+    links = written_small(check(first), f"{name}-links")
     labels = None if links.isEmpty() else _joined(None, links, name)
-    rows, turn = lists.select("token", "me", "size"), 1
+    rows, turn = lists.select("token", "me"), 1
     while True:
         if labels is not None:
-            rows = rows.withColumn("uid", F.col("me.uid")).join(labels, "uid", "left").select("token", "me", "size", F.coalesce("label", "uid").alias("label"))
+            rows = rows.withColumn("uid", F.col("me.uid")).join(labels, "uid", "left").select("token", "me", F.coalesce("label", "uid").alias("label"))
         else:
-            rows = rows.select("token", "me", "size", F.col("me.uid").alias("label"))
-        rows = written(rows, f"{name}-rows")
-        open_ = rows.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("token")
-        rows = written(rows.join(open_, "token"), f"{name}-open")
+            rows = rows.withColumn("label", F.col("me.uid"))
+        rows = _open(written(rows, f"{name}-rows"), f"{name}-open")
+        if refine is not None:
+            rows = _open(written(refine(rows.select("token", "me", "label")), f"{name}-refined"), f"{name}-open")
         long = rows.where(F.col("size") > SHORT)
         salt = F.pmod(F.xxhash64("me.uid", F.lit(turn)), F.lit(PIVOTS**turn))
-        pivots = written(long.groupBy("token", salt.alias("salt")).agg(F.min(F.struct("me", "label")).alias("p")).select("token", "p"), f"{name}-pivots")
+        pivots = long.groupBy("token", salt.alias("salt")).agg(F.min(F.struct("me", "label")).alias("p")).select("token", "p")
+        pivots = written_small(pivots, f"{name}-pivots")
         other = lambda a, b: (F.col(f"{a}_label") != F.col(f"{b}_label")) & bound(F.col(a), F.col(b))
         left = rows.select("token", F.col("me").alias("a"), F.col("label").alias("a_label"), "size")
         met = left.join(pivots.select("token", F.col("p.me").alias("b"), F.col("p.label").alias("b_label")), "token").where(other("a", "b"))
@@ -87,11 +98,27 @@ def labelled(lists: DataFrame, bound: Bound, choose: Callable[[Column], Column],
             short = left.where(F.col("size") <= SHORT)
             twin = short.select("token", F.col("a").alias("b"), F.col("a_label").alias("b_label"))
             pairs = pairs.unionByName(_pairs(short.join(twin, "token").where(F.col("a.uid") > F.col("b.uid")).where(other("a", "b")), "a", "b"))
-        links = written(check(pairs.distinct()), f"{name}-links")
+        links = written_small(check(pairs.distinct()), f"{name}-links")
         if not links.isEmpty():
             labels = _joined(labels, links, name)
         spent = pivots.select("token", F.col("p.me.uid").alias("uid"))
-        rows = long.withColumn("uid", F.col("me.uid")).join(spent, ["token", "uid"], "left_anti").select("token", "me", "size")
+        rows = written_small(long.withColumn("uid", F.col("me.uid")).join(spent, ["token", "uid"], "left_anti").select("token", "me"), f"{name}-left")
         if rows.isEmpty():
             return labels
         turn += 1
+
+
+def named(classes: DataFrame, labels: DataFrame | None, key: list[str], name: str) -> DataFrame:
+    """(key, component_id): the least id of each class's component, written. ``classes``: (rep, key, id)."""
+    if labels is None:
+        return written(classes.select(*key, F.col("id").alias("component_id")), f"{name}-named")
+    members = classes.select("rep", *key, "id").join(labels.withColumnRenamed("uid", "rep"), "rep", "left")
+    members = written(members.withColumn("label", F.coalesce("label", "rep")), f"{name}-members")
+    least = members.groupBy("label").agg(F.min("id").alias("component_id"))
+    return written(members.select("label", *key).join(least, "label").select(*key, "component_id"), f"{name}-named")
+
+
+def component_ids(rows: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``component_id``: that of their class, and their own id where they have none (empty sets)."""
+    found = rows.join(names.withColumn("known", F.lit(True)), key, "left")
+    return found.withColumn("component_id", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id"))).drop("known")

@@ -9,18 +9,16 @@ For candidate pairs the range of all n-grams is cut into fragments. Each fragmen
 the overlap of its part of the two sets on its own, and the counts are summed per pair.
 
 No group of copies is turned into all its pairs. Documents with equal sets are one
-class. The classes that have an n-gram in their prefix meet a pivot, the one with the
-fewest n-grams of its own (in a family of near copies: the original). In the first
-rounds each class meets only the best of the pivots of its lists, which joins families
-at one pair a class. Then the pivots meet all classes of their lists that lie in other
-components, with more pivots in each round, until every list lies in one component or
-all its classes have been such pivots. So no link between components is lost.
+class. The classes that have an n-gram in their prefix are a list; ``families`` lets them
+meet pivots (the one with the fewest n-grams of its own first, in a family of near copies
+the original), then short open lists completely and long ones more pivots. The bounds on the
+sizes and on what two sets can still share behind the n-gram are part of the join.
 
 An n-gram is known by its fragment bucket and 40 bits of a 64-bit hash. Documents of
 fewer than n words have their whole word sequence as one n-gram. Documents without words
-(null and empty texts) have empty sets and link with nothing. Ids should be unique: rows
-that share one are linked. Rows without an id take part as documents of their own; a
-component of such rows alone has no id. An empty table gives an empty result.
+(null and empty texts) have empty sets and link with nothing. Ids may have any type that has
+an order. Rows without an id and rows that share one take part as documents of their own; a
+component of rows without ids has none. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,26 +30,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blobs import lengths, pack, runs, slices, unpack
-from .components import components
-from .scratch import shuffle_partitions, written
+from .families import component_ids, labelled, named, shared_lists
+from .scratch import shuffle_partitions, written, written_small
 from .textbytes import LOWER, chunks, mix, window_hashes, words_of
 
 N, PERCENT = 5, 75
 FRAGMENTS = 16
-LIGHT = 1  # rounds in which each class meets one pivot
-PIVOTS = 256  # times as many pivots of a list in each later round
 FLUSH = 2_000_000  # n-grams sent together
-_NO_ID = 1 << 62  # nodes of rows without an id begin here
+SEEN = 1_000_000  # sets that a task remembers, to send equal ones once
 _U = np.uint64
 _PRINT = (1 << 40) - 1
 
-_SENT = "part int, uid long, node long, own long, n long, high long, low long, uids binary, prints binary, counts binary"
-_KINDS = [pa.int32(), *[pa.int64()] * 6, *[pa.binary()] * 3]
-_NAMES = [f.split()[0] for f in _SENT.split(", ")]
+_KEY = ["n", "high", "low"]
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)] if rows else [pa.array([], k) for k in _KINDS], names=_NAMES)
+def _sent(kind: str) -> str:
+    return f"part int, uid long, id {kind}, own long, n long, high long, low long, uids binary, prints binary, counts binary"
+
+
+def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), kind, *[pa.int64()] * 4, *[pa.binary()] * 3]
+    columns = zip(*rows) if rows else [[] for _ in kinds]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in _sent("x").split(", ")])
 
 
 def _blob(part: int, uids: np.ndarray, prints: np.ndarray, counts: np.ndarray) -> tuple:
@@ -103,7 +103,7 @@ def _cut(n: int, buckets: int, groups: int):
             for b, x, y in slices(bucket):
                 start = runs(owner[x:y])
                 rows.append(_blob(b, owner[x:y][start], values[x:y], lengths(start, y - x).astype(np.uint32)))
-            return _batch(rows)
+            return _batch(rows, ids.type)
 
         for batch in batches:
             ids = batch.column(0)
@@ -126,8 +126,10 @@ def _cut(n: int, buckets: int, groups: int):
                         first = seen.setdefault(key, own)
                         fresh[k] = first == own
                         own = first
-                    rows.append((int(groups_of[k]), int(uids[k]), _NO_ID + int(uids[k]) if node is None else node, own, size, int(high[k]), int(low[k]), None, None, None))
-                yield _batch(rows)
+                    rows.append((int(groups_of[k]), int(uids[k]), node, own, size, int(high[k]), int(low[k]), None, None, None))
+                yield _batch(rows, ids.type)
+                if len(seen) > SEEN:
+                    seen.clear()
                 keep = fresh[doc]
                 held.append((values[keep], uids[doc[keep]]))
                 waiting += int(keep.sum())
@@ -164,15 +166,13 @@ def _frequent(buckets: int, groups: int):
         prints, owner, times, group = prints[order], owner[order], times[order], group[order]
         prints |= _U(part << 40)
         rows = [_blob(g, owner[a:b], prints[a:b], times[a:b].astype(np.uint32)) for g, a, b in slices(group)]
-        return pa.concat_tables([plain, pa.Table.from_batches([_batch(rows)])])
+        return pa.concat_tables([plain, pa.Table.from_batches([_batch(rows, table.schema.field("id").type)])])
 
     return work
 
 
-_SETS = (
-    T.StructType().add("uid", "long").add("node", "long").add("own", "long").add("n", "long").add("high", "long").add("low", "long")
-    .add("shared", T.IntegerType()).add("lead", T.ArrayType(T.LongType())).add("parts", T.ArrayType(T.ArrayType(T.LongType())))
-)
+def _sets(kind: str) -> str:
+    return f"uid long, id {kind}, own long, n long, high long, low long, shared int, lead array<long>, parts array<array<long>>"
 
 
 def _assembled(percent: int, buckets: int, fragments: int):
@@ -208,115 +208,60 @@ def _assembled(percent: int, buckets: int, fragments: int):
         ends = lambda counts: pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
         parts = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(flat))
         columns = [
-            *[plain[c] for c in ("uid", "node", "own", "n", "high", "low")], pa.array(shared, pa.int32()),
+            *[plain[c] for c in ("uid", "id", "own", *_KEY)], pa.array(shared, pa.int32()),
             pa.ListArray.from_arrays(ends(leading), pa.array(lead)), pa.ListArray.from_arrays(ends((leading > 0) * fragments), parts),
         ]
-        return pa.table(columns, names=_SETS.names)
+        return pa.table(columns, names=[f.split()[0] for f in _sets("x").split(", ")])
 
     return work
 
 
 def sets(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: int = FRAGMENTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One written row per document: its set as ``_assembled`` describes it."""
-    parts = 2 * shuffle_partitions(docs)
-    sent = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_cut(n, parts, parts), _SENT)
-    counted = sent.groupBy("part").applyInArrow(_frequent(parts, parts), _SENT)
-    return written(counted.groupBy("part").applyInArrow(_assembled(percent, parts, fragments), _SETS), "jaccard-sets")
+    parts, kind = 2 * shuffle_partitions(docs), docs.schema[id_col].dataType.simpleString()
+    sent = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(_cut(n, parts, parts), _sent(kind))
+    counted = sent.groupBy("part").applyInArrow(_frequent(parts, parts), _sent(kind))
+    return written(counted.groupBy("part").applyInArrow(_assembled(percent, parts, fragments), _sets(kind)), "jaccard-sets")
 
 
-def _overlaps(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-    """(x, y, overlap): for each fragment of the n-grams the overlap of the two parts, summed per pair."""
-    cut = lambda df, name: df.select(name, *[c for c in ("y",) if c != name], F.posexplode("parts").alias("fragment", f"{name}_part"))
-    left = cut(pairs.join(lists.select(F.col("uid").alias("x"), "parts"), "x"), "x").where(F.size("x_part") > 0)
-    pivots = lists.select(F.col("uid").alias("y"), "parts").join(pairs.select("y").distinct(), "y", "left_semi")
-    met = left.join(cut(pivots, "y").where(F.size("y_part") > 0), ["y", "fragment"])
-    return met.select("x", "y", F.size(F.array_intersect("x_part", "y_part")).alias("n")).groupBy("x", "y").agg(F.sum("n").alias("overlap"))
+def _linked(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets are similar enough: the overlap of each fragment of the n-grams, summed per pair."""
+    ends = ["x", "y", "x_label", "y_label"]
+    left = pairs.join(lists.select(F.col("uid").alias("x"), F.col("n").alias("x_n"), "parts"), "x")
+    left = left.select(*ends, "x_n", F.posexplode("parts").alias("fragment", "x_part")).where(F.size("x_part") > 0)
+    right = lists.select(F.col("uid").alias("y"), F.col("n").alias("y_n"), "parts").join(pairs.select("y").distinct(), "y", "left_semi")
+    right = right.select("y", "y_n", F.posexplode("parts").alias("fragment", "y_part")).where(F.size("y_part") > 0)
+    met = left.join(right, ["y", "fragment"]).select(*ends, "x_n", "y_n", F.size(F.array_intersect("x_part", "y_part")).alias("overlap"))
+    found = met.groupBy(*ends, "x_n", "y_n").agg(F.sum("overlap").alias("overlap"))
+    return found.where(_enough(F.col("x_n"), F.col("y_n"), F.col("overlap"), percent)).select(*ends)
 
 
 def _enough(a: Column, b: Column, overlap: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-def linked_classes(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(classes, named): classes (own, rep_node) of equal sets, and (node, component) of the
-    linked ones. The links found here have the components of all links there are."""
-    local = found.where("n > 0").groupBy("own").agg(*[F.first(c).alias(c) for c in ("n", "high", "low")], F.min("node").alias("node"))
-    local = written(local, "jaccard-local")
-    same = ["n", "high", "low"]
-    reps = written(local.groupBy(*same).agg(F.min("own").alias("rep"), F.min("node").alias("rep_node")), "jaccard-reps")
-    classes = written(local.join(reps, same).select("own", "rep_node"), "jaccard-classes")
-    lists = written(
-        found.where(F.size("lead") > 0).join(reps.select(F.col("rep").alias("uid"), "rep_node"), "uid").select("uid", "rep_node", "n", "shared", "lead", "parts"),
-        "jaccard-lists",
-    )
+def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    found = sets(docs, n, percent, FRAGMENTS, id_col, text_col)
+    classes = written(found.where("n > 0").groupBy(*_KEY).agg(F.min("own").alias("rep"), F.min("id").alias("id")), "jaccard-classes")
+    sent = found.where((F.size("lead") > 0) & (F.col("uid") == F.col("own"))).select("uid", "n", "shared", "lead", "parts")
+    lists = written(sent.join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi"), "jaccard-sent")
     alone = F.col("n") - F.col("shared")
-    entries = lists.select(
-        "uid", F.col("rep_node").alias("label"), "n", (1000 * alone / F.col("n")).cast("int").alias("alone"),
-        F.posexplode("lead").alias("at", "token"), alone.alias("before"),
-    ).select("token", "uid", "label", "n", "alone", (F.col("at") + F.col("before")).alias("at"))
-    entries = written(entries, "jaccard-entries")
-    nodes = lists.select("uid", F.col("rep_node").alias("node"))
-    none = found.sparkSession.createDataFrame([], "node long, component long")
-    every, tried, named, turn = None, None, none, 0
-    while True:
-        # lists that still hold classes of different components
-        open_ = entries.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("token")
-        entries = written(entries.join(written(open_, "jaccard-open"), "token"), "jaccard-entries")
-        if entries.isEmpty():
-            break
-        salt = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(PIVOTS ** max(0, turn - LIGHT)))
-        pivots = written(
-            entries.groupBy("token", salt.alias("salt")).agg(F.min(F.struct("alone", "uid", "n", "at", "label")).alias("p")).select("token", "p"),
-            "jaccard-pivots",
-        )
-        p = {c: F.col("p")[c] for c in ("alone", "uid", "n", "at", "label")}
-        few, many = F.least("n", p["n"]), F.greatest("n", p["n"])
+    entries = lists.select("uid", "n", (1000 * alone / F.col("n")).cast("int").alias("alone"), F.posexplode("lead").alias("at", "token"), alone.alias("before"))
+    entries = entries.select("token", F.struct("alone", "uid", "n", (F.col("at") + F.col("before")).alias("at")).alias("me"))
+
+    def bound(a: Column, b: Column) -> Column:
         # in the list of the first n-gram they share, two sets can have no more in common
         # than what either has from there on; other lists need not find the pair
-        rest = F.least(F.col("n") - F.col("at"), p["n"] - p["at"])
-        pairs = entries.join(pivots, "token").where((F.col("label") != p["label"]) & (100 * few >= percent * many) & _enough(F.col("n"), p["n"], rest, percent))
-        later = F.col("uid") > p["uid"]
-        pairs = pairs.select(
-            "uid", F.struct(p["alone"], p["uid"]).alias("rank"),
-            F.when(later, F.col("uid")).otherwise(p["uid"]).alias("x"), F.when(later, p["uid"]).otherwise(F.col("uid")).alias("y"),
-            F.when(later, F.col("n")).otherwise(p["n"]).alias("x_n"), F.when(later, p["n"]).otherwise(F.col("n")).alias("y_n"),
-        )
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        ends = ["x", "y", "x_n", "y_n"]
-        if turn < LIGHT:
-            pairs = pairs.groupBy("uid").agg(F.min_by(F.struct(*ends), "rank").alias("best")).select("best.*")
-        pairs = written(pairs.select(*ends).distinct(), "jaccard-pairs")
-        good = None
-        if not pairs.isEmpty():
-            shared = _overlaps(pairs.select("x", "y"), lists).join(pairs, ["x", "y"])
-            good = written(shared.where(_enough(F.col("x_n"), F.col("y_n"), F.col("overlap"), percent)).select("x", "y"), "jaccard-links")
-        tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
-        if turn >= LIGHT:  # the pivots of this round have met their whole list
-            spent = pivots.select("token", p["uid"].alias("uid"))
-            entries = entries.join(spent, ["token", "uid"], "left_anti")
-        if good is not None and not good.isEmpty():
-            linked = good.join(nodes.select(F.col("uid").alias("x"), F.col("node").alias("x_node")), "x").join(
-                nodes.select(F.col("uid").alias("y"), F.col("node").alias("y_node")), "y"
-            ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
-            every = written(linked if every is None else every.unionByName(linked), "jaccard-all")
-            named = written(components(every), "jaccard-components")
-            labels = nodes.join(named, "node").select("uid", F.col("component").alias("now"))
-            entries = entries.join(labels, "uid", "left").select("token", "uid", F.coalesce("now", "label").alias("label"), "n", "alone", "at")
-        turn += 1
-    return classes, named
+        few, many, rest = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"]), F.least(a["n"] - a["at"], b["n"] - b["at"])
+        return (100 * few >= percent * many) & _enough(a["n"], b["n"], rest, percent)
 
+    def check(pairs: DataFrame) -> DataFrame:
+        return _linked(written_small(pairs, "jaccard-pairs"), lists, percent)
 
-def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    found = sets(docs, n, percent, FRAGMENTS, id_col, text_col)
-    classes, labels = linked_classes(found, percent)
-    named = classes.join(labels.withColumnRenamed("node", "rep_node"), "rep_node", "left").select("own", F.coalesce("component", "rep_node").alias("label"))
-    rows = found.select("node", "own", "n").join(written(named, "jaccard-named"), "own", "left")
-    known = lambda c: F.when(c < _NO_ID, c)
-    return rows.select(
-        known(F.col("node")).alias(id_col), F.col("n").alias("n_shingles"), known(F.coalesce("label", "node")).alias("component_id")
-    )
+    labels = labelled(shared_lists(entries, "jaccard"), bound, lambda pivot: F.min(pivot)["uid"], check, "jaccard")
+    rows = component_ids(found.select("id", *_KEY), named(classes, labels, _KEY, "jaccard"), _KEY)
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def representatives(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .families import labelled, shared_lists
+from .families import component_ids, labelled, named, shared_lists
 from .jaccard import grams
-from .scratch import written
+from .scratch import merged_tasks, written, written_small
 from .textbytes import LOWER, chunks, mix, words_of
 
 N, PERCENT = 4, 80
@@ -119,20 +119,23 @@ def _place(high: Column, low: Column) -> Column:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, n: int, text_col: str) -> DataFrame:
-    """(rep, grams): the sorted shingles of the ``wanted`` classes (rep, n, high, low), written."""
+    """(rep, grams): the shingles of the ``wanted`` classes (rep, n, high, low), written."""
+
+    ends = lambda sizes: np.concatenate([[0], np.cumsum(sizes)])
 
     def work(batches):
         for batch in batches:
             for values, sizes, high, low in _sets(batch.column(0), n):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sizes), pa.array(high), pa.array(low), _blobs(values.view(np.uint8), np.cumsum(sizes) * 8)], names=[*_KEY, "grams"]
+                    [pa.array(sizes), pa.array(high), pa.array(low), pa.ListArray.from_arrays(pa.array(ends(sizes), pa.int32()), pa.array(values.view(np.int64)))],
+                    names=[*_KEY, "grams"],
                 )
 
     place = _place(F.col("high"), F.col("low"))
     pages = wanted.select(place.alias("p")).groupBy(F.expr(f"p div {_PAGE}").alias("page")).agg(
         F.bitmap_construct_agg(F.col("p") % _PAGE).alias("bits")
     )
-    read = docs.select(F.col(f"`{text_col}`")).mapInArrow(work, "n long, high long, low long, grams binary").withColumn("p", place)
+    read = docs.select(F.col(f"`{text_col}`")).mapInArrow(work, "n long, high long, low long, grams array<long>").withColumn("p", place)
     byte = F.conv(F.hex(F.expr(f"substring(bits, cast(p % {_PAGE} div 8 as int) + 1, 1)")), 16, 10).cast("int")
     some = read.withColumn("page", F.expr(f"p div {_PAGE}")).join(F.broadcast(pages), "page")  # at most FILTER_BITS / _PAGE rows of 4 KB
     some = some.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(p % 8 as int))")) != 0)
@@ -150,24 +153,26 @@ def _alike(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
 
     side = lambda c, name: classes.select(F.col("rep").alias(c), F.col("least").alias(name))
     rows = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").select("x", "y", "x_label", "y_label", "a", "b")
-    return rows.mapInArrow(work, "x long, y long, x_label long, y_label long")
+    return merged_tasks(rows).mapInArrow(work, "x long, y long, x_label long, y_label long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets overlap enough."""
+    side = lambda c, name: sets.select(F.col("rep").alias(c), F.col("grams").alias(name))
+    rows = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y")
+    both = F.size(F.array_intersect("a", "b"))
+    return rows.where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("x", "y", "x_label", "y_label")
 
-    def work(batches):
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column("a"), batch.column("b")):
-                a, b = np.frombuffer(a.as_buffer(), _U), np.frombuffer(b.as_buffer(), _U)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.filter(pa.array(good, pa.bool_())).drop_columns(["a", "b"])
 
-    side = lambda c, name: sets.select(F.col("rep").alias(c), F.col("grams").alias(name))
-    rows = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").select("x", "y", "x_label", "y_label", "a", "b")
-    return rows.mapInArrow(work, "x long, y long, x_label long, y_label long")
+def _refined(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows with ``alive``: how many of a set's shingles are found under another label. No
+    overlap with a set of another label is larger, so sets with too few are left out."""
+    members = written_small(rows.select(F.col("me.uid").alias("rep"), "label").distinct(), "minhash-members")
+    grams = written(members.join(sets, "rep").select("rep", "label", F.explode("grams").alias("gram")), "minhash-grams")
+    shared = grams.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("gram")
+    alive = grams.join(shared, "gram").groupBy("rep").agg(F.count("*").alias("alive"))
+    found = rows.withColumn("rep", F.col("me.uid")).join(written_small(alive, "minhash-alive"), "rep")
+    return found.where(100 * F.col("alive") >= percent * F.col("me.n")).select("token", F.struct("me.uid", "me.n", "alive").alias("me"), "label")
 
 
 def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,26 +183,20 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         .select(F.col("r.uid").alias("rep"), *_KEY, "id", "r.bands", "r.least"),
         "minhash-classes",
     )
-    lists = shared_lists(classes.select(F.explode("bands").alias("token"), F.struct(F.col("rep").alias("uid"), "n").alias("me")), "minhash")
+    lists = shared_lists(classes.select(F.explode("bands").alias("token"), F.struct(F.col("rep").alias("uid"), "n", F.col("n").alias("alive")).alias("me")), "minhash")
     wanted = written(classes.select("rep", *_KEY).join(lists.select(F.col("me.uid").alias("rep")).distinct(), "rep", "left_semi"), "minhash-wanted")
     sets = full_sets(docs, wanted, n, text_col)
 
     def check(pairs: DataFrame) -> DataFrame:
-        alike = written(_alike(pairs, classes, LEAST * percent // PERCENT), "minhash-alike")
-        return _confirmed(alike, sets, percent)
+        return _confirmed(written(_alike(pairs, classes, LEAST * percent // PERCENT), "minhash-alike"), sets, percent)
+
+    def bound(a: Column, b: Column) -> Column:
+        both = F.least(a["alive"], b["alive"])
+        return 100 * both >= percent * (a["n"] + b["n"] - both)
 
-    bound = lambda a, b: 100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
     # of the pivots of its lists a class meets the one that most of them have
-    labels = labelled(lists, bound, lambda pivot: F.mode(pivot["uid"], True), check, "minhash")
-    rows = found.select("uid", "id", *_KEY)
-    if labels is not None:
-        members = classes.select("rep", *_KEY, "id").join(labels.withColumnRenamed("uid", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        members = written(members, "minhash-members")
-        least = members.groupBy("label").agg(F.min("id").alias("component_id"))
-        named = members.select("label", *_KEY).join(least, "label").select(*_KEY, "component_id")
-    else:
-        named = classes.select(*_KEY, F.col("id").alias("component_id"))
-    named = written(named, "minhash-named").withColumn("known", F.lit(True))
-    rows = rows.join(named, _KEY, "left").withColumn("component_id", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id")))
+    choose = lambda pivot: F.mode(pivot["uid"], True)
+    labels = labelled(lists, bound, choose, check, "minhash", lambda rows: _refined(rows, sets, percent))
+    rows = component_ids(found.select("id", *_KEY), named(classes, labels, _KEY, "minhash"), _KEY)
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
     return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))

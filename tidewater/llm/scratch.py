@@ -16,6 +16,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged_tasks(df: DataFrame) -> DataFrame:
+    """``df`` with fewer and larger tasks, for few columns and far fewer rows than there are documents:
+    a task, a Python call and a file for each shuffle partition would cost more than the rows."""
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, shuffle_partitions(df) // 8)
+    return df.coalesce(tasks)
+
+
+def written_small(df: DataFrame, name: str) -> DataFrame:
+    return written(merged_tasks(df), name)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
