@@ -1,12 +1,12 @@
 """Connected components of classes that share lists, without all pairs of a list.
 
 The lists are those of a similarity join: classes that are alike enough are together in at
-least one. First each class meets one pivot, the least member of one of its lists, which
-joins families of copies at one pair a class. Afterwards only lists that hold several
-components are open. The members of a short open list (at most ``SHORT``) meet completely,
-so at most ``SHORT / 2`` pairs a member. A long one gets pivots, more of them in each round,
-that meet all its members of other components, until it lies in one component or every
-member has been a pivot. No link between two components is lost, and none inside one is needed.
+least one. First each class meets one pivot, chosen from those of its lists, which joins
+families of copies at one pair a class; and once more, by the lists that still hold several
+components. Then the members of a short open list (at most ``SHORT``) meet completely, so at
+most ``SHORT / 2`` pairs a member. A long one gets pivots, more of them in each round, that meet all
+its members of other components, until every list lies in one component or all its
+members have been pivots. No link between two components is lost, and none inside one is needed.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import written, written_small
 
-SHORT = 64
-PIVOTS = 64  # times as many pivots of a long list in each round
+SHORT = 32
+PIVOTS = 8  # times as many pivots of a long list in each round
 
 Bound = Callable[[Column, Column], Column]
 
@@ -69,8 +69,8 @@ def labelled(
 
     ``lists``: see ``shared_lists``. ``bound`` says of two members' structs whether they can be linked at all,
     ``choose`` picks the uid of one pivot for a member of several lists, ``check`` keeps the
-    rows of (x, y, x_label, y_label) whose two ends are linked. ``refine`` may tighten the
-    structs of the rows (token, me, label) that are still open, or leave out hopeless ones.
+    rows of (x, y, x_label, y_label) whose two ends are linked. ``refine`` may put other rows (token, me,
+    label) in place of those that are still open, in which all their links can still be found.
     """
     at_pivot = lists.where((F.col("me.uid") != F.col("pivot.uid")) & bound(F.col("me"), F.col("pivot")))
     best = at_pivot.groupBy(F.col("me.uid").alias("u")).agg(choose(F.col("pivot")).alias("p"))
@@ -78,6 +78,7 @@ def labelled(
     links = written_small(check(first), f"{name}-links")
     labels = None if links.isEmpty() else _joined(None, links, name)
     rows, turn = lists.select("token", "me"), 1
+    other = lambda a, b: (F.col(f"{a}_label") != F.col(f"{b}_label")) & bound(F.col(a), F.col(b))
     while True:
         if labels is not None:
             rows = rows.withColumn("uid", F.col("me.uid")).join(labels, "uid", "left").select("token", "me", F.coalesce("label", "uid").alias("label"))
@@ -86,26 +87,31 @@ def labelled(
         rows = _open(written(rows, f"{name}-rows"), f"{name}-open")
         if refine is not None:
             rows = _open(written(refine(rows.select("token", "me", "label")), f"{name}-refined"), f"{name}-open")
-        long = rows.where(F.col("size") > SHORT)
-        salt = F.pmod(F.xxhash64("me.uid", F.lit(turn)), F.lit(PIVOTS**turn))
-        pivots = long.groupBy("token", salt.alias("salt")).agg(F.min(F.struct("me", "label")).alias("p")).select("token", "p")
-        pivots = written_small(pivots, f"{name}-pivots")
-        other = lambda a, b: (F.col(f"{a}_label") != F.col(f"{b}_label")) & bound(F.col(a), F.col(b))
         left = rows.select("token", F.col("me").alias("a"), F.col("label").alias("a_label"), "size")
-        met = left.join(pivots.select("token", F.col("p.me").alias("b"), F.col("p.label").alias("b_label")), "token").where(other("a", "b"))
-        pairs = _pairs(met, "a", "b")
         if turn == 1:
+            pivots = rows.groupBy("token").agg(F.min(F.struct("me", "label")).alias("p"))
+        else:
+            salt = F.pmod(F.xxhash64("me.uid", F.lit(turn)), F.lit(PIVOTS ** (turn - 1)))
+            pivots = rows.where(F.col("size") > SHORT).groupBy("token", salt.alias("salt")).agg(F.min(F.struct("me", "label")).alias("p"))
+        pivots = written_small(pivots.select("token", F.col("p.me").alias("b"), F.col("p.label").alias("b_label")), f"{name}-pivots")
+        met = left.join(pivots, "token").where(other("a", "b"))
+        if turn == 1:
+            met = met.groupBy("a.uid").agg(F.min_by(F.struct("a", "a_label", "b", "b_label"), "b").alias("m")).select("m.*")
+            pairs = _pairs(met, "a", "b")
+        else:
             short = left.where(F.col("size") <= SHORT)
             twin = short.select("token", F.col("a").alias("b"), F.col("a_label").alias("b_label"))
-            pairs = pairs.unionByName(_pairs(short.join(twin, "token").where(F.col("a.uid") > F.col("b.uid")).where(other("a", "b")), "a", "b"))
+            pairs = _pairs(met, "a", "b").unionByName(_pairs(short.join(twin, "token").where(F.col("a.uid") > F.col("b.uid")).where(other("a", "b")), "a", "b"))
         links = written_small(check(pairs.distinct()), f"{name}-links")
         if not links.isEmpty():
             labels = _joined(labels, links, name)
-        spent = pivots.select("token", F.col("p.me.uid").alias("uid"))
-        rows = written_small(long.withColumn("uid", F.col("me.uid")).join(spent, ["token", "uid"], "left_anti").select("token", "me"), f"{name}-left")
+        if turn > 1:
+            spent = pivots.select("token", F.col("b.uid").alias("uid"))
+            rows = rows.where(F.col("size") > SHORT).withColumn("uid", F.col("me.uid")).join(spent, ["token", "uid"], "left_anti")
+            rows = written_small(rows, f"{name}-left")
         if rows.isEmpty():
             return labels
-        turn += 1
+        rows, turn = rows.select("token", "me"), turn + 1
 
 
 def named(classes: DataFrame, labels: DataFrame | None, key: list[str], name: str) -> DataFrame:

@@ -6,7 +6,8 @@ two sets estimates their similarity. ``BANDS`` bands of ``ROWS`` minima are the
 documents meet; a pair of similarity 0.80 shares none with a probability of 0.672**36 =
 6e-7. Candidates must agree in ``LEAST`` of the minima (six standard deviations below what a
 similarity of 0.80 gives) and are then confirmed on the full sets. ``families`` turns the
-confirmed links into components by large and small stars, without all pairs of a group.
+confirmed links into components by large and small stars, without all pairs of a group. Sets
+that are left in lists of several components meet by their rare shingles instead of bands.
 
 Documents of equal sets are one class, known by its size and 128 bits summed over the set.
 Full sets are needed only of classes that share a list. A bit array of a fixed size says
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .families import component_ids, labelled, named, shared_lists
@@ -165,14 +166,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _refined(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Rows with ``alive``: how many of a set's shingles are found under another label. No
-    overlap with a set of another label is larger, so sets with too few are left out."""
-    members = written_small(rows.select(F.col("me.uid").alias("rep"), "label").distinct(), "minhash-members")
-    grams = written(members.join(sets, "rep").select("rep", "label", F.explode("grams").alias("gram")), "minhash-grams")
-    shared = grams.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("gram")
-    alive = grams.join(shared, "gram").groupBy("rep").agg(F.count("*").alias("alive"))
-    found = rows.withColumn("rep", F.col("me.uid")).join(written_small(alive, "minhash-alive"), "rep")
-    return found.where(100 * F.col("alive") >= percent * F.col("me.n")).select("token", F.struct("me.uid", "me.n", "alive").alias("me"), "label")
+    """Rows by shingle in place of bands, for sets that are still open.
+
+    Shingles found under one label only can't be shared with another one. The others have a
+    global order, rare ones first, and two sets that are similar enough share one among
+    the first few of both; sets with too few shared ones are linked with no other label.
+    """
+    members = written_small(rows.select(F.col("me.uid").alias("rep"), "label", "me.n").distinct(), "minhash-members")
+    grams = written(members.join(sets, "rep").select("rep", "label", "n", F.explode("grams").alias("gram")), "minhash-grams")
+    shared = grams.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("times")).where("a < b")
+    each = Window.partitionBy("rep")
+    alive = grams.join(shared.select("gram", "times"), "gram").withColumns(
+        {"alive": F.count("*").over(each), "place": F.row_number().over(each.orderBy("times", "gram"))}
+    )
+    own = F.col("n") - F.col("alive")
+    first = alive.where(F.col("place") <= F.col("alive") - F.ceil(F.col("n") * percent / 100) + 1)
+    return first.select(F.col("gram").alias("token"), F.struct(own.alias("own"), F.col("rep").alias("uid"), "n", (own + F.col("place") - 1).alias("at")).alias("me"), "label")
 
 
 def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,7 +192,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         .select(F.col("r.uid").alias("rep"), *_KEY, "id", "r.bands", "r.least"),
         "minhash-classes",
     )
-    lists = shared_lists(classes.select(F.explode("bands").alias("token"), F.struct(F.col("rep").alias("uid"), "n", F.col("n").alias("alive")).alias("me")), "minhash")
+    lists = shared_lists(classes.select(F.explode("bands").alias("token"), F.struct(F.lit(0).cast("long").alias("own"), F.col("rep").alias("uid"), "n", F.lit(0).cast("long").alias("at")).alias("me")), "minhash")
     wanted = written(classes.select("rep", *_KEY).join(lists.select(F.col("me.uid").alias("rep")).distinct(), "rep", "left_semi"), "minhash-wanted")
     sets = full_sets(docs, wanted, n, text_col)
 
@@ -191,7 +200,7 @@ def grouped(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "
         return _confirmed(written(_alike(pairs, classes, LEAST * percent // PERCENT), "minhash-alike"), sets, percent)
 
     def bound(a: Column, b: Column) -> Column:
-        both = F.least(a["alive"], b["alive"])
+        both = F.least(a["n"] - a["at"], b["n"] - b["at"])  # no more than what either has from this shingle on
         return 100 * both >= percent * (a["n"] + b["n"] - both)
 
     # of the pivots of its lists a class meets the one that most of them have
