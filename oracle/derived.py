@@ -73,5 +73,5 @@ SQL = {
         o AS (SELECT ProductKey, ReceivingWarehouseKey AS WarehouseKey, min(PromisedDeliveryDate) AS next_dock_date FROM fact_po WHERE POStatus = 'Open In-Transit' GROUP BY 1, 2),
         j AS (SELECT ProductKey, WarehouseKey, SnapshotDate, OnHandQuantity::BIGINT AS OnHandQuantity, burn, {div('OnHandQuantity', 'burn', None)} AS dos, next_dock_date
               FROM snapshot JOIN b USING (ProductKey, WarehouseKey) LEFT JOIN o USING (ProductKey, WarehouseKey) WHERE SnapshotDate = (SELECT max(day) FROM flow))
-        SELECT ProductKey, WarehouseKey, OnHandQuantity, burn AS daily_burn, dos AS days_of_supply, next_dock_date, SnapshotDate + floor(dos)::INTEGER AS projected_stockout_date, dos <= 14 AS within_14_days FROM j""",
+        SELECT ProductKey, WarehouseKey, OnHandQuantity, burn AS daily_burn, dos AS days_of_supply, next_dock_date, SnapshotDate + floor(dos)::INTEGER AS projected_stockout_date, dos <= 14 AS within_14_days, coalesce(next_dock_date <= SnapshotDate + floor(dos)::INTEGER, false) AS inbound_in_time FROM j""",
 }

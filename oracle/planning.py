@@ -23,6 +23,15 @@ CTES["pos"] = """
 SELECT ProductKey, WarehouseKey, OnHandQuantity::BIGINT AS oh, ReservedQuantity::BIGINT AS re, AvailableQuantity::BIGINT AS av, InTransitInboundQuantity AS ib,
        InventoryValuation, DaysSinceLastMovement, RegionKey FROM snapshot WHERE SnapshotDate = (SELECT max(day) FROM flow)"""
 CTES["exc"] = "SELECT s.*, greatest(0, oh - coalesce(ss + cycle_stock + lead_time_demand, 0)) AS excess_units FROM pos s LEFT JOIN pol p USING (ProductKey, WarehouseKey)"
+CTES["known_sites"] = """
+SELECT ProductKey, WarehouseKey FROM pos UNION SELECT ProductKey, WarehouseKey FROM pol UNION SELECT ProductKey, WarehouseKey FROM open_inbound"""
+CTES["moves_plan"] = """
+WITH n AS (SELECT k.ProductKey, RegionKey, k.WarehouseKey, coalesce(av, 0) - coalesce(rop, 0) AS x
+       FROM (SELECT ProductKey, WarehouseKey FROM pos UNION SELECT ProductKey, WarehouseKey FROM pol) k JOIN dim_warehouse USING (WarehouseKey)
+       LEFT JOIN (SELECT ProductKey, WarehouseKey, av FROM pos) USING (ProductKey, WarehouseKey) LEFT JOIN pol USING (ProductKey, WarehouseKey)),
+  e AS (SELECT *, x > 0 AS s, abs(x) AS u, sum(abs(x)) OVER (PARTITION BY ProductKey, RegionKey, x > 0 ORDER BY abs(x) DESC, WarehouseKey ROWS UNBOUNDED PRECEDING) AS hi FROM n WHERE x <> 0)
+SELECT a.ProductKey, a.RegionKey, a.WarehouseKey AS origin, b.WarehouseKey AS destination, (least(a.hi, b.hi) - greatest(a.hi - a.u, b.hi - b.u))::BIGINT AS transfer_units
+FROM e a JOIN e b ON a.ProductKey = b.ProductKey AND a.RegionKey = b.RegionKey AND a.s AND NOT b.s AND a.hi - a.u < b.hi AND b.hi - b.u < a.hi"""
 CTES["cases"] = king("(SELECT r.*, s.*, CategoryName, UnitStandardCost FROM repl r LEFT JOIN dim_product USING (ProductKey) CROSS JOIN scenarios s)", Z.format("level"), "mult", "shock::DOUBLE")
 CTES["sims"] = "SELECT ScenarioCode, rate, sum(ss)::BIGINT AS ss_units, sum(rop)::BIGINT AS rop_units, sum(ss * UnitStandardCost) AS ss_value FROM cases GROUP BY 1, 2"
 COST = "UnitStandardCost"
@@ -75,14 +84,18 @@ SQL = {
     "below_rop": """SELECT ProductKey, WarehouseKey, net AS net_available, rop AS reorder_point, rop - net AS deficit_units
         FROM (SELECT ProductKey, WarehouseKey, rop, coalesce(oh, 0) + coalesce(InTransitInboundQuantity, 0) - coalesce(re, 0) AS net
               FROM pol LEFT JOIN pos USING (ProductKey, WarehouseKey) LEFT JOIN open_inbound USING (ProductKey, WarehouseKey)) WHERE net <= rop""",
-    "planner_queues": f"""WITH r AS (SELECT s.oh, p.ss, coalesce(o.InTransitInboundQuantity, 0) AS i, o.OpenPOAmount, {div('s.oh', 'p.d', '9999.0::DOUBLE')} AS cover
-            FROM pos s LEFT JOIN pol p USING (ProductKey, WarehouseKey) LEFT JOIN open_inbound o USING (ProductKey, WarehouseKey))
-        SELECT CASE WHEN oh = 0 AND i > 0 THEN 'Emergency Expedite' WHEN cover > 365 AND i > 0 THEN 'Cancel / Defer Inbound' WHEN oh < coalesce(ss, 0) AND i > 0 THEN 'Inbound ROP Monitoring' ELSE 'No Action' END AS queue,
-            count(*) AS positions, sum(oh)::BIGINT AS on_hand, sum(i)::BIGINT AS inbound_units, coalesce(sum(OpenPOAmount), 0)::DOUBLE AS open_po_amount FROM r GROUP BY 1""",
-    "rebalance_candidates": """WITH n AS (SELECT ProductKey, RegionKey, WarehouseKey, av - coalesce(rop, 0) AS x FROM pos LEFT JOIN pol USING (ProductKey, WarehouseKey)),
-        e AS (SELECT *, x > 0 AS s, abs(x) AS u, sum(abs(x)) OVER (PARTITION BY ProductKey, RegionKey, x > 0 ORDER BY abs(x) DESC, WarehouseKey ROWS UNBOUNDED PRECEDING) AS hi FROM n WHERE x <> 0)
-        SELECT a.ProductKey, a.RegionKey, a.WarehouseKey AS origin, b.WarehouseKey AS destination, (least(a.hi, b.hi) - greatest(a.hi - a.u, b.hi - b.u))::BIGINT AS transfer_units
-        FROM e a JOIN e b ON a.ProductKey = b.ProductKey AND a.RegionKey = b.RegionKey AND a.s AND NOT b.s AND a.hi - a.u < b.hi AND b.hi - b.u < a.hi""",
+    "planner_queues": f"""WITH r AS (SELECT k.ProductKey, k.WarehouseKey, coalesce(s.oh, 0) AS oh, coalesce(p.ss, 0) AS ss, coalesce(o.InTransitInboundQuantity, 0) AS i, o.OpenPOAmount,
+            {div('coalesce(s.oh, 0)', 'p.d', '9999.0::DOUBLE')} AS cover, coalesce(s.oh, 0) * UnitStandardCost AS v
+            FROM known_sites k LEFT JOIN pos s USING (ProductKey, WarehouseKey) LEFT JOIN pol p USING (ProductKey, WarehouseKey) LEFT JOIN open_inbound o USING (ProductKey, WarehouseKey)
+            LEFT JOIN dim_product d ON d.ProductKey = k.ProductKey),
+        q AS (SELECT *, CASE WHEN oh = 0 AND i > 0 THEN 'Emergency Expedite' WHEN cover > 365 AND i > 0 THEN 'Cancel / Defer Inbound' WHEN oh < ss AND i > 0 THEN 'Inbound ROP Monitoring' ELSE 'No Action' END AS queue FROM r
+            UNION ALL SELECT r.*, 'Network Rebalancing' FROM r WHERE EXISTS (SELECT 1 FROM moves_plan m WHERE m.ProductKey = r.ProductKey AND r.WarehouseKey IN (m.origin, m.destination)))
+        SELECT queue, count(*) AS positions, sum(oh)::BIGINT AS on_hand, sum(i)::BIGINT AS inbound_units, coalesce(sum(OpenPOAmount), 0)::DOUBLE AS open_po_amount, coalesce(sum(v), 0)::DOUBLE AS valuation FROM q GROUP BY 1""",
+    "rebalance_candidates": "SELECT * FROM moves_plan",
+    "stockout_open_orders": """WITH l AS (SELECT * FROM fact_sales WHERE OrderDate <= (SELECT max(day) FROM flow) AND (ShipDate > (SELECT max(day) FROM flow) OR CancelledQuantity > 0))
+        SELECT p.ProductKey, p.WarehouseKey, any_value(p.oh) AS on_hand, count(DISTINCT SalesOrderID) AS open_orders, count(*) AS open_lines, sum(OrderedQuantity)::BIGINT AS open_units,
+            sum(NetSalesAmount)::DOUBLE AS value_at_risk, any_value(coalesce(p.ib, 0))::BIGINT AS inbound_units
+        FROM pos p JOIN l USING (ProductKey, WarehouseKey) WHERE p.av <= 0 GROUP BY 1, 2""",
     "overdue_po": """SELECT POLineKey, SupplierKey, ReceivingWarehouseKey, POStatus, PromisedDeliveryDate, OrderedQuantity, ExtendedPOAmount::DOUBLE AS ExtendedPOAmount,
         date_diff('day', PromisedDeliveryDate, (SELECT last_day FROM sales_days)) AS overdue_days FROM fact_po WHERE POStatus <> 'Completed' AND PromisedDeliveryDate < (SELECT last_day FROM sales_days)""",
     "doi_vs_leadtime": f"""SELECT * FROM (SELECT ProductKey, WarehouseKey, CASE WHEN oh > 0 THEN {div('oh', 'd', '9999.0::DOUBLE')} ELSE 0.0::DOUBLE END AS days_of_inventory,

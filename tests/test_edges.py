@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions import safe_divide, sample_std, stable_round, z_score
-from tidewater.operators import dedup, derived, marts, parsing, quality, security
+from tidewater.operators import intervals, dedup, derived, marts, parsing, quality, security
 from tidewater.operators.replenish import king
 from tidewater.schemas import BRONZE, INVENTORY, SALES
 
@@ -81,20 +81,25 @@ def test_preview(spark):
     assert [r.v for r in df.collect()] == ["x" * 75 + "...", "y" * 75, ""]
 
 
-def snapshot(spark, days):
-    rows = [(1, 1, dt.date(2024, 10, d), q) for d, q in days]
-    return spark.createDataFrame(rows, "ProductKey bigint, WarehouseKey bigint, SnapshotDate date, AvailableQuantity bigint")
+def empty_spans(spark, spans):
+    rows = [(1, 1, dt.date(2024, 10, a), dt.date(2024, 10, b)) for a, b in spans]
+    return spark.createDataFrame(rows, "ProductKey bigint, WarehouseKey bigint, FromDate date, UntilDate date")
 
 
-def test_five_empty_days_are_one_outage(spark):
-    snap = snapshot(spark, [(d, 0 if 3 <= d <= 7 else 5) for d in range(1, 11)])
-    r = one(derived.stockout_episodes(snap, ["ProductKey", "WarehouseKey"]))
+def outages(spark, spans):
+    runs = intervals.merged(empty_spans(spark, spans), ["ProductKey", "WarehouseKey"])
+    return runs.select("ProductKey", "WarehouseKey", F.col("FromDate").alias("StartDate"), F.col("UntilDate").alias("EndDate"), intervals.days().alias("StockoutDurationDays"))
+
+
+def test_adjacent_empty_spans_are_one_outage(spark):
+    r = one(outages(spark, [(3, 3), (4, 6), (7, 7)]))
     assert (r.StartDate, r.EndDate, r.StockoutDurationDays) == (dt.date(2024, 10, 3), dt.date(2024, 10, 7), 5)
+    assert sorted(r.StockoutDurationDays for r in outages(spark, [(3, 4), (6, 9)]).collect()) == [2, 4]
 
 
 def test_lost_demand_uses_the_days_before_only(spark):
     keys = ["ProductKey", "WarehouseKey"]
-    episode = derived.stockout_episodes(snapshot(spark, [(3, 0), (4, 0)]), keys)
+    episode = outages(spark, [(3, 3), (4, 4)])
     day = lambda d: dt.date(2024, 10, 3) + dt.timedelta(d)
     demand = spark.createDataFrame(
         [(1, 1, day(-30), 60), (1, 1, day(-31), 1000), (1, 1, day(-1), 30), (1, 1, day(0), 1000)],

@@ -96,16 +96,52 @@ def test_current_stock_is_one_number(stars):
         total = last.agg(F.sum("OnHandQuantity")).first()[0]
         for by in ("WarehouseKey", "CategoryName"):
             assert measures.stock_by(star, [by], "OnHandQuantity").agg(F.sum("OnHandQuantity")).first()[0] == total
-        assert planning.position(star, "OnHandQuantity").agg(F.sum("OnHandQuantity")).first()[0] == total
+        assert star.position("OnHandQuantity").agg(F.sum("OnHandQuantity")).first()[0] == total
 
 
 def test_planner_lists_hold_stock_without_sales_and_sales_without_stock(stars):
     star = stars[0]
     below = {tuple(r) for r in planning.below_rop(star).select("ProductKey", "WarehouseKey").collect()}
-    stocked = {tuple(r) for r in planning.position(star).select("ProductKey", "WarehouseKey").collect()}
+    stocked = {tuple(r) for r in star.position().select("ProductKey", "WarehouseKey").collect()}
     sold = {tuple(r) for r in planning.policies(star).select("ProductKey", "WarehouseKey").collect()}
     assert below - stocked and stocked - sold
-    assert planning.planner_queues(star).agg(F.sum("positions")).first()[0] == len(stocked)
+    inbound = {(r.ProductKey, r.WarehouseKey): r.InTransitInboundQuantity for r in star.open_inbound().collect()}
+    queues = {r.queue: r for r in planning.planner_queues(star).collect()}
+    empty = {tuple(r) for r in star.position("OnHandQuantity").where("OnHandQuantity = 0").select("ProductKey", "WarehouseKey").collect()}
+    urgent = [k for k in inbound if k not in stocked or k in empty]
+    assert queues[planning.EXPEDITE].positions == len(urgent) and queues[planning.EXPEDITE].inbound_units == sum(inbound[k] for k in urgent)
+    assert sum(r.positions for q, r in queues.items() if q != planning.REBALANCE) == len(stocked | sold | set(inbound))
+    moves = planning.rebalance_candidates(star).collect()
+    ends = {(m.ProductKey, w) for m in moves for w in (m.origin, m.destination)}
+    assert queues[planning.REBALANCE].positions == len(ends) and {(m.ProductKey, m.destination) for m in moves} - stocked
+
+
+@pytest.mark.parametrize("plan", [planning.reorder_point, measures.storage_utilization, measures.service_levels, measures.inventory_position, derived.stockout_episodes])
+def test_no_rows_per_day_outside_the_snapshot(stars, plan):
+    text = plan(stars[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert "SnapshotDate" not in text and "sequence(" not in text
+
+
+def test_a_stored_snapshot_without_intervals_serves_as_well(stars, spark):
+    older = StarTables(spark, stars[1].path)
+    older._days_as_intervals().createOrReplaceTempView("days_as_intervals")
+    plain, table = older.table, older._days_as_intervals()
+    older.table = lambda name, *c: (table.select(*c) if c else table) if name == "FactStockInterval" else plain(name, *c)
+    for plan in (measures.inventory_turns, measures.inventory_position, measures.inventory_aging, planning.reorder_point):
+        same(finish(plan(older)), finish(plan(stars[0])))
+
+
+def test_upsert_keeps_rows_without_a_partition_value(spark):
+    path = scratch_path(spark, "nulls")
+    schema = "day date, k string, v int"
+    day = dt.date(2024, 1, 1)
+    storage.upsert(spark, path, spark.createDataFrame([(None, "a", 1), (None, "b", 1), (day, "a", 1), (None, None, 1)], schema), ["day", "k"], "day")
+    storage.upsert(spark, path, spark.createDataFrame([(None, "c", 2), (None, "b", 2), (None, None, 2)], schema), ["day", "k"], "day")
+    rows = sorted(map(tuple, spark.read.parquet(path).select("k", "v", "day").collect()), key=str)
+    assert rows == sorted([("a", 1, None), ("b", 2, None), ("c", 2, None), (None, 2, None), ("a", 1, day)], key=str)
+    storage.upsert(spark, path, spark.createDataFrame([], schema), ["day", "k"], "day")
+    storage.upsert(spark, path, spark.createDataFrame([(day, "z", 3)], schema), ["day", "k"], "day")
+    assert spark.read.parquet(path).count() == 6
 
 
 def test_no_source_is_skipped(spark):
@@ -115,7 +151,7 @@ def test_no_source_is_skipped(spark):
 
 STORED = [
     "DimProduct", "DimWarehouse", "DimSupplier", "DimCustomerChannel", "DimRegion", "FactSales", "FactPurchaseOrder",
-    "FactDemandForecast", "FactInventoryMovement", "FactInventorySnapshot", "FactStockout",
+    "FactDemandForecast", "FactInventoryMovement", "FactInventorySnapshot", "FactStockInterval", "FactStockout",
 ]
 
 

@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import derived, segments, storage
+from tidewater.operators import derived, intervals, segments, storage
 from tidewater.operators.replenish import transfers
 from tidewater.operators.running import ranked, running_totals
 from tidewater.session import scratch_path
@@ -27,8 +27,10 @@ def test_balance_equals_the_recurrence(spark, seed):
         assert got[k, d] == stock[k]
 
     last = start + dt.timedelta(45)
-    snap = derived.daily_snapshot(df, ["k"], F.lit(last).cast("date")).collect()
-    held = {(r.k, (r.SnapshotDate - start).days): (r.OnHandQuantity, r.DaysSinceLastMovement) for r in snap}
+    held_since = intervals.stock_intervals(df, ["k"], F.lit(last).cast("date"))
+    snap = derived.daily_snapshot(held_since).collect()
+    held = {(r.k, (r.SnapshotDate - start).days): (r.OnHandQuantity, (r.SnapshotDate - r.FromDate).days) for r in snap}
+    assert {r.k for r in held_since.where("IsCurrent").collect()} == set(range(20))
     for k in range(20):
         days = sorted(d for kk, d in flows if kk == k)
         assert [d for kk, d in sorted(held) if kk == k] == list(range(days[0], 46))
@@ -37,6 +39,39 @@ def test_balance_equals_the_recurrence(spark, seed):
             assert held[k, d] == (got[k, moved], d - moved)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_interval_totals_equal_those_of_days(spark, seed):
+    """Totals, averages, late values and months of random intervals with gaps, against a row per day."""
+    rng, start = random.Random(seed), dt.date(2023, 12, 20)
+    rows, daily = [], defaultdict(lambda: [0, 0, 0])
+    for k in range(25):
+        at = rng.randint(0, 30)
+        while at < 80:
+            end, v, g = at + rng.randint(0, 12), rng.randint(0, 9), "ab"[k % 2]
+            rows.append((g, k, start + dt.timedelta(at), start + dt.timedelta(end), v))
+            for d in range(at, end + 1):
+                cell = daily[g, d]
+                cell[0], cell[1] = cell[0] + 1, cell[1] + v
+                cell[2] += v if d - at >= 5 else 0
+            at = end + 1 + rng.choice([0, 0, 0, 25])
+    df = spark.createDataFrame(rows, "g string, k int, FromDate date, UntilDate date, v bigint").withColumn("v", F.col("v").cast("decimal(20,2)"))
+    change = intervals.changes(df, ["g", "k"], {"v": F.col("v")}, {"old": (F.date_add("FromDate", 5), F.col("v"))})
+    total = intervals.totals(intervals.rolled(change, ["g"], ["v", "old"]), ["g"], ["v", "old"])
+    got = {(r.g, (r.FromDate - start).days + i): [r.n, int(r.v), int(r.old)] for r in total.collect() for i in range((r.UntilDate - r.FromDate).days + 1)}
+    assert got == dict(daily)
+    since = start + dt.timedelta(40)
+    found = total.groupBy("g").agg(
+        intervals.over_days("v").alias("all"), intervals.over_days("v", F.lit(since)).alias("since"), F.sum(intervals.days()).alias("days"), intervals.latest("v").alias("now")
+    )
+    for r in found.collect():
+        mine = {d: c for (g, d), c in daily.items() if g == r.g}
+        assert (r.all, r.since, r.days, r.now) == (sum(c[1] for c in mine.values()), sum(c[1] for d, c in mine.items() if d >= 40), len(mine), mine[max(mine)][1])
+    months = intervals.by_month(total).groupBy("g", "month").agg(F.sum(intervals.days()).alias("n"), intervals.over_days("v").alias("v"))
+    for r in months.collect():
+        mine = [c for (g, d), c in daily.items() if g == r.g and (start + dt.timedelta(d)).replace(day=1) == r.month]
+        assert (r.n, r.v) == (len(mine), sum(c[1] for c in mine))
+
+
 @pytest.mark.parametrize("slices", [1, 3, 7])
 def test_running_totals_over_slices(spark, slices):
     rng = random.Random(slices)

@@ -26,42 +26,9 @@ def inventory_balance(flows: DataFrame, keys: list[str]) -> DataFrame:
     return s.withColumn("balance", F.col("prefix") - floor).drop("prefix")
 
 
-def daily_snapshot(flows: DataFrame, keys: list[str], last_day: Column) -> DataFrame:
-    """Dense day spine per key: a balance holds until the next movement.
-
-    Filling the gap between two movements needs only the next movement's day,
-    so the spine costs no join and no second shuffle.
-    """
-    order = Window.partitionBy(*keys).orderBy("day")
-    bal = inventory_balance(flows, keys)
-    until = F.coalesce(F.date_sub(F.lead("day").over(order), 1), F.greatest(F.col("day"), last_day))
-    held = bal.withColumn("until", until)
-    return held.select(
-        *keys,
-        F.explode(F.sequence("day", "until")).alias("SnapshotDate"),
-        F.col("balance").alias("OnHandQuantity"),
-        "day",
-    ).select(
-        *keys, "SnapshotDate", "OnHandQuantity",
-        F.datediff("SnapshotDate", "day").cast("long").alias("DaysSinceLastMovement"),
-    )
-
-
-def stockout_episodes(snapshot: DataFrame, keys: list[str]) -> DataFrame:
-    """Consecutive days without available stock become one outage."""
-    out = snapshot.where("AvailableQuantity <= 0")
-    w = Window.partitionBy(*keys).orderBy("SnapshotDate")
-    island = F.date_sub("SnapshotDate", F.row_number().over(w))
-    return (
-        out.withColumn("island", island)
-        .groupBy(*keys, "island")
-        .agg(
-            F.min("SnapshotDate").alias("StartDate"),
-            F.max("SnapshotDate").alias("EndDate"),
-            F.count("*").alias("StockoutDurationDays"),
-        )
-        .drop("island")
-    )
+def daily_snapshot(intervals: DataFrame) -> DataFrame:
+    """Dense day spine from intervals of unchanged stock: one row per key and day."""
+    return intervals.withColumn("SnapshotDate", F.explode(F.sequence("FromDate", "UntilDate")))
 
 
 def lost_demand(episodes: DataFrame, demand: DataFrame, keys: list[str], days: int = 30) -> DataFrame:

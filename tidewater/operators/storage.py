@@ -56,13 +56,22 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 def between_ends(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
     """``target`` from the first to the last partition value of ``source``, as literals, so
-    that only those directories are listed and read."""
-    low, high = source.agg(F.min(partition), F.max(partition)).first()
-    return target if low is None else target.where(F.col(partition).between(F.lit(low), F.lit(high)))
+    that only those directories are listed and read; with the null partition if the source touches it."""
+    low, high, blank = source.agg(F.min(partition), F.max(partition), F.count_if(F.col(partition).isNull())).first()
+    if low is None:
+        return target.where(F.col(partition).isNull()) if blank else target.where(F.lit(False))
+    inside = F.col(partition).between(F.lit(low), F.lit(high))
+    return target.where(inside | F.col(partition).isNull() if blank else inside)
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    """Equal in all columns, nulls included."""
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition: str) -> None:
-    """Insert or replace rows by key; only partitions the source touches are rewritten.
+    """Insert or replace rows by key; only partitions the source touches are rewritten. A null
+    is a partition and a key value like any other.
 
     The source is written once to the shared folder, so the touched partitions
     and the new rows come from the same data even if an executor is lost. The
@@ -72,9 +81,10 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     _writer(source, "overwrite", []).parquet(staged)
     source = spark.read.parquet(staged)
     if exists(spark, path):
-        touched = source.select(partition).distinct()
+        touched, new = source.select(partition).distinct(), source.select(*keys).distinct()
         target = between_ends(spark.read.schema(source.schema).parquet(path), source, partition)
-        kept = target.join(touched, partition, "left_semi").join(source.select(*keys), keys, "left_anti")
+        kept = target.join(touched, _same(target, touched, [partition]), "left_semi")
+        kept = kept.join(new, _same(kept, new, keys), "left_anti")
         merged = kept.select(*source.columns).unionByName(source)
         _writer(merged.hint("rebalance", partition), "overwrite", [partition]).option(
             "partitionOverwriteMode", "dynamic"

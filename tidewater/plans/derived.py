@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import month_label, safe_divide
-from ..operators import dedup, segments
+from ..operators import dedup, intervals, segments
 from ..operators import derived as ops
 from ..sources.star import DerivedStar
+from .measures import enterprise_valuation
 from .registry import query
 
 SITE = ["ProductKey", "WarehouseKey"]
@@ -115,10 +116,8 @@ def monthly_trend(star: DerivedStar) -> DataFrame:
         F.sum("net").alias("net_sales"), F.max_by("t30", "OrderDate").alias("trailing_30d_daily_net")
     )
     valuation = (
-        star.table("FactInventorySnapshot", "SnapshotDate", "InventoryValuation").groupBy("SnapshotDate")
-        .agg(F.sum("InventoryValuation").alias("v"))
-        .groupBy(F.trunc("SnapshotDate", "month").alias("m"))
-        .agg(safe_divide(F.sum("v"), F.count("*")).alias("avg_daily_valuation"))
+        intervals.by_month(enterprise_valuation(star)).groupBy(F.col("month").alias("m"))
+        .agg(safe_divide(intervals.over_days("value"), F.sum(intervals.days())).alias("avg_daily_valuation"))
     )
     both = monthly.join(valuation, "m", "full_outer")
     previous = F.lag("net_sales").over(Window.orderBy("m"))
@@ -168,7 +167,7 @@ def trailing90_otif(star: DerivedStar) -> DataFrame:
 def projected_stockout(star: DerivedStar) -> DataFrame:
     """Days until the shelf is empty at the burn rate of the last 30 days, and the next dock date."""
     last = star.last_event_day()
-    position = star.table("FactInventorySnapshot", "SnapshotDate", *SITE, "OnHandQuantity").where(F.col("SnapshotDate") == last)
+    position = star.position("OnHandQuantity").withColumn("SnapshotDate", last)
     picks = star.movements().where((F.col("event_type") == "PICK") & (F.col("day") > F.date_sub(last, 30))).groupBy(*SITE).agg(F.sum(-F.col("quantity_change")).alias("picked"))
     dock = (
         star.table("FactPurchaseOrder", "ProductKey", "ReceivingWarehouseKey", "POStatus", "PromisedDeliveryDate")
@@ -183,5 +182,7 @@ def projected_stockout(star: DerivedStar) -> DataFrame:
     )
     whole = F.floor("days_of_supply").cast("int")
     return out.select(
-        "*", F.date_add("SnapshotDate", whole).alias("projected_stockout_date"), (F.col("days_of_supply") <= 14).alias("within_14_days")
+        "*", F.date_add("SnapshotDate", whole).alias("projected_stockout_date"), (F.col("days_of_supply") <= 14).alias("within_14_days"),
+        # a dock date that has passed and the day of the outage itself come in time
+        F.coalesce(F.col("next_dock_date") <= F.date_add("SnapshotDate", whole), F.lit(False)).alias("inbound_in_time"),
     ).drop("SnapshotDate")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import between_labels, month_label, safe_divide, stable_round, sum_when, tier
-from ..operators import derived, segments
+from ..operators import derived, intervals, segments
 from ..sources.star import OVERSEAS, TIER_3, DerivedStar
 from .registry import query
 
@@ -18,33 +18,46 @@ CARRYING_RATE = 0.22  # fixed value: default annual rate
 OTIF_TARGET, STOCKOUT_TARGET = 0.85, 0.002  # fixed values
 
 
-def latest_day(daily: DataFrame, group: list[str], sums: list[str]) -> DataFrame:
-    """Values of the newest day per group from rows already summed per day."""
-    return daily.groupBy(*group).agg(*[F.max_by(c, "SnapshotDate").alias(c) for c in sums])
-
-
 def stock_by(star: DerivedStar, group: list[str], *measures: str) -> DataFrame:
-    """Current units or valuation per group."""
-    daily = star.table("FactInventorySnapshot", "SnapshotDate", *group, *measures).groupBy(*group, "SnapshotDate").agg(
+    """Current units or valuation per group: of the intervals that reach the group's last day."""
+    ends = star.table("FactStockInterval", "UntilDate", *group, *measures).groupBy(*group, "UntilDate").agg(
         *[F.sum(m).alias(m) for m in measures]
     )
-    return latest_day(daily, group, list(measures))
+    return ends.groupBy(*group).agg(*[F.max_by(m, "UntilDate").alias(m) for m in measures])
+
+
+DEAD_AFTER = 181  # fixed value: days without movement from which stock is dead
+
+
+def valuation_changes(star: DerivedStar, key: str) -> DataFrame:
+    """Daily changes of valuation and of dead stock, by product (and its category) or by warehouse.
+
+    Coarser groups are rolled up from these, so one query computes them once.
+    """
+    v = F.col("InventoryValuation")
+    rows = star.table("FactStockInterval", "FromDate", "UntilDate", "LastMovementDate", key, "InventoryValuation")
+    found = intervals.changes(rows, [key], {"value": v}, {"dead": (F.date_add("LastMovementDate", DEAD_AFTER), v)})
+    return found.join(star.table("DimProduct", key, "CategoryName"), key, "left") if key == "ProductKey" else found
 
 
 def valuation_by(star: DerivedStar, group: list[str]) -> DataFrame:
     """Average daily and current valuation, and current dead stock (> 180 days)."""
-    v = F.col("InventoryValuation")
-    snap = star.table("FactInventorySnapshot", "SnapshotDate", *group, "InventoryValuation", "DaysSinceLastMovement")
-    daily = snap.groupBy(*group, "SnapshotDate").agg(
-        F.sum(v).alias("value"), sum_when(F.col("DaysSinceLastMovement") > 180, v).alias("dead")
-    )
-    return daily.groupBy(*group).agg(
-        safe_divide(F.sum("value"), F.count("*")).alias("avg_daily_valuation"),
-        F.max_by("value", "SnapshotDate").alias("current_valuation"),
-        F.max_by("dead", "SnapshotDate").alias("dead_stock_valuation"),
+    change = valuation_changes(star, "WarehouseKey" if group == ["WarehouseKey"] else "ProductKey")
+    if group not in (["WarehouseKey"], ["ProductKey"]):
+        change = intervals.rolled(change, group, ["value", "dead"])
+    total = intervals.totals(change, group, ["value", "dead"])
+    return total.groupBy(*group).agg(
+        safe_divide(intervals.over_days("value"), F.sum(intervals.days())).alias("avg_daily_valuation"),
+        intervals.latest("value").alias("current_valuation"), intervals.latest("dead").alias("dead_stock_valuation"),
     )
 
 
+def enterprise_valuation(star: DerivedStar) -> DataFrame:
+    """Valuation of all stock while it does not change."""
+    rows = star.table("FactStockInterval", "FromDate", "UntilDate", "InventoryValuation")
+    return intervals.totals(intervals.changes(rows, [], {"value": F.col("InventoryValuation")}), [], ["value"])
+
+
 def turns_by(star: DerivedStar, *group: str) -> DataFrame:
     """Annualised cost of goods, turns and days of inventory per group."""
     v = valuation_by(star, list(group))
@@ -108,29 +121,28 @@ def sales_kpis(star: DerivedStar) -> DataFrame:
 # -- inventory --------------------------------------------------------------
 
 
-@query
-def inventory_position(star: DerivedStar) -> DataFrame:
-    """By warehouse; ``total_rows_all_dates`` ignores the date filter of the rest."""
-    units = ["OnHandQuantity", "AvailableQuantity", "ReservedQuantity", "InTransitInboundQuantity"]
-    snap = star.table("FactInventorySnapshot", "SnapshotDate", "WarehouseKey", *units, "InventoryValuation")
-    daily = snap.groupBy("WarehouseKey", "SnapshotDate").agg(
-        *[F.sum(c).alias(c) for c in (*units, "InventoryValuation")],
-        F.count("*").alias("n"), F.count_if(F.col("AvailableQuantity") <= 0).alias("out"),
-    )
-    in_context = F.col("SnapshotDate") >= F.lit("2024-01-08").cast("date")
+POSITION_SINCE = "2024-01-08"  # first day of the date filter unless the caller names another
 
-    def now(c):
-        return F.max_by(c, "SnapshotDate")
 
-    return daily.groupBy("WarehouseKey").agg(
-        F.max("SnapshotDate").alias("latest_snapshot_date"),
+@query
+def inventory_position(star: DerivedStar, since: str = POSITION_SINCE) -> DataFrame:
+    """By warehouse; ``total_rows_all_dates`` ignores the date filter of the rest."""
+    units = ["OnHandQuantity", "AvailableQuantity", "ReservedQuantity", "InTransitInboundQuantity", "InventoryValuation"]
+    rows = star.table("FactStockInterval", "FromDate", "UntilDate", "WarehouseKey", *units)
+    out = F.when(F.col("AvailableQuantity") <= 0, 1).otherwise(0).cast("long")
+    names = [*units, "out"]
+    change = intervals.changes(rows, ["WarehouseKey"], {c: out if c == "out" else F.col(c) for c in names})
+    total = intervals.totals(change, ["WarehouseKey"], names)
+    first, now = F.lit(since).cast("date"), intervals.latest
+    summed = intervals.over_days("InventoryValuation", first)
+    return total.groupBy("WarehouseKey").agg(
+        F.max("UntilDate").alias("latest_snapshot_date"),
         now("OnHandQuantity").alias("on_hand"), now("AvailableQuantity").alias("available"),
         now("ReservedQuantity").alias("reserved"), now("InTransitInboundQuantity").alias("inbound"),
-        now("InventoryValuation").alias("current_valuation"),
-        sum_when(in_context, "InventoryValuation").alias("summed_valuation"),
-        safe_divide(sum_when(in_context, "InventoryValuation"), F.count_if(in_context)).alias("avg_daily_valuation"),
-        sum_when(in_context, "n").alias("snapshot_records"), F.sum("n").alias("total_rows_all_dates"),
-        sum_when(in_context, "out").alias("stockout_records"),
+        now("InventoryValuation").alias("current_valuation"), summed.alias("summed_valuation"),
+        safe_divide(summed, F.sum(intervals.days_since(first))).alias("avg_daily_valuation"),
+        intervals.over_days("n", first).cast("long").alias("snapshot_records"), intervals.over_days("n").cast("long").alias("total_rows_all_dates"),
+        intervals.over_days("out", first).cast("long").alias("stockout_records"),
     )
 
 
@@ -140,14 +152,13 @@ AGING = ["Healthy Active", "Slow Moving", "Stagnant At-Risk", "Dead Stock"]
 @query
 def inventory_aging(star: DerivedStar) -> DataFrame:
     """Valuation per aging tier on the latest day of each category, as rows."""
-    age, v = F.col("DaysSinceLastMovement"), F.col("InventoryValuation")
-    snap = star.table("FactInventorySnapshot", "SnapshotDate", "CategoryName", "InventoryValuation", "DaysSinceLastMovement")
+    v = F.col("InventoryValuation")
+    age = F.datediff("UntilDate", "LastMovementDate")
+    rows = star.table("FactStockInterval", "UntilDate", "LastMovementDate", "CategoryName", "InventoryValuation")
     bands = [age <= 60, (age > 60) & (age <= 120), (age > 120) & (age <= 180), age > 180]
     names = [f"t{i}" for i in range(len(AGING))]
-    daily = snap.groupBy("CategoryName", "SnapshotDate").agg(
-        F.sum(v).alias("total"), *[sum_when(b, v).alias(n) for b, n in zip(bands, names)]
-    )
-    latest = latest_day(daily, ["CategoryName"], ["total", *names])
+    ends = rows.groupBy("CategoryName", "UntilDate").agg(F.sum(v).alias("total"), *[sum_when(b, v).alias(n) for b, n in zip(bands, names)])
+    latest = ends.groupBy("CategoryName").agg(*[F.max_by(c, "UntilDate").alias(c) for c in ("total", *names)])
     rows = F.array(
         *[F.struct(F.lit(i + 1).alias("tier_order"), F.lit(label).alias("aging_tier"), F.col(n).alias("valuation")) for i, (label, n) in enumerate(zip(AGING, names))]
     )
@@ -238,8 +249,9 @@ def service_levels(star: DerivedStar) -> DataFrame:
         F.count_if(F.col("worst") == 1).alias("otif_orders"), F.count("*").alias("orders"),
         F.sum("ordered").alias("ordered"), F.sum("shipped").alias("shipped"), F.sum("cancelled").alias("cancelled"),
     )
-    snaps = star.table("FactInventorySnapshot", "WarehouseKey", "IsStockoutFlag").groupBy("WarehouseKey").agg(
-        F.count("*").alias("snaps"), F.sum("IsStockoutFlag").alias("outs")
+    length = intervals.days()
+    snaps = star.table("FactStockInterval", "FromDate", "UntilDate", "WarehouseKey", "IsStockoutFlag").groupBy("WarehouseKey").agg(
+        F.sum(length).alias("snaps"), F.sum(F.col("IsStockoutFlag") * length).alias("outs")
     ).join(region, "WarehouseKey").groupBy("RegionKey").agg(F.sum("snaps").alias("snaps"), F.sum("outs").alias("outs"))
     outages = star.table(
         "FactStockout", "WarehouseKey", "StockoutDurationDays", "EstimatedLostDemandUnits", "EstimatedLostRevenueAmount"
@@ -555,8 +567,9 @@ COST_PARTS = [
 @query
 def cash_conversion_cycle(star: DerivedStar) -> DataFrame:
     """Days cash is tied up, and the carrying cost by part, for the whole enterprise."""
-    daily = star.table("FactInventorySnapshot", "SnapshotDate", "InventoryValuation").groupBy("SnapshotDate").agg(F.sum("InventoryValuation").alias("v"))
-    value = daily.agg(safe_divide(F.sum("v"), F.count("*")).alias("avg_valuation"), F.max_by("v", "SnapshotDate").alias("current_valuation"))
+    value = enterprise_valuation(star).agg(
+        safe_divide(intervals.over_days("value"), F.sum(intervals.days())).alias("avg_valuation"), intervals.latest("value").alias("current_valuation")
+    )
     cogs = star.cogs("CategoryName").agg(F.sum("total_cogs")).scalar()
     rows = value.withColumn("annual", safe_divide(cogs * 365, star.order_days()))
     rows = rows.withColumn("dio", safe_divide(F.lit(365), safe_divide("annual", "avg_valuation")))
@@ -609,10 +622,9 @@ def abc_xyz_matrix(star: DerivedStar) -> DataFrame:
 
 @query
 def aging_brackets(star: DerivedStar) -> DataFrame:
-    last = star.last_event_day()
-    snap = star.table("FactInventorySnapshot", "SnapshotDate", "CategoryName", "OnHandQuantity", "InventoryValuation", "DaysSinceLastMovement")
+    rows = star.position("CategoryName", "OnHandQuantity", "InventoryValuation", "DaysSinceLastMovement")
     bracket = between_labels("DaysSinceLastMovement", [(30, "0-30"), (60, "31-60"), (90, "61-90"), (180, "91-180")], "180+")
-    return snap.where(F.col("SnapshotDate") == last).groupBy("CategoryName", bracket.alias("bracket")).agg(
+    return rows.groupBy("CategoryName", bracket.alias("bracket")).agg(
         F.count("*").alias("positions"), F.sum("OnHandQuantity").alias("units"), F.sum("InventoryValuation").alias("valuation")
     )
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import floor_round, safe_divide, sample_std, stable_round, tier, z_score
-from ..operators import segments
+from ..operators import intervals, segments
 from ..operators.replenish import DEFAULT_LEAD_TIME, SITE, demand_and_lead_time, king, policy, transfers
 from ..sources.star import DerivedStar, scenario_structs
-from .measures import aligned_forecast, valuation_by
+from .measures import aligned_forecast, enterprise_valuation, valuation_by
 from .registry import query
 
 
@@ -23,10 +23,11 @@ def policies(star: DerivedStar) -> DataFrame:
     return policy(replenishment_inputs(star))
 
 
-def position(star: DerivedStar, *columns: str) -> DataFrame:
-    """Stock per SKU and warehouse on the last event day."""
-    snap = star.table("FactInventorySnapshot", "SnapshotDate", *SITE, *columns)
-    return snap.where(F.col("SnapshotDate") == star.last_event_day()).drop("SnapshotDate")
+def sites(star: DerivedStar, *columns: str) -> DataFrame:
+    """Every SKU and warehouse that has stock, open inbound orders or a policy, with the stock
+    ``columns``; quantities are 0 where one of the three has no row."""
+    rows = star.position(*columns).join(star.open_inbound(), SITE, "full_outer").join(policies(star), SITE, "full_outer")
+    return rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in (*columns, "InTransitInboundQuantity")})
 
 
 def product_cost(star: DerivedStar) -> DataFrame:
@@ -50,7 +51,7 @@ def safety_stock(star: DerivedStar) -> DataFrame:
 
 @query
 def reorder_point(star: DerivedStar) -> DataFrame:
-    stock = position(star, "OnHandQuantity")
+    stock = star.position("OnHandQuantity")
     rows = policies(star).join(stock, SITE, "left")
     held = F.coalesce("OnHandQuantity", F.lit(0))
     return rows.select(
@@ -60,7 +61,7 @@ def reorder_point(star: DerivedStar) -> DataFrame:
 
 
 def _excess(star: DerivedStar) -> DataFrame:
-    stock = position(star, "OnHandQuantity", "DaysSinceLastMovement")
+    stock = star.position("OnHandQuantity", "DaysSinceLastMovement")
     ceiling = F.col("safety_stock") + F.col("cycle_stock") + F.col("lead_time_demand")
     # stock without sales has no policy: all of it is excess
     over = F.col("OnHandQuantity") - F.coalesce(ceiling, F.lit(0))
@@ -181,8 +182,7 @@ def king_decomposition(star: DerivedStar) -> DataFrame:
 def whatif_valuation_proxy(star: DerivedStar) -> DataFrame:
     """Safety-stock value per preset at enterprise level with the unit cost taken
     as average daily valuation over average daily demand."""
-    daily = star.table("FactInventorySnapshot", "SnapshotDate", "InventoryValuation").groupBy("SnapshotDate").agg(F.sum("InventoryValuation").alias("v"))
-    value = daily.agg(safe_divide(F.sum("v"), F.count("*"))).scalar()
+    value = enterprise_valuation(star).agg(safe_divide(intervals.over_days("value"), F.sum(intervals.days()))).scalar()
     shipped = star.table("FactSales", "ShippedQuantity").agg(F.sum("ShippedQuantity")).scalar()
     rows = _simulated(star, []).withColumns({"value": value, "shipped": shipped, "days": star.order_days()})
     unit = safe_divide("value", safe_divide("shipped", "days"))
@@ -276,7 +276,7 @@ def carrying_rate_sensitivity(star: DerivedStar) -> DataFrame:
 def below_rop(star: DerivedStar) -> DataFrame:
     """Net available = on hand + inbound - reserved, each 0 where a site has none; every
     site with a policy is looked at, stocked or not."""
-    stock = position(star, "OnHandQuantity", "ReservedQuantity")
+    stock = star.position("OnHandQuantity", "ReservedQuantity")
     held = lambda c: F.coalesce(c, F.lit(0).cast("long"))
     net = held("OnHandQuantity") + held("InTransitInboundQuantity") - held("ReservedQuantity")
     rows = policies(star).join(stock, SITE, "left").join(star.open_inbound(), SITE, "left").withColumn("net_available", net)
@@ -285,35 +285,66 @@ def below_rop(star: DerivedStar) -> DataFrame:
     )
 
 
+# Names of the daily queues, and the cover in days beyond which inbound orders are put off.
+EXPEDITE, MONITOR, DEFER, REBALANCE, NO_ACTION = (
+    "Emergency Expedite", "Inbound ROP Monitoring", "Cancel / Defer Inbound", "Network Rebalancing", "No Action",
+)
+DEFER_COVER = 365
+
+
 @query
 def planner_queues(star: DerivedStar) -> DataFrame:
-    stock = position(star, "OnHandQuantity").join(star.open_inbound(), SITE, "left")
-    rows = stock.join(policies(star), SITE, "left")
-    inbound = F.coalesce("InTransitInboundQuantity", F.lit(0))
+    """One queue per site, and beside them the sites that take part in a transfer."""
+    rows = sites(star, "OnHandQuantity").join(product_cost(star), "ProductKey", "left")
+    inbound = F.col("InTransitInboundQuantity")
     cover = safe_divide("OnHandQuantity", "avg_daily_demand", 9999.0)
     queue = tier(
-        ((F.col("OnHandQuantity") == 0) & (inbound > 0), "Emergency Expedite"),
-        ((cover > 365) & (inbound > 0), "Cancel / Defer Inbound"),
-        ((F.col("OnHandQuantity") < F.coalesce("safety_stock", F.lit(0))) & (inbound > 0), "Inbound ROP Monitoring"),
-        otherwise="No Action",
+        ((F.col("OnHandQuantity") == 0) & (inbound > 0), EXPEDITE),
+        ((cover > DEFER_COVER) & (inbound > 0), DEFER),
+        ((F.col("OnHandQuantity") < F.coalesce("safety_stock", F.lit(0))) & (inbound > 0), MONITOR),
+        otherwise=NO_ACTION,
     )
-    return rows.groupBy(queue.alias("queue")).agg(
+    own = rows.select("*", queue.alias("queue"))
+    moves = rebalance_candidates(star)
+    ends = moves.select("ProductKey", F.explode(F.array("origin", "destination")).alias("WarehouseKey")).distinct()
+    moving = rows.join(ends, SITE, "left_semi").select("*", F.lit(REBALANCE).alias("queue"))
+    return own.unionByName(moving).groupBy("queue").agg(
         F.count("*").alias("positions"), F.sum("OnHandQuantity").alias("on_hand"), F.sum(inbound).alias("inbound_units"),
-        F.coalesce(F.sum("OpenPOAmount"), F.lit(0)).alias("open_po_amount"),
+        F.coalesce(F.sum("OpenPOAmount"), F.lit(0)).alias("open_po_amount"), F.coalesce(F.sum(amount("OnHandQuantity")), F.lit(0)).alias("valuation"),
     )
 
 
 @query
 def rebalance_candidates(star: DerivedStar) -> DataFrame:
-    """Transfers inside a region from warehouses above to warehouses below their reorder point."""
-    rows = position(star, "AvailableQuantity").join(policies(star), SITE, "left").join(
+    """Transfers inside a region from warehouses above to warehouses below their reorder
+    point; a warehouse with a policy and no stock is below it."""
+    stock = star.position("AvailableQuantity").join(policies(star), SITE, "full_outer").join(
         star.table("DimWarehouse", "WarehouseKey", "RegionKey"), "WarehouseKey"
     )
-    need = F.coalesce("reorder_point", F.lit(0))
-    nodes = rows.select("ProductKey", "RegionKey", "WarehouseKey", (F.col("AvailableQuantity") - need).alias("imbalance"))
+    spare = F.coalesce("AvailableQuantity", F.lit(0).cast("long")) - F.coalesce("reorder_point", F.lit(0).cast("long"))
+    nodes = stock.select("ProductKey", "RegionKey", "WarehouseKey", spare.alias("imbalance"))
     return transfers(nodes, ["ProductKey", "RegionKey"], "WarehouseKey")
 
 
+@query
+def stockout_open_orders(star: DerivedStar) -> DataFrame:
+    """Sites without available stock although customers wait: lines ordered and not yet
+    shipped by the last event day, or cancelled for want of stock."""
+    today = star.last_event_day()
+    lines = star.table("FactSales", *SITE, "SalesOrderID", "OrderDate", "ShipDate", "OrderedQuantity", "CancelledQuantity", "NetSalesAmount")
+    waiting = lines.where((F.col("OrderDate") <= today) & ((F.col("ShipDate") > today) | (F.col("CancelledQuantity") > 0)))
+    per = waiting.groupBy(*SITE, "SalesOrderID").agg(
+        F.sum("OrderedQuantity").alias("units"), F.count("*").alias("lines"), F.sum("NetSalesAmount").alias("value")
+    ).groupBy(*SITE).agg(
+        F.count("*").alias("open_orders"), F.sum("lines").alias("open_lines"), F.sum("units").alias("open_units"), F.sum("value").alias("value_at_risk")
+    )
+    empty = star.position("OnHandQuantity", "AvailableQuantity").where("AvailableQuantity <= 0")
+    return empty.join(per, SITE).join(star.open_inbound(), SITE, "left").select(
+        *SITE, F.col("OnHandQuantity").alias("on_hand"), "open_orders", "open_lines", "open_units", "value_at_risk",
+        F.coalesce("InTransitInboundQuantity", F.lit(0).cast("long")).alias("inbound_units"),
+    )
+
+
 @query
 def overdue_po(star: DerivedStar) -> DataFrame:
     """Lines still open after their promised date, as of the last order day."""
@@ -330,7 +361,7 @@ def overdue_po(star: DerivedStar) -> DataFrame:
 def doi_vs_leadtime(star: DerivedStar) -> DataFrame:
     """More than 120 days of stock although the supplier needs fewer than 30. Stock without
     demand covers 9999 days, and without a lead time of its own the default holds."""
-    rows = position(star, "OnHandQuantity", "InventoryValuation").join(policies(star), SITE, "left")
+    rows = star.position("OnHandQuantity", "InventoryValuation").join(policies(star), SITE, "left")
     doi = F.when(F.col("OnHandQuantity") > 0, safe_divide("OnHandQuantity", "avg_daily_demand", 9999.0)).otherwise(0.0)
     lead = F.coalesce("lead_time_days", F.lit(DEFAULT_LEAD_TIME))
     return rows.where((doi > 120) & (lead < 30)).select(

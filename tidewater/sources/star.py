@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import date_key
-from ..operators import derived
+from ..operators import derived, intervals
 from ..operators.dedup import latest_event
+from ..operators.storage import exists
 from ..schemas import MART_CODEC
 from ..session import configure
 from .events import EventLake
@@ -111,6 +112,15 @@ class Star:
     def last_event_day(self) -> Column:
         return self.table("FactInventorySnapshot", "SnapshotDate").agg(F.max("SnapshotDate")).scalar()
 
+    def position(self, *columns: str) -> DataFrame:
+        """Stock per SKU and warehouse on the last event day, from the open intervals."""
+        age = {"DaysSinceLastMovement": F.datediff("UntilDate", "LastMovementDate").cast("long")}
+        read = [c for c in columns if c not in age]
+        if len(read) < len(columns):
+            read += ["UntilDate", "LastMovementDate"]
+        rows = self.table("FactStockInterval", "IsCurrent", "ProductKey", "WarehouseKey", *read).where("IsCurrent")
+        return rows.select("ProductKey", "WarehouseKey", *[age[c].alias(c) if c in age else c for c in columns])
+
     def movements(self) -> DataFrame:
         """Inventory movements with ``day``, ``quantity_change`` and ``event_type``."""
         m = self.table("FactInventoryMovement", "MovementDate", "ProductKey", "OriginWarehouseKey", "MovementType", "MovementQuantity")
@@ -139,6 +149,7 @@ STORED_FACTS = {
     "FactDemandForecast": ("TargetMonth", ["ProductKey", "WarehouseKey"]),
     "FactInventoryMovement": ("MovementDate", ["ProductKey", "OriginWarehouseKey"]),
     "FactInventorySnapshot": ("SnapshotDate", ["ProductKey", "WarehouseKey"]),
+    "FactStockInterval": ("FromDate", ["ProductKey", "WarehouseKey"]),
     "FactStockout": ("StartDate", ["ProductKey", "WarehouseKey"]),
     "FactSupplierMonthlyPerformance": ("YearMonthDate", ["SupplierKey"]),
 }
@@ -151,7 +162,10 @@ class StarTables(Star):
         self.spark, self.path = configure(spark), path
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.path}/{name}")
+        if name == "FactStockInterval" and not exists(self.spark, f"{self.path}/{name}"):
+            df = self._days_as_intervals()
+        else:
+            df = self.spark.read.parquet(f"{self.path}/{name}")
         if name in STORED_FACTS:
             df = df.drop(MONTH)
         if not columns:
@@ -168,6 +182,18 @@ class StarTables(Star):
         return df.select(*columns)
 
 
+    def _days_as_intervals(self) -> DataFrame:
+        """A stored snapshot without intervals: each row is an interval of one day."""
+        day = F.col("SnapshotDate")
+        snap = self.spark.read.parquet(f"{self.path}/FactInventorySnapshot")
+        return snap.withColumns(
+            {
+                "FromDate": day, "UntilDate": day, "LastMovementDate": F.date_sub(day, F.col("DaysSinceLastMovement").cast("int")),
+                "IsCurrent": day == self.last_event_day(),
+            }
+        )
+
+
 MONTH = "_month"
 
 
@@ -214,6 +240,7 @@ class DerivedStar(Star):
             "FactCustomerReturns": self._fact_returns,
             "FactDemandForecast": self._fact_forecast,
             "FactInventoryMovement": self._fact_movement,
+            "FactStockInterval": self._fact_interval,
             "FactInventorySnapshot": self._fact_snapshot,
             "FactStockout": self._fact_stockout,
             "FactSupplierMonthlyPerformance": self._fact_supplier_monthly,
@@ -569,10 +596,11 @@ class DerivedStar(Star):
         """Last day with a movement, as a scalar subquery: the snapshot's last day for every site."""
         return self.movements().agg(F.max("day")).scalar()
 
-    def _fact_snapshot(self, want) -> DataFrame:
+    def _fact_interval(self, want) -> DataFrame:
+        """Stock from each movement to the next; ``InventoryValuation`` is that of one day."""
         everything = not want
         on_hand = F.col("OnHandQuantity")
-        df = self._shared("snapshot", self._daily_stock)
+        df = self._shared("intervals", self._intervals)
         if everything or want & {"UnitLandedCost", "InventoryValuation", "CategoryName"}:
             product = self._dim_product(want).select(
                 "ProductKey", F.col("UnitStandardCost").alias("UnitLandedCost"), "CategoryName"
@@ -587,25 +615,33 @@ class DerivedStar(Star):
             )
         return df
 
-    def _daily_stock(self) -> DataFrame:
-        df = derived.daily_snapshot(self.movements(), ["ProductKey", "WarehouseKey"], self.last_event_day())
+    def _intervals(self) -> DataFrame:
+        df = intervals.stock_intervals(self.movements(), ["ProductKey", "WarehouseKey"], self.last_event_day())
         on_hand = F.col("OnHandQuantity")
         reserved = F.least(on_hand, (F.col("ProductKey") + F.col("WarehouseKey")) % 5)
         return df.select(
-            "*",
-            _dated_key("SnapshotDate").alias("SnapshotKey"),
-            date_key("SnapshotDate").alias("SnapshotDateKey"),
-            reserved.alias("ReservedQuantity"),
-            (on_hand - reserved).alias("AvailableQuantity"),
+            "*", F.col("FromDate").alias("LastMovementDate"),
+            reserved.alias("ReservedQuantity"), (on_hand - reserved).alias("AvailableQuantity"),
             F.when(on_hand - reserved <= 0, 1).otherwise(0).alias("IsStockoutFlag"),
-            F.when(F.col("DaysSinceLastMovement") >= 180, 1).otherwise(0).alias("IsDeadStockFlag"),
         )
 
+    def _fact_snapshot(self, want) -> DataFrame:
+        rows = derived.daily_snapshot(self._fact_interval(want))
+        idle = F.datediff("SnapshotDate", "LastMovementDate").cast("long")
+        return rows.withColumns(
+            {
+                "DaysSinceLastMovement": idle, "SnapshotKey": _dated_key("SnapshotDate"), "SnapshotDateKey": date_key("SnapshotDate"),
+                "IsDeadStockFlag": F.when(idle >= 180, 1).otherwise(0),
+            }
+        ).drop("FromDate", "UntilDate", "LastMovementDate", "IsCurrent")
+
     def _fact_stockout(self, want) -> DataFrame:
         everything = not want
-        snap = self.table("FactInventorySnapshot", "SnapshotDate", "ProductKey", "WarehouseKey", "AvailableQuantity")
         keys = ["ProductKey", "WarehouseKey"]
-        df = derived.stockout_episodes(snap, keys)
+        empty = self.table("FactStockInterval", "FromDate", "UntilDate", *keys, "AvailableQuantity").where("AvailableQuantity <= 0")
+        df = intervals.merged(empty, keys).select(
+            *keys, F.col("FromDate").alias("StartDate"), F.col("UntilDate").alias("EndDate"), intervals.days().alias("StockoutDurationDays")
+        )
         lost = {"EstimatedLostDemandUnits", "EstimatedLostRevenueAmount"}
         if everything or want & lost:
             picks = (
