@@ -1,15 +1,18 @@
 """Lake directory end to end, and stored against derived star tables."""
 
+import datetime as dt
+
 import pytest
 from compare import canonical
 from pyspark.sql import functions as F
 
 from tidewater.operators import quality, storage
+from tidewater.plans import derived as derived_plans
 from tidewater.plans import joins, measures, pipeline, planning
 from tidewater.schemas import INVENTORY, SALES
 from tidewater.session import finish, scratch_path
 from tidewater.sources.events import EventLake
-from tidewater.sources.star import DerivedStar, materialize
+from tidewater.sources.star import DerivedStar, StarTables, materialize
 from tidewater.streaming import jobs
 
 
@@ -67,7 +70,7 @@ def test_marts_from_bronze_then_silver_then_lookback(spark, lake):
 
     tables = [f"{root}/{t}/{n}" for t in (SALES, INVENTORY) for n in ("raw_events", "structured_events", "dlq_events")]
     rows = [storage.read_fed(spark, t).count() for t in tables]
-    report = pipeline.maintain_lake(spark, root)
+    report = pipeline.maintain_lake(spark, root, checkpoints={t: f"{root}/chk/{t}" for t in (SALES, INVENTORY)})
     assert len(report) == 8 and all(v.startswith("ok") for v in report.values()), report
     assert [storage.read_fed(spark, t).count() for t in tables] == rows
     # The streams go on after maintenance and see nothing twice.
@@ -77,14 +80,53 @@ def test_marts_from_bronze_then_silver_then_lookback(spark, lake):
     assert [storage.read_fed(spark, t).count() for t in tables] == rows
 
 
+def follow(spark, path, out, batches=None):
+    """A stream behind a stream-fed table, which archives what it has read."""
+    source = jobs.file_source(spark, path, "id long", max_files=1, archive=f"{storage.closed_dir(path)}/open")
+    writer = source.writeStream.option("checkpointLocation", f"{out}-chk").foreachBatch(lambda df, i: storage.write_batch(df, out, i) and None)
+    return writer.trigger(availableNow=True).start()
+
+
+def ids(spark, path):
+    return sorted(r.id for r in storage.read_fed(spark, path, "id long").collect())
+
+
 def test_maintenance_leaves_a_lagging_stream_its_rows(spark):
     path, out = scratch_path(spark, "fed"), scratch_path(spark, "lag")
     for i in range(4):
-        storage.write_batch(spark.range(i * 10, i * 10 + 10), path, i)
+        storage.write_batch(spark.range(i * 10, i * 10 + 10).coalesce(1), path, i)
     storage.maintain(spark, {path: None})
-    late = jobs.file_source(spark, path, "id long, batch_id int")
-    late.writeStream.format("parquet").option("checkpointLocation", f"{out}-chk").trigger(availableNow=True).start(out).awaitTermination()
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
+    follow(spark, path, out).awaitTermination()
+    for i in range(4, 7):  # files that were read go to the closed ones, new ones arrive
+        storage.write_batch(spark.range(i * 10, i * 10 + 10).coalesce(1), path, i)
+    follow(spark, path, out).awaitTermination()
+    report = storage.maintain(spark, {path: None, out: None}, followed={out: f"{out}-chk"})
+    assert "files_before 6" in report[out] or "files_before 5" in report[out], report
+    assert int(report[path].split("files_before ")[1].split(",")[0]) >= 4 and "files_after 1" in report[path], report
+    storage.write_batch(spark.range(70, 80).coalesce(1), path, 7)
+    follow(spark, path, out).awaitTermination()
+    assert ids(spark, path) == ids(spark, out) == list(range(80))
+    storage.maintain(spark, {path: None, out: None}, followed={out: f"{out}-chk"})
+    assert ids(spark, path) == ids(spark, out) == list(range(80))
+
+
+@pytest.mark.parametrize("stop", ["before the result", "behind the result"])
+def test_compaction_that_stops_is_taken_up_again(spark, monkeypatch, stop):
+    path = scratch_path(spark, "fed")
+    for i in range(5):
+        storage.write_batch(spark.range(i * 10, i * 10 + 10).coalesce(1), path, i)
+    storage.close_batches(spark, path, 4)
+
+    def broken(*args):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_rewrite" if stop == "before the result" else "_drop", broken)
+        with pytest.raises(RuntimeError):
+            storage.compact_closed(spark, path)
+    assert ids(spark, path) == list(range(50))
+    storage.compact_closed(spark, path)
+    assert ids(spark, path) == list(range(50)) and [n[:6] for n in storage._children(spark, storage.closed_dir(path))] == ["merged"]
 
 
 def test_current_stock_is_one_number(stars):
@@ -116,7 +158,7 @@ def test_planner_lists_hold_stock_without_sales_and_sales_without_stock(stars):
     assert queues[planning.REBALANCE].positions == len(ends) and {(m.ProductKey, m.destination) for m in moves} - stocked
 
 
-@pytest.mark.parametrize("plan", [planning.reorder_point, measures.storage_utilization, measures.service_levels, measures.inventory_position, derived.stockout_episodes])
+@pytest.mark.parametrize("plan", [planning.reorder_point, measures.storage_utilization, measures.service_levels, measures.inventory_position, derived_plans.stockout_episodes])
 def test_no_rows_per_day_outside_the_snapshot(stars, plan):
     text = plan(stars[0])._jdf.queryExecution().optimizedPlan().toString()
     assert "SnapshotDate" not in text and "sequence(" not in text
@@ -124,7 +166,6 @@ def test_no_rows_per_day_outside_the_snapshot(stars, plan):
 
 def test_a_stored_snapshot_without_intervals_serves_as_well(stars, spark):
     older = StarTables(spark, stars[1].path)
-    older._days_as_intervals().createOrReplaceTempView("days_as_intervals")
     plain, table = older.table, older._days_as_intervals()
     older.table = lambda name, *c: (table.select(*c) if c else table) if name == "FactStockInterval" else plain(name, *c)
     for plan in (measures.inventory_turns, measures.inventory_position, measures.inventory_aging, planning.reorder_point):

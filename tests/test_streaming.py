@@ -115,3 +115,58 @@ def test_progress_queries_cover_both_topics(spark, small):
     assert set(pressed) == {f"bronze_{t}" for t in totals} and all(r.over_cap == 0 and 0 < r.largest_batch <= totals[n[7:]] for n, r in pressed.items())
     tight = streams.stream_backpressure(DerivedStar(spark, small), cap=1).collect()
     assert all(r.over_cap > 0 for r in tight)
+
+
+@pytest.mark.parametrize("lost", ["the commit", "the batch"])
+def test_a_batch_killed_between_write_and_commit_runs_again_without_a_second_copy(spark, small, lost):
+    """The silver stream reads bronze while the bronze batch is published but not committed."""
+    base, whole = scratch_path(spark, "k"), scratch_path(spark, "w")
+    lake = EventLake(spark, small)
+    columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
+    lake.messages(SALES).select(*columns).repartition(4).write.parquet(f"{base}/in")
+
+    def ingest(root, fail_at=None):
+        source = jobs.file_source(spark, f"{base}/in", max_files=1)
+
+        def append(batch, batch_id):
+            if batch_id == fail_at and lost == "the batch":
+                jobs.storage._writer(jobs.parsing.bronze_envelope(batch), "overwrite", []).parquet(f"{root}/bronze/_staged-{batch_id}-x")
+                raise RuntimeError("killed while writing")
+            jobs.storage.write_batch(jobs.parsing.bronze_envelope(batch), f"{root}/bronze", batch_id)
+            if batch_id == fail_at:
+                raise RuntimeError("killed before the commit")
+
+        return source.writeStream.option("checkpointLocation", f"{root}/c").foreachBatch(append).trigger(availableNow=True).start()
+
+    def silver(root):
+        source = jobs.bronze_source(spark, f"{root}/bronze", max_files=2)
+        jobs.silver_validate(source, SALES, f"{root}/silver", f"{root}/dlq", f"{root}/s", "silver", once=True).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        ingest(base, fail_at=2).awaitTermination()
+    silver(base)
+    ingest(base).awaitTermination()
+    silver(base)
+    ingest(whole).awaitTermination()
+    silver(whole)
+    for table in ("bronze", "silver", "dlq"):
+        a, b = (jobs.storage.read_fed(spark, f"{root}/{table}").drop("ingested_at", "transformed_at", "quarantined_at") for root in (base, whole))
+        assert a.count() == b.count() and a.exceptAll(b).isEmpty(), table
+
+
+def test_batches_stay_below_the_bytes_bound(spark, small):
+    base = scratch_path(spark, "b")
+    lake = EventLake(spark, small)
+    columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
+    lake.messages(SALES).select(*columns).repartition(8).write.parquet(f"{base}/in")
+    files = spark.read.parquet(f"{base}/in").select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+    bound = 3 * max(f.file_size for f in files)
+    with progress.recorded(spark) as recorder:
+        q = jobs.bronze_ingest(jobs.file_source(spark, f"{base}/in", max_bytes=bound), f"{base}/out", f"{base}/c", "bounded", once=True)
+        q.awaitTermination()
+        rows = [r.input_rows for r in recorder.rows([q]).where("input_rows > 0").collect()]
+    assert len(rows) >= 3 and sum(rows) == lake.bronze(SALES).count()
+    sizes = {}
+    for f in spark.read.parquet(f"{base}/in").groupBy("_metadata.file_path", "_metadata.file_size").count().collect():
+        sizes[f["count"]] = f.file_size
+    assert max(rows) <= max(sizes) * 3 + max(sizes)

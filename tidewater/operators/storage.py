@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -143,34 +144,121 @@ def compact(
 
 
 # -- tables fed by a stream: one directory per micro-batch --------------------
+#
+# Beside a table ``t`` lies ``t_closed`` with what no stream reads any more: ``open``, into which
+# the following stream moves the files it has read, ``closing-x``, which is being compacted, and
+# ``merged-x``, its result. Once ``merged-x`` is there, ``closing-x`` no longer counts.
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """A micro-batch owns its directory, so running it again replaces it."""
-    _writer(rows, "overwrite", []).parquet(f"{path}/batch_id={batch_id}")
+def closed_dir(path: str) -> str:
+    return f"{path.rstrip('/')}_closed"
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> bool:
+    fs, p = _fs(spark, old)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    return not fs.exists(target) and fs.rename(p, target)
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> bool:
+    """Publishes a micro-batch as a whole, once: it is written under a hidden name and then
+    renamed. A batch that runs again after it was published adds nothing, so a stream
+    that follows the table meets each row in one file only. Says whether it published."""
+    final = f"{path}/batch_id={batch_id}"
+    if exists(rows.sparkSession, final):
+        return False
+    staged = f"{path}/_staged-{batch_id}-{uuid.uuid4().hex}"
+    _writer(rows, "overwrite", []).parquet(staged)
+    published = _rename(rows.sparkSession, staged, final)
+    if not published:
+        _drop(rows.sparkSession, staged)
+    return published
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """Directories that make up a stream-fed table."""
+    closed = closed_dir(path)
+    names = _children(spark, closed)
+    done = {n.removeprefix("merged-") for n in names if n.startswith("merged-")}
+    kept = [n for n in names if n == "open" or n.startswith("merged-") or (n.startswith("closing-") and n.removeprefix("closing-") not in done)]
+    return [path] * exists(spark, path) + [f"{closed}/{n}" for n in kept]
 
 
 def read_fed(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """All rows of a stream-fed table; None if it does not exist."""
-    if not exists(spark, path):
+    """All rows of a stream-fed table, archived and compacted ones included; None if there are none."""
+    parts = [p for p in _parts(spark, path) if any(not n.startswith(("_", ".")) for n in _children(spark, p))]
+    if not parts:
         return None
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path).drop("batch_id")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return (reader.schema(schema) if schema else reader).parquet(*parts)
+
 
+def committed_batches(spark: SparkSession, checkpoint: str) -> int:
+    """Batches below this number are committed by their stream and never run again."""
+    ids = [int(n) for n in _children(spark, f"{checkpoint}/commits") if n.isdigit()]
+    return max(ids, default=0)
 
-def maintain(spark: SparkSession, tables: dict[str, list[str] | None], target_bytes: int = 256 << 20) -> dict[str, str]:
-    """Compact several tables: path -> partition columns. None marks a table that a stream
-    writes or follows: its files are the stream's record of what was read, so they stay.
-    One failure does not stop the rest."""
+
+def close_batches(spark: SparkSession, path: str, below: int) -> int:
+    """Moves the batches of a table that no stream follows to its closed files."""
+    found = [n for n in _children(spark, path) if n.startswith("batch_id=") and int(n[9:]) < below]
+    return sum(_rename(spark, f"{path}/{n}", f"{closed_dir(path)}/open/{n}") for n in found)
+
+
+def compact_closed(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> dict[str, int]:
+    """Rewrites the closed files of a stream-fed table into files of about ``target_bytes``.
+
+    The set to rewrite is fixed by renaming ``open``, so files that a stream closes meanwhile
+    wait for the next run. The result appears by one rename; a run that stopped before it
+    is taken up again, and one that stopped behind it only deletes what it replaced.
+    """
+    closed = closed_dir(path)
+    if any(not n.startswith(("_", ".")) for n in _children(spark, f"{closed}/open")):
+        _rename(spark, f"{closed}/open", f"{closed}/closing-{uuid.uuid4().hex}")
+    names = _children(spark, closed)
+    report = {"files_before": 0, "files_after": 0}
+    for name in [n for n in names if n.startswith("closing-")]:
+        done = f"{closed}/merged-{name.removeprefix('closing-')}"
+        if not exists(spark, done):
+            rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{closed}/{name}")
+            staged = f"{closed}/_staged-{uuid.uuid4().hex}"
+            _rewrite(rows, staged, [], target_bytes)
+            report["files_before"] += rows.select(F.col("_metadata.file_path")).distinct().count()
+            report["files_after"] += sum(n.endswith(".parquet") for n in _children(spark, staged))
+            _rename(spark, staged, done)
+        _drop(spark, f"{closed}/{name}")
+    return report
+
+
+def maintain(
+    spark: SparkSession, tables: dict[str, list[str] | None], target_bytes: int = 256 << 20, followed: dict[str, str] | None = None
+) -> dict[str, str]:
+    """Compact several tables: path -> partition columns, None for a stream-fed one.
+
+    Of a stream-fed table only closed files are rewritten: those that the stream behind it
+    has read and moved away or, for a table that no stream follows, the batches that are
+    committed by the checkpoint of the stream that writes it (``followed``: path -> checkpoint).
+    One failure does not stop the rest.
+    """
     report = {}
     for path, partition_by in tables.items():
         try:
             if partition_by is None:
-                rows = spark.read.parquet(path).count()
-                report[path] = f"ok: {rows} rows, files left to the stream"
+                rows = read_fed(spark, path)
+                if rows is None:
+                    raise FileNotFoundError(path)
+                if followed and path in followed:
+                    close_batches(spark, path, committed_batches(spark, followed[path]))
+                done = compact_closed(spark, path, target_bytes)
             else:
                 done = compact(spark, path, partition_by, target_bytes)
-                report[path] = "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
+            report[path] = "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
         except Exception as e:
             report[path] = f"failed: {e}"
     return report

@@ -59,13 +59,20 @@ def refresh_marts(spark: SparkSession, root: str, lookback_days: int | None = No
     return report
 
 
-def maintain_lake(spark: SparkSession, root: str, target_bytes: int = 256 << 20) -> dict[str, str]:
-    """Compact the marts and report on the six stream-fed tables; a missing or failing one
-    does not stop the rest."""
-    fed = ("raw_events", "structured_events", "dlq_events")
-    tables: dict[str, list[str] | None] = {f"{root}/{topic}/{t}": None for topic in (SALES, INVENTORY) for t in fed}
+FED = ("raw_events", "structured_events", "dlq_events")
+
+
+def maintain_lake(spark: SparkSession, root: str, target_bytes: int = 256 << 20, checkpoints: dict[str, str] | None = None) -> dict[str, str]:
+    """Compact all eight tables; a missing or failing one does not stop the rest.
+
+    ``checkpoints``: topic -> checkpoint of its silver stream, from which it is known which
+    batches of the silver table and the quarantine are final. Without it those two keep
+    their files.
+    """
+    tables: dict[str, list[str] | None] = {f"{root}/{topic}/{t}": None for topic in (SALES, INVENTORY) for t in FED}
     tables |= {f"{root}/{path}": [day] for path, _, _, day in MARTS.values()}
-    return storage.maintain(spark, tables, target_bytes)
+    followed = {f"{root}/{topic}/{t}": c for topic, c in (checkpoints or {}).items() for t in FED[1:]}
+    return storage.maintain(spark, tables, target_bytes, followed)
 
 
 def audit(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,16 +25,16 @@ def publish(star: DerivedStar, topic: str, path: str, condition: str = "true") -
     rows.repartition(FILES_PER_TOPIC).write.mode("append").parquet(path)
 
 
-def ingest(star: DerivedStar, topic: str, base: str, max_files: int | None = None):
-    source = jobs.file_source(star.spark, f"{base}/{topic}", max_files=max_files)
+def ingest(star: DerivedStar, topic: str, base: str, max_files: int | None = None, max_bytes: int | None = None):
+    source = jobs.file_source(star.spark, f"{base}/{topic}", max_files=max_files, max_bytes=max_bytes)
     q = jobs.bronze_ingest(source, f"{base}/bronze_{topic}", f"{base}/chk_bronze_{topic}", f"bronze_{topic}", once=True)
     q.awaitTermination()
     return q
 
 
-def validate(star: DerivedStar, topic: str, base: str):
+def validate(star: DerivedStar, topic: str, base: str, max_files: int | None = None):
     q = jobs.silver_validate(
-        jobs.bronze_source(star.spark, f"{base}/bronze_{topic}"), topic, f"{base}/silver_{topic}", f"{base}/dlq_{topic}",
+        jobs.bronze_source(star.spark, f"{base}/bronze_{topic}", max_files), topic, f"{base}/silver_{topic}", f"{base}/dlq_{topic}",
         f"{base}/chk_silver_{topic}", f"silver_{topic}", once=True,
     )
     q.awaitTermination()
@@ -75,7 +77,7 @@ def stream_silver_inventory(star: DerivedStar) -> DataFrame:
 @query
 def stream_dlq(star: DerivedStar) -> DataFrame:
     base = _flow(star, TOPICS, silver=True)
-    dlq = [star.spark.read.parquet(f"{base}/dlq_{t}") for t in TOPICS]
+    dlq = [storage.read_fed(star.spark, f"{base}/dlq_{t}") for t in TOPICS]
     return dlq[0].unionByName(dlq[1]).select("kafka_key", "raw_payload", "error_reason", "topic", "partition", "offset", "kafka_timestamp")
 
 
@@ -86,7 +88,7 @@ def _restart(star: DerivedStar, topic: str) -> DataFrame:
     for half in ("partition < 8", "partition >= 8"):
         publish(star, topic, f"{base}/{topic}", half)
         ingest(star, topic, base, max_files=3)
-    bronze = star.spark.read.parquet(f"{base}/bronze_{topic}")
+    bronze = storage.read_fed(star.spark, f"{base}/bronze_{topic}")
     per_message = bronze.groupBy("topic", "partition", "offset").agg(F.count("*").alias("copies"))
     return per_message.agg(
         F.sum("copies").alias("rows"), F.count("*").alias("messages"), F.count_if(F.col("copies") > 1).alias("repeated")
@@ -103,6 +105,43 @@ def stream_restart_inventory(star: DerivedStar) -> DataFrame:
     return _restart(star, INVENTORY)
 
 
+@query
+def stream_compacted(star: DerivedStar) -> DataFrame:
+    """Both topics through the streams, in several batches, with maintenance while the silver
+    stream lags and again behind it; all six tables hold what they were given."""
+    base = scratch_path(star.spark, "stream")
+    for t in TOPICS:
+        for half in ("partition < 8", "partition >= 8"):
+            publish(star, t, f"{base}/{t}", half)
+            ingest(star, t, base, max_files=1)
+            validate(star, t, base, max_files=1)
+    tables = {f"{base}/{kind}_{t}": None for t in TOPICS for kind in ("bronze", "silver", "dlq")}
+    followed = {f"{base}/{kind}_{t}": f"{base}/chk_silver_{t}" for t in TOPICS for kind in ("silver", "dlq")}
+    storage.maintain(star.spark, tables, followed=followed)
+    counts = [
+        storage.read_fed(star.spark, f"{base}/{kind}_{t}").agg(F.count("*").alias("rows")).select(F.lit(t).alias("topic"), F.lit(kind).alias("table_name"), "rows")
+        for t in TOPICS for kind in ("bronze", "silver", "dlq")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+BATCH_BYTES = 8 << 10  # far below the size of a file: each is a batch of its own
+
+
+@query
+def stream_bounded(star: DerivedStar, max_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Micro-batches bounded by bytes: rows and batches as the recorder saw them, and whether
+    a batch took more files than the bound allows."""
+    base = scratch_path(star.spark, "stream")
+    with progress.recorded(star.spark) as recorder:
+        runs = []
+        for t in TOPICS:
+            publish(star, t, f"{base}/{t}")
+            runs.append(ingest(star, t, base, max_bytes=max_bytes))
+        seen = recorder.rows(runs).where("input_rows > 0").groupBy("query_name").agg(F.sum("input_rows").alias("rows"), (F.count("*") > 1).alias("several_batches"))
+        return seen.select("query_name", "rows", "several_batches")
+
+
 @query
 def stream_metrics(star: DerivedStar) -> DataFrame:
     base = scratch_path(star.spark, "stream")

@@ -35,16 +35,25 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, max_rows: int |
     return reader.load()
 
 
-def file_source(spark: SparkSession, path: str, schema: str = MESSAGE, max_files: int | None = None) -> DataFrame:
+def file_source(
+    spark: SparkSession, path: str, schema: str = MESSAGE, max_files: int | None = None, max_bytes: int | None = None, archive: str | None = None
+) -> DataFrame:
+    """Files as a stream. ``max_files`` or ``max_bytes`` bounds a micro-batch; a file larger than
+    ``max_bytes`` is a batch of its own. With ``archive`` files are moved there once a later batch
+    is planned behind them, so nothing there is read again."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(path)
 
 
-def bronze_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A bronze table read as a stream."""
-    return file_source(spark, path, BRONZE, max_files)
+def bronze_source(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """A bronze table read as a stream; what has been read becomes part of its closed files."""
+    return file_source(spark, path, BRONZE, max_files, max_bytes, f"{storage.closed_dir(path)}/open")
 
 
 def _start(writer: DataStreamWriter, interval: str, once: bool) -> StreamingQuery:
@@ -63,8 +72,8 @@ def bronze_ingest(messages: DataFrame, path: str, checkpoint: str, name: str, on
 
 
 def route_batch(batch: DataFrame, batch_id: int, topic: str, silver_path: str, dlq_path: str) -> None:
-    """Split one micro-batch. Each side replaces its own ``batch_id`` directory,
-    so a batch that runs again after a failure leaves no second copy. The batch itself is
+    """Split one micro-batch. Each side is published once under its ``batch_id``, so a batch
+    that runs again after a failure leaves no second copy. The batch itself is
     only read through the persisted rows: its progress report counts each row read."""
     classified = parsing.classify(parsing.parse_permissive(batch, topic), topic).persist(StorageLevel.MEMORY_AND_DISK)
     try:
