@@ -119,21 +119,63 @@ def base_licenses(text: str | None) -> tuple:
 
 
 def tool_rows(messages: list[tuple], tools: set[str]) -> list[tuple]:
-    """(conv, turn, call id, status, json) of well-formed calls with valid arguments."""
-    results, calls = {}, []
-    for conv, turn, role, text in sorted(messages, key=lambda m: (m[0], m[1])):
-        found = json.loads(text)
+    """(conv, turn, call id, status, json) of every call and every result without one."""
+    dump = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    asked, calls, out = {}, [], []
+    turns = sorted(messages, key=lambda m: (m[0], m[1]))
+    for conv, turn, role, text in turns:
+        if role != "assistant":
+            continue
+        batch = json.loads(text)["tool_calls"]
+        known = {}
+        for c in batch:
+            known.setdefault(c["id"], c)
+        # a call is stuck if what it waits for, followed on, comes back or waits for what does
+        def stuck(c, path=()):
+            return any(a in path or (a in known and stuck(known[a], (*path, a))) for a in c.get("after", []))
+
+        fine = [c for c in batch if not stuck(c, (c["id"],))]
+        # topological place: only needed to say which of two equal ids is the first
+        done, order, rest = set(), [], list(enumerate(batch))
+        while rest:
+            ready = [(k, c) for k, c in rest if all(a not in known or a in done or a not in {d["id"] for _, d in rest} for a in c.get("after", []))]
+            k, c = ready[0] if ready else rest[0]
+            order.append(k)
+            rest = [(j, d) for j, d in rest if j != k]
+            if known[c["id"]] is c:
+                done.add(c["id"])
+        for place, k in enumerate(order):
+            calls.append((conv, turn, place, batch[k], batch[k] not in fine))
+    for conv, turn, place, c, loop in calls:
+        asked.setdefault((conv, c["id"]), (turn, place))
+    results = {}
+    for conv, turn, role, text in turns:
         if role == "tool":
-            results.setdefault((conv, found["tool_call_id"]), found["content"])
+            found = json.loads(text)
+            key = (conv, found["tool_call_id"])
+            if key in asked and asked[key][0] < turn:
+                results.setdefault(key, found["content"])
+            else:
+                out.append((conv, turn, found["tool_call_id"], "orphan", found["content"]))
+    for conv, turn, place, c, loop in calls:
+        key, first = (conv, c["id"]), asked[conv, c["id"]] == (turn, place)
+        result = results.get(key) if first else None
+        if not c.get("name"):
+            status = "malformed"
+        elif not first:
+            status = "duplicate id"
+        elif loop:
+            status = "cycle"
+        elif c["name"] not in tools:
+            status = "unknown tool"
+        elif c["name"] == "count_words" and not c["arguments"]["text"]:
+            status = "invalid: text too short"
+        elif any(asked.get((conv, a), (turn + 1,))[0] > turn for a in c.get("after", [])):
+            status = "unknown dependency"
         else:
-            calls += [(conv, turn, c) for c in found["tool_calls"]]
-    out = []
-    for conv, turn, c in calls:
-        assert c["name"] in tools
-        result = results.get((conv, c["id"]))
-        bad = "invalid: text too short" if c["name"] == "count_words" and not c["arguments"]["text"] else None
-        body = {"arguments": c["arguments"], "id": c["id"], "name": c["name"]} | ({} if result is None else {"result": result})
-        out.append((conv, turn, c["id"], bad or ("ok" if result is not None else "no result"), json.dumps(body, sort_keys=True, separators=(",", ":"), ensure_ascii=False)))
+            status = "ok" if result is not None else "no result"
+        body = {"arguments": c["arguments"], "id": c["id"]} | ({"name": c["name"]} if c.get("name") else {}) | ({} if result is None else {"result": result})
+        out.append((conv, turn, c["id"], status, dump(body)))
     return out
 
 

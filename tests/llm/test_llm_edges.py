@@ -370,11 +370,17 @@ def test_quality_salted_join_gives_the_same(docs, monkeypatch):
 
 
 def test_quality_thresholds_follow_the_group(spark):
-    """Documents far beyond their own group's spread fail, ordinary ones stay."""
-    rows = [(k, words(k, 100) + " ##" * (k % 7), "en", "noisy", 1) for k in range(80)] + [(100 + k, words(100 + k, 100), "en", "clean", 1) for k in range(80)]
-    rows += [(900, words(900, 100) + " ####" * 10, "en", "clean", 1), (901, words(901, 100) + " ####" * 30, "en", "noisy", 1)]
-    verdict = {r.doc_id: r.kept for r in quality.verdicts(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert [i for i, k in sorted(verdict.items()) if not k] == [900, 901]
+    """A source whose ordinary texts hold some symbols rejects later than one whose texts hold none."""
+    some = lambda k: " " + "#" * (12 + 2 * (k % 7))
+    noisy = [(k, words(k, 100) + some(k), "en", "noisy", 1) for k in range(80)] + [(200 + k, words(200 + k, 60) + " " + "#" * 360, "en", "noisy", 1) for k in range(25)]
+    clean = [(100 + k, words(100 + k, 100), "en", "clean", 1) for k in range(80)] + [(300 + k, words(300 + k, 100) + some(k), "en", "clean", 1) for k in range(25)]
+    verdict = {r.doc_id: r.kept for r in quality.verdicts(spark.createDataFrame(noisy + clean, SCHEMA)).collect()}
+    assert [i for i, k in sorted(verdict.items()) if not k] == [200 + k for k in range(25)] + [300 + k for k in range(25)]
+
+
+def test_quality_of_a_corpus_without_symbols_or_repeats_keeps_all(spark):
+    rows = [(k, words(k, 80), "en", None, 1) for k in range(40)] + [(100 + k, words(k, 79) + " #", None, "x", 1) for k in range(3)]
+    assert all(r.kept for r in quality.verdicts(spark.createDataFrame(rows, SCHEMA)).collect())
 
 
 def test_licenses(docs, empty):
@@ -412,3 +418,14 @@ def test_templates_reject(text):
 
 def test_digest_of_nothing():
     assert brute.substring_dedup([(1, None)])[0][3] == hashlib.sha256(b"").hexdigest()
+
+
+def test_chat_takes_only_what_can_be_written_again(spark):
+    call = '{"tool_calls":[{"id":%s,"name":"count_words","arguments":{"text":%s}}]}'
+    texts = [call % ('"\\ud800"', '"a"'), call % ('"a"', "NaN"), call % ('"b"', "-Infinity"), call % ('"c"', "1e999"), call % ('"d"', '"\\ud83d\\ude00"'), call % ('"e"', '"' + "x" * 300_000 + '"'), '{"tool_calls":[']
+    rows = [(1, k, "assistant", t) for k, t in enumerate(texts)] + [(1, 9, "tool", '{"tool_call_id":"\\udfff","content":1}'), (1, 10, "tool", '{"tool_call_id":"d","content":Infinity}')]
+    found = chat.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), chat.TOOLS).orderBy("turn").collect()
+    assert [(r.turn, r.call_id, r.status) for r in found] == [
+        (0, None, "malformed"), (1, None, "malformed"), (2, None, "malformed"), (3, None, "malformed"), (4, "d", "no result"), (5, "e", "no result"), (6, None, "malformed")
+    ]
+    assert found[4].json == '{"arguments":{"text":"😀"},"id":"d","name":"count_words"}' and len(found[5].json) > 300_000

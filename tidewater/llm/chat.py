@@ -15,6 +15,10 @@ or an earlier one), ``no result``, ``ok``. A result nobody asked for, or given b
 call, has status ``orphan``. Of several results of one call the earliest counts, ties by
 content.
 
+An assistant turn that begins like such an object but is not valid JSON (cut off, ``NaN`` or
+``Infinity``, a number beyond a double, a lone surrogate) is one ``malformed`` call without an
+identifier; a tool turn of that kind gives no row.
+
 Turns with null or empty text, or that hold no such JSON, are ordinary messages and give
 no rows; rows without conversation or turn are ignored; equal rows count once. An empty
 table gives an empty result, and further columns are ignored.
@@ -25,9 +29,11 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 #: Tools of the derived conversations and the schemas of their arguments.
 TOOLS = {
     "count_words": {"required": ["text"], "properties": {"text": {"type": "string", "minLength": 1}, "lower": {"type": "boolean"}}},
@@ -45,7 +51,7 @@ _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
 def fault(value, schema: dict, at: str = "") -> str | None:
@@ -119,6 +125,7 @@ def _json(text: str | None) -> dict:
         return {}
     try:
         found = json.loads(text)
+        canonical(found).encode("utf-8")  # no lone surrogates, no NaN and no number beyond a double
     except (ValueError, RecursionError):
         return {}
     return found if isinstance(found, dict) else {}
@@ -135,6 +142,8 @@ def _message(conv: int, turn: int, role: str | None, text: str | None, tools: di
     if role != "assistant":
         return []
     calls = _calls(text) if text and "tool_calls" in text else []
+    if not calls and text and text.lstrip().startswith("{") and '"tool_calls"' in text and not _json(text):
+        return [(conv, turn, "call", 0, None, None, "null", "malformed", [], None)]
     order, stuck = ordered(calls)
     rows = []
     for place, k in enumerate(order):
@@ -168,7 +177,7 @@ def parsed(messages: DataFrame, tools: dict) -> DataFrame:
 def linked(messages: DataFrame, tools: dict) -> DataFrame:
     """(conv_id, turn, place, call_id, status, json): one row for each call and orphan result.
     (turn, place) is a topological order of a conversation's calls."""
-    rows = parsed(messages, tools)
+    rows = written(parsed(messages, tools), "chat-parsed")
     key = ["conv_id", "call_id"]
     calls = rows.where("kind = 'call'").withColumn("seen", F.row_number().over(Window.partitionBy(*key).orderBy("turn", "place", "arguments")))
     first = calls.where("seen = 1 AND call_id IS NOT NULL").select(*key, F.col("turn").alias("asked"))
@@ -205,21 +214,33 @@ def derived(conversations: DataFrame) -> DataFrame:
 
     Every assistant turn asks for one call per line of its whole text: lines at even places
     are counted, others stored; each waits for the line behind it, so the order turns
-    round. Calls and the results of even lines get turns 2n and 2n + 1 of turn n.
+    round. Calls and the results of even lines get turns 2n and 2n + 1 of turn n. Some places
+    depart from that, so that every status occurs: a call that waits for itself, for nothing
+    there is, has no name, the id of the call before, or a tool that nobody knows, and a
+    result that nobody asked for.
     """
     said = conversations.where("role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL").select(
         "conv_id", "turn", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines")
     )
-    said = said.withColumnRenamed("turn", "said_at")
+    said = said.withColumnRenamed("turn", "said_at").withColumn("odd", F.pmod(F.xxhash64("conv_id", "said_at"), F.lit(12)))
     name = lambda k: F.concat(F.lit("c"), F.col("said_at").cast("string"), F.lit("-"), k.cast("string"))
-    calls = F.transform("lines", lambda line, k: F.struct(
-        name(k).alias("id"), F.when(k % 2 == 0, "count_words").otherwise("store_line").alias("name"),
-        F.struct(F.when(k % 2 == 1, k).alias("line"), line.alias("text")).alias("arguments"),
-        F.when(k + 1 < F.size("lines"), F.array(name(k + 1))).alias("after"),
-    ))
-    asked = said.select("conv_id", (2 * F.col("said_at")).alias("turn"), F.lit("assistant").alias("role"), F.to_json(F.struct(calls.alias("tool_calls"))).alias("text"))
-    answers = said.select("conv_id", "said_at", F.posexplode("lines").alias("k", "line")).where("k % 2 = 0").select(
+
+    def call(line: Column, k: Column) -> Column:
+        departs = lambda kind: (F.col("odd") == kind) & (k == F.size("lines") - 1)
+        tool = F.when(k % 2 == 0, "count_words").otherwise("store_line")
+        waits = F.when(k + 1 < F.size("lines"), F.array(name(k + 1)))
+        return F.struct(
+            F.when(departs(1), name(F.greatest(k - 1, F.lit(0)))).otherwise(name(k)).alias("id"),
+            F.when(departs(2), F.lit(None)).when(departs(3), "translate").otherwise(tool).alias("name"),
+            F.struct(F.when(k % 2 == 1, k).alias("line"), line.alias("text")).alias("arguments"),
+            F.when(departs(4), F.array(name(k))).when(departs(5), F.array(F.lit("c-none"))).otherwise(waits).alias("after"),
+        )
+
+    asked = said.select("conv_id", (2 * F.col("said_at")).alias("turn"), F.lit("assistant").alias("role"), F.to_json(F.struct(F.transform("lines", call).alias("tool_calls"))).alias("text"))
+    each = said.select("conv_id", "said_at", "odd", F.posexplode("lines").alias("k", "line")).where("k % 2 = 0")
+    wanted = F.when((F.col("odd") == 6) & (F.col("k") == 0), F.concat(F.lit("x"), name(F.col("k")))).otherwise(name(F.col("k")))
+    answers = each.select(
         "conv_id", (2 * F.col("said_at") + 1).alias("turn"), F.lit("tool").alias("role"),
-        F.to_json(F.struct(name(F.col("k")).alias("tool_call_id"), F.length("line").cast("string").alias("content"))).alias("text"),
+        F.to_json(F.struct(wanted.alias("tool_call_id"), F.length("line").cast("string").alias("content"))).alias("text"),
     )
     return asked.unionByName(answers)

@@ -1,14 +1,18 @@
-"""Quality rules with thresholds from the data above fixed floors, with DataFrame functions only.
+"""Quality rules with thresholds from the data, with DataFrame functions only.
 
 Each document gets a few counts. Their ratios, in thousandths, go into one sketch per
 language, source and ratio: a count for each value, which merges by addition, is exact
 to a thousandth and never exceeds ``TOP`` + 1 entries however many documents there are.
-A threshold is the sketch's far-out fence, Q3 + ``REACH`` * (Q3 - Q1), but never below
-``FLOOR``; a group of fewer than ``ENOUGH`` documents uses the sketch of its language,
-a language of fewer that of all documents. Where most documents have ratio 0 both
-quartiles are 0, the fence is 0 and ``FLOOR`` alone decides, as a fixed cutoff; the README
-counts how often. Documents are then joined with their
-thresholds: kept are those that pass the base rules and no ratio above its threshold.
+
+Most documents have ratio 0, so quartiles over all of them say nothing. Two kinds of
+threshold that do not degenerate are read off a sketch. Symbols form two populations,
+texts with hardly any and garbage: the threshold is the middle of the gap where the
+magnitudes (powers of two) split best, by the largest variance between the two parts.
+Repeated lines and words have one long tail: the threshold is the quantile ``TAIL`` of the
+values above 0. A group with fewer than ``ENOUGH`` values above 0 uses the sketch of its
+language, a language with fewer that of all documents; without any, nothing is rejected.
+``NOISE`` only keeps thresholds above what a few characters make. Documents are then joined
+with their thresholds: kept are those that pass the base rules and no ratio above its threshold.
 
 Null texts have no words and fail; null languages and sources are groups of their own.
 Repeated rows count as often as they occur, and an empty table gives an empty result.
@@ -29,10 +33,10 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 TOP = 4000
-REACH = 3
-ENOUGH = 50
+ENOUGH = 20
 RATIOS = ["symbol", "line", "repeat"]
-FLOOR = {"symbol": 50, "line": 400, "repeat": 400}
+TAIL = {"line": 90, "repeat": 95}  # percent of the values above 0
+NOISE = {"symbol": 10, "line": 30, "repeat": 30}
 BROADCAST_GROUPS, SALTS = 20_000, 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -105,31 +109,46 @@ def sketches(measured: DataFrame, lang: str = "lang", source: str = "source") ->
     )
 
 
-def _fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """(by, ratio, docs, fence) from sketches merged to the level ``by``."""
+def _cuts(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """(by, ratio, some, cut) from sketches merged to the level ``by``: how many values are above 0,
+    and the threshold, null where there is none."""
     keys = [*by, "ratio"]
-    merged = sketch.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
-    upto = Window.partitionBy(*keys).orderBy("value")
-    ranked = merged.select("*", F.sum("n").over(upto).alias("seen"), F.sum("n").over(Window.partitionBy(*keys)).alias("docs"))
-    at = lambda quarter: F.min(F.when(4 * F.col("seen") >= quarter * F.col("docs"), F.col("value")))
-    return ranked.groupBy(*keys).agg(F.first("docs").alias("docs"), at(1).alias("q1"), at(3).alias("q3")).select(
-        *keys, "docs", (F.col("q3") + REACH * (F.col("q3") - F.col("q1"))).alias("fence")
+    merged = sketch.groupBy(*keys, "value").agg(F.sum("n").alias("n")).withColumn("m", F.length(F.bin(F.col("value") + 1)))
+    some = F.when(F.col("value") > 0, F.col("n")).otherwise(0)
+    whole = Window.partitionBy(*keys)
+    ranked = merged.select("*", F.sum(some).over(whole).alias("some"), F.sum(some).over(whole.orderBy("value")).alias("seen"))
+    share = F.when(F.col("ratio") == "line", TAIL["line"]).otherwise(TAIL["repeat"])
+    tail = ranked.groupBy(*keys).agg(
+        F.max("some").alias("some"), F.min(F.when((F.col("value") > 0) & (100 * F.col("seen") >= share * F.col("some")), F.col("value"))).alias("tail")
     )
+    parts = merged.groupBy(*keys, "m").agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    number = lambda c: c.cast("double")
+    upto = whole.orderBy("m")
+    left, weight = number(F.sum("n").over(upto)), number(F.sum(F.col("n") * F.col("m")).over(upto))
+    docs, total = number(F.sum("n").over(whole)), number(F.sum(F.col("n") * F.col("m")).over(whole))
+    apart = docs * weight - left * total
+    split = parts.select(
+        *keys, "m", (apart * apart / (left * (docs - left))).alias("apart"),
+        F.floor((F.col("high") + F.lead("low").over(upto)) / 2).cast("int").alias("middle"), (docs - left).alias("above"),
+    ).where("above > 0")
+    middle = split.groupBy(*keys).agg(F.max_by("middle", F.struct("apart", -F.col("m"))).alias("middle"))
+    found = tail.join(middle.select(*[F.col(k).alias(f"_{k}") for k in keys], "middle"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left")
+    cut = F.when(F.col("ratio") == "symbol", F.col("middle")).otherwise(F.col("tail"))
+    return found.select(*keys, "some", cut.alias("cut"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """(lang, source, symbol, line, repeat): one row for each group of the sketch."""
-    own, language, every = (_fences(sketch, by) for by in (["lang", "source"], ["lang"], []))
-    language = language.select(F.col("lang").alias("l"), F.col("ratio").alias("r"), F.col("docs").alias("l_docs"), F.col("fence").alias("l_fence"))
-    every = every.select(F.col("ratio").alias("a"), F.col("fence").alias("a_fence"))
+    own, language, every = (_cuts(sketch, by) for by in (["lang", "source"], ["lang"], []))
+    language = language.select(F.col("lang").alias("l"), F.col("ratio").alias("r"), F.col("some").alias("l_some"), F.col("cut").alias("l_cut"))
+    every = every.select(F.col("ratio").alias("a"), F.col("cut").alias("a_cut"))
     best = (
         own.join(language, F.col("lang").eqNullSafe(F.col("l")) & (F.col("ratio") == F.col("r")))
         .join(F.broadcast(every), F.col("ratio") == F.col("a"))  # three rows
-        .withColumn("fence", F.when(F.col("docs") >= ENOUGH, F.col("fence")).when(F.col("l_docs") >= ENOUGH, F.col("l_fence")).otherwise(F.col("a_fence")))
-    )
-    return best.groupBy("lang", "source").agg(
-        *[F.greatest(F.max(F.when(F.col("ratio") == r, F.col("fence"))), F.lit(FLOOR[r])).alias(r) for r in RATIOS]
+        .withColumn("cut", F.when(F.col("some") >= ENOUGH, F.col("cut")).when(F.col("l_some") >= ENOUGH, F.col("l_cut")).otherwise(F.col("a_cut")))
     )
+    limit = lambda r: F.max(F.when(F.col("ratio") == r, F.coalesce("cut", F.lit(TOP))))
+    return best.groupBy("lang", "source").agg(*[F.greatest(limit(r), F.lit(NOISE[r])).alias(r) for r in RATIOS])
 
 
 def judged(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -155,9 +174,9 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns they came with. The texts are read twice:
-    for the sketches, and to judge each document where it lies, without moving texts."""
+    """The documents that pass, with the columns they came with. They are written once with
+    their counts, which are the dear part; sketches and verdicts are read from that."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "lang", "source", "text")
-    measured = _measured(scored(rows))
+    measured = written(_measured(scored(rows)).drop("text"), "quality-measured")
     limits = written(thresholds(sketches(measured)), "quality-limits")
     return judged(measured, limits).where("_kept").select("_row.*")

@@ -29,21 +29,43 @@ m AS (
     CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat
   FROM c)"""
 
-_LIMITS = """
+
+
+def _level(name: str, keys: list[str]) -> str:
+    """Values above 0 and the threshold for each group of ``keys`` and each ratio."""
+    k = ", ".join([*keys, "ratio"])
+    same = " AND ".join(f"t.{x} IS NOT DISTINCT FROM p.{x}" for x in [*keys, "ratio"])
+    return f"""{name}v AS (SELECT {k}, value, count(*) AS n, length(bin(value + 1)) AS m FROM v GROUP BY ALL),
+{name}t AS (
+  SELECT {k}, any_value(filled) AS filled, min(value) FILTER (value > 0 AND 100 * seen >= CASE ratio WHEN 'line' THEN 90 ELSE 95 END * filled) AS tail
+  FROM (SELECT *, sum(CASE WHEN value > 0 THEN n ELSE 0 END) OVER (PARTITION BY {k}) AS filled,
+          sum(CASE WHEN value > 0 THEN n ELSE 0 END) OVER (PARTITION BY {k} ORDER BY value) AS seen FROM {name}v) GROUP BY {k}),
+{name}m AS (SELECT {k}, m, sum(n)::BIGINT AS n, min(value) AS low, max(value) AS high FROM {name}v GROUP BY {k}, m),
+{name}w AS (
+  SELECT {k}, m, (high + lead(low) OVER w) // 2 AS middle, (sum(n) OVER w)::DOUBLE AS l, (sum(n * m) OVER w)::DOUBLE AS s,
+    (sum(n) OVER (PARTITION BY {k}))::DOUBLE AS d, (sum(n * m) OVER (PARTITION BY {k}))::DOUBLE AS z
+  FROM {name}m WINDOW w AS (PARTITION BY {k} ORDER BY m)),
+{name}p AS (
+  SELECT {k}, middle FROM (SELECT *, (d * s - l * z) * (d * s - l * z) / (l * (d - l)) AS apart FROM {name}w WHERE d > l)
+  QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY apart DESC, m) = 1),
+{name} AS (
+  SELECT {", ".join("t." + x for x in [*keys, "ratio"])}, filled, CASE WHEN t.ratio = 'symbol' THEN middle ELSE tail END AS cut
+  FROM {name}t t LEFT JOIN {name}p p ON {same})"""
+
+
+_LIMITS = f"""
 v AS (
   SELECT lang, source, ratio, least(value, 4000) AS value
   FROM (SELECT lang, source, unnest(['symbol', 'line', 'repeat']) AS ratio, unnest([symbol, line, repeat]) AS value FROM m WHERE NOT base_failed)),
-o AS (SELECT lang, source, ratio, count(*) AS docs, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM v GROUP BY ALL),
-a AS (SELECT lang, ratio, count(*) AS docs, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM v GROUP BY ALL),
-e AS (SELECT ratio, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM v GROUP BY ALL),
+{_level("own", ["lang", "source"])},
+{_level("language", ["lang"])},
+{_level("every", [])},
 f AS (
-  SELECT o.lang, o.source, o.ratio,
-    CASE WHEN o.docs >= 50 THEN o.q3 + 3 * (o.q3 - o.q1) WHEN a.docs >= 50 THEN a.q3 + 3 * (a.q3 - a.q1)
-         ELSE e.q3 + 3 * (e.q3 - e.q1) END AS fence
-  FROM o JOIN a ON o.lang IS NOT DISTINCT FROM a.lang AND o.ratio = a.ratio JOIN e ON o.ratio = e.ratio),
+  SELECT o.lang, o.source, o.ratio, coalesce(CASE WHEN o.filled >= 20 THEN o.cut WHEN a.filled >= 20 THEN a.cut ELSE e.cut END, 4000) AS cut
+  FROM own o JOIN language a ON o.lang IS NOT DISTINCT FROM a.lang AND o.ratio = a.ratio JOIN every e ON o.ratio = e.ratio),
 t AS (
-  SELECT lang, source, greatest(50, max(fence) FILTER (ratio = 'symbol')) AS max_symbol,
-    greatest(400, max(fence) FILTER (ratio = 'line')) AS max_line, greatest(400, max(fence) FILTER (ratio = 'repeat')) AS max_repeat
+  SELECT lang, source, greatest(10, max(cut) FILTER (ratio = 'symbol')) AS max_symbol,
+    greatest(30, max(cut) FILTER (ratio = 'line')) AS max_line, greatest(30, max(cut) FILTER (ratio = 'repeat')) AS max_repeat
   FROM f GROUP BY lang, source)"""
 
 QUALITY = f"""
