@@ -227,3 +227,46 @@ def alignment_rows(rows: list[tuple]) -> list[tuple]:
             sum(held[p] for p in links), hashlib.sha256(text.encode()).hexdigest() if groups else "",
         ))
     return out
+
+
+def article_text(page: str) -> str:
+    """Text of a page's <article> by the standard library's parser, a line for each block."""
+    from html.parser import HTMLParser
+
+    inline = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time u var wbr".split())
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside = self.hidden = 0
+            self.lines, self.parts = [], []
+
+        def flush(self):
+            text = " ".join("".join(self.parts).split())
+            self.lines += [text] if text else []
+            self.parts = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style", "noscript", "button", "select", "textarea"):
+                self.hidden += 1
+            elif tag == "br":
+                self.parts.append(" ")
+            elif tag not in inline:
+                self.flush()
+                self.inside += tag == "article"
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "noscript", "button", "select", "textarea"):
+                self.hidden -= 1
+            elif tag not in inline:
+                self.flush()
+                self.inside -= tag == "article"
+
+        def handle_data(self, data):
+            if self.inside and not self.hidden:
+                self.parts.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    return "\n".join(reader.lines)

@@ -11,7 +11,8 @@ labelled by the markup around them (``_weak_labels``), and each page is used aga
 other dresses (``_dressed``) whose blocks have known labels: other containers for the
 article, with sidebars, reader comments, notices, forms and headers around it.
 
-Null and empty pages have no text. White space inside a block becomes one space, blocks
+Null and empty pages have no text. White space inside a block, no-break spaces and separators
+(U+001C to U+001F) included, becomes one space, blocks
 are joined by one line break in page order; nothing else is dropped or cut. Repeated
 rows give repeated rows, an empty table an empty result, further columns are ignored.
 """
@@ -34,13 +35,13 @@ PATH_DIMS, WORD_DIMS, SIZES = 96, 64, 5
 HIDDEN, EPOCHS, RATE, SEED = 16, 5, 0.02, 7
 BATCH_CELLS = 1 << 14  # blocks labelled together, padding included
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
+_QUOTE = re.compile(r"=\s*([\"'])")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _HOOK = re.compile(r"(?:\s|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 # Fixed values of the markup language: elements without content, with raw text up to their
 # own closing tag, with content that is no text of the page, and within lines.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in "script style noscript iframe title textarea".split()}
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in "script style noscript iframe title textarea".split()}
 _HIDDEN = set("template select svg canvas audio video button".split())
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded mphantom mfenced menclose semantics annotation".split())
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
@@ -59,78 +60,207 @@ def _element(tag: str) -> tuple[str, tuple[str, ...]]:
     return name, tuple(words.split())
 
 
-def blocks(page: str) -> list[tuple[tuple, str, int]]:
-    """(path, text, characters inside links) of the text blocks of a page, in order."""
-    out: list[tuple[tuple, str, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    parts: list[str] = []
-    linked = links = 0
-    hidden, at = "", 0
+def _tag_end(page: str, at: int) -> int:
+    """Place of the > that ends the tag at ``at``; it may stand in quoted values before. A quote
+    that is not closed in front of white space, / or > is no quote: the tag ends at the next >."""
+    end = page.find(">", at)
+    while end >= 0 and (quote := _QUOTE.search(page, at, end)):
+        close = page.find(quote[1], quote.end())
+        if close < 0 or page[close + 1 : close + 2] not in (" ", "\t", "\n", "\r", "\f", "/", ">"):
+            break
+        at = close + 1
+        if at > end:
+            end = page.find(">", at)
+    return end
+
+
+def _tokens(page: str):
+    """(start, end, kind) of texts and tags; comments and declarations are left out.
+    Every search either moves on or is not repeated, so a page of n characters takes n steps."""
+    at, last, cdata = 0, page.rfind(">"), page.rfind("]]>")
+    while at < len(page):
+        mark = page.find("<", at)
+        if mark < 0:
+            yield at, len(page), "text"
+            return
+        if mark > at:
+            yield at, mark, "text"
+        follows = page[mark + 1 : mark + 2]
+        if page.startswith("<!--", mark):
+            end = page.find("-->", mark + 4)
+            at = end + 3 if end >= 0 else len(page)
+        elif page.startswith("<![CDATA[", mark) and mark < cdata:
+            end = page.find("]]>", mark)
+            yield mark + 9, end, "cdata"
+            at = end + 3
+        elif follows in ("!", "?"):
+            at = page.find(">", mark) + 1 if mark < last else len(page)
+        elif follows.isascii() and follows.isalpha() or follows == "/" and page[mark + 2 : mark + 3].isascii() and page[mark + 2 : mark + 3].isalpha():
+            end = _tag_end(page, mark) if mark < last else -1
+            if end < 0:  # a tag that the page does not finish
+                return
+            at = yield mark, end + 1, "tag"
+            at = at or end + 1
+        else:
+            yield mark, mark + 1, "text"
+            at = mark + 1
+
+
+class Path:
+    """Elements around a block, from the root; shared with the blocks beside it."""
+
+    __slots__ = ("parent", "element", "places", "main", "aside")
+
+    def __init__(self, parent: Path | None, element: tuple[str, tuple[str, ...]]):
+        self.parent, self.element = parent, element
+        self.places = _element_places(element) | (parent.places if parent else frozenset())
+        main, aside = _named(element)
+        self.main, self.aside = main or bool(parent and parent.main), aside or bool(parent and parent.aside)
+
+    def __iter__(self):
+        found, node = [], self
+        while node:
+            found.append(node.element)
+            node = node.parent
+        return reversed(found)
+
 
-    def close() -> None:
-        nonlocal linked
+def path_of(elements) -> Path | None:
+    node = None
+    for e in elements:
+        node = Path(node, e)
+    return node
+
+
+class _Open:
+    """Elements that are open, with the blocks they have given."""
+
+    def __init__(self):
+        self.out: list[tuple[Path | None, str, int]] = []
+        self.stack: list[str] = []
+        self.block_at: list[int] = []  # places of the stack's elements that are not within lines
+        self.paths: list[Path | None] = [None]  # the path of each of those
+        self.inline: list[dict[str, int]] = [{}]  # names open within lines, for each of those
+        self.known: dict[str, int] = {}  # open elements that are not within lines, by name
+        self.parts: list[str] = []
+        self.linked = self.links = 0
+        self.frames: list[tuple[int, int, list[str], int]] = []  # hidden elements: place, blocks before, text before
+
+    def _block(self, parts: list[str], linked: int, path: Path | None):
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
-        if text:
-            out.append((tuple(e for e in stack if e[0] not in _INLINE), text, linked))
-        parts.clear()
-        linked = 0
+        return [(path, text, linked)] if text else []
 
-    while at < len(page):
-        token = _TOKEN.match(page, at)[0]
-        at += len(token)
-        if token[0] != "<" or token == "<":
-            if not hidden:
-                parts.append(token)
-                if links:
-                    linked += len(token.strip())
-            continue
-        if token[1] in "!?":
-            if token.startswith("<![CDATA[") and not hidden:
-                parts.append(html.escape(token[9:-3]))
+    def close(self) -> None:
+        if self.parts:
+            self.out += self._block(self.parts, self.linked, self.paths[-1])
+        self.parts, self.linked = [], 0
+
+    def push(self, element: tuple[str, tuple[str, ...]], hidden: bool) -> None:
+        name = element[0]
+        if hidden:
+            self.frames.append((len(self.stack), len(self.out), self.parts, self.linked, self.paths[-1]))
+            self.parts, self.linked = [], 0
+        if name in _INLINE:
+            self.links += name == "a"
+            self.inline[-1][name] = self.inline[-1].get(name, 0) + 1
+        else:
+            self.block_at.append(len(self.stack))
+            self.paths.append(Path(self.paths[-1], element))
+            self.inline.append({})
+            self.known[name] = self.known.get(name, 0) + 1
+        self.stack.append(name)
+
+    def cut(self, depth: int) -> None:
+        """Ends all elements from ``depth`` on. Hidden ones among them keep what they gave, but
+        for one that ends by itself."""
+        own = bool(self.frames) and self.frames[-1][0] == depth
+        while self.frames and self.frames[-1][0] >= depth:
+            place, before, parts, linked, path = self.frames.pop()
+            if own and place == depth:
+                self.out, self.parts, self.linked = self.out[:before], parts, linked
+            else:
+                self.close()
+                self.out[before:before] = self._block(parts, linked, path)
+        for name in reversed(self.stack[depth:]):
+            if name in _INLINE:
+                self.inline[-1][name] -= 1
+            else:
+                self.block_at.pop()
+                self.paths.pop()
+                self.inline.pop()
+                self.known[name] -= 1
+        del self.stack[depth:]
+
+    def end(self, name: str) -> None:
+        if name == "a":
+            self.links = max(0, self.links - 1)
+        if name in _INLINE:
+            if self.inline[-1].get(name):
+                self.cut(len(self.stack) - 1 - self.stack[::-1].index(name))
+            return
+        if not self.known.get(name):
+            self.close()
+            return
+        depth = next(k for k in reversed(self.block_at) if self.stack[k] == name)
+        if not (self.frames and self.frames[-1][0] == depth):
+            self.close()
+        self.cut(depth)
+
+    def begin(self, element: tuple[str, tuple[str, ...]]) -> None:
+        """Room for a new element that is not within lines."""
+        self.close()
+        name = element[0]
+        ends = _CLOSES.get(name) or ({"p"} if name in _P_ENDS else ())
+        while self.block_at and self.stack[self.block_at[-1]] in ends:
+            self.cut(self.block_at[-1])
+
+
+def blocks(page: str) -> list[tuple[Path | None, str, int]]:
+    """(path, text, characters inside links) of the text blocks of a page, in order.
+
+    What a hidden element such as a button holds is left out if the element is closed inside
+    its parent; otherwise it is text like any other. Raw elements that are never closed
+    are passed over, but for scripts and styles, which then reach to the end.
+    """
+    state, endless = _Open(), set()
+    tokens, skip = _tokens(page), None
+    while True:
+        try:
+            at, end, kind = tokens.send(skip) if skip is not None else next(tokens)
+        except StopIteration:
+            break
+        skip = None
+        if kind != "tag":
+            text = page[at:end] if kind == "text" else html.escape(page[at:end])
+            state.parts.append(text)
+            if state.links:
+                state.linked += len(text.strip())
             continue
+        token = page[at:end]
         if token[1] == "/":
-            name = _NAME.match(token)[1].lower()
-            if hidden:
-                hidden = "" if name == hidden else hidden
-                continue
-            if name == "a":
-                links = max(0, links - 1)
-            if name not in _INLINE:
-                close()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
-                if name in _INLINE and stack[depth][0] not in _INLINE:
-                    break
+            state.end(_NAME.match(token)[1].lower())
             continue
         element = _element(token)
-        name = element[0]
-        if name in _RAW_END and not token.endswith("/>"):  # no markup inside: on behind its closing tag
-            end = _RAW_END[name].search(page, at)
-            at = end.end() if end else len(page)
-        if hidden:
-            continue
+        name, alone = element[0], token.endswith("/>")
         if name == "br":
-            parts.append(" ")
+            state.parts.append(" ")
             continue
-        if name not in _INLINE:
-            close()
-            ends = _CLOSES.get(name) or ({"p"} if name in _P_ENDS else ())
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in ends:
-                    del stack[depth:]
-                elif stack[depth][0] not in _INLINE:
-                    break
-        if name in _HIDDEN:
-            if not token.endswith("/>"):
-                hidden = name
-        elif name not in _VOID and name not in _RAW_END and not token.endswith("/>"):
-            if name == "a":
-                links += 1
-            stack.append(element)
-    close()
-    return out
+        if name not in _INLINE and name not in _HIDDEN:
+            state.begin(element)
+        if name in _RAW_END and not alone:  # no markup inside: on behind its closing tag
+            found = None if name in endless else _RAW_END[name].search(page, end)
+            if found:
+                close = page.find(">", found.end())
+                skip = close + 1 if close >= 0 else len(page)
+            elif name in ("script", "style"):
+                break
+            else:
+                endless.add(name)
+        elif name not in _VOID and not alone:
+            state.push(element, name in _HIDDEN)
+    state.close()
+    state.cut(0)
+    return state.out
 
 
 def _hash(word: str) -> int:
@@ -141,18 +271,28 @@ def _hash(word: str) -> int:
 
 
 @lru_cache(maxsize=20_000)
-def _path_places(path: tuple) -> tuple[int, ...]:
-    """Hashed features of a path: each element's tag, hooks and their parts; the last tag apart."""
-    found = {f"tag {name}" for name, _ in path}
-    for name, hooks in path:
-        for hook in hooks:
-            found |= {f"hook {part}" for part in [hook, *re.split(r"[-_\d]+", hook)] if part}
-    if path:
-        found.add(f"leaf {path[-1][0]}")
-    return tuple(sorted({_hash(f) % PATH_DIMS for f in found}))
-
-
-def vectors(page_blocks: list[tuple[tuple, str, int]]) -> np.ndarray:
+def _element_places(element: tuple[str, tuple[str, ...]]) -> frozenset[int]:
+    """Hashed features of an element: its tag, hooks and their parts."""
+    name, hooks = element
+    found = {f"tag {name}"} | {f"hook {part}" for hook in hooks for part in [hook, *re.split(r"[-_\d]+", hook)] if part}
+    return frozenset(_hash(f) % PATH_DIMS for f in found)
+
+
+@lru_cache(maxsize=20_000)
+def _named(element: tuple[str, tuple[str, ...]]) -> tuple[bool, bool]:
+    """Whether an element's names speak of an article, and of something else."""
+    name, hooks = element
+    words = " ".join(hooks)
+    main = name in ("article", "main") or bool(words and _MAIN.search(words))
+    return main, name in _ASIDE_TAGS or bool(words and _ASIDE.search(words.replace("-", " ").replace("_", " ")))
+
+
+def _path_places(path: Path | None) -> list[int]:
+    """Hashed features of a path: those of its elements, and the last tag apart."""
+    return [*path.places, _hash(f"leaf {path.element[0]}") % PATH_DIMS] if path else []
+
+
+def vectors(page_blocks: list[tuple[Path | None, str, int]]) -> np.ndarray:
     """One row for each block."""
     n = len(page_blocks)
     out = np.zeros((n, PATH_DIMS + WORD_DIMS + SIZES), np.float32)
@@ -165,7 +305,7 @@ def vectors(page_blocks: list[tuple[tuple, str, int]]) -> np.ndarray:
     counts = np.bincount(cell, minlength=n * WORD_DIMS).reshape(n, WORD_DIMS)
     out[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.3 * np.log1p(counts)
     for row, (path, _, _) in zip(out, page_blocks):
-        row[list(_path_places(path))] = 1
+        row[_path_places(path)] = 1
     size = np.array([len(t) for _, t, _ in page_blocks], np.float32)
     inside = np.array([k for _, _, k in page_blocks], np.float32)
     place = np.arange(n) / max(1, n - 1)
@@ -273,17 +413,10 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed
     return model
 
 
-def _weak_labels(page_blocks: list[tuple[tuple, str, int]]) -> list[bool] | None:
+def _weak_labels(page_blocks: list[tuple[Path | None, str, int]]) -> list[bool] | None:
     """Labels by the markup: inside an article or content container and in nothing that is
     named as something else. None if the page has no such container."""
-    labels = []
-    for path, _, _ in page_blocks:
-        main = aside = False
-        for name, hooks in path:
-            words = " ".join(hooks)
-            main |= name in ("article", "main") or bool(words and _MAIN.search(words))
-            aside |= name in _ASIDE_TAGS or bool(words and _ASIDE.search(words.replace("-", " ").replace("_", " ")))
-        labels.append(main and not aside)
+    labels = [bool(path and path.main and not path.aside) for path, _, _ in page_blocks]
     return labels if any(labels) else None
 
 
@@ -307,14 +440,14 @@ def _dressed(page_blocks, labels, others: list[str], rng) -> tuple[list, list[bo
         inside = (container,) if rng.random() < 0.3 else ()
         for _ in range(rng.integers(1, 5)):
             text = others[rng.integers(len(others))]
-            out.append((top + inside + path, text, len(text) if path[-1][0] == "li" else 0))
+            out.append((path_of(top + inside + path), text, len(text) if path[-1][0] == "li" else 0))
             kept.append(False)
 
     for _ in range(rng.integers(1, 4)):
         around()
     for (path, text, linked), label in zip(page_blocks, labels):
         if label:
-            out.append((top + (container,) + path[-1:], text, linked))
+            out.append((path_of(top + (container,) + ((path.element,) if path else ())), text, linked))
             kept.append(True)
             if rng.random() < 0.06:
                 around()
@@ -340,7 +473,7 @@ def fit(pages: list[str]) -> Labeller:
     return train([(vectors(b), np.array(y, np.float32)) for b, y in labelled])
 
 
-def label(model: Labeller, parsed: list[list[tuple[tuple, str, int]]]) -> list[np.ndarray]:
+def label(model: Labeller, parsed: list[list[tuple[Path | None, str, int]]]) -> list[np.ndarray]:
     """For every page, which of its blocks are article; pages of like length are read together."""
     out: list[np.ndarray] = [np.empty(0, bool)] * len(parsed)
     order = sorted((k for k in range(len(parsed)) if parsed[k]), key=lambda k: len(parsed[k]))
