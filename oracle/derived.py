@@ -41,6 +41,8 @@ SQL = {
         SELECT c.quarter, coalesce(p.abc_class, 'NEW') AS previous_class, c.abc_class, count(*) AS skus, sum(c.revenue)::DOUBLE AS revenue
         FROM c LEFT JOIN c p ON p.ProductKey = c.ProductKey AND p.quarter = (c.quarter - INTERVAL 3 MONTH)::DATE GROUP BY 1, 2, 3""",
     "scd2_build": scd2("prio"),
+    "scd2_late_changes": scd2("prio"),
+    "scorecard_increments": "SELECT * EXCLUDE (lt_n, lt_sum, lt_sq) FROM supplier_monthly",
     "scd2_apply": f"""WITH dim AS ({scd2("(SELECT * FROM prio WHERE d < DATE '2000-01-01')")}),
         inc AS (SELECT CustomerKey, p FROM prio WHERE d >= DATE '2000-01-01' QUALIFY row_number() OVER (PARTITION BY CustomerKey ORDER BY d DESC) = 1)
         SELECT d.CustomerKey, ServicePriority, EffectiveFrom, CASE WHEN IsCurrent AND i.p IS NOT NULL AND i.p <> ServicePriority THEN DATE '2000-01-01' ELSE EffectiveTo END AS EffectiveTo,

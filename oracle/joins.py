@@ -15,6 +15,8 @@ SQL = {
               UNION ALL SELECT 'delivery', DeliveryDate, NetSalesAmount FROM fact_sales) GROUP BY 1, 2""",
     "scd2_range_join": """SELECT h.CategoryName, h.IsCurrent, sum(ShippedQuantity)::BIGINT AS units, sum(ShippedQuantity * h.UnitStandardCost)::DOUBLE AS cost_at_order_date
         FROM fact_sales s JOIN dim_product_history h ON s.ProductKey = h.NaturalKey AND s.OrderDate >= h.EffectiveFrom AND s.OrderDate < h.EffectiveTo GROUP BY 1, 2""",
+    "asof_line_cost": """SELECT h.CategoryName, h.IsCurrent, count(*) AS lines, sum(ShippedQuantity)::BIGINT AS units, sum(ShippedQuantity * h.UnitStandardCost)::DOUBLE AS cost_at_order_date
+        FROM fact_sales s ASOF LEFT JOIN (SELECT NaturalKey AS ProductKey, * EXCLUDE (NaturalKey) FROM dim_product_history) h ON s.ProductKey = h.ProductKey AND s.OrderDate >= h.EffectiveFrom GROUP BY 1, 2""",
     "orphan_check": """SELECT k AS ProductKey, count(*) AS lines FROM (SELECT CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN -l_partkey - 1 ELSE l_partkey END AS k FROM lineitem)
         WHERE k NOT IN (SELECT p_partkey FROM part) GROUP BY 1""",
     "row_security": f"""SELECT UserEmail, count(*) AS visible_warehouses, sum(rows)::BIGINT AS sales_rows, sum(net)::DOUBLE AS net_sales

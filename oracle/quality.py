@@ -64,6 +64,13 @@ SQL = {
         "type not accepted": "event_type NOT IN ('RECEIPT', 'PICK', 'ADJUSTMENT')", "quantity missing": "quantity_change IS NULL"}),
 }
 ALL_CHECKS = " UNION ALL ".join(SQL.values())
+SQL["dq_on_write"] = f"""SELECT * FROM ({' UNION ALL '.join(SQL[k] for k in ('dq_dates', 'dq_quantities', 'dq_domain', 'dq_stockout', 'dq_returns', 'dq_scorecard'))})
+    WHERE NOT starts_with(check_name, 'FactInventory')"""
+SQL["dq_snapshot_balance"] = rules("snapshot", "FactInventorySnapshot", """(WITH s AS (
+        SELECT snapshot_base.ProductKey, snapshot_base.WarehouseKey, SnapshotDate AS d, row_number() OVER (PARTITION BY snapshot_base.ProductKey, snapshot_base.WarehouseKey ORDER BY SnapshotDate) AS k, OnHandQuantity AS q, coalesce(net_flow, 0) AS f
+        FROM snapshot_base LEFT JOIN flow ON flow.ProductKey = snapshot_base.ProductKey AND flow.WarehouseKey = snapshot_base.WarehouseKey AND day = SnapshotDate)
+    SELECT q, (lag(q) OVER w) AS b, f, date_diff('day', lag(d) OVER w, d) > 1 AS gap FROM s WINDOW w AS (PARTITION BY ProductKey, WarehouseKey ORDER BY k))""", {
+    "stock not continuous": "q <> greatest(0, coalesce(b, 0) + f)", "stock negative": "q < 0", "day missing": "gap", "movement without a day": "q IS NULL"})
 SQL["dq_summary"] = f"""SELECT *, passed::DOUBLE / checks::DOUBLE AS pass_rate, 100.0::DOUBLE * passed::DOUBLE / checks::DOUBLE AS dq_index FROM
     (SELECT count(*) AS checks, count(*) FILTER (status = 'PASSED') AS passed, count(*) FILTER (status = 'FAILED') AS failed, sum(failures)::BIGINT AS failing_rows FROM ({ALL_CHECKS}))"""
 SQL["table_volume"] = " UNION ALL ".join(

@@ -32,4 +32,6 @@ SQL = {
         SELECT topic, count(*) AS partitions, sum(z)::BIGINT AS total_offsets, greatest(0.0::DOUBLE, (sum(z) - coalesce(sum(a), 0))::DOUBLE / 3600.0::DOUBLE) AS rows_per_second FROM p GROUP BY 1""",
     "ingest_history": """SELECT ingested_at, added AS added_records, (sum(added) OVER (ORDER BY ingested_at))::BIGINT AS total_records
         FROM (SELECT ingested_at, count(*) AS added FROM bronze_sales GROUP BY 1)""",
+    "surrogate_keys": """WITH v AS (SELECT ProductSKU, EffectiveFrom, EffectiveFrom < DATE '1998-01-01' AS early FROM dim_product_history)
+        SELECT ProductSKU, EffectiveFrom, row_number() OVER (ORDER BY NOT early, ProductSKU, EffectiveFrom) AS ProductKey FROM v""",
 }

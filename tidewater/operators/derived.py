@@ -71,15 +71,12 @@ SCORECARD_INPUT = [
 CRITICAL_BREACH, MODERATE_RISK, LOW_RISK = "Critical SLA Breach", "Moderate Risk", "Low Risk"
 
 
-def supplier_monthly(po: DataFrame) -> DataFrame:
-    """Supplier x month scorecard; the OTIF rate here is over all lines.
-
-    Orders are reduced to one row each before counting them, so counting
-    distinct orders is an ordinary second aggregation without row expansion.
-    """
+def order_partials(po: DataFrame) -> DataFrame:
+    """What adds up, per supplier, month and order: partials of two sets of lines merge by
+    adding, and counting distinct orders is an ordinary second aggregation."""
     lt = F.col("ActualLeadTimeDays")
     month = F.trunc("POCreationDate", "month")
-    per_order = po.groupBy("SupplierKey", month.alias("YearMonthDate"), "PurchaseOrderID").agg(
+    return po.groupBy("SupplierKey", month.alias("YearMonthDate"), "PurchaseOrderID").agg(
         F.count("*").alias("lines"),
         *[F.sum(c).alias(c) for c in ("OrderedQuantity", "ReceivedQuantity", "RejectedQuantity", "ExtendedPOAmount")],
         F.sum("IsDeliveredOnTimeFlag").alias("on_time"),
@@ -90,6 +87,19 @@ def supplier_monthly(po: DataFrame) -> DataFrame:
         F.sum(lt * lt).alias("lt_sq"),
         F.count_if(F.col("LeadTimeVarianceDays") > 0).alias("late"),
     )
+
+
+def supplier_monthly(po: DataFrame) -> DataFrame:
+    """Supplier x month scorecard; the OTIF rate here is over all lines."""
+    return scorecard(order_partials(po), merged=True)
+
+
+def scorecard(partials: DataFrame, merged: bool = False) -> DataFrame:
+    """The scorecard from partials; an order may have several unless they are ``merged``."""
+    sums = [c for c in partials.columns if c not in ("SupplierKey", "YearMonthDate", "PurchaseOrderID")]
+    per_order = partials if merged else partials.groupBy("SupplierKey", "YearMonthDate", "PurchaseOrderID").agg(
+        *[F.sum(c).cast(partials.schema[c].dataType).alias(c) for c in sums]
+    )
     g = per_order.groupBy("SupplierKey", "YearMonthDate").agg(
         F.count("*").alias("TotalPOCount"),
         F.sum("lines").alias("TotalPOLines"),
@@ -170,6 +180,40 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attributes: list[s
     return dim.where("NOT IsCurrent").select(*current.columns).unionByName(current)
 
 
+def scd2_versions(observed: DataFrame, key: str, attributes: list[str], changed_on: str) -> DataFrame:
+    """Versions as of ``scd2_build``, with ``SeenOn``: the days on which a version was observed.
+
+    A later observation that changes nothing starts no version, but decides where one ends if
+    a change dated between the two arrives afterwards, so it is kept.
+    """
+    w = Window.partitionBy(key).orderBy(changed_on)
+    state = F.struct(*attributes)
+    differs = F.coalesce(~state.eqNullSafe(F.lag(state).over(w)), F.lit(True))
+    run = F.sum(F.col("_new").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = observed.withColumn("_new", differs).withColumn("_run", run).groupBy(key, "_run").agg(
+        F.first(state).alias("_state"), F.min(changed_on).alias("EffectiveFrom"), F.sort_array(F.collect_list(changed_on)).alias("SeenOn")
+    )
+    end = F.lead("EffectiveFrom").over(Window.partitionBy(key).orderBy("EffectiveFrom"))
+    return runs.select(
+        key, *[F.col(f"_state.{a}").alias(a) for a in attributes], "EffectiveFrom",
+        F.coalesce(end, F.lit("9999-12-31").cast("date")).alias("EffectiveTo"), end.isNull().alias("IsCurrent"), "SeenOn",
+    )
+
+
+def scd2_splice(dim: DataFrame, changes: DataFrame, key: str, attributes: list[str], changed_on: str) -> DataFrame:
+    """``dim`` (of ``scd2_versions``) after changes of any date, also inside its history.
+
+    Only keys with a change are built anew, from the days on which their versions were seen; a
+    change replaces what was observed on its own day. The order in which changes arrive
+    does not matter unless two of one day differ.
+    """
+    keys = changes.select(key).distinct()
+    seen = dim.join(keys, key, "left_semi").select(key, *attributes, F.explode("SeenOn").alias(changed_on))
+    seen = seen.join(changes.select(key, changed_on), [key, changed_on], "left_anti")
+    rebuilt = scd2_versions(seen.unionByName(changes.select(key, *attributes, changed_on)), key, attributes, changed_on)
+    return dim.join(keys, key, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
+
+
 # -- calendar ---------------------------------------------------------------
 
 

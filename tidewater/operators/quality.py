@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -78,3 +78,18 @@ def schema_gaps(df: DataFrame, expected: dict[str, str]) -> list[str]:
     """Columns missing or of another type; the first gate, before any rows are read."""
     have = dict(df.dtypes)
     return [f"{c}: expected {t}, found {have.get(c, 'nothing')}" for c, t in expected.items() if have.get(c) != t]
+
+
+def written_with_rules(df: DataFrame, path: str, groups: dict[str, dict[str, Column]], name: str) -> DataFrame:
+    """Writes ``df`` and counts, in the same pass, the rows that break each rule; returns the
+    checks. ``groups``: check group -> rule -> condition; a rule ``(where, condition)`` counts
+    only rows that satisfy ``where``. The counts are a handful of numbers per task."""
+    listed = [(g, label, c if isinstance(c, tuple) else (F.lit(True), c)) for g, rules_ in groups.items() for label, c in rules_.items()]
+    seen = Observation(f"rules of {name}")
+    counts = [F.count_if(where & broken).alias(f"f{i}") for i, (_, _, (where, broken)) in enumerate(listed)]
+    totals = [F.count_if(where).alias(f"t{i}") for i, (_, _, (where, _)) in enumerate(listed)]
+    df.observe(seen, *counts, *totals).write.mode("overwrite").parquet(path)
+    found = seen.get
+    rows = [(g, f"{name}: {label}", found[f"f{i}"], found[f"t{i}"]) for i, (g, label, _) in enumerate(listed)]
+    checks = df.sparkSession.createDataFrame(rows, "check_group string, check_name string, failures long, total long")
+    return checks.withColumn("status", F.when(F.col("failures") == 0, "PASSED").otherwise("FAILED"))

@@ -56,3 +56,32 @@ def ranked(df: DataFrame, groups: list[str], order: str, name: str, slices: int
     totals = running_totals(df, groups, order, [], slices)
     ranks = totals.select(*groups, order, (F.col("run_n") - F.col("n") + 1).alias(name))
     return df.join(ranks, [*groups, order])
+
+
+def previous(df: DataFrame, order: str, columns: list[str], slices: int | None = None) -> DataFrame:
+    """``df`` with ``prev_<c>``: the columns of the row before in an order over all rows.
+
+    Rows are range-partitioned; each slice looks back within itself, and its first row gets
+    the last row of the slices before it, of which there is one for each slice. ``order`` is unique.
+    """
+    ranged = df.repartitionByRange(slices, order) if slices else df.repartitionByRange(order)
+    ranged = cut_lineage(ranged.withColumn("_slice", F.spark_partition_id()))
+    row = F.struct(F.col(order).alias("_o"), *columns)
+    inside = Window.partitionBy("_slice").orderBy(order)
+    lasts = ranged.groupBy("_slice").agg(F.max(row).alias("last"))
+    ends = lasts.agg(F.sort_array(F.collect_list(F.struct("_slice", "last")))).scalar()
+    found = ranged.withColumn("_prev", F.lag(row).over(inside)).withColumn("_ends", ends)
+    handed = F.try_element_at(F.filter("_ends", lambda e: e["_slice"] < F.col("_slice")), F.lit(-1))["last"]
+    found = found.withColumn("_prev", F.coalesce("_prev", handed))
+    return found.select(*df.columns, *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in columns])
+
+
+def numbered(df: DataFrame, order: list[str], name: str, start=0, slices: int | None = None) -> DataFrame:
+    """``df`` with consecutive numbers from ``start`` + 1 in the order of unique columns."""
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    ranged = cut_lineage(ranged.withColumn("_slice", F.spark_partition_id()))
+    sizes = ranged.groupBy("_slice").agg(F.count("*").alias("n")).agg(F.collect_list(F.struct("_slice", "n"))).scalar()
+    before = F.aggregate(F.filter("_sizes", lambda s: s["_slice"] < F.col("_slice")), F.lit(0).cast("long"), lambda a, s: a + s["n"])
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    rows = ranged.withColumn("_place", place).withColumn("_sizes", sizes)
+    return rows.select(*df.columns, (F.lit(start) + before + F.col("_place")).cast("long").alias(name))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import month_label, safe_divide
 from ..operators import dedup, intervals, segments
 from ..operators import derived as ops
+from ..operators import state
+from ..session import cut_lineage, scratch_path
 from ..sources.star import DerivedStar
 from .measures import enterprise_valuation
 from .registry import query
@@ -100,6 +102,32 @@ def scd2_apply(star: DerivedStar) -> DataFrame:
     return ops.scd2_apply(dim, incoming, "CustomerKey", ["ServicePriority"], "2000-01-01")
 
 
+@query
+def scd2_late_changes(star: DerivedStar) -> DataFrame:
+    """The dimension from three deliveries, the latest days first: each splices its changes into
+    versions that are already stored, and the result is that of the whole history."""
+    history = _priority_history(star)
+    days = F.datediff("changed_on", F.lit("1992-01-01"))
+    args = ("CustomerKey", ["ServicePriority"], "changed_on")
+    dim = cut_lineage(ops.scd2_versions(history.where(days % 3 == 0), *args))
+    for part in (2, 1):
+        dim = cut_lineage(ops.scd2_splice(dim, history.where(days % 3 == part), *args))
+    return dim.drop("SeenOn")
+
+
+@query
+def scorecard_increments(star: DerivedStar) -> DataFrame:
+    """The scorecard from stored partials: early lines, later ones, then late lines of early
+    months, the last delivery twice."""
+    po = star.table("FactPurchaseOrder", "POLineKey", *ops.SCORECARD_INPUT)
+    base = scratch_path(star.spark, "scorecard")
+    late, early = F.col("POLineKey") % 7 == 0, F.col("POCreationDate") < "1996-01-01"
+    loads = {"early": early & ~late, "later": ~early, "late": early & late}
+    for name in (*loads, "late"):
+        state.add_increment(star.spark, po.where(loads[name]).drop("POLineKey"), f"{base}/state", f"{base}/mart", name)
+    return star.spark.read.parquet(f"{base}/mart")
+
+
 @query
 def dim_date(star: DerivedStar) -> DataFrame:
     return star.table("DimDate")

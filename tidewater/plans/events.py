@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import safe_divide, stable_round
 from ..operators import dedup, marts, parsing
-from ..operators.running import ranked
+from ..operators.running import previous, ranked
 from ..schemas import INVENTORY, SALES
 from ..sources import landing
 from ..sources.star import DerivedStar
@@ -259,8 +259,8 @@ def rank_in_warehouse(star: DerivedStar) -> DataFrame:
 def ingest_rate(star: DerivedStar) -> DataFrame:
     """Rows per second between consecutive ingest batches (one row per batch hour)."""
     per_batch = _both(star.lake.bronze).groupBy("ingested_at").agg(F.count("*").alias("rows"))
-    w = Window.orderBy("ingested_at")
-    seconds = F.unix_seconds("ingested_at") - F.unix_seconds(F.lag("ingested_at").over(w))
-    return per_batch.select(
+    rows = previous(per_batch, "ingested_at", ["ingested_at"])
+    seconds = F.unix_seconds("ingested_at") - F.unix_seconds("prev_ingested_at")
+    return rows.select(
         "ingested_at", "rows", F.greatest(F.lit(0.0), safe_divide("rows", seconds, 0.0)).alias("rows_per_second")
     )

@@ -9,6 +9,7 @@ from ..functions import month_label, safe_divide
 from ..operators import security
 from ..sources.star import TIER_3, DerivedStar, scenario_structs
 from .measures import forecast_and_actual
+from ..operators.asof import as_of
 from .registry import query
 
 
@@ -61,6 +62,19 @@ def scd2_range_join(star: DerivedStar) -> DataFrame:
     )
 
 
+@query
+def asof_line_cost(star: DerivedStar) -> DataFrame:
+    """Every sales line at the cost of its order day, line by line: a product with a third of
+    all lines is spread over the months it sold in."""
+    lines = star.table("FactSales", "ProductKey", "OrderDate", "ShippedQuantity")
+    versions = star.table("DimProductHistory").withColumnRenamed("NaturalKey", "ProductKey")
+    priced = as_of(lines, versions, "ProductKey", "OrderDate", "EffectiveFrom", ["CategoryName", "IsCurrent", "UnitStandardCost"])
+    return priced.groupBy("CategoryName", "IsCurrent").agg(
+        F.count("*").alias("lines"), F.sum("ShippedQuantity").alias("units"),
+        F.sum(F.col("ShippedQuantity").cast("decimal(10,0)") * F.col("UnitStandardCost")).alias("cost_at_order_date"),
+    )
+
+
 @query
 def orphan_check(star: DerivedStar) -> DataFrame:
     """Keys without a dimension row; lines with an impossible number stand in for broken ones."""

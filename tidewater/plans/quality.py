@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import derived, quality
 from ..sources.star import DerivedStar
+from ..session import scratch_path
 from .registry import query
 
+SITE = ["ProductKey", "WarehouseKey"]
+
 PRIMARY_KEYS = {
     "DimDate": "DateKey", "DimRegion": "RegionKey", "DimWarehouse": "WarehouseKey", "DimSupplier": "SupplierKey",
     "DimProduct": "ProductKey", "DimCustomerChannel": "CustomerChannelKey", "DimEmployeePlanner": "PlannerKey",
@@ -137,21 +140,75 @@ def dq_domain(star: DerivedStar) -> DataFrame:
     )
 
 
+@query
+def dq_on_write(star: DerivedStar) -> DataFrame:
+    """The rules of five facts, counted by the jobs that store them: one pass over each."""
+    c = F.col
+    done = c("POStatus") == "Completed"
+    tables = {
+        "FactSales": {
+            "dates": {"ship before order": c("ShipDate") < c("OrderDate"), "delivery before ship": c("DeliveryDate") < c("ShipDate")},
+            "quantities": {
+                "ordered not positive": c("OrderedQuantity") <= 0, "shipped negative": c("ShippedQuantity") < 0,
+                "cost of goods negative": c("CostOfGoodsSold") < 0, "unit cost not positive": c("UnitStandardCost") <= 0,
+                "ordered not shipped plus cancelled": c("OrderedQuantity") != c("ShippedQuantity") + c("CancelledQuantity")},
+            "domain": {f"{k} missing": c(k).isNull() for k in ("SalesLineKey", "OrderDate", "ProductKey", "OrderedQuantity")},
+        },
+        "FactPurchaseOrder": {
+            "dates": {"dock receipt before creation": (done, c("ActualDockReceiptDate") < c("POCreationDate"))},
+            "domain": {"status not accepted": ~c("POStatus").isin("Completed", "Open In-Transit", "Overdue"), "SupplierKey missing": c("SupplierKey").isNull()},
+        },
+        "FactStockout": {"stockout": {
+            "duration not positive": c("StockoutDurationDays") <= 0, "lost demand not positive": c("EstimatedLostDemandUnits") <= 0,
+            "lost revenue negative": c("EstimatedLostRevenueAmount") < 0, "end before start": c("EndDate") < c("StartDate")}},
+        "FactCustomerReturns": {"returns": {
+            "returned not positive": c("ReturnedQuantity") <= 0,
+            "restocked and scrapped do not add up": c("RestockedQuantity") + c("ScrappedQuantity") != c("ReturnedQuantity"),
+            "return before order": c("ReturnDate") < c("OriginalOrderDate")}},
+        "FactSupplierMonthlyPerformance": {"scorecard": {
+            "OTIF rate outside 0-100": (c("OTIFRatePct") < 0) | (c("OTIFRatePct") > 100), "fill rate negative": c("LineFillRatePct") < 0}},
+    }
+    base = scratch_path(star.spark, "checked")
+    return quality.union([quality.written_with_rules(star.table(t), f"{base}/{t}", groups, t) for t, groups in tables.items()])
+
+
+@query
+def dq_snapshot_balance(star: DerivedStar) -> DataFrame:
+    """The stored daily snapshot against the movements: each day's stock is the day before's plus
+    that day's flow, never below zero, and every day from the first movement on is there."""
+    path = f"{scratch_path(star.spark, 'snapshot')}/FactInventorySnapshot"
+    star.table("FactInventorySnapshot", "SnapshotDate", *SITE, "OnHandQuantity").write.parquet(path)
+    snap = star.spark.read.parquet(path)
+    flow = star.movements().groupBy(*SITE, F.col("day").alias("SnapshotDate")).agg(F.sum("quantity_change").alias("flow"))
+    w = Window.partitionBy(*SITE).orderBy("SnapshotDate")
+    days = snap.join(flow, [*SITE, "SnapshotDate"], "full_outer").select(
+        "OnHandQuantity", F.coalesce("flow", F.lit(0)).alias("flow"), F.coalesce(F.lag("OnHandQuantity").over(w), F.lit(0)).alias("before"),
+        (F.datediff("SnapshotDate", F.lag("SnapshotDate").over(w)) > 1).alias("gap"),
+    )
+    c = F.col
+    return quality.rules("snapshot", "FactInventorySnapshot", days, {
+        "stock not continuous": c("OnHandQuantity") != F.greatest(F.lit(0), c("before") + c("flow")),
+        "stock negative": c("OnHandQuantity") < 0, "day missing": c("gap"), "movement without a day": c("OnHandQuantity").isNull()})
+
+
 @query
 def dq_summary(star: DerivedStar) -> DataFrame:
     gates = [dq_pk, dq_fk, dq_dates, dq_quantities, dq_stockout, dq_returns, dq_scorecard, dq_balance, dq_domain]
     return quality.summary(quality.union([gate(star) for gate in gates]))
 
 
+AS_OF = "2024-02-01"  # day against which ages are taken unless the caller names another
+
+
 @query
-def table_volume(star: DerivedStar) -> DataFrame:
-    """Rows, date range and age of each fact, as of February 2024."""
+def table_volume(star: DerivedStar, today: str = AS_OF) -> DataFrame:
+    """Rows, date range and age of each fact as of ``today``."""
     dated = {
         "FactSales": "OrderDate", "FactPurchaseOrder": "POCreationDate", "FactCustomerReturns": "ReturnDate",
         "FactDemandForecast": "TargetMonth", "FactInventorySnapshot": "SnapshotDate", "FactInventoryMovement": "MovementDate",
         "FactStockout": "StartDate",
     }
-    as_of = F.lit("2024-02-01").cast("date")
+    as_of = F.lit(today).cast("date")
 
     def one(table, day):
         return star.table(table, day).agg(
