@@ -110,4 +110,8 @@ SQL = {
     "wape_stockout_corr": f"""WITH e AS (SELECT WarehouseKey, {div('sum(abs(actual - ForecastedQuantity))', 'sum(actual)')} AS wape FROM aligned GROUP BY 1),
         s AS (SELECT WarehouseKey, count(*) AS n FROM stockout GROUP BY 1)
         SELECT count(*) AS warehouses, {rnd('corr(wape, coalesce(n, 0)::DOUBLE)', 6)} AS correlation FROM e LEFT JOIN s USING (WarehouseKey)""",
+    "wape_stockout_by_category": f"""WITH e AS (SELECT CategoryName, WarehouseKey, {div('sum(abs(actual - ForecastedQuantity))', 'sum(actual)')} AS wape FROM aligned LEFT JOIN dim_product USING (ProductKey) GROUP BY 1, 2),
+        s AS (SELECT CategoryName, WarehouseKey, count(*) AS n FROM stockout GROUP BY 1, 2)
+        SELECT CategoryName, count(*) AS warehouses, coalesce(sum(n), 0)::BIGINT AS incidents, {rnd('CASE WHEN isfinite(corr(wape, coalesce(n, 0)::DOUBLE)) THEN corr(wape, coalesce(n, 0)::DOUBLE) END', 6)} AS correlation
+        FROM e LEFT JOIN s USING (CategoryName, WarehouseKey) GROUP BY 1""",
 }

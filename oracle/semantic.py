@@ -105,4 +105,15 @@ SQL = {
         k AS (SELECT sum(v)::DOUBLE / count(*) AS a FROM (SELECT SnapshotDate, sum(InventoryValuation) AS v FROM snapshot GROUP BY 1))
         SELECT ScenarioCode, q::DOUBLE * mult AS simulated_demand, floor({div('q', TOTAL_DAYS)} * mult * (t + shock) + 0.5::DOUBLE)::BIGINT AS simulated_lead_time_demand, rate AS carrying_rate,
             {div(f"(c * 365)::DOUBLE / {TOTAL_DAYS}", 'a')} AS turns FROM s CROSS JOIN l CROSS JOIN k CROSS JOIN scenarios WHERE ScenarioCode IN ('SCN-BASE', 'SCN-STRESS')""",
+    "served_sales_view": """SELECT SalesOrderID, l_linenumber::BIGINT AS SalesOrderLineNumber, OrderDate, ShipDate, DeliveryDate, OrderedQuantity, CancelledQuantity, ShippedQuantity, UnitStandardCost::DOUBLE AS UnitStandardCost,
+        CategoryName, GrossSalesAmount::DOUBLE AS GrossSalesAmount, DiscountAmount::DOUBLE AS DiscountAmount, NetSalesAmount::DOUBLE AS NetSalesAmount, CostOfGoodsSold::DOUBLE AS CostOfGoodsSold, OrderLineCycleTimeDays FROM fact_sales""",
+    "served_purchase_view": """SELECT PurchaseOrderID, POStatus, POCreationDate, PromisedDeliveryDate, ActualDockReceiptDate, OrderedQuantity, ReceivedQuantity::BIGINT AS ReceivedQuantity, RejectedQuantity::BIGINT AS RejectedQuantity,
+        ExtendedPOAmount::DOUBLE AS ExtendedPOAmount, PromisedLeadTimeDays::BIGINT AS PromisedLeadTimeDays, ActualLeadTimeDays::BIGINT AS ActualLeadTimeDays, LeadTimeVarianceDays::BIGINT AS LeadTimeVarianceDays FROM fact_po""",
+    "served_forecast_view": """SELECT (TargetMonth - INTERVAL 1 MONTH)::DATE AS ForecastGeneratedDate, TargetMonth, BaselineStatisticalQuantity, PlannerAdjustmentQuantity::BIGINT AS PlannerAdjustmentQuantity,
+        ForecastedQuantity::BIGINT AS ForecastedQuantity, (ForecastedQuantity * UnitListPrice)::DOUBLE AS ForecastValue FROM fact_forecast LEFT JOIN dim_product USING (ProductKey)""",
+    "served_movement_view": "SELECT day AS MovementDate, event_type AS MovementType, quantity_change::BIGINT AS MovementQuantity FROM moves",
+    "served_snapshot_view": """SELECT SnapshotDate, OnHandQuantity::BIGINT AS OnHandQuantity, ReservedQuantity::BIGINT AS ReservedQuantity, AvailableQuantity::BIGINT AS AvailableQuantity, DaysSinceLastMovement::BIGINT AS DaysSinceLastMovement,
+        UnitLandedCost::DOUBLE AS UnitLandedCost, CategoryName, InventoryValuation::DOUBLE AS InventoryValuation, InTransitInboundQuantity::BIGINT AS InTransitInboundQuantity FROM snapshot""",
+    "served_stockout_view": """SELECT StartDate, EndDate, StockoutDurationDays, EstimatedLostDemandUnits::BIGINT AS EstimatedLostDemandUnits, EstimatedLostRevenueAmount::DOUBLE AS EstimatedLostRevenueAmount, StockoutAttributedReason FROM stockout""",
+    "served_scorecard_view": "SELECT * EXCLUDE (lt_n, lt_sum, lt_sq, SupplierKey, SupplierMonthlyKey, YearMonthDateKey) FROM supplier_monthly",
 }

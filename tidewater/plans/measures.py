@@ -467,12 +467,14 @@ def aligned_forecast(star: DerivedStar) -> DataFrame:
     return forecast_and_actual(star).where("in_forecast")
 
 
-def _errors(star: DerivedStar, *keys: str) -> DataFrame:
-    a = F.col("actual")
-    return aligned_forecast(star).groupBy(*keys).agg(
-        F.sum("forecast").alias("forecast"), F.sum("baseline").alias("baseline"), F.sum("adjustment").alias("adjustment"),
-        F.sum(F.abs(a - F.col("forecast"))).alias("abs_error"), F.sum(F.abs(a - F.col("baseline"))).alias("baseline_error"),
-    )
+def _errors(star: DerivedStar) -> DataFrame:
+    """Per product that was sold: sums over its forecast groups, and all it sold, from one pass."""
+    planned, a = F.col("in_forecast"), F.col("actual")
+    part = lambda c: F.sum(F.when(planned, c))
+    return forecast_and_actual(star).groupBy("ProductKey").agg(
+        part(F.col("forecast")).alias("forecast"), part(F.col("baseline")).alias("baseline"), part(F.col("adjustment")).alias("adjustment"),
+        part(F.abs(a - F.col("forecast"))).alias("abs_error"), part(F.abs(a - F.col("baseline"))).alias("baseline_error"), F.sum("actual").alias("actual"),
+    ).where("actual > 0")
 
 
 def _by_category(star: DerivedStar, per_product: DataFrame) -> DataFrame:
@@ -482,9 +484,7 @@ def _by_category(star: DerivedStar, per_product: DataFrame) -> DataFrame:
 
 @query
 def forecast_accuracy(star: DerivedStar) -> DataFrame:
-    errors = _errors(star, "ProductKey")
-    actual = star.table("FactSales", "ProductKey", "OrderedQuantity").groupBy("ProductKey").agg(F.sum("OrderedQuantity").alias("actual"))
-    rows = _by_category(star, actual.join(errors, "ProductKey", "left"))
+    rows = _by_category(star, _errors(star))
     g = rows.groupBy("CategoryName").agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("forecast", "baseline", "adjustment", "abs_error", "actual")],
         F.sum(F.col("forecast").cast("decimal(18,0)") * F.col("UnitListPrice")).alias("forecast_value"),
@@ -499,9 +499,7 @@ def forecast_accuracy(star: DerivedStar) -> DataFrame:
 @query
 def forecast_value_add(star: DerivedStar) -> DataFrame:
     """What planner overrides add: baseline WAPE minus consensus WAPE."""
-    errors = _errors(star, "ProductKey")
-    actual = star.table("FactSales", "ProductKey", "OrderedQuantity").groupBy("ProductKey").agg(F.sum("OrderedQuantity").alias("actual"))
-    g = _by_category(star, actual.join(errors, "ProductKey", "left")).groupBy("CategoryName").agg(
+    g = _by_category(star, _errors(star)).groupBy("CategoryName").agg(
         F.sum("abs_error").alias("abs_error"), F.sum("baseline_error").alias("baseline_error"), F.sum("actual").alias("actual")
     )
     consensus, base = safe_divide("abs_error", "actual"), safe_divide("baseline_error", "actual")

@@ -407,3 +407,22 @@ def wape_stockout_corr(star: DerivedStar) -> DataFrame:
     outages = star.table("FactStockout", "WarehouseKey").groupBy("WarehouseKey").agg(F.count("*").alias("incidents"))
     rows = errors.join(outages, "WarehouseKey", "left").withColumn("incidents", F.coalesce("incidents", F.lit(0)).cast("double"))
     return rows.agg(F.count("*").alias("warehouses"), stable_round(F.corr("wape", "incidents"), 6).alias("correlation"))
+
+
+@query
+def wape_stockout_by_category(star: DerivedStar) -> DataFrame:
+    """Correlation of forecast error and outages over the warehouses of each category."""
+    product = star.table("DimProduct", "ProductKey", "CategoryName")
+    per = aligned_forecast(star).groupBy(*SITE).agg(F.sum(F.abs(F.col("actual") - F.col("forecast"))).alias("e"), F.sum("actual").alias("a"))
+    errors = per.join(product, "ProductKey", "left").groupBy("CategoryName", "WarehouseKey").agg(safe_divide(F.sum("e"), F.sum("a")).alias("wape"))
+    outages = star.table("FactStockout", *SITE).groupBy(*SITE).agg(F.count("*").alias("n")).join(product, "ProductKey", "left")
+    outages = outages.groupBy("CategoryName", "WarehouseKey").agg(F.sum("n").alias("incidents"))
+    rows = errors.join(outages, ["CategoryName", "WarehouseKey"], "left").withColumn("incidents", F.coalesce("incidents", F.lit(0)).cast("double"))
+    x, y = F.col("wape"), F.col("incidents")
+    g = rows.groupBy("CategoryName").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(name) for name, c in {"x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}.items()]
+    )
+    spread = lambda a, aa: F.greatest(F.lit(0.0), F.col("n") * F.col(aa) - F.col(a) * F.col(a))
+    # null where all warehouses have equal numbers
+    correlation = safe_divide(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), F.sqrt(spread("x", "xx") * spread("y", "yy")), None)
+    return g.select("CategoryName", F.col("n").alias("warehouses"), F.col("y").cast("long").alias("incidents"), stable_round(correlation, 6).alias("correlation"))

@@ -255,6 +255,21 @@ def served_view(star: Star, fact: str) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.endswith(HIDDEN_SUFFIXES)])
 
 
-@query
-def served_returns_view(star: DerivedStar) -> DataFrame:
-    return served_view(star, "FactCustomerReturns")
+# query -> fact: what reports may see of each fact
+SERVED = {
+    "served_sales_view": "FactSales", "served_purchase_view": "FactPurchaseOrder", "served_returns_view": "FactCustomerReturns",
+    "served_forecast_view": "FactDemandForecast", "served_movement_view": "FactInventoryMovement", "served_snapshot_view": "FactInventorySnapshot",
+    "served_stockout_view": "FactStockout", "served_scorecard_view": "FactSupplierMonthlyPerformance",
+}
+
+
+def _register(name: str, fact: str) -> None:
+    def plan(star: DerivedStar) -> DataFrame:
+        return served_view(star, fact)
+
+    plan.__name__ = name
+    query(plan)
+
+
+for _name, _fact in SERVED.items():
+    _register(_name, _fact)

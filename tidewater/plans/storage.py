@@ -43,17 +43,23 @@ def upsert_inventory_mart(star: DerivedStar) -> DataFrame:
 
 @query
 def incremental_lookback(star: DerivedStar) -> DataFrame:
-    """New and late sales events for a mart that was loaded up to January 20."""
-    silver = star.lake.silver_sales()
-    loaded = silver.where("timestamp < TIMESTAMP '2024-01-21 00:00:00'").agg(F.max(F.to_date("timestamp"))).first()[0]
+    """New and late events of both topics for marts that were loaded up to January 20."""
+    silver = {SALES: star.lake.silver_sales(), INVENTORY: star.lake.silver_inventory()}
     day = F.to_date("timestamp")
-    return landing.since_lookback(silver, "timestamp", loaded).groupBy(day.alias("event_date")).agg(F.count("*").alias("rows"))
+
+    def new(topic: str) -> DataFrame:
+        loaded = silver[topic].where("timestamp < TIMESTAMP '2024-01-21 00:00:00'").agg(F.max(day)).first()[0]
+        recent = landing.since_lookback(silver[topic], "timestamp", loaded)
+        return recent.groupBy(F.lit(topic).alias("topic"), day.alias("event_date")).agg(F.count("*").alias("rows"))
+
+    return new(SALES).unionByName(new(INVENTORY))
 
 
 @query
 def as_of_read(star: DerivedStar) -> DataFrame:
-    then = landing.as_of(star.lake.bronze(SALES), "ingested_at", "2024-01-15 12:00:00")
-    return then.agg(F.count("*").alias("rows"), F.max("offset").alias("last_offset"), F.max("ingested_at").alias("last_ingest"))
+    bronze = star.lake.bronze(SALES).unionByName(star.lake.bronze(INVENTORY))
+    then = landing.as_of(bronze, "ingested_at", "2024-01-15 12:00:00")
+    return then.groupBy("topic").agg(F.count("*").alias("rows"), F.max("offset").alias("last_offset"), F.max("ingested_at").alias("last_ingest"))
 
 
 @query
@@ -83,11 +89,12 @@ def offset_rate(star: DerivedStar) -> DataFrame:
 
 @query
 def ingest_history(star: DerivedStar) -> DataFrame:
-    """Commits newest first: rows added and the running total of rows."""
-    per_batch = star.lake.bronze(SALES).groupBy("ingested_at").agg(F.count("*").alias("added"))
-    later = running_totals(per_batch, [], "ingested_at", ["added"])
+    """Commits of each topic, newest first: rows added and the running total of rows."""
+    bronze = star.lake.bronze(SALES).unionByName(star.lake.bronze(INVENTORY))
+    per_batch = bronze.groupBy("topic", "ingested_at").agg(F.count("*").alias("added"))
+    later = running_totals(per_batch, ["topic"], "ingested_at", ["added"])
     return later.select(
-        "ingested_at", F.col("added").alias("added_records"),
+        "topic", "ingested_at", F.col("added").alias("added_records"),
         (F.col("all_added") - F.col("run_added") + F.col("added")).alias("total_records"),
     )
 
@@ -105,7 +112,7 @@ def file_layout_summary(star: DerivedStar) -> DataFrame:
 @query
 def storage_footprint(star: DerivedStar) -> DataFrame:
     path = scratch_path(star.spark, "bronze")
-    storage.append(star.lake.bronze(SALES), path)
+    storage.append(star.lake.bronze(SALES).unionByName(star.lake.bronze(INVENTORY)), path)
     return storage.storage_footprint(star.spark.read.parquet(path))
 
 
