@@ -477,3 +477,25 @@ def test_pages_of_known_text(spark):
     found = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     right = sum(found[k] == want[k] for k in want)
     assert right >= 0.97 * len(want), right
+
+
+def test_byte_edits_stop_where_the_encoding_agrees_again(monkeypatch):
+    vocabulary = bpe.vocabulary(RANKS)
+    text = LONG.encode()
+    rnd, piece, done = random.Random(6), bpe.Prefixes(vocabulary, text), []
+    extend = vocabulary.extend
+
+    def counted(data, last, end=None):
+        before = len(last)
+        extend(data, last, end)
+        done.append(len(last) - before)
+
+    monkeypatch.setattr(vocabulary, "extend", counted)
+    for _ in range(20):
+        a = rnd.randrange(len(text))
+        b, new = min(len(text), a + rnd.randint(0, 9)), rnd.choice([b"", b"x", b" the end", b"\xc3", b" " * 40])
+        text = text[:a] + new + text[b:]
+        piece.replace(a, b, new)
+        assert piece.data == text and len(piece.last) == len(text)
+    assert piece.last == bpe.Prefixes(vocabulary, text).last
+    assert sum(done[:-1]) < 20 * 8 * vocabulary.longest + 100 < len(text)

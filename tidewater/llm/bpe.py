@@ -95,13 +95,13 @@ class Vocabulary:
             else:
                 due, right = right + 1, b[0]
 
-    def extend(self, data: bytes, last: list[int]) -> None:
-        """Fills ``last`` (last token of each prefix of ``data``, from one byte on) up to the end."""
+    def extend(self, data: bytes, last: list[int], end: int | None = None) -> None:
+        """Fills ``last`` (last token of each prefix of ``data``, from one byte on) up to ``end``."""
         done = len(last)
         reach = max(0, done - self.longest + 1)
         valid, pairs = self.valid, self._valid
         # matches come by their end, longest first; the first that fits is the only one
-        for at, (length, rank) in self._matches.iter(data[reach:].decode("latin-1")):
+        for at, (length, rank) in self._matches.iter(data[reach:end].decode("latin-1")):
             at += reach
             if at < len(last):
                 continue
@@ -142,9 +142,22 @@ class Prefixes:
         self._vocabulary.extend(self.data, self.last)
 
     def replace(self, start: int, stop: int, new: bytes) -> None:
-        """Puts ``new`` in place of data[start:stop]; prefixes up to ``start`` stay as they are."""
+        """Puts ``new`` in place of data[start:stop]; prefixes up to ``start`` stay as they are.
+
+        A last token depends on as many bytes and last tokens before it as the longest token
+        has bytes. Once that many behind the edit are what they were, so are all that follow.
+        """
+        behind, reach = self.last[stop:], self._vocabulary.longest
         self.data = self.data[:start] + new + self.data[stop:]
         del self.last[start:]
+        edited, size = start + len(new), len(self.data)
+        end = edited
+        while end < size:
+            end = min(size, end + 2 * reach)
+            self._vocabulary.extend(self.data, self.last, end)
+            if self.last[-reach:] == behind[max(0, end - edited - reach) : end - edited] and end - edited >= reach:
+                self.last += behind[end - edited :]
+                return
         self._vocabulary.extend(self.data, self.last)
 
     def tokens(self, stop: int | None = None) -> list[int]:
