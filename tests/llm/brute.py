@@ -270,3 +270,28 @@ def article_text(page: str) -> str:
     reader.feed(page)
     reader.close()
     return "\n".join(reader.lines)
+
+
+def license_findings(text: str | None, templates: dict[str, list[str]]) -> tuple[str, float]:
+    """(labels, score): every template as a longest-match regular expression, tried at every word."""
+    import regex
+
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
+    line, starts, at = "", [], 0
+    for x in w:
+        starts.append(at)
+        line += x + " "
+        at = len(line)
+    base = {"cc-by": ["cc by"], "gpl": ["general public license"], "reserved": ["all rights reserved"]}
+    labels, covered = set(), set()
+    for label, texts in [*base.items(), *templates.items()]:
+        for t in texts:
+            parts = []
+            for optional, wild, word in re.findall(r"\[\[(.*?)\]\]|<<(\d+)>>|(\S+)", t):
+                parts.append(rf"(?:{optional} )?" if optional else rf"(?:\S+ ){{0,{wild}}}" if wild else f"{word} ")
+            pattern = regex.compile("".join(parts), regex.POSIX)
+            for k, start in enumerate(starts):
+                if found := pattern.match(line, start):
+                    labels.add(label)
+                    covered.update(range(k, k + found[0].count(" ")))
+    return ",".join(sorted(labels)), len(covered) / len(w) if w else 0.0

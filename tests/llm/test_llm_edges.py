@@ -499,3 +499,31 @@ def test_byte_edits_stop_where_the_encoding_agrees_again(monkeypatch):
         assert piece.data == text and len(piece.last) == len(text)
     assert piece.last == bpe.Prefixes(vocabulary, text).last
     assert sum(done[:-1]) < 20 * 8 * vocabulary.longest + 100 < len(text)
+
+
+def license_text(template: str, rnd: random.Random, change: bool) -> str:
+    import re
+
+    out = []
+    for optional, wild, word in re.findall(r"\[\[(.*?)\]\]|<<(\d+)>>|(\S+)", template):
+        if wild:
+            out += words(rnd.randrange(10**6), rnd.randint(0, int(wild) + change)).split()
+        elif word or rnd.random() < 0.5:
+            out += (word or optional).split()
+    if change and rnd.random() < 0.8:
+        out[rnd.randrange(len(out))] = rnd.choice(["xyzzy", "the", "license"])
+    return rnd.choice([" ", ", ", "\n * "]).join(w.upper() if rnd.random() < 0.1 else w for w in out)
+
+
+def test_full_license_texts_against_regular_expressions(spark):
+    rnd, rows = random.Random(12), []
+    every = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    for k in range(150):
+        parts = [words(k * 3 + j, rnd.randint(0, 12)) for j in range(3)]
+        parts.insert(1, license_text(rnd.choice(every), rnd, k % 3 == 0))
+        rows.append((k, ". ".join(parts)))
+    rows.append((900, ("all rights reserved. cc by " + license_text(licenses.FULL_TEXTS["mit-text"], rnd, False) + " ") * 40))
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {k: brute.license_findings(t, licenses.TEMPLATES) for k, t in rows}
+    seen = {x for labels, _ in found.values() for x in labels.split(",")}
+    assert len(seen & set(licenses.FULL_TEXTS)) >= 6

@@ -1,7 +1,7 @@
 """License scan by templates with optional and replaceable regions.
 
 A template is its wording with markup: ``[[optional words]]`` may be missing,
-``<<n>>`` stands for up to n words of any kind, everything else is mandatory and has to
+``<<n>>`` stands for up to n words of any kind (not at the beginning), everything else is mandatory and has to
 match exactly, in order. Each template is compiled into an automaton over words; it is
 run from every place where it can begin, and accepts the longest stretch it can. Three
 short phrases give base labels wherever their words stand consecutively.
@@ -52,6 +52,64 @@ TEMPLATES = {
     "copyright-notice": ["copyright <<8>> all rights reserved"],
 }
 
+# Wording of common short licences, with holders and names replaceable.
+_BSD_HEAD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "[[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation "
+    "and or other materials provided with the distribution "
+)
+_BSD_TAIL = (
+    "this software is provided by <<8>> as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
+    "and fitness for a particular purpose are disclaimed in no event shall <<8>> be liable for any direct indirect incidental special exemplary or "
+    "consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of "
+    "the use of this software even if advised of the possibility of such damage"
+)
+FULL_TEXTS = {
+    "mit-text": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in "
+        "the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of "
+        "the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this "
+        "permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is provided as "
+        "is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+        "noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract "
+        "tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+    ),
+    "isc-text": (
+        "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above "
+        "copyright notice and this permission notice appear in all copies the software is provided as is and <<6>> disclaims all warranties with regard to this "
+        "software including all implied warranties of merchantability and fitness in no event shall <<6>> be liable for any special direct indirect or "
+        "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
+        "tortious action arising out of or in connection with the use or performance of this software"
+    ),
+    "bsd-2-clause-text": _BSD_HEAD + _BSD_TAIL,
+    "bsd-3-clause-text": _BSD_HEAD + (
+        "[[3]] neither the name of <<8>> nor the names of [[its]] contributors may be used to endorse or promote products derived from this software without "
+        "specific prior written permission "
+    ) + _BSD_TAIL,
+    "apache-2.0-notice": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the "
+        "license at [[http]] [[https]] www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under "
+        "the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+        "language governing permissions and limitations under the license"
+    ),
+    "gpl-3.0-notice": (
+        "this [[program]] [[software]] [[library]] is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
+        "foundation either version 3 of the license or [[at your option]] any later version <<2>> is distributed in the hope that it will be useful but without "
+        "any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"
+    ),
+    "zlib-text": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use "
+        "of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and "
+        "redistribute it freely subject to the following restrictions [[1]] the origin of this software must not be misrepresented you must not claim that you "
+        "wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not "
+        "required [[2]] altered source versions must be plainly marked as such and must not be misrepresented as being the original software [[3]] this notice "
+        "may not be removed or altered from any source distribution"
+    ),
+}
+TEMPLATES |= {label: [text] for label, text in FULL_TEXTS.items()}
+
 #: Every template and phrase holds one of these words or begins with one; texts without them are only counted.
 #: Texts lie side by side while hints are searched, so a match takes one byte and never hides the next text's hint.
 _HINT = re.compile(rb"c(?=c|opyright)|l(?=icen[sc]e)|r(?=ights|edistribution)|p(?=ublic|ermission)")
