@@ -117,3 +117,26 @@ SQL = {
     "served_stockout_view": """SELECT StartDate, EndDate, StockoutDurationDays, EstimatedLostDemandUnits::BIGINT AS EstimatedLostDemandUnits, EstimatedLostRevenueAmount::DOUBLE AS EstimatedLostRevenueAmount, StockoutAttributedReason FROM stockout""",
     "served_scorecard_view": "SELECT * EXCLUDE (lt_n, lt_sum, lt_sq, SupplierKey, SupplierMonthlyKey, YearMonthDateKey) FROM supplier_monthly",
 }
+
+
+def velocity(group: str, where: str) -> str:
+    """Capital and products per tier: (group, c1, n1, ... c5, n5)."""
+    bands = ["dio > 365", "dio > 180 AND dio <= 365", "dio > 60 AND dio <= 180", "dio > 14 AND dio <= 60", "dio <= 14"]
+    tiers = ", ".join(f"sum(v) FILTER ({b})::DOUBLE AS tier_{k}_capital, nullif(count(v) FILTER ({b}), 0) AS tier_{k}_skus" for k, b in enumerate(bands, 1))
+    return f"""SELECT {group}, {tiers} FROM (
+        SELECT {group}, v, {div('365', div(f"(c * 365)::DOUBLE / {TOTAL_DAYS}", 'a'))} AS dio
+        FROM (SELECT {group}, ProductKey, sum(q)::DOUBLE / count(*) AS a, arg_max(q, d) AS v
+              FROM (SELECT {group}, ProductKey, SnapshotDate AS d, sum(InventoryValuation) AS q FROM snapshot WHERE {where} GROUP BY ALL) GROUP BY ALL)
+        LEFT JOIN (SELECT {group}, ProductKey, sum(CostOfGoodsSold) AS c FROM sales_places WHERE {where} GROUP BY ALL) USING ({group}, ProductKey)) GROUP BY 1"""
+
+
+SQL["context_velocity_by_region"] = f"""WITH t AS ({velocity('RegionKey', 'true')}), w AS (SELECT RegionKey, count(*) AS f, sum(StorageCapacityPallets) AS cap FROM dim_warehouse GROUP BY 1),
+    k AS (SELECT RegionKey, sum(v)::DOUBLE / count(*) AS a, arg_max(oh, d) AS oh FROM (SELECT RegionKey, SnapshotDate AS d, sum(InventoryValuation) AS v, sum(OnHandQuantity) AS oh FROM snapshot GROUP BY 1, 2) GROUP BY 1),
+    c AS (SELECT RegionKey, sum(CostOfGoodsSold) AS c FROM sales_places GROUP BY 1)
+    SELECT t.*, f AS facilities, {div(div('oh', '350'), 'cap')} AS utilization, {div(f"(c * 365)::DOUBLE / {TOTAL_DAYS}", 'a')} AS turns
+    FROM w LEFT JOIN t USING (RegionKey) LEFT JOIN k USING (RegionKey) LEFT JOIN c USING (RegionKey)"""
+SQL["context_velocity_by_region"] = SQL["context_velocity_by_region"].replace("SELECT t.*, f AS", "SELECT w.RegionKey, t.* EXCLUDE (RegionKey), f AS")
+SQL["context_velocity_by_category"] = f"""WITH t AS ({velocity('CategoryName', 'RegionKey IN (0, 2)')}), d AS (SELECT CategoryName, count(DISTINCT ProductSKU) AS s FROM dim_product GROUP BY 1),
+    k AS (SELECT CategoryName, arg_max(dead, d) AS dead FROM (SELECT CategoryName, SnapshotDate AS d, coalesce(sum(InventoryValuation) FILTER (DaysSinceLastMovement > 180), 0) AS dead
+          FROM snapshot WHERE RegionKey IN (0, 2) GROUP BY 1, 2) GROUP BY 1)
+    SELECT d.CategoryName, t.* EXCLUDE (CategoryName), s AS active_skus, dead::DOUBLE AS dead_valuation FROM d LEFT JOIN t USING (CategoryName) LEFT JOIN k USING (CategoryName)"""

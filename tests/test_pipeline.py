@@ -185,6 +185,20 @@ def test_upsert_keeps_rows_without_a_partition_value(spark):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_writers_of_the_marts_wait_for_each_other(spark):
+    root = scratch_path(spark, "locked")
+    with storage.exclusive(spark, root):
+        with pytest.raises(TimeoutError):
+            with storage.exclusive(spark, root, wait_s=0.5):
+                pass
+    with pytest.raises(ValueError):
+        with storage.exclusive(spark, root, wait_s=0.5):
+            raise ValueError("the holder fails")
+    with storage.exclusive(spark, root, wait_s=0.5):
+        with storage.exclusive(spark, root, wait_s=0.5, stale_s=-1):  # the first one counts as dead
+            pass
+
+
 def test_no_source_is_skipped(spark):
     report = pipeline.refresh_marts(spark, scratch_path(spark, "nothing"))
     assert all(v.startswith("skipped") for v in report.values())

@@ -348,16 +348,19 @@ def evaluate(star, model: Model, measures: dict[str, Node], group_by: list[str],
     group = [a for a in group_by if a not in loose]
     frames: list[tuple[list[str], DataFrame, list[str]]] = []
     plans: dict[tuple, dict[int, Leaf]] = {}
+    members: dict[tuple[str, ...], dict[int, Each]] = {}
     for i, atom in enumerate(atoms):
         if isinstance(atom, Leaf):
             seen = lambda a: a not in atom.blind and model.reaches(atom.fact, a)
             ctx = tuple(a for a in group if seen(a))
             plans.setdefault((atom.fact, ctx, tuple(a for a in where if seen(a)), _class(atom)), {})[i] = atom
         elif isinstance(atom, Each):
-            inner = {"_each": atom.of} | ({"_only": atom.only} if atom.only else {})
-            finer = evaluate(star, model, inner, [*group, *[k for k in atom.keys if k not in group]], where, dates)
-            finer = finer.where("_only") if atom.only else finer
-            frames.append((group, finer.groupBy(*group).agg(F.sum("_each").alias(f"a{i}")), [f"a{i}"]))
+            members.setdefault(atom.keys, {})[i] = atom
+    for keys, each in members.items():  # all sums over the same members come from one finer evaluation
+        inner = {f"_each{i}": a.of for i, a in each.items()} | {f"_only{i}": a.only for i, a in each.items() if a.only}
+        finer = evaluate(star, model, inner, [*group, *[k for k in keys if k not in group]], where, dates)
+        kept = lambda i, a: F.when(F.col(f"_only{i}"), F.col(f"_each{i}")) if a.only else F.col(f"_each{i}")
+        frames.append((group, finer.groupBy(*group).agg(*[F.sum(kept(i, a)).alias(f"a{i}") for i, a in each.items()]), [f"a{i}" for i in each]))
     # additive leaves share the aggregation of another class of the same fact and context
     for key in [k for k in plans if k[3] == "plain"]:
         host = next((k for k in plans if k[:3] == key[:3] and k[3].startswith("distinct ")), None)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -55,6 +58,37 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+LOCK_WAIT_S, LOCK_STALE_S = 600, 6 * 3600
+
+
+@contextmanager
+def exclusive(spark: SparkSession, root: str, wait_s: float = LOCK_WAIT_S, stale_s: float = LOCK_STALE_S) -> Iterator[None]:
+    """One writer of the tables below ``root`` at a time: the holder of a lock file, which is
+    created only where none is. One left by a job that died is taken over after ``stale_s``."""
+    path = f"{root.rstrip('/')}/_lock"
+    fs, p = _fs(spark, path)
+    deadline = time.monotonic() + wait_s
+    while True:
+        try:
+            fs.create(p, False).close()
+            break
+        except Exception as e:
+            if not fs.exists(p):
+                if "FileAlreadyExists" not in str(e):
+                    raise
+                continue
+            if time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > stale_s:
+                fs.delete(p, False)
+            elif time.monotonic() > deadline:
+                raise TimeoutError(f"{path} is held by another writer") from e
+            else:
+                time.sleep(0.2)
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
 def between_ends(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
     """``target`` from the first to the last partition value of ``source``, as literals, so
     that only those directories are listed and read; with the null partition if the source touches it."""
@@ -114,8 +148,8 @@ def compact(
     Only partitions that satisfy ``closed`` are touched, and of those only the ones with
     at least two files below half the target. Each is replaced as a whole when the writer
     commits (dynamic overwrite), so a run that fails leaves the table as it was and a
-    repeated run finds the same rows. No other writer may add to a partition meanwhile;
-    ``closed`` is how a caller that appends keeps its open partitions out. A table without
+    repeated run finds the same rows. No other writer may add to a partition meanwhile:
+    ``exclusive`` keeps writers apart, ``closed`` keeps the open partitions of one that appends out. A table without
     partitions is left alone.
     """
     table = spark.read.parquet(path)

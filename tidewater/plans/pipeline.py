@@ -54,7 +54,8 @@ def refresh_marts(spark: SparkSession, root: str, lookback_days: int | None = No
         if lookback_days is not None and storage.exists(spark, f"{root}/{path}"):
             newest = spark.read.parquet(f"{root}/{path}").agg(F.max(day)).first()[0]
             source = landing.since_lookback(source, "timestamp", newest, lookback_days)
-        storage.upsert(spark, f"{root}/{path}", build(source), keys, day)
+        with storage.exclusive(spark, f"{root}/marts"):
+            storage.upsert(spark, f"{root}/{path}", build(source), keys, day)
         report[topic] = "ok"
     return report
 
@@ -72,7 +73,8 @@ def maintain_lake(spark: SparkSession, root: str, target_bytes: int = 256 << 20,
     tables: dict[str, list[str] | None] = {f"{root}/{topic}/{t}": None for topic in (SALES, INVENTORY) for t in FED}
     tables |= {f"{root}/{path}": [day] for path, _, _, day in MARTS.values()}
     followed = {f"{root}/{topic}/{t}": c for topic, c in (checkpoints or {}).items() for t in FED[1:]}
-    return storage.maintain(spark, tables, target_bytes, followed)
+    with storage.exclusive(spark, f"{root}/marts"):
+        return storage.maintain(spark, tables, target_bytes, followed)
 
 
 def audit(spark: SparkSession, root: str) -> DataFrame:

@@ -42,6 +42,10 @@ MODEL = Model(
 )
 
 
+# Bands of days of inventory (above, up to) of the velocity tiers, slowest first.
+VELOCITY = [(365, None), (180, 365), (60, 180), (14, 60), (None, 14)]
+
+
 class _WithCalendar:
     """A star with the days from the first to the last order as a table of its own."""
 
@@ -116,6 +120,10 @@ def _catalog() -> dict[str, Node]:
     heavy = Calc(lambda d: d > 365, (m["dio"],))
     m["severe_excess"] = Each(("ProductKey",), m["valuation"], heavy)
     m["severe_excess_skus"] = Each(("ProductKey",), Calc(lambda v: _when(v.isNotNull()).otherwise(0), (m["valuation"],)), heavy)
+    for number, (above, upto) in enumerate(VELOCITY, 1):
+        within = Calc(lambda d, above=above, upto=upto: ((d > above) if above is not None else F.lit(True)) & ((d <= upto) if upto is not None else F.lit(True)), (m["dio"],))
+        m[f"tier_{number}_capital"] = Each(("ProductKey",), m["valuation"], within)
+        m[f"tier_{number}_skus"] = Each(("ProductKey",), Calc(lambda v: _when(v.isNotNull()), (m["valuation"],)), within)
     m["risk_tier"] = Calc(
         lambda otif, out_rate: tier((otif < OTIF_TARGET, "High"), (out_rate > 0.001, "Moderate"), otherwise="Normal"), (m["otif_rate"], m["stockout_rate"])
     )
@@ -230,6 +238,20 @@ def context_supply_by_zone_year(star: DerivedStar) -> DataFrame:
     )
 
 
+_TIERS = [f"tier_{k}_{what}" for k in range(1, 6) for what in ("capital", "skus")]
+
+
+@query
+def context_velocity_by_region(star: DerivedStar) -> DataFrame:
+    """Capital and products per velocity tier, each product judged within the region."""
+    return evaluate(star, [*_TIERS, "facilities", "utilization", "turns"], ["RegionKey"])
+
+
+@query
+def context_velocity_by_category(star: DerivedStar) -> DataFrame:
+    return evaluate(star, [*_TIERS, "active_skus", "dead_valuation"], ["CategoryName"], where={"RegionKey": [0, 2]})
+
+
 @query
 def context_outages_by_category_month(star: DerivedStar) -> DataFrame:
     return evaluate(star, ["stockout_incidents", "stockout_days", "lost_revenue", "top_lost_revenue", "stockout_rate"], ["CategoryName", "MonthYear"])
