@@ -121,7 +121,7 @@ SQL = {
 
 def velocity(group: str, where: str) -> str:
     """Capital and products per tier: (group, c1, n1, ... c5, n5)."""
-    bands = ["dio > 365", "dio > 180 AND dio <= 365", "dio > 60 AND dio <= 180", "dio > 14 AND dio <= 60", "dio <= 14"]
+    bands = ["dio > 365", "dio > 180 AND dio <= 365", "dio > 60 AND dio <= 180", "dio >= 14 AND dio <= 60", "dio < 14"]
     tiers = ", ".join(f"sum(v) FILTER ({b})::DOUBLE AS tier_{k}_capital, nullif(count(v) FILTER ({b}), 0) AS tier_{k}_skus" for k, b in enumerate(bands, 1))
     return f"""SELECT {group}, {tiers} FROM (
         SELECT {group}, v, {div('365', div(f"(c * 365)::DOUBLE / {TOTAL_DAYS}", 'a'))} AS dio

@@ -146,6 +146,7 @@ def inventory_position(star: DerivedStar, since: str = POSITION_SINCE) -> DataFr
     )
 
 
+# Names of the aging tiers; their bounds are 60, 120 and 180 days.
 AGING = ["Healthy Active", "Slow Moving", "Stagnant At-Risk", "Dead Stock"]
 
 
@@ -196,6 +197,7 @@ def storage_utilization(star: DerivedStar) -> DataFrame:
 def velocity_tiers(star: DerivedStar) -> DataFrame:
     """Capital and SKUs per band of days of inventory."""
     dio = F.col("dio")
+    # fixed values: bounds and names of the tiers
     bands = [
         (dio > 365, 1, "Severe Excess"), (dio > 180, 2, "Surplus / Slow"), (dio > 60, 3, "Buffer / Seasonal"),
         (dio >= 14, 4, "Optimal / Fast"), (dio < 14, 5, "Depletion Risk"),
@@ -211,6 +213,7 @@ def velocity_tiers(star: DerivedStar) -> DataFrame:
 def warehouse_health(star: DerivedStar) -> DataFrame:
     rows = _utilization(star).join(turns_by(star, "WarehouseKey").select("WarehouseKey", "dio"), "WarehouseKey", "left")
     dio, use = F.coalesce("dio", F.lit(0.0)), F.col("utilization")
+    # fixed values: thresholds and names of the health states
     status = tier(
         ((dio > 730) | (use > 0.90), "Severe Excess"), ((dio < 30) | (use < 0.35), "Depletion Risk"), otherwise="Balanced"
     )

@@ -42,8 +42,9 @@ MODEL = Model(
 )
 
 
-# Bands of days of inventory (above, up to) of the velocity tiers, slowest first.
-VELOCITY = [(365, None), (180, 365), (60, 180), (14, 60), (None, 14)]
+# Days of inventory above which a product is in a velocity tier, slowest tier first;
+# the fourth begins at its bound, the fifth is what is left.
+VELOCITY = [365, 180, 60, 14]
 
 
 class _WithCalendar:
@@ -120,8 +121,12 @@ def _catalog() -> dict[str, Node]:
     heavy = Calc(lambda d: d > 365, (m["dio"],))
     m["severe_excess"] = Each(("ProductKey",), m["valuation"], heavy)
     m["severe_excess_skus"] = Each(("ProductKey",), Calc(lambda v: _when(v.isNotNull()).otherwise(0), (m["valuation"],)), heavy)
-    for number, (above, upto) in enumerate(VELOCITY, 1):
-        within = Calc(lambda d, above=above, upto=upto: ((d > above) if above is not None else F.lit(True)) & ((d <= upto) if upto is not None else F.lit(True)), (m["dio"],))
+    def velocity(d):
+        bounds = [d > VELOCITY[0], d > VELOCITY[1], d > VELOCITY[2], d >= VELOCITY[3]]
+        return tier(*[(c, str(k)) for k, c in enumerate(bounds, 1)], otherwise="5")
+
+    for number in range(1, 6):
+        within = Calc(lambda d, number=number: velocity(d) == str(number), (m["dio"],))
         m[f"tier_{number}_capital"] = Each(("ProductKey",), m["valuation"], within)
         m[f"tier_{number}_skus"] = Each(("ProductKey",), Calc(lambda v: _when(v.isNotNull()), (m["valuation"],)), within)
     m["risk_tier"] = Calc(
