@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import file_size, scratch_path
 from .derived import order_partials, scorecard
 from .storage import _drop, _writer, between_ends
 
@@ -19,7 +19,8 @@ MONTH, INCREMENT = "YearMonthDate", "increment"
 
 
 def _dynamic(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    with file_size(df.sparkSession):
+        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def add_increment(spark: SparkSession, lines: DataFrame, state: str, mart: str, increment: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MART_CODEC
-from ..session import scratch_path
+from ..session import SHUFFLE_SIZE, file_size, scratch_path
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str]):
@@ -25,12 +25,14 @@ def create_mart(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Partitioned mart. The rebalance hint lets AQE split a heavy date over
     several files and merge light ones, so neither one task nor many small
     files result."""
-    _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).parquet(path)
+    with file_size(df.sparkSession):
+        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     keys = partition_by or []
-    _writer(df.hint("rebalance", *keys), "append", keys).parquet(path)
+    with file_size(df.sparkSession):
+        _writer(df.hint("rebalance", *keys), "append", keys).parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -43,6 +45,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder; 0 if there is none."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small file of text, in whichever store ``path`` names."""
     fs, p = _fs(spark, path)
@@ -121,9 +129,10 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
         kept = target.join(touched, _same(target, touched, [partition]), "left_semi")
         kept = kept.join(new, _same(kept, new, keys), "left_anti")
         merged = kept.select(*source.columns).unionByName(source)
-        _writer(merged.hint("rebalance", partition), "overwrite", [partition]).option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(path)
+        with file_size(spark):
+            _writer(merged.hint("rebalance", partition), "overwrite", [partition]).option(
+                "partitionOverwriteMode", "dynamic"
+            ).parquet(path)
     else:
         create_mart(source, path, [partition])
     _drop(spark, staged)
@@ -131,7 +140,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
 
 def _rewrite(df: DataFrame, path: str, partition_by: list[str], target_bytes: int) -> None:
     """Write files of about ``target_bytes``: AQE merges and splits to that size."""
-    spark, key = df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark, key = df.sparkSession, SHUFFLE_SIZE
     saved = spark.conf.get(key)
     spark.conf.set(key, str(target_bytes))
     try:
@@ -208,7 +217,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> bool:
     if exists(rows.sparkSession, final):
         return False
     staged = f"{path}/_staged-{batch_id}-{uuid.uuid4().hex}"
-    _writer(rows, "overwrite", []).parquet(staged)
+    with file_size(rows.sparkSession):
+        _writer(rows, "overwrite", []).parquet(staged)
     published = _rename(rows.sparkSession, staged, final)
     if not published:
         _drop(rows.sparkSession, staged)

@@ -5,19 +5,61 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Packed order lines take 40 times their bytes in the sorts and hash tables of a task, so a task gets
+# less than Spark's 64 MB of a shuffle and 128 MB of a file. Smaller values of the session stay.
+SHUFFLE_SIZE, SPLIT_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+TASK_BYTES = {SHUFFLE_SIZE: 8 << 20, SPLIT_SIZE: 32 << 20}
+FILE_SIZE = "tidewater.fileBytes"  # what the session had for SHUFFLE_SIZE: the size of rebalanced files
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MOST_PARTITIONS = 10_000  # more blocks than tasks can fetch well; beyond it partitions grow, none is left out
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Event dates are UTC dates, so the session zone must be UTC."""
+    """Event dates are UTC dates, so the session zone must be UTC; and what a task takes is bounded."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, most in TASK_BYTES.items():
+        if size_in_bytes(spark.conf.get(key)) > most:
+            if key == SHUFFLE_SIZE:
+                spark.conf.set(FILE_SIZE, spark.conf.get(key))
+            spark.conf.set(key, str(most))
     return spark
 
 
+def size_in_bytes(text: str) -> int:
+    """A size as Spark writes it: ``64MB``, ``8m``, ``67108864b`` or a plain number of bytes."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << (10 * " kmgtp".index(unit or " "))
+
+
+def spread(spark: SparkSession, read_bytes: int) -> None:
+    """As many shuffle partitions as an input of ``read_bytes`` needs for tasks of the same size; AQE
+    merges those that turn out small. Never fewer than the session has."""
+    least = int(spark.conf.get(PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, -(-2 * read_bytes // TASK_BYTES[SHUFFLE_SIZE]))  # lines are shuffled at twice their file's bytes
+    if wanted > least:
+        spark.conf.set(PARTITIONS, str(wanted))
+
+
+@contextmanager
+def file_size(spark: SparkSession) -> Iterator[None]:
+    """Within, rebalanced files have the size that the session gave them, not that of a task's share."""
+    saved = spark.conf.get(SHUFFLE_SIZE)
+    spark.conf.set(SHUFFLE_SIZE, spark.conf.get(FILE_SIZE, saved))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_SIZE, saved)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach. A temporary one stands in where none is set and
     driver and executors are one process; on a cluster that is an error."""

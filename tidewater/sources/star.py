@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from ..functions import date_key
 from ..operators import derived, intervals
 from ..operators.dedup import latest_event
-from ..operators.storage import exists
+from ..operators.storage import exists, stored_bytes
 from ..schemas import MART_CODEC
-from ..session import configure
+from ..session import configure, file_size, spread
 from .events import EventLake
 from .tables import read_table
 
@@ -160,6 +160,7 @@ class StarTables(Star):
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = configure(spark), path
+        spread(spark, max(stored_bytes(spark, f"{path}/{fact}") for fact in STORED_FACTS))
 
     def table(self, name: str, *columns: str) -> DataFrame:
         if name == "FactStockInterval" and not exists(self.spark, f"{self.path}/{name}"):
@@ -212,7 +213,8 @@ def materialize(star: Star, path: str, tables: list[str]) -> StarTables:
             writer = df.sortWithinPartitions(MONTH, *cluster).write.partitionBy(MONTH)
         else:
             writer = df.write
-        writer.mode("overwrite").options(**MART_CODEC).parquet(f"{path}/{name}")
+        with file_size(star.spark):
+            writer.mode("overwrite").options(**MART_CODEC).parquet(f"{path}/{name}")
     return StarTables(star.spark, path)
 
 
@@ -223,6 +225,7 @@ class DerivedStar(Star):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
         self.lake = EventLake(spark, sf_dir)
+        spread(spark, max(stored_bytes(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "events")))
         self._plans: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[..., DataFrame]] = {
             "DimDate": self._dim_date,
