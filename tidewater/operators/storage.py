@@ -16,6 +16,10 @@ from ..schemas import MART_CODEC
 from ..session import SHUFFLE_SIZE, file_size, scratch_path
 
 
+# Files that a stream reads one at a time: several row groups each, so that several tasks read one file.
+ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
+
+
 def _writer(df: DataFrame, mode: str, partition_by: list[str]):
     w = df.write.mode(mode).options(**MART_CODEC)
     return w.partitionBy(*partition_by) if partition_by else w
@@ -209,7 +213,7 @@ def _rename(spark: SparkSession, old: str, new: str) -> bool:
     return not fs.exists(target) and fs.rename(p, target)
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> bool:
+def write_batch(rows: DataFrame, path: str, batch_id: int, few_files: bool = False) -> bool:
     """Publishes a micro-batch as a whole, once: it is written under a hidden name and then
     renamed. A batch that runs again after it was published adds nothing, so a stream
     that follows the table meets each row in one file only. Says whether it published."""
@@ -217,8 +221,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> bool:
     if exists(rows.sparkSession, final):
         return False
     staged = f"{path}/_staged-{batch_id}-{uuid.uuid4().hex}"
-    with file_size(rows.sparkSession):
-        _writer(rows, "overwrite", []).parquet(staged)
+    with file_size(rows.sparkSession, few=few_files):
+        _writer(rows, "overwrite", []).options(**ROW_GROUPS).parquet(staged)
     published = _rename(rows.sparkSession, staged, final)
     if not published:
         _drop(rows.sparkSession, staged)

@@ -20,14 +20,14 @@ FILES_PER_TOPIC = 4
 
 
 def publish(star: DerivedStar, topic: str, path: str, condition: str = "true") -> None:
-    """Stand-in for the broker: the topic's messages as files."""
+    """Stand-in for the broker: the topic's messages as files, each of which many tasks can read."""
     rows = star.lake.messages(topic).where(condition).select(*MESSAGE_COLUMNS)
-    rows.repartition(FILES_PER_TOPIC).write.mode("append").parquet(path)
+    rows.repartition(FILES_PER_TOPIC, "partition", "offset").write.mode("append").options(**storage.ROW_GROUPS).parquet(path)
 
 
-def ingest(star: DerivedStar, topic: str, base: str, max_files: int | None = None, max_bytes: int | None = None):
+def ingest(star: DerivedStar, topic: str, base: str, max_files: int | None = None, max_bytes: int | None = None, few_files: bool = False):
     source = jobs.file_source(star.spark, f"{base}/{topic}", max_files=max_files, max_bytes=max_bytes)
-    q = jobs.bronze_ingest(source, f"{base}/bronze_{topic}", f"{base}/chk_bronze_{topic}", f"bronze_{topic}", once=True)
+    q = jobs.bronze_ingest(source, f"{base}/bronze_{topic}", f"{base}/chk_bronze_{topic}", f"bronze_{topic}", once=True, few_files=few_files)
     q.awaitTermination()
     return q
 
@@ -113,7 +113,7 @@ def stream_compacted(star: DerivedStar) -> DataFrame:
     for t in TOPICS:
         for half in ("partition < 8", "partition >= 8"):
             publish(star, t, f"{base}/{t}", half)
-            ingest(star, t, base, max_files=1)
+            ingest(star, t, base, max_files=1, few_files=True)
             validate(star, t, base, max_files=1)
     tables = {f"{base}/{kind}_{t}": None for t in TOPICS for kind in ("bronze", "silver", "dlq")}
     followed = {f"{base}/{kind}_{t}": f"{base}/chk_silver_{t}" for t in TOPICS for kind in ("silver", "dlq")}

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 SHUFFLE_SIZE, SPLIT_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
 TASK_BYTES = {SHUFFLE_SIZE: 8 << 20, SPLIT_SIZE: 32 << 20}
 FILE_SIZE = "tidewater.fileBytes"  # what the session had for SHUFFLE_SIZE: the size of rebalanced files
+CORES_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 MOST_PARTITIONS = 10_000  # more blocks than tasks can fetch well; beyond it partitions grow, none is left out
 
@@ -50,14 +51,18 @@ def spread(spark: SparkSession, read_bytes: int) -> None:
 
 
 @contextmanager
-def file_size(spark: SparkSession) -> Iterator[None]:
-    """Within, rebalanced files have the size that the session gave them, not that of a task's share."""
-    saved = spark.conf.get(SHUFFLE_SIZE)
-    spark.conf.set(SHUFFLE_SIZE, spark.conf.get(FILE_SIZE, saved))
+def file_size(spark: SparkSession, few: bool = False) -> Iterator[None]:
+    """Within, rebalanced files have the size that the session gave them, not that of a task's share;
+    with ``few`` there is no smaller file only to keep every core writing."""
+    saved = {k: spark.conf.get(k) for k in (SHUFFLE_SIZE, CORES_FIRST)}
+    spark.conf.set(SHUFFLE_SIZE, spark.conf.get(FILE_SIZE, saved[SHUFFLE_SIZE]))
+    if few:
+        spark.conf.set(CORES_FIRST, "false")
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_SIZE, saved)
+        for k, v in saved.items():
+            spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:

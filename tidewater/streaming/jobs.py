@@ -61,11 +61,12 @@ def _start(writer: DataStreamWriter, interval: str, once: bool) -> StreamingQuer
     return writer.start()
 
 
-def bronze_ingest(messages: DataFrame, path: str, checkpoint: str, name: str, once: bool = False) -> StreamingQuery:
-    """Append every message with its coordinates and the ingest time."""
+def bronze_ingest(messages: DataFrame, path: str, checkpoint: str, name: str, once: bool = False, few_files: bool = False) -> StreamingQuery:
+    """Append every message with its coordinates and the ingest time. Many tasks read a
+    batch and write it, or with ``few_files`` as few as fill files, for a stream that takes them one at a time."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        storage.write_batch(parsing.bronze_envelope(batch), path, batch_id)
+        storage.write_batch(parsing.bronze_envelope(batch).hint("rebalance", "partition", "offset"), path, batch_id, few_files)
 
     writer = messages.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(append)
     return _start(writer, BRONZE_TRIGGER, once)
