@@ -49,11 +49,24 @@ def king(z, multiplier=1.0, shock=0.0, lead_time_std_factor=1.0) -> dict[str, Co
     }
 
 
-def policy(stats: DataFrame, z: float = 1.65) -> DataFrame:
-    cols = king(z)
+def policy_columns(z: float = 1.65) -> dict[str, Column]:
     # Half a mean purchase line stands for the planned cycle stock.
-    cycle = floor_round(safe_divide("po_units", F.col("po_lines") * 2))
-    return stats.select(*SITE, *[c.alias(n) for n, c in cols.items()], cycle.alias("cycle_stock"))
+    return king(z) | {"cycle_stock": floor_round(safe_divide("po_units", F.col("po_lines") * 2))}
+
+
+def policy(stats: DataFrame, z: float = 1.65) -> DataFrame:
+    return stats.select(*SITE, *[c.alias(n) for n, c in policy_columns(z).items()])
+
+
+def takes_part(imbalance: Column, groups: list[str], node: str) -> Column:
+    """Whether ``transfers`` ships from or to a row's node: laid end to end, largest first, its
+    stretch begins before the shorter of the two sides of its group ends."""
+    units = F.abs(imbalance)
+    same = Window.partitionBy(*groups, imbalance > 0)
+    before = F.sum(F.when(imbalance != 0, units)).over(same.orderBy(F.desc(units), node).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - units
+    whole = Window.partitionBy(*groups)
+    surplus, deficit = [F.coalesce(F.sum(F.when(c, units)).over(whole), F.lit(0)) for c in (imbalance > 0, imbalance < 0)]
+    return (imbalance != 0) & (before < F.least(surplus, deficit))
 
 
 def transfers(nodes: DataFrame, groups: list[str], node: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import date_key
 from ..operators import derived, intervals
 from ..operators.dedup import latest_event
+from ..operators.replenish import SITE, demand_and_lead_time
 from ..operators.storage import exists, stored_bytes
 from ..schemas import MART_CODEC
 from ..session import configure, file_size, spread
@@ -129,6 +130,14 @@ class Star:
             F.col("MovementQuantity").alias("quantity_change"), F.col("MovementType").alias("event_type"),
         )
 
+    def site_sums(self) -> DataFrame:
+        """Per SKU and warehouse: what policies need (``demand_and_lead_time``; ``has_policy`` where
+        there are sales) and the ``open_inbound`` orders, null where there are none."""
+        sales = self.table("FactSales", *SITE, "OrderDate", "ShippedQuantity")
+        po = self.table("FactPurchaseOrder", "ProductKey", "ReceivingWarehouseKey", "ActualLeadTimeDays", "OrderedQuantity")
+        stats = demand_and_lead_time(sales, po, F.lit(None)).drop("days").withColumn("has_policy", F.lit(True))
+        return stats.join(self.open_inbound(), SITE, "full_outer")
+
     def open_inbound(self) -> DataFrame:
         """Units and spend on purchase-order lines still under way."""
         po = self.table(
@@ -423,6 +432,13 @@ class DerivedStar(Star):
         if everything or want & of_product:
             product = self._dim_product(want).select(F.col("ProductKey").alias("l_partkey"), "UnitStandardCost", "CategoryName")
             df = df.join(product, "l_partkey", "left")
+        columns = self._sales_columns()
+        if "ChannelName" in want:
+            columns["ChannelName"] = lambda: F.col("ChannelName")
+        return df.select(*[columns[c]().alias(c) for c in columns if everything or c in want])
+
+    @staticmethod
+    def _sales_columns() -> dict[str, Callable[[], Column]]:
         qty = F.col("l_quantity").cast("long")
         cancelled = F.when(F.col("l_returnflag") == "A", qty).otherwise(F.lit(0).cast("long"))
         gross = _money(F.col("l_extendedprice"))
@@ -430,7 +446,7 @@ class DerivedStar(Star):
         shipped = qty - cancelled
         ship = F.to_date("l_shipdate")
         delivery = F.date_add(ship, 3)
-        columns = {
+        return {
             "SalesLineKey": lambda: F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "SalesOrderID": lambda: F.col("l_orderkey"),
             "SalesOrderLineNumber": lambda: F.col("l_linenumber").cast("long"),
@@ -455,9 +471,6 @@ class DerivedStar(Star):
             "OrderLineCycleTimeDays": lambda: F.datediff(delivery, "o_date").cast("long"),
             "OnTimeInFullFlag": lambda: F.when((cancelled == 0) & (F.datediff(delivery, "o_date") <= 30), 1).otherwise(0),
         }
-        if "ChannelName" in want:
-            columns["ChannelName"] = lambda: F.col("ChannelName")
-        return df.select(*[columns[c]().alias(c) for c in columns if everything or c in want])
 
     def cogs(self, *keys: str) -> DataFrame:
         """Cost of goods sold by any of ProductKey, WarehouseKey, CategoryName.
@@ -482,6 +495,11 @@ class DerivedStar(Star):
     def _fact_po(self, want) -> DataFrame:
         everything = not want
         df = self._lines(want, self._PO_ORDER_COLUMNS, everything)
+        columns = self._po_columns()
+        return df.select(*[columns[c]().alias(c) for c in columns if everything or c in want])
+
+    @staticmethod
+    def _po_columns() -> dict[str, Callable[[], Column]]:
         qty = F.col("l_quantity").cast("long")
         done = F.col("o_orderstatus") == "F"
         promised = contract_days("l_suppkey").cast("long")
@@ -492,7 +510,7 @@ class DerivedStar(Star):
         on_time = F.when(done & (variance <= 0), 1).otherwise(0)
         in_full = F.when(done & (received >= qty), 1).otherwise(0)
         dock = F.when(done, F.date_add("o_date", (promised + variance).cast("int")))
-        columns = {
+        return {
             "POLineKey": lambda: F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "PurchaseOrderID": lambda: F.col("l_orderkey"),
             "SupplierKey": lambda: F.col("l_suppkey"),
@@ -515,7 +533,33 @@ class DerivedStar(Star):
             "IsDeliveredInFullFlag": lambda: in_full,
             "IsSupplierOTIFFlag": lambda: on_time * in_full,
         }
-        return df.select(*[columns[c]().alias(c) for c in columns if everything or c in want])
+
+    def site_sums(self) -> DataFrame:
+        """Sales and purchase lines are the same lines here, so they are read and joined once."""
+        df = self._lines({"WarehouseKey"}, set(), True)
+        sales, po = self._sales_columns(), self._po_columns()
+        opened = po["POStatus"]() == "Open In-Transit"
+        lead = po["ActualLeadTimeDays"]()
+        line = {
+            "demand": sales["ShippedQuantity"](), "lt_n": F.when(lead.isNotNull(), 1).otherwise(0).cast("long"), "lt_sum": lead, "lt_sq": lead * lead,
+            "po_units": po["OrderedQuantity"](), "po_lines": F.lit(1).cast("long"), "open_lines": F.when(opened, 1).otherwise(0).cast("long"),
+            "InTransitInboundQuantity": F.when(opened, po["OrderedQuantity"]()), "OpenPOAmount": F.when(opened, po["ExtendedPOAmount"]()),
+        }
+        rows = df.select(*[sales[c]().alias(c) for c in (*SITE, "OrderDate")], *[c.alias(n) for n, c in line.items()])
+        daily = rows.groupBy(*SITE, "OrderDate").agg(*[F.sum(n).alias(n) for n in line])
+        q = F.col("demand").cast("double")
+        g = daily.groupBy(*SITE).agg(*[F.sum(n).alias(n) for n in line], F.sum(q * q).alias("demand_sq"))
+        g = g.withColumn("OpenPOAmount", F.col("OpenPOAmount").cast("decimal(24,2)"))
+        # a null key matches no other one, so what meets in one row is then apart: sales and open orders
+        supply, inbound = ["lt_n", "lt_sum", "lt_sq", "po_units", "po_lines"], ["InTransitInboundQuantity", "OpenPOAmount"]
+        has_open, names = F.col("open_lines") > 0, ["demand", "demand_sq", *supply, *inbound]
+
+        def part(kept: list[str], policy: bool) -> Column:
+            values = [(F.col(n) if n in kept else F.lit(None).cast(g.schema[n].dataType)).alias(n) for n in names]
+            return F.struct(*values, F.when(F.lit(policy), True).alias("has_policy"))
+
+        apart = F.when(has_open, F.array(part(["demand", "demand_sq"], True), part(inbound, False))).otherwise(F.array(part(["demand", "demand_sq"], True)))
+        return g.select(*SITE, F.inline(F.when(F.col("ProductKey").isNull(), apart).otherwise(F.array(part(names, True)))))
 
     def _fact_returns(self, want) -> DataFrame:
         needs = {"OrderDate"} if not want or want & {"OriginalOrderDate", "CustomerChannelKey"} else set()
