@@ -1,12 +1,13 @@
-"""Planner queues read the order lines once."""
+"""Planner queues read the order lines once; lines travel in short columns."""
 
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from tidewater.operators.replenish import takes_part, transfers
-from tidewater.plans import planning
+from tidewater.plans import planning, semantic
 from tidewater.sources.star import DerivedStar, Star
 
 
@@ -39,3 +40,9 @@ def test_sums_of_one_pass_are_those_of_both_facts_with_null_keys(spark, small, t
     expected = Star.site_sums(star)
     got = rows(star.site_sums().select(*expected.columns))
     assert got == rows(expected) and any(r[0] is None for r in got)
+
+
+def test_lines_travel_as_whole_numbers_flags_and_days(spark, small):
+    plan = semantic.semantic_measures(DerivedStar(spark, small))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Project [" in line and "l_orderkey#" in line and "l_partkey#" in line]
+    assert joins and not any(re.search(r"[\[ ](l_extendedprice|l_returnflag|l_shipdate|l_discount)#\d+[,\]]", line) for line in joins)
