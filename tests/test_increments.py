@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tidewater.operators import derived, keys, quality, state
 from tidewater.operators.asof import as_of
 from tidewater.operators.running import numbered, previous
-from tidewater.session import scratch_path
+from tidewater.plans import derived as derived_plans
+from tidewater.session import finish, scratch_path
+from tidewater.sources.star import DerivedStar
 
 START = dt.date(2024, 1, 1)
 
@@ -121,3 +123,16 @@ def test_rules_are_counted_by_the_job_that_writes(spark):
     rows = {r.check_name: (r.check_group, r.failures, r.total, r.status) for r in found.collect()}
     assert rows == {"t: odd": ("a", 50, 100, "FAILED"), "t: zero of small": ("b", 2, 10, "FAILED"), "t: null": ("b", 0, 100, "PASSED")}
     assert spark.read.parquet(path).count() == 100
+
+
+def test_the_lines_of_all_deliveries_are_derived_once(spark, small, monkeypatch):
+    plans, add = [], state.add_increment
+
+    def spied(spark, lines, *rest):
+        plans.append(lines._jdf.queryExecution().optimizedPlan().toString())
+        add(spark, lines, *rest)
+
+    monkeypatch.setattr(state, "add_increment", spied)
+    star = DerivedStar(spark, small)
+    same(finish(derived_plans.scorecard_increments(star)).drop("YearMonthDate"), finish(star.table("FactSupplierMonthlyPerformance")).drop("YearMonthDate"))
+    assert len(plans) == 4 and not any("Join" in p for p in plans)
