@@ -17,17 +17,24 @@ from .registry import query
 TOPICS = (SALES, INVENTORY)
 MESSAGE_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 FILES_PER_TOPIC = 4
+EVENT_BYTES = 2 << 20  # of the event table, for each file that a batch takes
 
 
-def publish(star: DerivedStar, topic: str, path: str, condition: str = "true") -> None:
+def files_a_batch(star: DerivedStar) -> int:
+    """So many that every core has one to write, but one for a small table."""
+    wanted = storage.stored_bytes(star.spark, f"{star.sf_dir}/events.parquet") // EVENT_BYTES
+    return max(1, min(wanted, star.spark.sparkContext.defaultParallelism))
+
+
+def publish(star: DerivedStar, topic: str, path: str, condition: str = "true", files: int = FILES_PER_TOPIC) -> None:
     """Stand-in for the broker: the topic's messages as files, each of which many tasks can read."""
     rows = star.lake.messages(topic).where(condition).select(*MESSAGE_COLUMNS)
-    rows.repartition(FILES_PER_TOPIC, "partition", "offset").write.mode("append").options(**storage.ROW_GROUPS).parquet(path)
+    rows.repartition(files, "partition", "offset").write.mode("append").options(**storage.ROW_GROUPS).parquet(path)
 
 
-def ingest(star: DerivedStar, topic: str, base: str, max_files: int | None = None, max_bytes: int | None = None, few_files: bool = False):
+def ingest(star: DerivedStar, topic: str, base: str, max_files: int | None = None, max_bytes: int | None = None):
     source = jobs.file_source(star.spark, f"{base}/{topic}", max_files=max_files, max_bytes=max_bytes)
-    q = jobs.bronze_ingest(source, f"{base}/bronze_{topic}", f"{base}/chk_bronze_{topic}", f"bronze_{topic}", once=True, few_files=few_files)
+    q = jobs.bronze_ingest(source, f"{base}/bronze_{topic}", f"{base}/chk_bronze_{topic}", f"bronze_{topic}", once=True)
     q.awaitTermination()
     return q
 
@@ -109,12 +116,13 @@ def stream_restart_inventory(star: DerivedStar) -> DataFrame:
 def stream_compacted(star: DerivedStar) -> DataFrame:
     """Both topics through the streams, in several batches, with maintenance while the silver
     stream lags and again behind it; all six tables hold what they were given."""
-    base = scratch_path(star.spark, "stream")
+    base, each = scratch_path(star.spark, "stream"), files_a_batch(star)
     for t in TOPICS:
         for half in ("partition < 8", "partition >= 8"):
-            publish(star, t, f"{base}/{t}", half)
-            ingest(star, t, base, max_files=1, few_files=True)
-            validate(star, t, base, max_files=1)
+            publish(star, t, f"{base}/{t}", half, files=FILES_PER_TOPIC * each)
+            ingest(star, t, base, max_files=each)
+            found = len(star.spark.read.parquet(f"{base}/bronze_{t}").inputFiles())
+            validate(star, t, base, max_files=-(-found // FILES_PER_TOPIC))
     tables = {f"{base}/{kind}_{t}": None for t in TOPICS for kind in ("bronze", "silver", "dlq")}
     followed = {f"{base}/{kind}_{t}": f"{base}/chk_silver_{t}" for t in TOPICS for kind in ("silver", "dlq")}
     storage.maintain(star.spark, tables, followed=followed)
