@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MART_CODEC
-from ..session import SHUFFLE_SIZE, file_size, scratch_path
+from ..session import CORES_FIRST, SHUFFLE_SIZE, file_size, scratch_path
 
 
 # Files that a stream reads one at a time: several row groups each, so that several tasks read one file.
@@ -143,14 +143,17 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
 
 
 def _rewrite(df: DataFrame, path: str, partition_by: list[str], target_bytes: int) -> None:
-    """Write files of about ``target_bytes``: AQE merges and splits to that size."""
-    spark, key = df.sparkSession, SHUFFLE_SIZE
-    saved = spark.conf.get(key)
-    spark.conf.set(key, str(target_bytes))
+    """Write files of about ``target_bytes``: AQE merges and splits to that size, also where
+    that leaves cores without a file."""
+    spark = df.sparkSession
+    saved = {k: spark.conf.get(k) for k in (SHUFFLE_SIZE, CORES_FIRST)}
+    spark.conf.set(SHUFFLE_SIZE, str(target_bytes))
+    spark.conf.set(CORES_FIRST, "false")
     try:
         _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
     finally:
-        spark.conf.set(key, saved)
+        for k, v in saved.items():
+            spark.conf.set(k, v)
 
 
 def compact(
