@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import floor_round, safe_divide, tier, z_score
-from ..operators.context import Calc, Each, Leaf, Model, Node, Selected, deviation, distinct, either, last, mean, over_days, ratio, rows, stock, total
+from ..operators.context import Calc, Each, Leaf, Model, Node, Selected, columns_read, deviation, distinct, either, last, mean, over_days, ratio, rows, stock, total
 from ..operators.context import evaluate as evaluate_nodes
 from ..operators.replenish import DEFAULT_DEMAND_CV, DEFAULT_LEAD_TIME, DEFAULT_LEAD_TIME_STD
 from ..sources.star import DerivedStar, Star
@@ -59,6 +59,9 @@ class _WithCalendar:
         ends = self._star.table("FactSales", "OrderDate").agg(F.min("OrderDate").alias("a"), F.max("OrderDate").alias("b"))
         return ends.select(F.explode(F.sequence("a", "b")).alias("FullDate"))
 
+    def carried(self, fact: str) -> set[str]:
+        return self._star.carried(fact)
+
 
 def _when(condition, value=1):
     return F.when(condition, value)
@@ -152,14 +155,20 @@ def _catalog() -> dict[str, Node]:
 
 
 def evaluate(
-    star: Star, measures: list[str], group_by: list[str], where: dict[str, list] | None = None, date_roles: dict[str, str] | None = None
+    star: Star, measures: list[str], group_by: list[str], where: dict[str, list] | None = None, date_roles: dict[str, str] | None = None, store_lines: bool = False
 ) -> DataFrame:
-    """``measures`` by ``group_by`` within ``where`` (attribute -> allowed values)."""
+    """``measures`` by ``group_by`` within ``where`` (attribute -> allowed values). With
+    ``store_lines`` what several facts make of the order lines is joined and written once."""
     known = _catalog()
     for m in measures:
         if m not in known:
             raise KeyError(f"unknown measure {m}")
-    return evaluate_nodes(_WithCalendar(star), MODEL, {m: known[m] for m in measures}, group_by, where, date_roles)
+    nodes = {m: known[m] for m in measures}
+    if store_lines:
+        wanted = columns_read(MODEL, nodes, group_by, where, date_roles)
+        of_product = [a for a in dict.fromkeys([*group_by, *(where or {})]) if MODEL.attributes.get(a) == "DimProduct" and a != "ProductKey"]
+        star = star.with_stored_lines(wanted, of_product)
+    return evaluate_nodes(_WithCalendar(star), MODEL, nodes, group_by, where, date_roles)
 
 
 @query
@@ -214,7 +223,7 @@ def context_planning_by_category_region(star: DerivedStar) -> DataFrame:
     """Forecast error per month and site, replenishment from daily deviation, risk by region."""
     return evaluate(
         star, ["forecast_units", "forecast_error", "wape", "forecast_accuracy", "forecast_bias", "lead_time_demand", "safety_stock", "reorder_point", "risk_tier"],
-        ["CategoryName", "RegionKey"],
+        ["CategoryName", "RegionKey"], store_lines=True,
     )
 
 

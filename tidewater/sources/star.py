@@ -20,7 +20,7 @@ from ..operators.dedup import latest_event
 from ..operators.replenish import SITE, demand_and_lead_time
 from ..operators.storage import exists, stored_bytes
 from ..schemas import MART_CODEC
-from ..session import configure, file_size, spread
+from ..session import configure, file_size, scratch_path, spread
 from .events import EventLake
 from .tables import read_table
 
@@ -98,6 +98,15 @@ class Star:
     def table(self, name: str, *columns: str) -> DataFrame:
         raise NotImplementedError
 
+    def carried(self, fact: str) -> set[str]:
+        """Dimension attributes that may be asked of a fact itself, without a join by its key."""
+        return set()
+
+    def with_stored_lines(self, wanted: dict[str, set[str]], carry: list[str]) -> Star:
+        """The same star, for plans that read the order lines several times: fact -> columns, and
+        attributes of the product that the lines are to carry. Stored tables are read as they are."""
+        return self
+
     def cogs(self, *keys: str) -> DataFrame:
         """Cost of goods sold by any of ProductKey, WarehouseKey, CategoryName."""
         return self.table("FactSales", *keys, "CostOfGoodsSold").groupBy(*keys).agg(F.sum("CostOfGoodsSold").alias("total_cogs"))
@@ -236,6 +245,9 @@ class DerivedStar(Star):
         self.lake = EventLake(spark, sf_dir)
         spread(spark, max(stored_bytes(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "events")))
         self._plans: dict[str, DataFrame] = {}
+        self._stored: DataFrame | None = None
+        self._stored_as: dict[str, dict[str, str]] = {}  # fact -> column -> its name in the stored lines
+        self._carried: list[str] = []
         self._builders: dict[str, Callable[..., DataFrame]] = {
             "DimDate": self._dim_date,
             "DimProduct": self._dim_product,
@@ -269,9 +281,52 @@ class DerivedStar(Star):
         return self._plans[name]
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        df = self._builders[name](set(columns))
+        df = self._from_stored(name, columns) if name in self._stored_as else None
+        if df is None:
+            df = self._builders[name](set(columns))
+            lacking = [c for c in columns if c not in df.columns and c in self.carried(name)]
+            if lacking:
+                product = self._dim_product(set()).select("ProductKey", *lacking)
+                df = self._builders[name]({*columns, "ProductKey"}).join(product, "ProductKey", "left")
         return df.select(*columns) if columns else df
 
+    _CARRIERS = ("FactSales", "FactPurchaseOrder", "FactDemandForecast")
+
+    def carried(self, fact: str) -> set[str]:
+        return set(self._carried) if fact in self._CARRIERS else set()
+
+    def with_stored_lines(self, wanted: dict[str, set[str]], carry: list[str]) -> DerivedStar:
+        """Sales, purchase orders and forecasts come from the same lines: these are joined with their orders,
+        suppliers and products once and written with the columns that are wanted of either fact."""
+        other = DerivedStar(self.spark, self.sf_dir)
+        columns = {"FactSales": self._sales_columns(), "FactPurchaseOrder": self._po_columns()}
+        asked = {f: set(wanted.get(f, ())) for f in columns}
+        if "FactDemandForecast" in wanted:
+            asked["FactSales"] |= set(self._FORECAST_INPUT)
+        asked["FactSales"] |= {"OrderDate", "ProductKey"}  # the calendar goes from the first to the last order
+        made, names = {}, {f: {} for f in columns}
+        for f, made_by in columns.items():
+            for c in sorted(asked[f] & set(made_by) - {"UnitStandardCost", "CategoryName", "CostOfGoodsSold"}):
+                column = made_by[c]()
+                names[f][c] = made.setdefault(str(column._jc), (f"c{len(made)}", column))[0]  # the same in both facts: stored once
+        rows = self._lines(set(), set(), True).select(*[column.alias(n) for n, column in made.values()])
+        if carry:
+            key = names["FactSales"]["ProductKey"]
+            rows = rows.join(self._dim_product(set()).select(F.col("ProductKey").alias(key), *carry), key, "left")
+        path = scratch_path(self.spark, "lines")
+        rows.write.option("compression", "zstd").parquet(path)
+        other._stored, other._stored_as, other._carried = self.spark.read.schema(rows.schema).parquet(path), names, list(carry)
+        return other
+
+    def _from_stored(self, fact: str, columns: tuple[str, ...]) -> DataFrame | None:
+        """A fact of the stored lines, if they have all that is asked for. What needs no order keeps
+        lines that have none, so it is read from the lines themselves."""
+        names = self._stored_as[fact] | {a: a for a in self._carried}
+        of_order = {"FactSales": self._SALES_ORDER_COLUMNS, "FactPurchaseOrder": self._PO_ORDER_COLUMNS}[fact]
+        if not set(columns) & of_order or not set(columns) <= set(names):
+            return None
+        return self._stored.select(*[F.col(names[c]).alias(c) for c in columns])
+
     # -- dimensions ---------------------------------------------------------
 
     def _dim_date(self, want) -> DataFrame:
@@ -583,11 +638,14 @@ class DerivedStar(Star):
             out = out.withColumns({"OriginalOrderDate": F.col("o_date"), "CustomerChannelKey": F.col("o_custkey")})
         return out.select(*[c for c in out.columns if c[0].isupper()])
 
+    _FORECAST_INPUT = ("OrderDate", "ProductKey", "WarehouseKey", "OrderedQuantity")
+
     def _fact_forecast(self, want) -> DataFrame:
         """Baseline: last month's ordered units; planners shift it by a few units."""
+        carried = [a for a in self._carried if a in want]
         actual = (
-            self.table("FactSales", "OrderDate", "ProductKey", "WarehouseKey", "OrderedQuantity")
-            .groupBy(F.trunc("OrderDate", "month").alias("m"), "ProductKey", "WarehouseKey")
+            self.table("FactSales", *self._FORECAST_INPUT, *carried)
+            .groupBy(F.trunc("OrderDate", "month").alias("m"), "ProductKey", "WarehouseKey", *carried)
             .agg(F.sum("OrderedQuantity").alias("BaselineStatisticalQuantity"))
         )
         base = F.col("BaselineStatisticalQuantity")
@@ -598,7 +656,7 @@ class DerivedStar(Star):
             (F.col("ProductKey") * 100 + F.col("WarehouseKey")).alias("_pw"),
             F.col("m").alias("ForecastGeneratedDate"),
             month.alias("TargetMonth"), "ProductKey", "WarehouseKey", base,
-            (planned - base).alias("PlannerAdjustmentQuantity"), planned.alias("ForecastedQuantity"),
+            (planned - base).alias("PlannerAdjustmentQuantity"), planned.alias("ForecastedQuantity"), *carried,
         ).withColumn("ForecastKey", F.col("_pw") * 1000000 + F.year("TargetMonth") * 100 + F.month("TargetMonth")).drop("_pw")
         if not want or "ForecastValue" in want:
             price = self._dim_product(want).select("ProductKey", "UnitListPrice")
