@@ -1,9 +1,13 @@
 """stream_compacted maintains its tables while the silver stream lags and again behind it."""
 
+import threading
+
 import pytest
 
+from tidewater import session
 from tidewater.plans import streams
 from tidewater.plans.registry import all_queries
+from tidewater.session import scratch_path
 
 
 def rows(spark, path):
@@ -41,3 +45,23 @@ def test_a_table_that_maintenance_fails_on_is_an_error(spark, small, monkeypatch
     monkeypatch.setattr(streams.storage, "_rewrite", broken)
     with pytest.raises(RuntimeError, match="no space left"):
         all_queries()["stream_compacted"](spark, small)
+
+
+def test_tables_are_rewritten_at_once_and_the_sizes_of_the_session_come_back(spark, monkeypatch):
+    paths = [scratch_path(spark, "fed") for _ in range(3)]
+    for path in paths:
+        for i in range(3):
+            streams.storage.write_batch(spark.range(i * 10, i * 10 + 10).repartition(2), path, i)
+        streams.storage.close_batches(spark, path, 3)
+    sizes = {k: spark.conf.get(k) for k in (session.SHUFFLE_SIZE, session.CORES_FIRST)}
+    together, real = threading.Barrier(3, timeout=60), streams.storage._rewrite
+
+    def rewrite(*args):
+        together.wait()  # breaks unless all three are in here
+        real(*args)
+
+    monkeypatch.setattr(streams.storage, "_rewrite", rewrite)
+    report = streams.storage.maintain(spark, dict.fromkeys(paths))
+    assert all(said.startswith("ok") and said.endswith("files_after 1") for said in report.values()) and list(report) == paths, report
+    assert {k: spark.conf.get(k) for k in sizes} == sizes
+    assert [rows(spark, path) for path in paths] == [30] * 3

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
@@ -142,20 +143,26 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     _drop(spark, staged)
 
 
-def _rewrite(df: DataFrame, path: str, partition_by: list[str], target_bytes: int) -> None:
-    """Write files of about ``target_bytes``: AQE merges and splits to that size, also where
-    that leaves cores without a file."""
-    spark = df.sparkSession
+@contextmanager
+def _files_of(spark: SparkSession, target_bytes: int) -> Iterator[None]:
+    """Within, AQE merges and splits rebalanced rows to about ``target_bytes``, also where that leaves
+    cores without a file."""
     saved = {k: spark.conf.get(k) for k in (SHUFFLE_SIZE, CORES_FIRST)}
     spark.conf.set(SHUFFLE_SIZE, str(target_bytes))
     spark.conf.set(CORES_FIRST, "false")
     try:
-        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+        yield
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
 
 
+def _rewrite(df: DataFrame, path: str, partition_by: list[str], target_bytes: int) -> None:
+    """Write files of about ``target_bytes``."""
+    with _files_of(df.sparkSession, target_bytes):
+        _writer(df.hint("rebalance", *partition_by), "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def compact(
     spark: SparkSession, path: str, partition_by: list[str], target_bytes: int = 256 << 20, closed: Column | None = None
 ) -> dict[str, int]:
@@ -287,6 +294,9 @@ def compact_closed(spark: SparkSession, path: str, target_bytes: int = 256 << 20
     return report
 
 
+TABLES_AT_ONCE = 4
+
+
 def maintain(
     spark: SparkSession, tables: dict[str, list[str] | None], target_bytes: int = 256 << 20, followed: dict[str, str] | None = None
 ) -> dict[str, str]:
@@ -295,10 +305,12 @@ def maintain(
     Of a stream-fed table only closed files are rewritten: those that the stream behind it
     has read and moved away or, for a table that no stream follows, the batches that are
     committed by the checkpoint of the stream that writes it (``followed``: path -> checkpoint).
-    One failure does not stop the rest.
+    One failure does not stop the rest. Files of the wanted size are few, so several tables are
+    rewritten at once; the sizes of the session are set around all of them.
     """
-    report = {}
-    for path, partition_by in tables.items():
+
+    def one(table: tuple[str, list[str] | None]) -> tuple[str, str]:
+        path, partition_by = table
         try:
             if partition_by is None:
                 rows = read_fed(spark, path)
@@ -309,10 +321,12 @@ def maintain(
                 done = compact_closed(spark, path, target_bytes)
             else:
                 done = compact(spark, path, partition_by, target_bytes)
-            report[path] = "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
+            return path, "ok: " + ", ".join(f"{k} {v}" for k, v in done.items())
         except Exception as e:
-            report[path] = f"failed: {e}"
-    return report
+            return path, f"failed: {e}"
+
+    with _files_of(spark, target_bytes), ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        return dict(pool.map(one, tables.items()))
 
 
 def file_layout(df: DataFrame) -> DataFrame:
